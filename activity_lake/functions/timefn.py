@@ -60,3 +60,28 @@ def date_lit(d: str | _dt.date) -> Column:
 def ntz(ts: Column) -> Column:
     """TIMESTAMP -> TIMESTAMP_NTZ in the session zone (UTC): wall-clock output."""
     return ts.cast("timestamp_ntz")
+
+
+def hours_2dp_from_minutes(minutes: Column) -> Column:
+    """``round(minutes / 60, 2)`` half-up, computed exactly.
+
+    Latency medians and interpolated percentiles of minute-resolution values
+    are multiples of 0.1 minute, so ``t = round(minutes * 10)`` is exact and
+    ``hours * 100 = t / 6``; half-up rounding is ``floor((t + 3) / 6)``. This
+    removes the float noise of interpolation that would otherwise flip a
+    ``.xx5`` to either side depending on the engine.
+    """
+    t = F.round(minutes * F.lit(10)).cast("long")
+    return F.floor((t + F.lit(3)) / F.lit(6)) / F.lit(100.0)
+
+
+def mean_2dp(values_2dp: Column) -> Column:
+    """``round(avg(x), 2)`` half-up, exactly, for x already on a 0.01 grid."""
+    s = F.sum(F.round(values_2dp * F.lit(100)).cast("long"))
+    c = F.count(values_2dp)
+    return F.floor((s * 2 + c) / (c * 2)) / F.lit(100.0)
+
+
+def pct_1dp(num: Column, den: Column) -> Column:
+    """``round(100 * num / den, 1)`` half-up, exactly, for non-negative integers."""
+    return F.floor((num * 2000 + den) / (den * 2)) / F.lit(10.0)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.actors import AI_AGENT, HUMAN
-from ..functions.timefn import month_start
+from ..functions.timefn import hours_2dp_from_minutes, mean_2dp, month_start, pct_1dp
 
 
 # ------------------------------------------------------------------ exports
@@ -60,9 +60,9 @@ def monthly_latency(lifecycle: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("prs"),
                  F.count(r).alias("with_review"),
                  F.count(m).alias("with_merge"),
-                 F.round(F.median(r), 2).alias("median_h_review"),
-                 F.round(F.median(m), 2).alias("median_h_merge"),
-                 F.round(F.percentile(m, F.lit(0.9)), 2).alias("p90_h_merge")))
+                 hours_2dp_from_minutes(F.median(r * 60)).alias("median_h_review"),
+                 hours_2dp_from_minutes(F.median(m * 60)).alias("median_h_merge"),
+                 hours_2dp_from_minutes(F.percentile(m * 60, F.lit(0.9))).alias("p90_h_merge")))
 
 
 def censoring_matrix(lifecycle: DataFrame) -> DataFrame:
@@ -135,8 +135,7 @@ def language_automation(lang: DataFrame, min_events: int = 500, k: int = 20) ->
     return (lang.groupBy("language")
             .agg(F.sum("events").alias("events"), auto.alias("automated"))
             .where(F.col("events") >= min_events)
-            .withColumn("pct_automated",
-                        F.round(F.lit(100.0) * F.col("automated").cast("double") / F.col("events").cast("double"), 1))
+            .withColumn("pct_automated", pct_1dp(F.col("automated"), F.col("events")))
             .orderBy(F.desc("events"), F.asc("language")).limit(k))
 
 
@@ -159,8 +158,8 @@ def mean_of_medians(latency: DataFrame) -> DataFrame:
     """The page's mean of monthly medians (not a global median)."""
     return (latency.where(F.col("mature_cohort")).groupBy("author_class")
             .agg(F.sum("prs").alias("prs"),
-                 F.round(F.avg("median_h_review"), 2).alias("h_review"),
-                 F.round(F.avg("median_h_merge"), 2).alias("h_merge")))
+                 mean_2dp(F.col("median_h_review")).alias("h_review"),
+                 mean_2dp(F.col("median_h_merge")).alias("h_merge")))
 
 
 def global_median(lifecycle: DataFrame) -> DataFrame:
@@ -169,8 +168,8 @@ def global_median(lifecycle: DataFrame) -> DataFrame:
                             & F.col("mature_cohort"))
             .groupBy("author_class")
             .agg(F.count(F.lit(1)).alias("prs"),
-                 F.round(F.median("hours_to_first_review"), 2).alias("h_review"),
-                 F.round(F.median("hours_to_merge"), 2).alias("h_merge")))
+                 hours_2dp_from_minutes(F.median(F.col("hours_to_first_review") * 60)).alias("h_review"),
+                 hours_2dp_from_minutes(F.median(F.col("hours_to_merge") * 60)).alias("h_merge")))
 
 
 def latency_series(latency: DataFrame) -> DataFrame:
