@@ -17,33 +17,17 @@ def dim_date(spark, sf_dir):
     return Lake(spark, sf_dir).dim_date()
 
 
-@register("dim_actor", q("STG", """
-    SELECT actor, max(actor_class) AS actor_class, bool_or(is_bot) AS is_bot,
-           count(*) AS total_events, count(DISTINCT repo) AS distinct_repos,
-           min(event_date) AS first_day, max(event_date) AS last_day,
-           CAST(date_trunc('month', min(event_date)) AS DATE) AS cohort_month
-    FROM stg_events GROUP BY actor"""), ops="D1")
+@register("dim_actor", q("dim_actor", "SELECT * FROM dim_actor"), ops="D1")
 def dim_actor(spark, sf_dir):
     return Lake(spark, sf_dir).dim_actor()
 
 
-_LANG_SQL = """lang_latest AS (
-    SELECT repo, arg_max(repo_language, strftime(event_date, '%Y-%m-%d') || '|' || repo_language) AS language
-    FROM stg_pr WHERE repo_language IS NOT NULL GROUP BY repo)"""
-
-
-@register("repo_latest_language", q("STG", "SELECT * FROM lang_latest", extra=[_LANG_SQL]), ops="D2")
+@register("repo_latest_language", q("lang_latest", "SELECT * FROM lang_latest"), ops="D2")
 def repo_latest_language(spark, sf_dir):
     return dims.repo_latest_language(Lake(spark, sf_dir).stg_pr_events())
 
 
-@register("dim_repo", q("STG", """
-    SELECT e.repo, min(e.repo_owner) AS owner, l.language, l.language IS NOT NULL AS has_language,
-           count(*) AS total_events, count(DISTINCT e.actor) AS distinct_actors,
-           min(e.event_date) AS first_day, max(e.event_date) AS last_day
-    FROM stg_events e LEFT JOIN lang_latest l ON l.repo = e.repo
-    WHERE e.repo IS NOT NULL
-    GROUP BY e.repo, l.language""", extra=[_LANG_SQL]), ops="C2 D3")
+@register("dim_repo", q("dim_repo", "SELECT * FROM dim_repo"), ops="C2 D3")
 def dim_repo(spark, sf_dir):
     return Lake(spark, sf_dir).dim_repo()
 
@@ -95,7 +79,7 @@ def contributor_cohort(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("pairs"), F.sum("events").alias("events")))
 
 
-@register("star_join", q(("fact", "dim_date"), """
+@register("star_join", q(("fact", "dim_date", "lang_latest"), """
     SELECT d.year, d.source_format, a.actor_class AS actor_dim_class, r.has_language,
            count(*) AS events, count(DISTINCT f.pr_id) AS prs
     FROM fact f
@@ -104,7 +88,7 @@ def contributor_cohort(spark, sf_dir):
     JOIN (SELECT e.repo, l.language IS NOT NULL AS has_language
           FROM (SELECT DISTINCT repo FROM stg_events WHERE repo IS NOT NULL) e
           LEFT JOIN lang_latest l ON l.repo = e.repo) r ON r.repo = f.repo
-    GROUP BY 1, 2, 3, 4""", extra=[_LANG_SQL]), ops="C9")
+    GROUP BY 1, 2, 3, 4"""), ops="C9")
 def star_join(spark, sf_dir):
     """Fact enriched through the star: date (broadcast, bounded by the
     window), actor and repo dimensions (grow with data: planner's choice)."""
