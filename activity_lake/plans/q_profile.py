@@ -1 +1,222 @@
-"""placeholder"""
+"""Registered queries: planning (C6, C7, H2) and feed profiling."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import planning as PL
+from ..operators import profiling as PF
+from ..operators.quality import hours_per_day
+from . import adapters as A
+from .oracle import q
+from .pipeline import Lake
+from .registry import register
+
+E_LO, E_HI = A.EVENT_WINDOW
+GAPS = [("2024-01-10", "2024-01-12")]
+
+_ISO = "strftime({}, '%Y-%m-%dT%H:%M:%SZ')"
+
+# Typed view of the profiling feed: adapter P + push events + adapter E, plus
+# three malformed lines (one blank) that no typed table can carry.
+PROF_CTE = f"""prof AS (
+    SELECT event_type AS type, {_ISO.format('created_ts')} AS created_at, event_id AS id, actor,
+           full_fmt, action, st, k, is_end
+    FROM (SELECT r.*, o.st, o.k, r.event_id % 100 = 1 AND r.event_type = 'PullRequestEvent' AS is_end
+          FROM p_rows r JOIN p_o o ON o.k = r.pr_id) x
+    UNION ALL
+    SELECT 'PushEvent', {_ISO.format('opened_ts')}, k * 100 + 2, author, full_fmt, NULL, st, k, false FROM p_o
+    UNION ALL
+    SELECT event_type, {_ISO.format('created_ts')}, event_id, actor, NULL, NULL, NULL, NULL, false FROM e_typed)"""
+
+
+def _pq(select: str, *extra: str) -> str:
+    return q(("P", "E"), select, extra=[PROF_CTE, *extra])
+
+
+def _pct2(num: str, den: str) -> str:
+    return f"floor(({num} * 20000 + {den}) / (2 * {den})) / 100.0"
+
+
+# ---------------------------------------------------------------- planning
+@register("pending_days", q("E", f"""
+    SELECT d.day FROM (SELECT CAST(unnest(generate_series(DATE '{E_LO}', DATE '{E_HI}', INTERVAL 1 DAY)) AS DATE) AS day) d
+    WHERE NOT (d.day BETWEEN DATE '{GAPS[0][0]}' AND DATE '{GAPS[0][1]}')
+      AND d.day NOT IN (SELECT event_date FROM e_events GROUP BY event_date HAVING count(DISTINCT hour(created_ts)) = 24)
+      AND d.day IN (SELECT DISTINCT event_date FROM e_typed)"""), ops="C6 H2")
+def pending_days(spark, sf_dir):
+    """Days still to (re)process: wanted - known gaps - complete days, among
+    days whose raw input exists. A day counts as done only with 24 hours."""
+    lake = Lake(spark, sf_dir)
+    done = (hours_per_day(lake.stream_events()).where(F.col("hours") == 24)
+            .select(F.col("event_date").alias("day")))
+    available = lake.event_raw().select(F.to_date("file_date").alias("day"))
+    return PL.pending_days(spark, E_LO, E_HI, done=done, gaps=GAPS, available=available)
+
+
+@register("missing_hours", q("E", f"""
+    SELECT CAST(t AS DATE) AS day, CAST(hour(t) AS INTEGER) AS hour
+    FROM (SELECT unnest(generate_series(TIMESTAMP '{E_LO} 00:00:00', TIMESTAMP '{E_HI} 23:00:00', INTERVAL 1 HOUR)) AS t) h
+    WHERE (CAST(t AS DATE), hour(t)) NOT IN (SELECT DISTINCT event_date, hour(created_ts) FROM e_typed)"""),
+    ops="C7")
+def missing_hours(spark, sf_dir):
+    """Hours of the window with no source file (inventory from the raw feed)."""
+    inv = (Lake(spark, sf_dir).event_raw()
+           .select(F.to_date("file_date").alias("day"), F.col("file_hour").alias("hour")))
+    return PL.missing_hours(spark, E_LO, E_HI, inv)
+
+
+# ---------------------------------------------------------------- profiling
+def _raw(spark, sf_dir):
+    return A.profile_feed(spark, sf_dir)
+
+
+@register("p_volume", _pq("""
+    SELECT count(*) + 3 AS lines, 1 AS blank_lines, count(*) AS events, 2 AS unparseable_lines,
+           min(created_at) AS min_created_at, max(created_at) AS max_created_at FROM prof"""), ops="K1")
+def p_volume(spark, sf_dir):
+    return PF.volume(_raw(spark, sf_dir)).drop("text_bytes")
+
+
+@register("p_types", _pq(f"""
+    SELECT type, count(*) AS events, {_pct2('count(*)', 'sum(count(*)) OVER ()')} AS pct
+    FROM prof GROUP BY type"""), ops="K2 G4")
+def p_types(spark, sf_dir):
+    return PF.type_frequency(_raw(spark, sf_dir))
+
+
+@register("p_paths", ops="K3")
+def p_paths(spark, sf_dir):
+    """Observed-schema profile (checked against a Python walk in tests)."""
+    return PF.observed_paths(_raw(spark, sf_dir))
+
+
+_PR = "type = 'PullRequestEvent'"
+
+
+@register("p_key_coverage", _pq(f"""
+    SELECT object, key, events, type_events, {_pct2('events', 'type_events')} AS pct FROM (
+      SELECT 'payload.pull_request' AS object, key, count(*) AS events,
+             max(n) AS type_events
+      FROM (SELECT unnest(CASE WHEN full_fmt THEN
+                     (CASE WHEN is_end THEN
+                        (CASE WHEN st = 'F' THEN ['id','number','created_at','merged_at','closed_at','merged','user','additions','deletions','base']
+                              ELSE ['id','number','created_at','closed_at','merged','user','additions','deletions','base'] END)
+                      ELSE ['id','number','created_at','user','additions','deletions','base'] END)
+                   ELSE ['id','number','base'] END) AS key,
+                   count(*) OVER () AS n
+            FROM prof WHERE {_PR}) t GROUP BY key
+      UNION ALL
+      SELECT 'payload', key, count(*), max(n)
+      FROM (SELECT unnest(CASE WHEN full_fmt THEN ['ref','size','commits'] ELSE ['ref'] END) AS key,
+                   count(*) OVER () AS n
+            FROM prof WHERE type = 'PushEvent') t GROUP BY key) x"""), ops="K4")
+def p_key_coverage(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return (PF.key_coverage(raw, "PullRequestEvent", "payload.pull_request")
+            .unionByName(PF.key_coverage(raw, "PushEvent", "payload")))
+
+
+@register("p_candidate_paths", _pq(f"""
+    SELECT path, present, non_null, type_events FROM (
+      SELECT 'payload.pull_request.base.repo.language' AS path,
+             count(*) FILTER (WHERE full_fmt AND k % 12 <> 0) AS present,
+             count(*) FILTER (WHERE full_fmt AND k % 12 <> 0) AS non_null, count(*) AS type_events
+      FROM prof WHERE {_PR}
+      UNION ALL SELECT 'payload.pull_request.head.repo.language', 0, 0, count(*) FROM prof WHERE {_PR}
+      UNION ALL SELECT 'repo.language', 0, 0, count(*) FROM prof WHERE {_PR}
+      UNION ALL SELECT 'payload.repository.language', 0, 0, count(*) FROM prof WHERE {_PR}) x"""),
+    ops="K5")
+def p_candidate_paths(spark, sf_dir):
+    return PF.candidate_paths(_raw(spark, sf_dir))
+
+
+@register("p_language_values", _pq(f"""
+    SELECT 'lang' || CAST(k % 6 AS VARCHAR) AS value, count(*) AS events
+    FROM prof WHERE {_PR} AND full_fmt AND k % 12 <> 0
+    GROUP BY 1 ORDER BY events DESC, value LIMIT 20"""), ops="K5 G4")
+def p_language_values(spark, sf_dir):
+    return PF.top_values(_raw(spark, sf_dir), "payload.pull_request.base.repo.language",
+                         "PullRequestEvent", 20)
+
+
+@register("p_truncation", _pq("""
+    SELECT count(*) AS events, count(*) FILTER (WHERE full_fmt) AS with_size,
+           count(*) FILTER (WHERE full_fmt AND k % 30 > 20) AS truncated,
+           CAST(max(CASE WHEN full_fmt THEN least(k % 30, 20) ELSE 0 END) AS INTEGER) AS max_commits
+    FROM prof WHERE type = 'PushEvent'"""), ops="K6")
+def p_truncation(spark, sf_dir):
+    return PF.truncation(_raw(spark, sf_dir))
+
+
+@register("p_bot_signals", _pq(f"""
+    SELECT 'events_with_login' AS signal, count(*) AS n FROM prof
+    UNION ALL SELECT 'events_bot_suffix', count(*) FILTER (WHERE ends_with(actor, '[bot]')) FROM prof
+    UNION ALL SELECT 'distinct_bot_logins', count(DISTINCT actor) FILTER (WHERE ends_with(actor, '[bot]')) FROM prof
+    UNION ALL SELECT 'payload.pull_request.user.type=' ||
+                     CASE WHEN ends_with(o.author, '[bot]') THEN 'Bot' ELSE 'User' END, count(*)
+      FROM prof p JOIN p_o o ON o.k = p.k
+      WHERE p.type IN ('PullRequestEvent', 'PullRequestReviewEvent') AND p.full_fmt GROUP BY 1"""),
+    ops="K7")
+def p_bot_signals(spark, sf_dir):
+    return PF.bot_signals(_raw(spark, sf_dir))
+
+
+@register("p_field_matrix", _pq(f"""
+    SELECT action, count(*) AS events,
+           count(*) FILTER (WHERE full_fmt) AS created_at, 0 AS updated_at,
+           count(*) FILTER (WHERE full_fmt AND is_end) AS closed_at,
+           count(*) FILTER (WHERE full_fmt AND is_end AND st = 'F') AS merged_at,
+           count(*) FILTER (WHERE full_fmt AND is_end) AS merged
+    FROM prof WHERE {_PR} GROUP BY action"""), ops="K8")
+def p_field_matrix(spark, sf_dir):
+    return PF.field_matrix(_raw(spark, sf_dir))
+
+
+@register("p_identifiers", _pq("""
+    SELECT type AS event_type, path, CASE WHEN path LIKE '%node_id' THEN 0 ELSE count(*) END AS events
+    FROM prof, (SELECT unnest(['payload.pull_request.id', 'payload.pull_request.number',
+                               'payload.pull_request.node_id', 'payload.number']) AS path) p
+    WHERE type IN ('PullRequestEvent', 'PullRequestReviewEvent', 'PullRequestReviewCommentEvent')
+    GROUP BY type, path"""), ops="K9")
+def p_identifiers(spark, sf_dir):
+    return PF.identifier_coverage(_raw(spark, sf_dir))
+
+
+DRIFT_YEARS = list(range(1995, 2002))
+
+
+def _drift_sql() -> str:
+    metrics = {
+        "events": "true",
+        "pr_events": "type = 'PullRequestEvent'",
+        "pr_with_created_at": "type = 'PullRequestEvent' AND full_fmt",
+        "pr_with_language": "type = 'PullRequestEvent' AND full_fmt AND k % 12 <> 0",
+        "pr_opened": "type = 'PullRequestEvent' AND action = 'opened'",
+        "pr_closed": "type = 'PullRequestEvent' AND action = 'closed'",
+        "pr_merged": "type = 'PullRequestEvent' AND action = 'merged'",
+        "bot_events": "ends_with(actor, '[bot]')",
+    }
+    rows = []
+    for m, cond in metrics.items():
+        cols = ", ".join(f"count(*) FILTER (WHERE y = {y} AND {cond}) AS \"{y}\"" for y in DRIFT_YEARS)
+        rows.append(f"SELECT '{m}' AS metric, {cols} FROM pp")
+    cols = ", ".join(f"count(DISTINCT type) FILTER (WHERE y = {y}) AS \"{y}\"" for y in DRIFT_YEARS)
+    rows.append(f"SELECT 'distinct_types', {cols} FROM pp")
+    pp = "pp AS (SELECT *, CAST(substr(created_at, 1, 4) AS INTEGER) AS y FROM prof WHERE k IS NOT NULL)"
+    return _pq("\nUNION ALL\n".join(rows), pp)
+
+
+@register("p_drift", _drift_sql(), ops="K10")
+def p_drift(spark, sf_dir):
+    """Drift of the PR feed across years (one pivot column per year)."""
+    raw = A.pr_feed(spark, sf_dir).unionByName(A.pr_push_feed(spark, sf_dir))
+    return PF.drift(raw, F.substring("file_date", 1, 4).cast("int"), DRIFT_YEARS)
+
+
+@register("p_examples", _pq("""
+    SELECT type, arg_min(id, (created_at, id)) AS id, min(created_at) AS created_at
+    FROM prof GROUP BY type"""), ops="K11")
+def p_examples(spark, sf_dir):
+    return PF.examples(_raw(spark, sf_dir)).drop("json")
+
