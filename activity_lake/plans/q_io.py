@@ -1 +1,168 @@
-"""placeholder"""
+"""Registered queries that write and read files.
+
+Each call writes under a fresh folder of the shared checkpoint directory
+(``spark.checkpoint.dir``), then returns a DataFrame over what was read back.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from ..operators import bronze as B
+from ..operators import reports as R
+from ..session import configure, shared_dir
+from ..sources import raw as RAW
+from ..sources import sinks as SK
+from ..streaming import incremental as INC
+from .oracle import q
+from .output import for_output
+from .pipeline import Lake
+from .registry import register
+
+
+def _scratch(spark, tag: str) -> str:
+    return shared_dir(spark, f"{tag}-{uuid.uuid4().hex[:12]}")
+
+
+def _raw_files(spark, sf_dir, base: str) -> str:
+    """Adapter E written as hourly gzip files (one folder per day and hour)."""
+    path = f"{base}/raw"
+    RAW.write_raw(Lake(spark, sf_dir).event_raw(), path)
+    return path
+
+
+@register("raw_file_scan", q("E", """
+    SELECT event_date, count(*) AS rows, count(DISTINCT hour(created_ts)) AS hours,
+           count(DISTINCT event_id) AS ids
+    FROM e_typed GROUP BY event_date"""), ops="A1 A2 A5 A6")
+def raw_file_scan(spark, sf_dir):
+    """Write the feed as hourly .gz files, scan them back (date and hour taken
+    from the file path), extract bronze, count per day."""
+    configure(spark)
+    base = _scratch(spark, "raw-scan")
+    path = _raw_files(spark, sf_dir, base)
+    br = B.to_bronze(RAW.scan_raw(spark, path))
+    return (br.groupBy("event_date")
+            .agg(F.count(F.lit(1)).alias("rows"),
+                 F.countDistinct(F.hour(F.expr("try_to_timestamp(created_at)"))).alias("hours"),
+                 F.countDistinct("id").alias("ids")))
+
+
+@register("write_roundtrip", q("E", """
+    SELECT event_date, count(*) AS rows FROM e_events GROUP BY event_date"""),
+    ops="A3 A4 A8 A11 A17 A5 A6")
+def write_roundtrip(spark, sf_dir):
+    """Silver written partitioned by day (zstd, dynamic overwrite), one day
+    rewritten alone (its siblings must survive), then read back per day."""
+    configure(spark)
+    base = _scratch(spark, "roundtrip")
+    ev = Lake(spark, sf_dir).stream_events()
+    path = f"{base}/silver/events"
+    res = SK.write_partitioned(ev, path, rebalance=True)
+    if res["written"] != res["read_back"]:
+        raise RuntimeError(f"read-back mismatch: {res}")
+    first = SK.read_layer(spark, path).agg(F.min("event_date")).first()[0]
+    SK.write_partitioned(ev.where(F.col("event_date") == F.lit(first)), path)
+    return SK.per_day_counts(spark, path)
+
+
+@register("file_inventory", ops="A14")
+def file_inventory(spark, sf_dir):
+    """Inventory of the hourly files: day, hour, bytes, sha256, state."""
+    configure(spark)
+    base = _scratch(spark, "inventory")
+    path = _raw_files(spark, sf_dir, base)
+    return RAW.file_inventory(spark, path).drop("modified", "path")
+
+
+@register("storage_report", ops="A15")
+def storage_report(spark, sf_dir):
+    """Bytes in (gzip raw files) vs bytes out (bronze Parquet) per day."""
+    configure(spark)
+    base = _scratch(spark, "storage")
+    path = _raw_files(spark, sf_dir, base)
+    raw_df = RAW.scan_raw(spark, path)
+    SK.write_partitioned(B.retain_payload(B.to_bronze(raw_df)), f"{base}/bronze")
+    raw_files = spark.read.option("recursiveFileLookup", "true").text(path)
+    return RAW.storage_report(raw_files, SK.read_layer(spark, f"{base}/bronze"))
+
+
+@register("run_log", q("E", """
+    SELECT 'silver_events' AS layer, event_date, count(*) AS rows FROM e_events GROUP BY event_date"""),
+    ops="A12 A13")
+def run_log(spark, sf_dir):
+    """One log record per written day, appended as JSON next to a corrupt line;
+    the tolerant reader drops the corrupt line."""
+    configure(spark)
+    base = _scratch(spark, "runlog")
+    ev = Lake(spark, sf_dir).stream_events()
+    res = SK.write_partitioned(ev, f"{base}/silver/events", rebalance=True)
+    per_day = SK.per_day_counts(spark, f"{base}/silver/events")
+    SK.append_run_log(spark, SK.log_records(per_day, "silver_events", res["seconds"]), f"{base}/log")
+    (spark.createDataFrame([('{"layer": "silver_events", "rows": ',)], "value string")
+     .write.mode("append").text(f"{base}/log"))
+    log = SK.read_run_log(spark, f"{base}/log")
+    return log.where(F.col("layer").isNotNull() & F.col("event_date").isNotNull()).select(
+        "layer", "event_date", "rows")
+
+
+_EXPORTS = ("monthly_activity", "monthly_language", "monthly_ai_agents", "monthly_latency",
+            "censoring_matrix", "retention_curve", "repo_balance", "calendar_export")
+_EXPORT_CTE = {"monthly_activity": "activity", "monthly_language": "lang", "monthly_ai_agents": "agents",
+               "monthly_latency": "latency", "censoring_matrix": "censor", "retention_curve": "retention",
+               "repo_balance": "balance", "calendar_export": "dim_date"}
+
+
+@register("export_guard", q(tuple(_EXPORT_CTE.values()), "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS name, count(*) AS rows, false AS over_limit FROM {c}" for n, c in _EXPORT_CTE.items())),
+    ops="A9 A10 A16")
+def export_guard(spark, sf_dir):
+    """Export the eight aggregates (zstd Parquet), re-read and count each, and
+    flag any above the size guard."""
+    configure(spark)
+    lake = Lake(spark, sf_dir)
+    fact, lc, contrib = lake.fact_pr_event(), lake.pr_lifecycle(), lake.contributor_month()
+    named = {
+        "monthly_activity": R.monthly_activity(fact),
+        "monthly_language": R.monthly_language(fact),
+        "monthly_ai_agents": R.monthly_ai_agents(fact),
+        "monthly_latency": R.monthly_latency(lc),
+        "censoring_matrix": R.censoring_matrix(lc),
+        "retention_curve": R.retention_curve(contrib),
+        "repo_balance": R.repo_balance(contrib),
+        "calendar_export": R.calendar_export(lake.dim_date()),
+    }
+    out = _scratch(spark, "exports")
+    report = SK.export_all(spark, out, named)
+    SK.read_exports(spark, out, named)
+    return report.select("name", "rows", "over_limit")
+
+
+@register("stream_equals_batch", q("E", "SELECT * FROM e_events"), ops="L1")
+def stream_equals_batch(spark, sf_dir):
+    """Files arrive in two waves (hours 0-11, then 12-23, so every day gets
+    late hours); the incremental job runs after each wave. The silver it
+    leaves must equal the one-shot batch silver."""
+    configure(spark)
+    base = _scratch(spark, "incremental")
+    feed = Lake(spark, sf_dir).event_raw()
+    raw_path = f"{base}/raw"
+    for wave in (F.col("file_hour") < 12, F.col("file_hour") >= 12):
+        RAW.write_raw(feed.where(wave), raw_path, mode="append")
+        INC.run_incremental(spark, raw_path, f"{base}/bronze", f"{base}/silver", f"{base}/_ckpt")
+    return for_output(SK.read_layer(spark, f"{base}/silver/events"))
+
+
+@register("stream_dedup", q("E", "SELECT * FROM e_events"), ops="L2")
+def stream_dedup(spark, sf_dir):
+    """In-stream dedup on ``(event_id, event_date)`` within a watermark."""
+    configure(spark)
+    base = _scratch(spark, "stream-dedup")
+    raw_path = _raw_files(spark, sf_dir, base)
+    INC.stream_dedup(spark, raw_path, f"{base}/out", f"{base}/_ckpt")
+    out = SK.read_layer(spark, f"{base}/out")
+    return for_output(out.select("event_id", "event_type", "created_ts", "actor", "repo", "repo_owner",
+                                 "event_date", "is_bot", "actor_class"))
+
