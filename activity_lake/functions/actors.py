@@ -116,9 +116,8 @@ def classify_actor(login: Column, lookup: dict[str, str] | None = None) -> Colum
         pairs += [F.lit(k), F.lit(lookup[k])]
     known = F.try_element_at(F.create_map(*pairs), base_login(login))
     bot = is_bot(login)
-    return (F.when(bot.isNotNull() & ~bot, F.lit(HUMAN))
-            .when(bot & known.isNotNull(), known)
-            .otherwise(F.lit(OTHER_BOT)))
+    # The lookup is evaluated once, and only for suffixed (or NULL) logins.
+    return F.when(bot.isNotNull() & ~bot, F.lit(HUMAN)).otherwise(F.coalesce(known, F.lit(OTHER_BOT)))
 
 
 def lookup_sql_values() -> str:

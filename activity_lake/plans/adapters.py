@@ -53,7 +53,14 @@ def _raw(value: Column, ts: Column) -> list[Column]:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan one driver table; if it arrives as fewer splits than the cluster has
+    cores (a small single-row-group file), spread it round-robin first so the
+    JSON generation downstream is not one task. Large inputs are left alone."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 # --------------------------------------------------------------- adapter E

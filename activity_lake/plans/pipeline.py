@@ -6,28 +6,41 @@ any number of days (no per-day driver loop).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import bronze as B
 from ..operators import dims, facts, silver
-from ..session import configure
+from ..session import configure, shared_dir
 from . import adapters as A
 
 
 class Lake:
-    """Lazily-built layers for one test directory (adapter P drives gold)."""
+    """Lazily-built layers for one test directory (adapter P drives gold).
+
+    ``events`` / ``pr_events`` may be given (e.g. silver read back from its
+    Parquet layer); otherwise they are derived from the adapter feed.
+    """
 
-    def __init__(self, spark: SparkSession, sf_dir: str,
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None,
                  window: tuple[str, str] = A.PR_WINDOW,
                  format_change: str = A.FORMAT_CHANGE_TS[:10],
                  gap: tuple[str, str] | None = A.KNOWN_GAP,
-                 maturity_days: int = 30):
+                 maturity_days: int = 30,
+                 events: DataFrame | None = None,
+                 pr_events: DataFrame | None = None,
+                 materialize: bool = True):
         self.spark = configure(spark)
         self.sf_dir = sf_dir
         self.window = window
         self.format_change = format_change
         self.gap = gap
         self.maturity_days = maturity_days
+        self._events = events
+        self._pr_events = pr_events
+        self.materialize = materialize
+        self._stored: dict[str, DataFrame] = {}
 
     # ---------------------------------------------------------------- bronze
     def pr_raw(self) -> DataFrame:
@@ -42,17 +55,39 @@ class Lake:
     def event_bronze(self) -> DataFrame:
         return B.retain_payload(B.to_bronze(self.event_raw()))
 
+    def _bronze_layer(self, name: str, build) -> DataFrame:
+        """Bronze as a *written* table in the shared folder (once per Lake).
+
+        Silver then starts from stored columns, exactly as in production: the
+        ``type`` filter reads a column instead of re-deriving the feed (when
+        raw and silver share one plan, Catalyst pushes that filter below the
+        JSON extraction and evaluates it twice), every consumer of silver
+        reuses the same bronze, and lineage is cut at a reliable store that
+        survives executor loss.
+        """
+        if not self.materialize:
+            return build()
+        if name not in self._stored:
+            path = shared_dir(self.spark, f"lake-{uuid.uuid4().hex[:12]}/{name}")
+            build().write.mode("overwrite").option("compression", "zstd").parquet(path)
+            self._stored[name] = self.spark.read.parquet(path)
+        return self._stored[name]
+
     # ---------------------------------------------------------------- silver
     def events(self) -> DataFrame:
         """Silver events of the PR feed (all types)."""
-        return silver.to_events(self.pr_bronze())
+        if self._events is not None:
+            return self._events
+        return silver.to_events(self._bronze_layer("pr_bronze", self.pr_bronze))
 
     def pr_events(self) -> DataFrame:
-        return silver.to_pr_events(self.pr_bronze())
+        if self._pr_events is not None:
+            return self._pr_events
+        return silver.to_pr_events(self._bronze_layer("pr_bronze", self.pr_bronze))
 
     def stream_events(self) -> DataFrame:
         """Silver events of adapter E (dedup / id reuse / hours fixtures)."""
-        return silver.to_events(self.event_bronze())
+        return silver.to_events(self._bronze_layer("event_bronze", self.event_bronze))
 
     # --------------------------------------------------------------- staging
     def stg_events(self) -> DataFrame:
