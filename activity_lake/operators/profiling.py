@@ -2,9 +2,8 @@
 
 All operators read raw lines ``(value, file_date[, file_hour])`` and are
 distributed aggregations; nothing is walked in the driver. The observed-schema
-walk (K3) uses the VARIANT type: each level turns objects into
-``map<string, variant>`` and arrays into their first element, inside one chain
-of generators (one scan of the input, no union of re-scans, no UDF).
+walk (K3) parses lines to VARIANT once and walks them with a recursive CTE
+over ``variant_explode`` (native generators, no UDF).
 """
 
 from __future__ import annotations
@@ -39,7 +38,7 @@ def _jp(path: str) -> str:
 
 
 def _typed(raw: DataFrame) -> DataFrame:
-    """Raw lines with the type and parse status (one JSON parse per line)."""
+    """Raw lines parsed to VARIANT, with the blank flag (``j`` NULL = unparseable)."""
     v = F.col("value")
     return raw.select(
         "value", "file_date",
@@ -47,6 +46,14 @@ def _typed(raw: DataFrame) -> DataFrame:
         F.try_parse_json(v).alias("j"))
 
 
+def _of_type(raw: DataFrame, types: Sequence[str] | str) -> DataFrame:
+    """Lines of the given event type(s), typed by a one-field parse (cheaper
+    than a full VARIANT parse when only the text is inspected afterwards)."""
+    types = [types] if isinstance(types, str) else list(types)
+    et = F.get_json_object(F.col("value"), "$.type")
+    return raw.select("value", "file_date", et.alias("event_type")).where(F.col("event_type").isin(types))
+
+
 def _pct2(num: Column, den: Column) -> Column:
     """``round(100 * num / den, 2)`` half-up, exactly, on non-negative counts."""
     return F.floor((num * 20000 + den) / (den * 2)) / F.lit(100.0)
@@ -85,63 +92,55 @@ def type_frequency(raw: DataFrame, k: int | None = None) -> DataFrame:
 
 
 # -------------------------------------------------------------------- K3
-def _vtype(v: Column) -> Column:
-    """Reference type names: null, bool, int, float, str, list, dict."""
-    s = F.schema_of_variant(v)
-    return (F.when(v.isNull() | F.is_variant_null(v), F.lit("null"))
-            .when(v.try_cast("map<string,variant>").isNotNull(), F.lit("dict"))
-            .when(v.try_cast("array<variant>").isNotNull(), F.lit("list"))
-            .when(s == F.lit("BOOLEAN"), F.lit("bool"))
-            .when(s.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.lit("int"))
-            .when(s.startswith("DECIMAL") | s.isin("DOUBLE", "FLOAT"), F.lit("float"))
-            .when(s == F.lit("STRING"), F.lit("str"))
-            .otherwise(F.lower(s)))
+_VTYPE_SQL = """CASE WHEN v IS NULL OR is_variant_null(v) THEN 'null'
+         WHEN try_cast(v AS map<string, variant>) IS NOT NULL THEN 'dict'
+         WHEN try_cast(v AS array<variant>) IS NOT NULL THEN 'list'
+         WHEN schema_of_variant(v) = 'BOOLEAN' THEN 'bool'
+         WHEN schema_of_variant(v) IN ('BIGINT', 'INT', 'SMALLINT', 'TINYINT') THEN 'int'
+         WHEN schema_of_variant(v) LIKE 'DECIMAL%' OR schema_of_variant(v) IN ('DOUBLE', 'FLOAT') THEN 'float'
+         WHEN schema_of_variant(v) = 'STRING' THEN 'str'
+         ELSE lower(schema_of_variant(v)) END"""
 
 
 def observed_paths(raw: DataFrame, types: Sequence[str] | None = DETAIL_TYPES,
                    root: str = "payload", max_depth: int = MAX_DEPTH) -> DataFrame:
     """Every path under ``root`` -> value type -> occurrences, per event type.
 
-    Arrays are followed through their first element only (``path[]``), and
-    walking stops below ``max_depth`` levels, as the reference profiler does.
-    Each step maps a row to [itself, its children...] and explodes: one
-    generator per level over a single scan.
+    A recursive CTE walks the parsed VARIANT: each iteration explodes only the
+    frontier (``variant_explode``: object entries, or an array's first
+    element as ``path[]``) and the walk stops below ``max_depth`` levels or
+    when the frontier is empty - the reference profiler's rules, distributed.
+    The level bound keeps the recursion finite; the row limit is lifted
+    because the walk grows with the input by design.
     """
-    t = _typed(raw).where(F.col("j").isNotNull())
-    etype = F.expr("try_variant_get(j, '$.type', 'string')")
+    spark = raw.sparkSession
+    if spark.conf.get("spark.sql.cteRecursionRowLimit", None) != "-1":
+        spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
+    type_filter = ""
     if types is not None:
-        t = t.where(etype.isin(list(types)))
-    node = F.struct(F.lit(root).alias("path"), F.expr(f"try_variant_get(j, '$.{root}')").alias("v"),
-                    F.lit(True).alias("open"), F.lit(False).alias("rec"))
-    cur = t.select(etype.alias("event_type"), node.alias("n"))
-    for _ in range(max_depth + 1):
-        v = F.col("n.v")
-        as_map = v.try_cast("map<string,variant>")
-        as_arr = v.try_cast("array<variant>")
-        kids_obj = F.transform(F.map_entries(as_map), lambda e: F.struct(
-            F.concat(F.col("n.path"), F.lit("."), e["key"]).alias("path"), e["value"].alias("v"),
-            F.lit(True).alias("open"), F.lit(True).alias("rec")))
-        first = F.element_at(as_arr, 1)
-        kids_arr = F.when(F.size(as_arr) > 0, F.array(F.struct(
-            F.concat(F.col("n.path"), F.lit("[]")).alias("path"), first.alias("v"),
-            F.lit(True).alias("open"), F.lit(True).alias("rec"))))
-        empty = F.array().cast("array<struct<path:string,v:variant,open:boolean,rec:boolean>>")
-        kids = F.coalesce(F.when(as_map.isNotNull(), kids_obj), kids_arr, empty)
-        closed_self = F.struct(F.col("n.path").alias("path"), v.alias("v"),
-                               F.lit(False).alias("open"), F.col("n.rec").alias("rec"))
-        step = F.when(F.col("n.open"), F.concat(F.array(closed_self), kids)).otherwise(F.array(F.col("n")))
-        cur = cur.select("event_type", F.explode(step).alias("n"))
-    recs = cur.where(F.col("n.rec")).select("event_type", F.col("n.path").alias("path"),
-                                             _vtype(F.col("n.v")).alias("value_type"))
-    return recs.groupBy("event_type", "path", "value_type").agg(F.count(F.lit(1)).alias("occurrences"))
+        type_filter = "WHERE event_type IN (" + ", ".join(f"'{t}'" for t in types) + ")"
+    sql = f"""
+    WITH RECURSIVE walk(event_type, path, v, depth) AS (
+      SELECT event_type, '{root}', try_variant_get(j, '$.{root}'), 0
+      FROM (SELECT try_variant_get(j, '$.type', 'string') AS event_type, j
+            FROM (SELECT try_parse_json(value) AS j FROM {{raw}}) p WHERE j IS NOT NULL) t
+      {type_filter}
+      UNION ALL
+      SELECT w.event_type,
+             CASE WHEN e.key IS NULL THEN w.path || '[]' ELSE w.path || '.' || e.key END,
+             e.value, w.depth + 1
+      FROM walk w, LATERAL variant_explode(w.v) e
+      WHERE w.depth <= {max_depth} AND (e.key IS NOT NULL OR e.pos = 0))
+    SELECT event_type, path, {_VTYPE_SQL} AS value_type, count(*) AS occurrences
+    FROM walk WHERE depth > 0 GROUP BY 1, 2, 3"""
+    return spark.sql(sql, raw=raw)
 
 
 # -------------------------------------------------------------------- K4
 def key_coverage(raw: DataFrame, event_type: str, obj_path: str) -> DataFrame:
     """Keys present in the object at ``obj_path`` for one event type, with
     coverage over that type's events (percent, 2 dp, half-up)."""
-    t = (_typed(raw).where(F.col("j").isNotNull())
-         .where(F.expr("try_variant_get(j, '$.type', 'string')") == F.lit(event_type)))
+    t = _of_type(raw, event_type)
     obj = F.get_json_object("value", _jp(obj_path))
     # Each event contributes its keys plus one NULL marker that counts the
     # event itself, so the type total comes out of the same aggregation.
@@ -165,8 +164,7 @@ def _present(path: str) -> Column:
 def candidate_paths(raw: DataFrame, event_type: str = "PullRequestEvent",
                     paths: Sequence[str] = LANGUAGE_CANDIDATE_PATHS) -> DataFrame:
     """Per candidate path: key present vs value non-NULL, over one event type."""
-    t = (_typed(raw).where(F.col("j").isNotNull())
-         .where(F.expr("try_variant_get(j, '$.type', 'string')") == F.lit(event_type)))
+    t = _of_type(raw, event_type)
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, p in enumerate(paths):
         aggs += [F.count_if(_present(p)).alias(f"p{i}"),
@@ -181,9 +179,7 @@ def candidate_paths(raw: DataFrame, event_type: str = "PullRequestEvent",
 
 def top_values(raw: DataFrame, path: str, event_type: str | None = None, k: int = 20) -> DataFrame:
     """Most frequent non-NULL values at a path (key tie-break)."""
-    t = _typed(raw).where(F.col("j").isNotNull())
-    if event_type:
-        t = t.where(F.expr("try_variant_get(j, '$.type', 'string')") == F.lit(event_type))
+    t = _of_type(raw, event_type) if event_type else raw
     val = F.get_json_object("value", _jp(path))
     return (t.where(val.isNotNull()).groupBy(val.alias("value")).agg(F.count(F.lit(1)).alias("events"))
             .orderBy(F.desc("events"), F.asc("value")).limit(k))
@@ -192,9 +188,8 @@ def top_values(raw: DataFrame, path: str, event_type: str | None = None, k: int
 # -------------------------------------------------------------------- K6
 def truncation(raw: DataFrame, event_type: str = "PushEvent") -> DataFrame:
     """Declared ``size`` vs ``commits`` length: truncated count and max length."""
-    t = (_typed(raw).where(F.col("j").isNotNull())
-         .where(F.expr("try_variant_get(j, '$.type', 'string')") == F.lit(event_type)))
-    size = F.expr("try_variant_get(j, '$.payload.size', 'bigint')")
+    t = _of_type(raw, event_type)
+    size = F.get_json_object("value", "$.payload.size").try_cast("bigint")
     n = F.coalesce(F.json_array_length(F.get_json_object("value", "$.payload.commits")), F.lit(0))
     return t.agg(F.count(F.lit(1)).alias("events"),
                  F.count(size).alias("with_size"),
@@ -228,8 +223,7 @@ def bot_signals(raw: DataFrame, user_type_paths: Sequence[str] = USER_TYPE_PATHS
 def field_matrix(raw: DataFrame, event_type: str = "PullRequestEvent",
                  fields: Sequence[str] = TEMPORAL_FIELDS) -> DataFrame:
     """Per action: events, and how many carry each temporal field non-NULL."""
-    t = (_typed(raw).where(F.col("j").isNotNull())
-         .where(F.expr("try_variant_get(j, '$.type', 'string')") == F.lit(event_type)))
+    t = _of_type(raw, event_type)
     action = F.coalesce(F.get_json_object("value", "$.payload.action"), F.lit("(no action)"))
     return (t.groupBy(action.alias("action"))
             .agg(F.count(F.lit(1)).alias("events"),
@@ -242,10 +236,8 @@ def identifier_coverage(raw: DataFrame, types: Sequence[str] = PR_TYPES,
                         paths: Sequence[str] = PR_IDENTIFIER_PATHS) -> DataFrame:
     """Per event type and identifier path: events where it is non-NULL
     (unpivoted with ``stack``; paths with zero hits are kept)."""
-    t = _typed(raw).where(F.col("j").isNotNull())
-    et = F.expr("try_variant_get(j, '$.type', 'string')")
-    t = t.where(et.isin(list(types)))
-    agg = t.groupBy(et.alias("event_type")).agg(
+    t = _of_type(raw, types)
+    agg = t.groupBy("event_type").agg(
         *[F.count(F.get_json_object("value", _jp(p))).alias(f"c{i}") for i, p in enumerate(paths)])
     stack = "stack({n}, {pairs}) AS (path, events)".format(
         n=len(paths), pairs=", ".join(f"'{p}', c{i}" for i, p in enumerate(paths)))

@@ -73,6 +73,10 @@ class Lake:
             self._stored[name] = self.spark.read.parquet(path)
         return self._stored[name]
 
+    def profile_raw(self) -> DataFrame:
+        """The mixed profiling feed, stored once as a table of raw lines."""
+        return self._bronze_layer("profile_raw", lambda: A.profile_feed(self.spark, self.sf_dir))
+
     # ---------------------------------------------------------------- silver
     def events(self) -> DataFrame:
         """Silver events of the PR feed (all types)."""

@@ -68,7 +68,7 @@ def missing_hours(spark, sf_dir):
 
 # ---------------------------------------------------------------- profiling
 def _raw(spark, sf_dir):
-    return A.profile_feed(spark, sf_dir)
+    return Lake(spark, sf_dir).profile_raw()
 
 
 @register("p_volume", _pq("""
