@@ -92,14 +92,14 @@ def type_frequency(raw: DataFrame, k: int | None = None) -> DataFrame:
 
 
 # -------------------------------------------------------------------- K3
-_VTYPE_SQL = """CASE WHEN v IS NULL OR is_variant_null(v) THEN 'null'
-         WHEN try_cast(v AS map<string, variant>) IS NOT NULL THEN 'dict'
-         WHEN try_cast(v AS array<variant>) IS NOT NULL THEN 'list'
-         WHEN schema_of_variant(v) = 'BOOLEAN' THEN 'bool'
-         WHEN schema_of_variant(v) IN ('BIGINT', 'INT', 'SMALLINT', 'TINYINT') THEN 'int'
-         WHEN schema_of_variant(v) LIKE 'DECIMAL%' OR schema_of_variant(v) IN ('DOUBLE', 'FLOAT') THEN 'float'
-         WHEN schema_of_variant(v) = 'STRING' THEN 'str'
-         ELSE lower(schema_of_variant(v)) END"""
+def _vtype_from_schema(s: str) -> str:
+    """Reference type names (null, bool, int, float, str, list, dict) from a
+    ``schema_of_variant`` string, computed once per node."""
+    return (f"CASE WHEN {s} LIKE 'OBJECT%' THEN 'dict' WHEN {s} LIKE 'ARRAY%' THEN 'list' "
+            f"WHEN {s} = 'VOID' THEN 'null' WHEN {s} = 'BOOLEAN' THEN 'bool' "
+            f"WHEN {s} IN ('BIGINT', 'INT', 'SMALLINT', 'TINYINT') THEN 'int' "
+            f"WHEN {s} LIKE 'DECIMAL%' OR {s} IN ('DOUBLE', 'FLOAT') THEN 'float' "
+            f"WHEN {s} = 'STRING' THEN 'str' ELSE lower({s}) END")
 
 
 def observed_paths(raw: DataFrame, types: Sequence[str] | None = DETAIL_TYPES,
@@ -119,19 +119,26 @@ def observed_paths(raw: DataFrame, types: Sequence[str] | None = DETAIL_TYPES,
     type_filter = ""
     if types is not None:
         type_filter = "WHERE event_type IN (" + ", ".join(f"'{t}'" for t in types) + ")"
+    # Only containers keep their value for the next level; scalars are typed
+    # when emitted and carry no payload through the remaining iterations.
+    # Only containers keep their value for the next level; scalars are typed
+    # (one schema_of_variant per node) when emitted and carry nothing
+    # through the remaining iterations.
     sql = f"""
-    WITH RECURSIVE walk(event_type, path, v, depth) AS (
-      SELECT event_type, '{root}', try_variant_get(j, '$.{root}'), 0
+    WITH RECURSIVE walk(event_type, path, v, vt, depth) AS (
+      SELECT event_type, '{root}', try_variant_get(j, '$.{root}'), 'dict', 0
       FROM (SELECT try_variant_get(j, '$.type', 'string') AS event_type, j
             FROM (SELECT try_parse_json(value) AS j FROM {{raw}}) p WHERE j IS NOT NULL) t
       {type_filter}
       UNION ALL
-      SELECT w.event_type,
-             CASE WHEN e.key IS NULL THEN w.path || '[]' ELSE w.path || '.' || e.key END,
-             e.value, w.depth + 1
-      FROM walk w, LATERAL variant_explode(w.v) e
-      WHERE w.depth <= {max_depth} AND (e.key IS NOT NULL OR e.pos = 0))
-    SELECT event_type, path, {_VTYPE_SQL} AS value_type, count(*) AS occurrences
+      SELECT event_type, path, CASE WHEN vt IN ('dict', 'list') THEN cv END, vt, depth FROM (
+        SELECT event_type, path, cv, {_vtype_from_schema('sv')} AS vt, depth FROM (
+          SELECT w.event_type,
+                 CASE WHEN e.key IS NULL THEN w.path || '[]' ELSE w.path || '.' || e.key END AS path,
+                 e.value AS cv, schema_of_variant(e.value) AS sv, w.depth + 1 AS depth
+          FROM walk w, LATERAL variant_explode(w.v) e
+          WHERE w.v IS NOT NULL AND w.depth <= {max_depth} AND (e.key IS NOT NULL OR e.pos = 0)) x) c)
+    SELECT event_type, path, vt AS value_type, count(*) AS occurrences
     FROM walk WHERE depth > 0 GROUP BY 1, 2, 3"""
     return spark.sql(sql, raw=raw)
 
