@@ -86,10 +86,11 @@ def dim_repo(events: DataFrame, pr_events: DataFrame) -> DataFrame:
     Both sides are aggregated to one row per repo before the join. NULL repos
     are excluded (the dimension key is not null); the quality report counts them.
     """
+    # The owner is a function of the repo name, so grouping by both is the
+    # same grouping - and keeps the aggregate hash-based (no string buffer).
     agg = (events.where(F.col("repo").isNotNull())
-           .groupBy("repo")
-           .agg(F.first("repo_owner").alias("owner"),
-                F.count(F.lit(1)).alias("total_events"),
+           .groupBy("repo", F.col("repo_owner").alias("owner"))
+           .agg(F.count(F.lit(1)).alias("total_events"),
                 F.countDistinct("actor").alias("distinct_actors"),
                 F.min("event_date").alias("first_day"),
                 F.max("event_date").alias("last_day")))
