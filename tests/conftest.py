@@ -1,7 +1,6 @@
 import json
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,9 +12,9 @@ SF001 = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from activity_lake.session import build_session
-    ckpt = tempfile.mkdtemp(prefix="al-tests-ckpt-")
-    s = build_session("tests", master="local[4]", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": ckpt})
+    # spark.checkpoint.dir comes from the session; shared_dir() sets a local
+    # one only when it is unset.
+    s = build_session("tests", master="local[4]", shuffle_partitions=8)
     yield s
     s.stop()
 
