@@ -124,3 +124,17 @@ def lookup_sql_values() -> str:
     """The same lookup as a SQL ``VALUES`` list (used by the DuckDB oracle)."""
     rows = ", ".join(f"('{k}', '{v}')" for k, v in sorted(class_lookup().items()))
     return f"(VALUES {rows}) AS t(base_login, actor_class)"
+
+
+def max_class(cls: Column) -> Column:
+    """Aggregate ``max(actor_class)`` computed on an integer rank.
+
+    Equal to the string maximum for the class vocabulary, but the buffer is an
+    integer, so the enclosing aggregate stays a (partial, map-side) hash
+    aggregate instead of falling back to a sort-based one for a string buffer.
+    """
+    ranked = sorted(ACTOR_CLASSES)
+    vocab = F.array(*[F.lit(c) for c in ranked])
+    code = F.array_position(vocab, cls)
+    best = F.max(F.when(code > 0, code))
+    return F.try_element_at(vocab, best.cast("int"))

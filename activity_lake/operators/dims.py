@@ -15,6 +15,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.actors import max_class
 from ..functions.timefn import month_start, weekday_sun0
 from ..plans.joins import bounded_broadcast
 from ..schemas import FULL, REDUCED
@@ -62,7 +63,7 @@ def dim_date(spark: SparkSession, events: DataFrame, lo, hi, format_change,
 def dim_actor(events: DataFrame) -> DataFrame:
     """actor -> class, any-bot, events, distinct repos, first/last day, cohort."""
     return (events.groupBy("actor")
-            .agg(F.max("actor_class").alias("actor_class"),
+            .agg(max_class(F.col("actor_class")).alias("actor_class"),
                  F.bool_or("is_bot").alias("is_bot"),
                  F.count(F.lit(1)).alias("total_events"),
                  F.countDistinct("repo").alias("distinct_repos"),

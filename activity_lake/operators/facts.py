@@ -1,9 +1,11 @@
 """Gold facts: PR event, PR lifecycle, contributor month.
 
 Scale notes:
-* ``pr_lifecycle`` is one hash aggregate keyed by ``(repo, pr_id)`` with
-  map-side partial aggregation; every measure is a min/max/count, so a hot PR
-  costs one partial row per input partition, not its event count.
+* ``pr_lifecycle`` is one aggregate keyed by ``(repo, pr_id)`` with map-side
+  partial aggregation; every measure is a min/max/count, so a hot PR costs one
+  partial row per input partition, not its event count. (It is sort-based:
+  the opener struct and the language carry strings; the format is reduced to
+  a boolean and the class to an integer rank elsewhere for the same reason.)
 * The review count needs no DISTINCT: silver is unique on
   ``(event_id, event_date)`` (E1, checked by J1/J10), so counting review rows
   *is* the distinct count of review keys - no Expand, no second shuffle.
@@ -20,6 +22,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.actors import max_class
 from ..functions.timefn import boundary_hours, month_start, months_between_starts
 
 REVIEW = "PullRequestReviewEvent"
@@ -58,7 +61,8 @@ def pr_lifecycle(pr_events: DataFrame, window_hi, maturity_days: int = 30) -> Da
                 F.max(F.when((act == F.lit("closed")) & ~F.col("is_merge"), ts)).alias("closed_unmerged_ts"),
                 opener.alias("_opener"),
                 F.max("repo_language").alias("language"),
-                F.max("payload_format").alias("payload_format"),
+                # max('full', 'reduced') = 'reduced' iff any reduced event
+                F.bool_or(F.col("payload_format") == F.lit("reduced")).alias("_any_reduced"),
                 F.count(F.lit(1)).alias("pr_events"),
                 F.count(F.when(et == F.lit(REVIEW), F.lit(1))).alias("reviews"),
                 F.min("event_date").alias("first_date"),
@@ -69,7 +73,10 @@ def pr_lifecycle(pr_events: DataFrame, window_hi, maturity_days: int = 30) -> Da
         "repo", "pr_id",
         F.col("_opener.a").alias("author"),
         F.col("_opener.c").alias("author_class"),
-        "language", "payload_format", "opened_ts", "first_review_ts", "merged_ts",
+        "language",
+        F.when(F.col("_any_reduced"), F.lit("reduced"))
+         .when(~F.col("_any_reduced"), F.lit("full")).alias("payload_format"),
+        "opened_ts", "first_review_ts", "merged_ts",
         "closed_unmerged_ts", "reviews", "pr_events", "first_date", "last_date",
         month_start(F.to_date(o)).alias("opening_cohort"),
         o.isNotNull().alias("opening_observed"),
@@ -88,7 +95,7 @@ def contributor_month(events: DataFrame) -> DataFrame:
     """
     monthly = (events.where(F.col("repo").isNotNull() & F.col("actor").isNotNull())
                .groupBy(month_start(F.col("event_date")).alias("month"), "repo", "actor")
-               .agg(F.max("actor_class").alias("actor_class"),
+               .agg(max_class(F.col("actor_class")).alias("actor_class"),
                     F.bool_or("is_bot").alias("is_bot"),
                     F.count(F.lit(1)).alias("events"),
                     F.countDistinct("event_date").alias("active_days"),

@@ -41,18 +41,26 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def _rows(agg: DataFrame, rows: Sequence[list[Column]]) -> DataFrame:
+    """Several check rows from ONE aggregate row: an array of row structs is
+    exploded, so the aggregate (and its scan) runs once - never re-planned per
+    check as a union of selects would be."""
+    structs = [F.struct(*r) for r in rows]
+    return agg.select(F.explode(F.array(*structs)).alias("_r")).select("_r.*")
+
+
 # -------------------------------------------------------------------- J1
 def unique_per_day(events: DataFrame) -> DataFrame:
     """``(event_id, event_date)`` unique; informative global id reuse."""
     a = events.agg(F.count(F.lit(1)).alias("n"),
                    F.count_distinct("event_id", "event_date").alias("pairs"),
                    F.count_distinct("event_id").alias("ids"))
-    return _union([
-        a.select(*_row("event_id unique within its day", F.col("n") == F.col("pairs"),
-                       F.col("n") - F.col("pairs"), 0,
-                       F.format_string("%d rows, %d distinct (id, date)", "n", "pairs"))),
-        a.select(*_row("info: ids reused across dates", F.lit(True), F.col("n") - F.col("ids"), 0,
-                       F.format_string("%d distinct ids over %d rows", "ids", "n"))),
+    return _rows(a, [
+        _row("event_id unique within its day", F.col("n") == F.col("pairs"),
+             F.col("n") - F.col("pairs"), 0,
+             F.format_string("%d rows, %d distinct (id, date)", "n", "pairs")),
+        _row("info: ids reused across dates", F.lit(True), F.col("n") - F.col("ids"), 0,
+             F.format_string("%d distinct ids over %d rows", "ids", "n")),
     ])
 
 
@@ -64,16 +72,16 @@ def time_range(events: DataFrame, lo: str, hi: str) -> DataFrame:
     """
     a = events.agg(F.date_format(F.min("created_ts"), "yyyy-MM-dd HH:mm:ss").alias("mn"),
                    F.date_format(F.max("created_ts"), "yyyy-MM-dd HH:mm:ss").alias("mx"))
-    return _union([
-        a.select(*_row("created_ts >= window start", F.substring("mn", 1, 10) >= F.lit(lo),
-                       F.unix_timestamp(F.col("mn")), F.unix_timestamp(F.lit(f"{lo} 00:00:00")),
-                       F.concat(F.lit("min "), F.col("mn")))),
-        a.select(*_row("created_ts <= window end", F.substring("mx", 1, 10) <= F.lit(hi),
-                       F.unix_timestamp(F.col("mx")), F.unix_timestamp(F.lit(f"{hi} 23:59:59")),
-                       F.concat(F.lit("max "), F.col("mx")))),
-        a.select(*_row("first instant is midnight UTC", F.substring("mn", 12, 8) == F.lit("00:00:00"),
-                       F.unix_timestamp(F.col("mn")) % 86400, 0,
-                       F.concat(F.lit("starts at "), F.substring("mn", 12, 8)))),
+    return _rows(a, [
+        _row("created_ts >= window start", F.substring("mn", 1, 10) >= F.lit(lo),
+             F.unix_timestamp(F.col("mn")), F.unix_timestamp(F.lit(f"{lo} 00:00:00")),
+             F.concat(F.lit("min "), F.col("mn"))),
+        _row("created_ts <= window end", F.substring("mx", 1, 10) <= F.lit(hi),
+             F.unix_timestamp(F.col("mx")), F.unix_timestamp(F.lit(f"{hi} 23:59:59")),
+             F.concat(F.lit("max "), F.col("mx"))),
+        _row("first instant is midnight UTC", F.substring("mn", 12, 8) == F.lit("00:00:00"),
+             F.unix_timestamp(F.col("mn")) % 86400, 0,
+             F.concat(F.lit("starts at "), F.substring("mn", 12, 8))),
     ])
 
 
@@ -107,11 +115,11 @@ def null_profile(events: DataFrame, pr_events: DataFrame | None = None,
     aggs += [F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in mandatory]
     aggs += [F.count_if(F.col(c).isNull()).alias(f"r_{c}") for c in rate_max]
     ev = events.agg(*aggs)
-    frames = [ev.select(*_row(f"{c} has no NULLs", F.col(f"n_{c}") == 0, F.col(f"n_{c}"), 0))
-              for c in mandatory]
+    ev_rows = [_row(f"{c} has no NULLs", F.col(f"n_{c}") == 0, F.col(f"n_{c}"), 0) for c in mandatory]
     for c, mx in rate_max.items():
         pct = F.when(F.col("_n") > 0, F.lit(100.0) * F.col(f"r_{c}") / F.col("_n")).otherwise(F.lit(0.0))
-        frames.append(ev.select(*_row(f"{c} NULL rate <= {mx}%", pct <= F.lit(mx), F.round(pct, 6), mx)))
+        ev_rows.append(_row(f"{c} NULL rate <= {mx}%", pct <= F.lit(mx), F.round(pct, 6), mx))
+    frames = [_rows(ev, ev_rows)]
     if pr_events is not None:
         is_full = F.col("payload_format") == F.lit(FULL)
         pa = [F.count_if(is_full).alias("_full"),
@@ -119,17 +127,17 @@ def null_profile(events: DataFrame, pr_events: DataFrame | None = None,
               F.count_if(F.col("is_merge").isNull()).alias("_merge_null")]
         pa += [F.count_if(is_full & F.col(c).isNotNull()).alias(f"c_{c}") for c in full_cov]
         pr = pr_events.agg(*pa)
+        pr_rows = []
         for c, mn in full_cov.items():
             cov = F.when(F.col("_full") > 0, F.lit(100.0) * F.col(f"c_{c}") / F.col("_full"))
-            frames.append(pr.select(*_row(
+            pr_rows.append(_row(
                 f"{c} coverage >= {mn}% on full format",
                 F.when(F.col("_full") == 0, F.lit(True)).otherwise(cov >= F.lit(mn)),
                 F.round(cov, 6), mn,
-                F.when(F.col("_full") == 0, F.lit("skipped: no full-format rows")))))
-        frames.append(pr.select(*_row("pr_id has no NULLs in any format", F.col("_pr_null") == 0,
-                                      F.col("_pr_null"), 0)))
-        frames.append(pr.select(*_row("is_merge has no NULLs", F.col("_merge_null") == 0,
-                                      F.col("_merge_null"), 0)))
+                F.when(F.col("_full") == 0, F.lit("skipped: no full-format rows"))))
+        pr_rows.append(_row("pr_id has no NULLs in any format", F.col("_pr_null") == 0, F.col("_pr_null"), 0))
+        pr_rows.append(_row("is_merge has no NULLs", F.col("_merge_null") == 0, F.col("_merge_null"), 0))
+        frames.append(_rows(pr, pr_rows))
     return _union(frames)
 
 
@@ -169,14 +177,13 @@ def reconcile(bronze: DataFrame, silver_events: DataFrame, mode: str = "exact",
     detail = F.array_join(F.transform("w", lambda x: F.format_string(
         "%s bronze=%d silver=%d", x["day"], x["b"], x["s"])), "; ")
     total_loss = F.coalesce(F.col("tb"), F.lit(0)) - F.coalesce(F.col("ts"), F.lit(0))
-    return _union([
-        a.select(*_row(f"no day loses rows vs bronze ({mode})", F.col("bad_days") == 0,
-                       F.col("bad_days"), 0, detail)),
-        a.select(*_row(f"total loss within tolerance ({mode})",
-                       (F.abs(total_loss) <= F.coalesce(F.col("tb"), F.lit(1)) * F.lit(tolerance))
-                       if mode != "exact" else (total_loss == 0),
-                       total_loss, F.coalesce(F.col("tb"), F.lit(1)) * F.lit(tolerance),
-                       F.format_string("%d rows of difference over %d", total_loss, F.coalesce(F.col("tb"), F.lit(0))))),
+    return _rows(a, [
+        _row(f"no day loses rows vs bronze ({mode})", F.col("bad_days") == 0, F.col("bad_days"), 0, detail),
+        _row(f"total loss within tolerance ({mode})",
+             (F.abs(total_loss) <= F.coalesce(F.col("tb"), F.lit(1)) * F.lit(tolerance))
+             if mode != "exact" else (total_loss == 0),
+             total_loss, F.coalesce(F.col("tb"), F.lit(1)) * F.lit(tolerance),
+             F.format_string("%d rows of difference over %d", total_loss, F.coalesce(F.col("tb"), F.lit(0)))),
     ])
 
 
@@ -196,7 +203,7 @@ def unique_check(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
 def not_null_check(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
     """Declared not-null columns, one pass."""
     a = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    return _union([a.select(*_row(f"{name}.{c} not null", F.col(c) == 0, F.col(c), 0)) for c in cols])
+    return _rows(a, [_row(f"{name}.{c} not null", F.col(c) == 0, F.col(c), 0) for c in cols])
 
 
 def accepted_values_check(df: DataFrame, col: str, values: Sequence, name: str) -> DataFrame:
