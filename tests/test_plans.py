@@ -72,3 +72,19 @@ def test_lifecycle_single_aggregate_no_expand(spark):
     lake = Lake(spark, SF001)
     plan = _formatted(lake.pr_lifecycle())
     assert "Expand" not in plan            # review count needs no DISTINCT
+
+
+def test_dedup_and_lifecycle_pre_aggregate_before_shuffle(spark, tmp_path):
+    """A key holding a third of all rows must be combined map-side: every
+    aggregate below an Exchange is a partial one."""
+    lines = [(pr_doc(1, created="2025-08-13T01:00:00Z"), "2025-08-13")] * 60
+    lines += [(pr_doc(i, created="2025-08-13T02:00:00Z", pr_id=i), "2025-08-13") for i in range(2, 122)]
+    path = str(tmp_path / "hot")
+    SK.write_partitioned(B.retain_payload(B.to_bronze(raw_df(spark, lines))), path)
+    bronze = SK.read_layer(spark, path)
+    ev = S.to_events(bronze)
+    assert ev.count() == 121
+    from activity_lake.operators import facts
+    for df in (ev, facts.pr_lifecycle(S.to_pr_events(bronze), "2025-12-31")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "partial_" in plan
