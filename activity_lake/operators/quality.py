@@ -161,30 +161,34 @@ def reconcile_days(bronze: DataFrame, silver_events: DataFrame) -> DataFrame:
             .withColumn("flag_exact", F.col("missing_keys") != 0))
 
 
-def reconcile(bronze: DataFrame, silver_events: DataFrame, mode: str = "exact",
+def reconcile(bronze: DataFrame, silver_events: DataFrame, mode: str | Sequence[str] = "exact",
               tolerance: float = RECONCILE_TOLERANCE) -> DataFrame:
-    """J8 (no day loses rows; worst 3 in the detail) and J9 (total loss)."""
+    """J8 (no day loses rows; worst 3 in the detail) and J9 (total loss), for
+    one mode or several; all modes come from one per-day table and one
+    aggregate over it (the bronze and silver scans run once)."""
+    modes = (mode,) if isinstance(mode, str) else tuple(mode)
     days = reconcile_days(bronze, silver_events)
-    exp = "bronze_keys" if mode == "exact" else "bronze_rows"
-    diff = F.col(exp) - F.col("silver_rows")
-    flagged = (diff != 0) if mode == "exact" else (diff > F.col(exp) * F.lit(tolerance))
-    per = days.select("event_date", F.col(exp).alias("b"), "silver_rows", diff.alias("d"), flagged.alias("f"))
-    worst = F.slice(F.sort_array(F.collect_list(F.when(F.col("f"), F.struct(
-        (-F.abs(F.col("d"))).alias("k"), F.col("event_date").cast("string").alias("day"),
-        F.col("b").alias("b"), F.col("silver_rows").alias("s"))))), 1, 3)
-    a = per.agg(F.count_if(F.col("f")).alias("bad_days"), F.sum("b").alias("tb"),
-                F.sum("silver_rows").alias("ts"), worst.alias("w"))
-    detail = F.array_join(F.transform("w", lambda x: F.format_string(
-        "%s bronze=%d silver=%d", x["day"], x["b"], x["s"])), "; ")
-    total_loss = F.coalesce(F.col("tb"), F.lit(0)) - F.coalesce(F.col("ts"), F.lit(0))
-    return _rows(a, [
-        _row(f"no day loses rows vs bronze ({mode})", F.col("bad_days") == 0, F.col("bad_days"), 0, detail),
-        _row(f"total loss within tolerance ({mode})",
-             (F.abs(total_loss) <= F.coalesce(F.col("tb"), F.lit(1)) * F.lit(tolerance))
-             if mode != "exact" else (total_loss == 0),
-             total_loss, F.coalesce(F.col("tb"), F.lit(1)) * F.lit(tolerance),
-             F.format_string("%d rows of difference over %d", total_loss, F.coalesce(F.col("tb"), F.lit(0)))),
-    ])
+    aggs, rows = [F.sum("silver_rows").alias("ts")], []
+    for m in modes:
+        exp = F.col("bronze_keys" if m == "exact" else "bronze_rows")
+        d = exp - F.col("silver_rows")
+        flagged = (d != 0) if m == "exact" else (d > exp * F.lit(tolerance))
+        worst = F.slice(F.sort_array(F.collect_list(F.when(flagged, F.struct(
+            (-F.abs(d)).alias("k"), F.col("event_date").cast("string").alias("day"),
+            exp.alias("b"), F.col("silver_rows").alias("s"))))), 1, 3)
+        aggs += [F.count_if(flagged).alias(f"bad_{m}"), F.sum(exp).alias(f"tb_{m}"), worst.alias(f"w_{m}")]
+        tb = F.coalesce(F.col(f"tb_{m}"), F.lit(0))
+        loss = tb - F.coalesce(F.col("ts"), F.lit(0))
+        limit = F.coalesce(F.col(f"tb_{m}"), F.lit(1)) * F.lit(tolerance)
+        detail = F.array_join(F.transform(f"w_{m}", lambda x: F.format_string(
+            "%s bronze=%d silver=%d", x["day"], x["b"], x["s"])), "; ")
+        rows += [
+            _row(f"no day loses rows vs bronze ({m})", F.col(f"bad_{m}") == 0, F.col(f"bad_{m}"), 0, detail),
+            _row(f"total loss within tolerance ({m})",
+                 (loss == 0) if m == "exact" else (F.abs(loss) <= limit), loss, limit,
+                 F.format_string("%d rows of difference over %d", loss, tb)),
+        ]
+    return _rows(days.agg(*aggs), rows)
 
 
 # -------------------------------------------------------------------- J10-J14

@@ -143,8 +143,7 @@ def _recon_summary_sql() -> str:
 @register("q_reconcile_summary", _recon_summary_sql(), ops="J8 J9 G3")
 def q_reconcile_summary(spark, sf_dir):
     bronze, silver = _recon_inputs(Lake(spark, sf_dir))
-    return _checks(Q.reconcile(bronze, silver, "exact").unionByName(
-        Q.reconcile(bronze, silver, "tolerance")))
+    return _checks(Q.reconcile(bronze, silver, ("exact", "tolerance")))
 
 
 # -------------------------------------------------------------------- J10-J11
