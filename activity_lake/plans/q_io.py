@@ -108,8 +108,6 @@ def run_log(spark, sf_dir):
         "layer", "event_date", "rows")
 
 
-_EXPORTS = ("monthly_activity", "monthly_language", "monthly_ai_agents", "monthly_latency",
-            "censoring_matrix", "retention_curve", "repo_balance", "calendar_export")
 _EXPORT_CTE = {"monthly_activity": "activity", "monthly_language": "lang", "monthly_ai_agents": "agents",
                "monthly_latency": "latency", "censoring_matrix": "censor", "retention_curve": "retention",
                "repo_balance": "balance", "calendar_export": "dim_date"}
