@@ -39,8 +39,10 @@ def scan_raw(spark: SparkSession, path: str) -> DataFrame:
 def write_raw(feed: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write ``value, file_date, file_hour`` lines as gzip text, one folder per
     hour (test fixtures and the incremental demo; the archive itself arrives
-    as files). Lines are clustered by hour first so each hour is one file."""
-    (feed.repartition("file_date", "file_hour")
+    as files). Lines are clustered by hour first (AQE rebalance: a hot hour is
+    split into several files instead of one task), so an hour is one or a few
+    files."""
+    (feed.hint("rebalance", "file_date", "file_hour")
      .write.mode(mode).option("compression", "gzip")
      .partitionBy("file_date", "file_hour").text(path))
 
