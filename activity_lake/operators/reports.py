@@ -26,12 +26,18 @@ from ..functions.timefn import hours_2dp_from_minutes, mean_2dp, month_start, pc
 
 
 # ------------------------------------------------------------------ exports
-def monthly_activity(fact: DataFrame) -> DataFrame:
+def _distinct(col: str, approx: bool) -> F.Column:
+    """Exact distinct count (the contract) or, opt-in, a HyperLogLog++ sketch
+    (2% relative error, fixed-size buffer, no Expand)."""
+    return F.approx_count_distinct(col, 0.02) if approx else F.countDistinct(col)
+
+
+def monthly_activity(fact: DataFrame, approx: bool = False) -> DataFrame:
     """Month x class -> events, distinct repos, distinct actors."""
     return (fact.groupBy(month_start(F.col("date")).alias("month"), "actor_class")
             .agg(F.count(F.lit(1)).alias("events"),
-                 F.countDistinct("repo").alias("repos"),
-                 F.countDistinct("actor").alias("actors")))
+                 _distinct("repo", approx).alias("repos"),
+                 _distinct("actor", approx).alias("actors")))
 
 
 def monthly_language(fact: DataFrame, min_events: int = 50) -> DataFrame:
@@ -72,12 +78,12 @@ def censoring_matrix(lifecycle: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("prs")))
 
 
-def retention_curve(contrib: DataFrame) -> DataFrame:
+def retention_curve(contrib: DataFrame, approx: bool = False) -> DataFrame:
     """Cohort month x month of life -> distinct actors / repos (non-bots)."""
     return (contrib.where(~F.col("is_bot"))
             .groupBy("cohort_month", "months_of_life")
-            .agg(F.countDistinct("actor").alias("actors"),
-                 F.countDistinct("repo").alias("repos")))
+            .agg(_distinct("actor", approx).alias("actors"),
+                 _distinct("repo", approx).alias("repos")))
 
 
 def repo_balance(contrib: DataFrame, min_active: int = 5) -> DataFrame:
