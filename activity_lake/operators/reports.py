@@ -104,6 +104,25 @@ def calendar_export(dim_date: DataFrame) -> DataFrame:
     return dim_date.select("date", "year", "month", "source_format", "is_known_gap", "has_data")
 
 
+# G1: the sort order each export is written in (asc, or mixed asc/desc).
+EXPORT_ORDER = {
+    "monthly_activity": [F.asc("month"), F.asc("actor_class")],
+    "monthly_language": [F.asc("month"), F.desc("events"), F.asc("language"), F.asc("actor_class")],
+    "monthly_ai_agents": [F.asc("month"), F.desc("events"), F.asc("actor")],
+    "monthly_latency": [F.asc("opening_month"), F.asc("author_class"), F.asc("mature_cohort")],
+    "censoring_matrix": [F.asc("month"), F.asc("opening_observed"), F.asc("merge_observed")],
+    "retention_curve": [F.asc("cohort_month"), F.asc("months_of_life")],
+    "repo_balance": [F.asc("month"), F.desc("active_actors"), F.asc("repo")],
+    "calendar_export": [F.asc("date")],
+}
+
+
+def ordered_export(name: str, df: DataFrame) -> DataFrame:
+    """G1: an export in its published order (range-partitioned sort; the
+    exports are small aggregates, and AQE coalesces the sorted partitions)."""
+    return df.orderBy(*EXPORT_ORDER[name]) if name in EXPORT_ORDER else df
+
+
 # --------------------------------------------------------------- page queries
 def class_totals(activity: DataFrame) -> DataFrame:
     """D19."""

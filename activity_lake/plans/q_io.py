@@ -115,7 +115,7 @@ _EXPORT_CTE = {"monthly_activity": "activity", "monthly_language": "lang", "mont
 
 @register("export_guard", q(tuple(_EXPORT_CTE.values()), "\nUNION ALL\n".join(
     f"SELECT '{n}' AS name, count(*) AS rows, false AS over_limit FROM {c}" for n, c in _EXPORT_CTE.items())),
-    ops="A9 A10 A16")
+    ops="A9 A10 A16 G1")
 def export_guard(spark, sf_dir):
     """Export the eight aggregates (zstd Parquet), re-read and count each, and
     flag any above the size guard."""

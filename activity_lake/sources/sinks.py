@@ -107,9 +107,10 @@ def export_all(spark: SparkSession, out: str, named: dict[str, DataFrame],
                max_mb: float = EXPORT_MAX_MB) -> DataFrame:
     """Export every named aggregate and flag any above ``max_mb``
     (a grain that is too fine). Returns one row per export."""
+    from ..operators.reports import ordered_export
     rows = []
     for name, df in named.items():
-        m = export(df, f"{out.rstrip('/')}/{name}")
+        m = export(ordered_export(name, df), f"{out.rstrip('/')}/{name}")
         rows.append((name, m["rows"], m["bytes"], m["bytes"] > max_mb * 1024 * 1024))
     return spark.createDataFrame(rows, "name string, rows long, bytes long, over_limit boolean")
 
