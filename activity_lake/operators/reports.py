@@ -104,23 +104,27 @@ def calendar_export(dim_date: DataFrame) -> DataFrame:
     return dim_date.select("date", "year", "month", "source_format", "is_known_gap", "has_data")
 
 
-# G1: the sort order each export is written in (asc, or mixed asc/desc).
+# G1: the sort order each export is written in (asc, or mixed asc/desc);
+# plain (column, descending) pairs so importing needs no Spark session.
 EXPORT_ORDER = {
-    "monthly_activity": [F.asc("month"), F.asc("actor_class")],
-    "monthly_language": [F.asc("month"), F.desc("events"), F.asc("language"), F.asc("actor_class")],
-    "monthly_ai_agents": [F.asc("month"), F.desc("events"), F.asc("actor")],
-    "monthly_latency": [F.asc("opening_month"), F.asc("author_class"), F.asc("mature_cohort")],
-    "censoring_matrix": [F.asc("month"), F.asc("opening_observed"), F.asc("merge_observed")],
-    "retention_curve": [F.asc("cohort_month"), F.asc("months_of_life")],
-    "repo_balance": [F.asc("month"), F.desc("active_actors"), F.asc("repo")],
-    "calendar_export": [F.asc("date")],
+    "monthly_activity": [("month", False), ("actor_class", False)],
+    "monthly_language": [("month", False), ("events", True), ("language", False), ("actor_class", False)],
+    "monthly_ai_agents": [("month", False), ("events", True), ("actor", False)],
+    "monthly_latency": [("opening_month", False), ("author_class", False), ("mature_cohort", False)],
+    "censoring_matrix": [("month", False), ("opening_observed", False), ("merge_observed", False)],
+    "retention_curve": [("cohort_month", False), ("months_of_life", False)],
+    "repo_balance": [("month", False), ("active_actors", True), ("repo", False)],
+    "calendar_export": [("date", False)],
 }
 
 
 def ordered_export(name: str, df: DataFrame) -> DataFrame:
     """G1: an export in its published order (range-partitioned sort; the
     exports are small aggregates, and AQE coalesces the sorted partitions)."""
-    return df.orderBy(*EXPORT_ORDER[name]) if name in EXPORT_ORDER else df
+    keys = EXPORT_ORDER.get(name)
+    if not keys:
+        return df
+    return df.orderBy(*[F.desc(c) if d else F.asc(c) for c, d in keys])
 
 
 # --------------------------------------------------------------- page queries

@@ -45,3 +45,13 @@ def test_every_query_has_operators_and_most_have_oracles():
     assert all(OPERATORS[n] for n in qs)
     assert set(sq) <= set(qs)
     assert len(set(qs) - set(sq)) <= 4          # p_paths, file_inventory, storage_report
+
+
+def test_registry_imports_without_a_session():
+    """The driver may call oracle_sql() before any SparkSession exists."""
+    import subprocess
+    import sys
+    code = ("import sys; sys.path.insert(0, %r); import __spark_entry__ as E; "
+            "assert len(E.oracle_sql()) >= 75 and len(E.queries()) >= 78" % os.getcwd())
+    r = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert r.returncode == 0, r.stderr[-2000:]
