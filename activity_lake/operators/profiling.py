@@ -46,12 +46,17 @@ def _typed(raw: DataFrame) -> DataFrame:
         F.try_parse_json(v).alias("j"))
 
 
-def _of_type(raw: DataFrame, types: Sequence[str] | str) -> DataFrame:
-    """Lines of the given event type(s), typed by a one-field parse (cheaper
-    than a full VARIANT parse when only the text is inspected afterwards)."""
+def _of_type(raw: DataFrame, types: Sequence[str] | str, keep_type: bool = False) -> DataFrame:
+    """Lines of the given event type(s), selected by a one-field path read
+    (cheaper than a full VARIANT parse when only the text is inspected
+    afterwards). The type is projected only when the caller groups by it:
+    a filter on a projected expression is pushed below the projection and the
+    path would be read twice."""
     types = [types] if isinstance(types, str) else list(types)
     et = F.get_json_object(F.col("value"), "$.type")
-    return raw.select("value", "file_date", et.alias("event_type")).where(F.col("event_type").isin(types))
+    if keep_type:
+        return raw.select("value", "file_date", et.alias("event_type")).where(F.col("event_type").isin(types))
+    return raw.where(et.isin(types)).select("value", "file_date")
 
 
 def _pct2(num: Column, den: Column) -> Column:
@@ -247,7 +252,7 @@ def identifier_coverage(raw: DataFrame, types: Sequence[str] = PR_TYPES,
                         paths: Sequence[str] = PR_IDENTIFIER_PATHS) -> DataFrame:
     """Per event type and identifier path: events where it is non-NULL
     (unpivoted with ``stack``; paths with zero hits are kept)."""
-    t = _of_type(raw, types)
+    t = _of_type(raw, types, keep_type=True)
     agg = t.groupBy("event_type").agg(
         *[F.count(F.get_json_object("value", _jp(p))).alias(f"c{i}") for i, p in enumerate(paths)])
     stack = "stack({n}, {pairs}) AS (path, events)".format(
