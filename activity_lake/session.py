@@ -16,6 +16,7 @@ sessions we build ourselves; on a cluster they come from the job submission.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -73,15 +74,18 @@ def build_session(app: str = "activity_lake", master: str | None = None,
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A folder under the cluster's shared checkpoint directory.
 
-    ``spark.checkpoint.dir`` names the shared (cluster-visible) folder. It is only
-    set here when the session has none, which happens in local tests; a cluster
-    job always brings its own.
+    ``spark.checkpoint.dir`` names the shared (cluster-visible) folder. Only a
+    single-machine session (``local[...]``) may lack it and gets a folder of its own;
+    anywhere else a missing setting is an error, since executors would write to
+    their own disks.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = base.get() if base.isDefined() else None
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="activity-lake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     spark.sparkContext.setCheckpointDir(base)
