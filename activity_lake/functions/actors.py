@@ -1,12 +1,8 @@
-"""Actor classification (bot flag and actor class).
+"""Bot flag and actor class of a login.
 
-Rule: the ``[bot]`` suffix that the platform appends to app accounts decides
-whether an actor is *automated*; the lists below only decide *which kind* of
-automation. An automated login that no list knows is ``other_bot``; a login
-without the suffix is ``human`` even if its base name is on a list.
-
-The lookup is a literal map evaluated inside generated code (no join, no
-broadcast, no Python): its size is fixed by the lists, not by the data.
+A login with the platform's ``[bot]`` suffix is a bot; its class comes from the lists
+below, or is ``other_bot``. Any other login is ``human``. The lookup is a literal map of
+fixed size in generated code: no join, no broadcast, no Python.
 """
 
 from __future__ import annotations
@@ -84,15 +80,12 @@ CI_BOT_LOGINS = (
 # --- end of fixed values ----------------------------------------------------
 
 
+LOGINS_BY_CLASS = {AI_AGENT: AI_AGENT_LOGINS, DEPENDENCY_BOT: DEPENDENCY_BOT_LOGINS, CI_BOT: CI_BOT_LOGINS}
+
+
 def class_lookup() -> dict[str, str]:
     """``{base login: class}``; a login on two lists keeps the later list."""
-    out: dict[str, str] = {}
-    for logins, cls in ((AI_AGENT_LOGINS, AI_AGENT),
-                        (DEPENDENCY_BOT_LOGINS, DEPENDENCY_BOT),
-                        (CI_BOT_LOGINS, CI_BOT)):
-        for login in logins:
-            out[login] = cls
-    return out
+    return {login: cls for cls, logins in LOGINS_BY_CLASS.items() for login in logins}
 
 
 def is_bot(login: Column) -> Column:
@@ -120,21 +113,7 @@ def classify_actor(login: Column, lookup: dict[str, str] | None = None) -> Colum
     return F.when(bot.isNotNull() & ~bot, F.lit(HUMAN)).otherwise(F.coalesce(known, F.lit(OTHER_BOT)))
 
 
-def lookup_sql_values() -> str:
-    """The same lookup as a SQL ``VALUES`` list (used by the DuckDB oracle)."""
-    rows = ", ".join(f"('{k}', '{v}')" for k, v in sorted(class_lookup().items()))
-    return f"(VALUES {rows}) AS t(base_login, actor_class)"
-
-
 def max_class(cls: Column) -> Column:
-    """Aggregate ``max(actor_class)`` computed on an integer rank.
-
-    Equal to the string maximum for the class vocabulary, but the buffer is an
-    integer, so the enclosing aggregate stays a (partial, map-side) hash
-    aggregate instead of falling back to a sort-based one for a string buffer.
-    """
-    ranked = sorted(ACTOR_CLASSES)
-    vocab = F.array(*[F.lit(c) for c in ranked])
-    code = F.array_position(vocab, cls)
-    best = F.max(F.when(code > 0, code))
-    return F.try_element_at(vocab, best.cast("int"))
+    """Aggregate ``max(actor_class)``, also of classes outside the vocabulary (so that the
+    accepted-values check can see them)."""
+    return F.max(cls)

@@ -53,10 +53,6 @@ def weekday_sun0(d: Column) -> Column:
     return F.dayofweek(d) - F.lit(1)
 
 
-def date_lit(d: str | _dt.date) -> Column:
-    return F.lit(d if isinstance(d, _dt.date) else _dt.date.fromisoformat(d))
-
-
 def ntz(ts: Column) -> Column:
     """TIMESTAMP -> TIMESTAMP_NTZ in the session zone (UTC): wall-clock output."""
     return ts.cast("timestamp_ntz")

@@ -3,7 +3,7 @@
 Scale notes:
 * ``dim_date`` is generated from the window parameters; the days-with-data side
   of its join is bounded by the window length, so it is broadcast only behind
-  that parameter check (:func:`..plans.joins.bounded_broadcast`).
+  the window clip (:func:`..plans.joins.broadcast_calendar`).
 * ``dim_actor`` / ``dim_repo`` grow with the data (millions of logins), so
   their joins carry no broadcast hint: AQE picks from runtime sizes.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.actors import max_class
 from ..functions.timefn import month_start, weekday_sun0
-from ..plans.joins import bounded_broadcast
+from ..plans.joins import broadcast_calendar
 from ..schemas import FULL, REDUCED
 
 
@@ -40,13 +40,14 @@ def dim_date(spark: SparkSession, events: DataFrame, lo, hi, format_change,
     """Calendar with year/month/weekday, source-format regime, known-gap flag
     and ``has_data``. ``format_change`` is the first reduced-format day."""
     lo, hi = _d(lo), _d(hi)
-    n_days = (hi - lo).days + 1
     cal = calendar(spark, lo, hi)
-    seen = days_with_data(events).withColumn("_seen", F.lit(True))
+    # Clipped here, so that the calendar's length bounds it whatever the caller passes.
+    seen = (days_with_data(events.where(F.col("event_date").between(F.lit(lo), F.lit(hi))))
+            .withColumn("_seen", F.lit(True)))
     d = F.col("date")
     gap = (d.between(F.lit(_d(gap_lo)), F.lit(_d(gap_hi)))
            if gap_lo is not None else F.lit(False))
-    return (cal.join(bounded_broadcast(seen, n_days), "date", "left")
+    return (cal.join(broadcast_calendar(seen), "date", "left")
             .select(
                 d,
                 F.year(d).alias("year"),

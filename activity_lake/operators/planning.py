@@ -13,7 +13,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.joins import bounded_broadcast
+from ..plans.joins import broadcast_calendar
 
 
 def _d(x) -> _dt.date:
@@ -30,7 +30,6 @@ def pending_days(spark: SparkSession, lo, hi, done: DataFrame | None = None,
                  available: DataFrame | None = None) -> DataFrame:
     """Wanted days minus known gaps minus done days, restricted to days
     whose upstream input exists. ``done`` / ``available`` carry a ``day`` column."""
-    n_days = (_d(hi) - _d(lo)).days + 1
     days = wanted_days(spark, lo, hi)
     for g_lo, g_hi in gaps or []:
         days = days.where(~F.col("day").between(F.lit(_d(g_lo)), F.lit(_d(g_hi))))
@@ -38,10 +37,10 @@ def pending_days(spark: SparkSession, lo, hi, done: DataFrame | None = None,
     in_window = F.col("day").between(F.lit(_d(lo)), F.lit(_d(hi)))
     if done is not None:
         d = done.select("day").where(in_window).distinct()
-        days = days.join(bounded_broadcast(d, n_days), "day", "left_anti")
+        days = days.join(broadcast_calendar(d), "day", "left_anti")
     if available is not None:
         a = available.select("day").where(in_window).distinct()
-        days = days.join(bounded_broadcast(a, n_days), "day", "left_semi")
+        days = days.join(broadcast_calendar(a), "day", "left_semi")
     return days
 
 
@@ -57,7 +56,6 @@ def expected_hours(spark: SparkSession, lo, hi) -> DataFrame:
 
 def missing_hours(spark: SparkSession, lo, hi, inventory: DataFrame) -> DataFrame:
     """Expected hours with no source file. ``inventory`` has ``day, hour``."""
-    n = ((_d(hi) - _d(lo)).days + 1) * 24
     present = (inventory.select("day", "hour")
                .where(F.col("day").between(F.lit(_d(lo)), F.lit(_d(hi)))).distinct())
-    return expected_hours(spark, lo, hi).join(bounded_broadcast(present, n), ["day", "hour"], "left_anti")
+    return expected_hours(spark, lo, hi).join(broadcast_calendar(present), ["day", "hour"], "left_anti")

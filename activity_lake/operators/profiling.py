@@ -2,21 +2,21 @@
 
 All operators read raw lines ``(value, file_date[, file_hour])`` and are
 distributed aggregations; nothing is walked in the driver. The observed-schema
-walk (K3) parses lines to VARIANT once and walks them with a recursive CTE
-over ``variant_explode`` (native generators, no UDF).
+walk (K3) parses each line once in the task and pre-aggregates there, since
+arbitrarily nested keys aren't columns.
 """
 
 from __future__ import annotations
 
+import json
+from collections import Counter
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_DEPTH = 8
-
 # --- fixed values: candidate paths and signals the profiler measures ---------
-DETAIL_TYPES = ("PullRequestEvent", "PullRequestReviewEvent", "IssuesEvent", "PushEvent")
 LANGUAGE_CANDIDATE_PATHS = (
     "payload.pull_request.base.repo.language",
     "payload.pull_request.head.repo.language",
@@ -101,55 +101,77 @@ def type_frequency(raw: DataFrame, k: int | None = None) -> DataFrame:
 
 
 # -------------------------------------------------------------------- K3
-def _vtype_from_schema(s: str) -> str:
-    """Reference type names (null, bool, int, float, str, list, dict) from a
-    ``schema_of_variant`` string, computed once per node."""
-    return (f"CASE WHEN {s} LIKE 'OBJECT%' THEN 'dict' WHEN {s} LIKE 'ARRAY%' THEN 'list' "
-            f"WHEN {s} = 'VOID' THEN 'null' WHEN {s} = 'BOOLEAN' THEN 'bool' "
-            f"WHEN {s} IN ('BIGINT', 'INT', 'SMALLINT', 'TINYINT') THEN 'int' "
-            f"WHEN {s} LIKE 'DECIMAL%' OR {s} IN ('DOUBLE', 'FLOAT') THEN 'float' "
-            f"WHEN {s} = 'STRING' THEN 'str' ELSE lower({s}) END")
-
-
-def observed_paths(raw: DataFrame, types: Sequence[str] | None = DETAIL_TYPES,
-                   root: str = "payload", max_depth: int = MAX_DEPTH) -> DataFrame:
-    """Every path under ``root`` -> value type -> occurrences, per event type.
-
-    A recursive CTE walks the parsed VARIANT: each iteration explodes only the
-    frontier (``variant_explode``: object entries, or an array's first
-    element as ``path[]``) and the walk stops below ``max_depth`` levels or
-    when the frontier is empty - the reference profiler's rules, distributed.
-    The level bound keeps the recursion finite; the row limit is lifted
-    because the walk grows with the input by design.
+#: A task hands its path counts on when it holds so many distinct paths.
+_PATHS_HELD = 200_000
+_JSON_TYPES = {type(None): "null", bool: "bool", int: "int", float: "float", str: "str", list: "list", dict: "dict"}
+
+
+def _walk(node, path: str, depth: int | None, out: list[tuple[str, str]]) -> None:
+    """Appends (path, type) of everything below a parsed JSON value: all keys and all
+    array elements; depth bounds the levels only if it is given."""
+    if depth == 0:
+        return
+    below = None if depth is None else depth - 1
+    if isinstance(node, dict):
+        for key, child in node.items():
+            at = f"{path}.{key}"
+            out.append((at, _JSON_TYPES[type(child)]))
+            if isinstance(child, (dict, list)):
+                _walk(child, at, below, out)
+    elif isinstance(node, list):
+        at = path + "[]"
+        for child in node:
+            out.append((at, _JSON_TYPES[type(child)]))
+            if isinstance(child, (dict, list)):
+                _walk(child, at, below, out)
+
+
+def observed_paths(raw: DataFrame, types: Sequence[str] | None = None,
+                   root: str = "payload", max_depth: int | None = None) -> DataFrame:
+    """Every path under ``root`` -> value type -> occurrences, per event type: all
+    types, all levels and all array elements unless the caller bounds them.
+
+    Each line is parsed once; a task sends on its distinct (type, path, value type) with
+    counts, so the shuffle carries the feed's schema and not its lines. A number is an
+    int if its text has neither fraction nor exponent, however large it is. Lines that
+    don't parse, or aren't objects, have no paths (the volume profile counts them).
     """
-    spark = raw.sparkSession
-    if spark.conf.get("spark.sql.cteRecursionRowLimit", None) != "-1":
-        spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
-    type_filter = ""
-    if types is not None:
-        type_filter = "WHERE event_type IN (" + ", ".join(f"'{t}'" for t in types) + ")"
-    # Only containers keep their value for the next level; scalars are typed
-    # when emitted and carry no payload through the remaining iterations.
-    # Only containers keep their value for the next level; scalars are typed
-    # (one schema_of_variant per node) when emitted and carry nothing
-    # through the remaining iterations.
-    sql = f"""
-    WITH RECURSIVE walk(event_type, path, v, vt, depth) AS (
-      SELECT event_type, '{root}', try_variant_get(j, '$.{root}'), 'dict', 0
-      FROM (SELECT try_variant_get(j, '$.type', 'string') AS event_type, j
-            FROM (SELECT try_parse_json(value) AS j FROM {{raw}}) p WHERE j IS NOT NULL) t
-      {type_filter}
-      UNION ALL
-      SELECT event_type, path, CASE WHEN vt IN ('dict', 'list') THEN cv END, vt, depth FROM (
-        SELECT event_type, path, cv, {_vtype_from_schema('sv')} AS vt, depth FROM (
-          SELECT w.event_type,
-                 CASE WHEN e.key IS NULL THEN w.path || '[]' ELSE w.path || '.' || e.key END AS path,
-                 e.value AS cv, schema_of_variant(e.value) AS sv, w.depth + 1 AS depth
-          FROM walk w, LATERAL variant_explode(w.v) e
-          WHERE w.v IS NOT NULL AND w.depth <= {max_depth} AND (e.key IS NOT NULL OR e.pos = 0)) x) c)
-    SELECT event_type, path, vt AS value_type, count(*) AS occurrences
-    FROM walk WHERE depth > 0 GROUP BY 1, 2, 3"""
-    return spark.sql(sql, raw=raw)
+    wanted = None if types is None else frozenset(types)
+
+    def run(batches):
+        held: Counter = Counter()
+
+        def flush():
+            rows = list(held.items())
+            held.clear()
+            return pa.RecordBatch.from_pydict({
+                "event_type": pa.array([k[0] for k, _ in rows], pa.string()),
+                "path": pa.array([k[1] for k, _ in rows], pa.string()),
+                "value_type": pa.array([k[2] for k, _ in rows], pa.string()),
+                "n": pa.array([n for _, n in rows], pa.int64())})
+
+        for batch in batches:
+            for line in batch.column(0).to_pylist():
+                try:
+                    event = json.loads(line) if line else None
+                except ValueError:
+                    continue
+                if not isinstance(event, dict):
+                    continue
+                kind = event.get("type")
+                if not isinstance(kind, str):
+                    kind = None
+                if wanted is not None and kind not in wanted:
+                    continue
+                found: list[tuple[str, str]] = []
+                _walk(event.get(root), root, max_depth, found)
+                held.update((kind, p, t) for p, t in found)
+            if len(held) > _PATHS_HELD:
+                yield flush()
+        yield flush()
+
+    parts = raw.select("value").mapInArrow(run, "event_type string, path string, value_type string, n long")
+    return parts.groupBy("event_type", "path", "value_type").agg(F.sum("n").alias("occurrences"))
 
 
 # -------------------------------------------------------------------- K4
@@ -260,44 +282,52 @@ def identifier_coverage(raw: DataFrame, types: Sequence[str] = PR_TYPES,
     return agg.selectExpr("event_type", stack)
 
 
-def _pct2(num: Column, den: Column) -> Column:
-    """``round(100 * num / den, 2)`` half-up, exactly, on non-negative counts."""
-    return F.floor((num * 20000 + den) / (den * 2)) / F.lit(100.0)
-
-
 # -------------------------------------------------------------------- K10
-def drift(raw: DataFrame, unit: Column, units: Sequence) -> DataFrame:
-    """Schema-drift comparison: metrics as rows, one column per file unit.
+PR_DRIFT_KEYS = ("id", "number", "created_at", "merged_at", "closed_at", "merged", "user", "additions",
+                 "deletions", "base", "head")
+PUSH_DRIFT_KEYS = ("push_id", "size", "distinct_size", "commits", "ref", "head")
 
-    ``units`` is the explicit pivot list (a parameter, so no extra job and a
-    bounded number of columns).
-    """
-    t = _typed(raw).withColumn("unit", unit)   # validity counted, not filtered
-    et = F.expr("try_variant_get(j, '$.type', 'string')")
-    is_pr = et == F.lit("PullRequestEvent")
-    act = F.get_json_object("value", "$.payload.action")
-    metrics = {
-        "events": F.col("j").isNotNull(),
-        "distinct_types": None,
-        "pr_events": is_pr,
-        "pr_with_created_at": is_pr & _present("payload.pull_request.created_at"),
-        "pr_with_language": is_pr & F.get_json_object("value", "$.payload.pull_request.base.repo.language").isNotNull(),
-        "pr_opened": is_pr & (act == F.lit("opened")),
-        "pr_closed": is_pr & (act == F.lit("closed")),
-        "pr_merged": is_pr & (act == F.lit("merged")),
-        "bot_events": F.expr("try_variant_get(j, '$.actor.login', 'string')").endswith("[bot]"),
-    }
-    per = t.groupBy("unit").agg(*[
-        (F.count_distinct(et) if m is None else F.count_if(m)).alias(name) for name, m in metrics.items()])
-    stack = "stack({n}, {pairs}) AS (metric, value)".format(
-        n=len(metrics), pairs=", ".join(f"'{m}', CAST({m} AS BIGINT)" for m in metrics))
-    long = per.selectExpr("unit", stack)
-    return long.groupBy("metric").pivot("unit", list(units)).agg(F.first("value"))
 
+def drift(raw: DataFrame, unit: Column) -> DataFrame:
+    """Schema drift between file units, as long rows ``(unit, metric, value)``.
 
-def _pct2(num: Column, den: Column) -> Column:
-    """``round(100 * num / den, 2)`` half-up, exactly, on non-negative counts."""
-    return F.floor((num * 20000 + den) / (den * 2)) / F.lit(100.0)
+    Metrics: lines, bytes, events, distinct types, bot events and their percentage; for
+    pull requests and pushes the number of events, the coverage of each known key (percent
+    of the type's events) and of the language path; every action with its count. Any unit
+    and any action that occurs has rows; a unit without pull requests or pushes has no
+    percentages of them.
+    """
+    obj = lambda p: F.coalesce(F.json_object_keys(F.get_json_object("value", p)), F.array().cast("array<string>"))
+    head = F.from_json("value", "type string, actor struct<login: string>")
+    t = raw.select(unit.alias("unit"), "value", head.alias("h"), F.try_parse_json("value").isNotNull().alias("ok")).select(
+        "unit", "value", "ok", F.col("h.type").alias("type"), F.col("h.actor.login").alias("login"))
+    is_pr, is_push = F.col("type") == "PullRequestEvent", F.col("type") == "PushEvent"
+    t = t.withColumn("pr_keys", F.when(is_pr, obj("$.payload.pull_request"))).withColumn("push_keys", F.when(is_push, obj("$.payload")))
+    t = t.withColumn("language", F.when(is_pr, F.get_json_object("value", "$.payload.pull_request.base.repo.language")))
+    t = t.withColumn("action", F.when(is_pr, F.get_json_object("value", "$.payload.action")))
+    # One pass: per (unit, type, action) counts, then the few groups become rows.
+    cells = t.groupBy("unit", "type", "action").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(F.octet_length("value")).alias("bytes"),
+        F.count_if(F.col("ok")).alias("events"), F.count_if(F.col("login").endswith("[bot]")).alias("bots"),
+        F.count("language").alias("language"),
+        *[F.count_if(F.array_contains("pr_keys", k)).alias(f"pr_{k}") for k in PR_DRIFT_KEYS],
+        *[F.count_if(F.array_contains("push_keys", k)).alias(f"push_{k}") for k in PUSH_DRIFT_KEYS])
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("double")
+    of = lambda kind: F.coalesce(F.sum(F.when(F.col("type") == kind, F.col("events"))), F.lit(0))
+    n_pr, n_push = of("PullRequestEvent"), of("PushEvent")
+    share = lambda c, n: F.when(n > 0, _pct2(F.sum(c), n))
+    values = {"lines": total("lines"), "bytes": total("bytes"), "events": total("events"),
+              "distinct_types": F.count_distinct("type").cast("double"), "bot_events": total("bots"),
+              "bot_pct": share("bots", F.sum("events")), "pr_events": n_pr.cast("double"), "push_events": n_push.cast("double"),
+              "pr_language_pct": share("language", n_pr),
+              **{f"pr_key_pct:{k}": share(f"pr_{k}", n_pr) for k in PR_DRIFT_KEYS},
+              **{f"push_key_pct:{k}": share(f"push_{k}", n_push) for k in PUSH_DRIFT_KEYS}}
+    names = list(values)
+    wide = cells.groupBy("unit").agg(*[v.alias(f"m{i}") for i, v in enumerate(values.values())])
+    rows = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(f"m{i}").alias("value")) for i, n in enumerate(names)])
+    fixed = wide.select("unit", F.inline(rows)).where(F.col("value").isNotNull())
+    actions = cells.where(F.col("action").isNotNull()).groupBy("unit", "action").agg(F.sum("events").cast("double").alias("value"))
+    return fixed.unionByName(actions.select("unit", F.concat(F.lit("action:"), "action").alias("metric"), "value"))
 
 
 # -------------------------------------------------------------------- K11

@@ -169,12 +169,15 @@ def language_automation(lang: DataFrame, min_events: int = 500, k: int = 20) ->
 
 
 def coverage_card(dim_date: DataFrame) -> DataFrame:
-    """D25."""
+    """The calendar's range and regimes, and how many of its days have data."""
     return dim_date.agg(
         F.min("date").alias("first_day"), F.max("date").alias("last_day"),
         F.count(F.lit(1)).alias("days"),
         F.count_if(F.col("source_format") == F.lit("full")).alias("full_days"),
-        F.count_if(F.col("is_known_gap")).alias("gap_days"))
+        F.count_if(F.col("is_known_gap")).alias("gap_days"),
+        F.count_if("has_data").alias("days_with_data"),
+        F.min(F.when(F.col("has_data"), F.col("date"))).alias("first_data_day"),
+        F.max(F.when(F.col("has_data"), F.col("date"))).alias("last_data_day"))
 
 
 def days_per_format(dim_date: DataFrame) -> DataFrame:
@@ -244,9 +247,3 @@ def top_repos(balance: DataFrame, k: int = 20) -> DataFrame:
             .agg(F.sum("active_actors").alias("accumulated_active"),
                  F.sum("new_actors").alias("accumulated_new"))
             .orderBy(F.desc("accumulated_active"), F.asc("repo")).limit(k))
-
-
-def share_of_total(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Generic share of a partition total (used by D22-style charts)."""
-    w = Window.partitionBy(group)
-    return df.withColumn("share", F.round(F.col(value).cast("double") / F.sum(value).over(w), 6))

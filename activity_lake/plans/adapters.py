@@ -52,21 +52,17 @@ def _raw(value: Column, ts: Column) -> list[Column]:
             F.hour(ts).alias("file_hour")]
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one driver table; if it arrives as fewer splits than the cluster has
-    cores (a small single-row-group file), spread it round-robin first so the
-    JSON generation downstream is not one task. Large inputs are left alone."""
+def _table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
+    """One driver table, hash-partitioned by ``key`` if given: the order and line-item
+    feeds meet on the order key, so this is the shuffle that their join needs anyway."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key) if key else df
 
 
 # --------------------------------------------------------------- adapter E
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed adapter-E rows before serialisation (``ts`` is TIMESTAMP_NTZ)."""
-    ev = _table(spark, sf_dir, "events").select(
+    ev = _table(spark, sf_dir, "events", "event_id").select(
         "event_id", "ts", "user_id", "event_type", "value", "props")
     base = ev
     dup = ev.where(F.col("event_id") % 97 == 0)
@@ -97,7 +93,7 @@ def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------- adapter P
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _table(spark, sf_dir, "orders").select(
+    o = _table(spark, sf_dir, "orders", "o_orderkey").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     return (o
@@ -170,7 +166,7 @@ def pr_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
                  merged=is_f, merged_ts=F.when(is_f, F.col("end_ts")), closed_ts=F.col("end_ts"))),
                  F.col("end_ts"))))
 
-    li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    li = _table(spark, sf_dir, "lineitem", "l_orderkey").select("l_orderkey", "l_linenumber", "l_shipdate")
     s = F.col("l_orderkey") + F.col("l_linenumber")
     rv = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
           .withColumn("review_ts", F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.lit(0), s % 1440, F.lit(0)))
@@ -216,9 +212,8 @@ def profile_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adapter P + push events + adapter E + a few malformed lines: the mixed
     feed the profiling operators run on (both payload formats present)."""
     bad = (_table(spark, sf_dir, "region").select("r_regionkey")
-           .where(F.col("r_regionkey") < F.lit(len(MALFORMED_LINES)))
            .select(F.element_at(F.array(*[F.lit(x) for x in MALFORMED_LINES]),
-                                (F.col("r_regionkey") + 1).cast("int")).alias("value"),
+                                (F.col("r_regionkey") % len(MALFORMED_LINES) + 1).cast("int")).alias("value"),
                    F.lit("1995-01-01").alias("file_date"), F.lit(0).alias("file_hour")))
     return (pr_feed(spark, sf_dir)
             .unionByName(pr_push_feed(spark, sf_dir))

@@ -7,7 +7,7 @@ replaces only the partitions it touches and is verified by reading back.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-
+from pyspark.sql import functions as F
 
 from ..operators import bronze as B
 from ..operators import reports as R
@@ -23,17 +23,29 @@ def bronze_job(spark: SparkSession, raw_path: str, bronze_path: str,
                retained_types=RETAINED_TYPES) -> dict:
     """Map-only: text scan -> envelope -> payload retention -> partitioned write."""
     configure(spark)
+    files = RAW.file_inventory(spark, raw_path)
+    strange = files.where(F.col("file_date").isNull() & (F.col("bytes") > 0)).count()
+    if strange:
+        raise RuntimeError(f"{strange} files have names without a date and hour; their rows belong to no day")
     br = B.retain_payload(B.to_bronze(RAW.scan_raw(spark, raw_path)), retained_types)
-    return SK.write_partitioned(br, bronze_path)
+    return _verified(SK.write_partitioned(br, bronze_path))
+
+
+def _verified(result: dict) -> dict:
+    """The write's row count, or an error if reading back gives another one."""
+    if result["written"] != result["read_back"]:
+        raise RuntimeError(f"read-back mismatch: {result}")
+    return result
 
 
 def silver_job(spark: SparkSession, bronze_path: str, silver_root: str,
                lo: str | None = None, hi: str | None = None) -> dict:
-    """Two tables, one shuffle each (the dedup), partition-pruned input."""
+    """Two tables, partition-pruned input; a shuffle each for the dedup and one for the
+    rebalance of the write."""
     configure(spark)
     bronze = S.stage(SK.read_layer(spark, bronze_path), lo, hi)
-    ev = SK.write_partitioned(S.to_events(bronze), f"{silver_root}/events", rebalance=True)
-    pr = SK.write_partitioned(S.to_pr_events(bronze), f"{silver_root}/pr_events", rebalance=True)
+    ev = _verified(SK.write_partitioned(S.to_events(bronze), f"{silver_root}/events", rebalance=True))
+    pr = _verified(SK.write_partitioned(S.to_pr_events(bronze), f"{silver_root}/pr_events", rebalance=True))
     return {"events": ev, "pr_events": pr}
 
 

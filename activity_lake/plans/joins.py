@@ -1,20 +1,12 @@
-"""Join helpers with explicit size reasoning."""
+"""The one broadcast hint of the library: calendars, bounded by their parameters."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest row count we are willing to ship to every executor when the bound is
-# proven by parameters (e.g. days in a window, hours in a day x days).
-MAX_BROADCAST_ROWS = 2_000_000
 
-
-def bounded_broadcast(df: DataFrame, row_bound: int, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if its *proven* row bound fits; otherwise leave it
-    to the planner (sort-merge or AQE's runtime broadcast).
-
-    ``row_bound`` must come from parameters (window length, lookup list size),
-    never from the data itself, so the check costs no job.
-    """
-    return F.broadcast(df) if row_bound <= limit else df
+def broadcast_calendar(df: DataFrame) -> DataFrame:
+    """Hints a side with at most one row for each day or hour of a window that the
+    caller has clipped it to. Other sides carry no hint: AQE decides at run time."""
+    return F.broadcast(df)

@@ -1,13 +1,12 @@
 """End-to-end plans over the adapter feeds: raw -> bronze -> silver -> gold.
 
-Every function returns a lazy DataFrame; nothing is collected. One plan covers
-any number of days (no per-day driver loop).
+Gold tables are lazy DataFrames over stored layers: asking a Lake for a stored layer
+that this application hasn't written for these inputs yet runs the job that writes it.
+One plan covers any number of days (no per-day driver loop).
 """
 
 from __future__ import annotations
 
-import glob
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import bronze as B
 from ..operators import dims, facts, silver
 from ..session import configure, shared_dir
+from ..sources import sinks as SK
 from . import adapters as A
 
 
@@ -22,13 +22,18 @@ from . import adapters as A
 _LAYERS: dict[tuple, str] = {}
 
 
-def _input_stamp(sf_dir: str | None) -> tuple:
-    """Identity of the input tables (sizes and mtimes when they are local), so
-    a stored layer is reused only for unchanged inputs."""
+def _input_stamp(spark: SparkSession, sf_dir: str | None) -> tuple:
+    """Path, length and time of every input file, listed through Hadoop's file system API
+    (so also in a remote store): a changed input never reuses an old layer."""
     if not sf_dir:
         return ()
-    files = sorted(glob.glob(os.path.join(sf_dir, "*.parquet")))
-    return tuple((f, os.path.getsize(f), int(os.path.getmtime(f))) for f in files) or (sf_dir,)
+    root = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True)
+    out = []
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
 
 
 class Lake:
@@ -70,7 +75,7 @@ class Lake:
     def event_bronze(self) -> DataFrame:
         return B.retain_payload(B.to_bronze(self.event_raw()))
 
-    def _bronze_layer(self, name: str, build) -> DataFrame:
+    def _bronze_layer(self, name: str, build, by_day: bool = False) -> DataFrame:
         """A layer (bronze, silver) as a *written* table in the shared folder,
         written once per application and input and then read by every query.
 
@@ -86,13 +91,16 @@ class Lake:
         if name in self._stored:
             return self._stored[name]
         base = shared_dir(self.spark, "")
-        key = (self.spark.sparkContext.applicationId, base, _input_stamp(self.sf_dir), name)
+        key = (self.spark.sparkContext.applicationId, base, _input_stamp(self.spark, self.sf_dir), name)
         path = _LAYERS.get(key)
-        if path is None or not os.path.exists(os.path.join(path, "_SUCCESS")) and "://" not in path:
+        if path is None or not SK.has_layer(self.spark, path):
             path = shared_dir(self.spark, f"lake-{uuid.uuid4().hex[:12]}/{name}")
-            build().write.mode("overwrite").option("compression", "zstd").parquet(path)
+            if by_day:
+                SK.write_partitioned(build(), path, rebalance=True)
+            else:
+                build().write.mode("overwrite").option("compression", "zstd").parquet(path)
             _LAYERS[key] = path
-        self._stored[name] = self.spark.read.parquet(path)
+        self._stored[name] = SK.read_layer(self.spark, path)
         return self._stored[name]
 
     def profile_raw(self) -> DataFrame:
@@ -112,6 +120,11 @@ class Lake:
             return self._events
         return self._bronze_layer("pr_silver_events", lambda: silver.to_events(self.pr_bronze_stored()))
 
+    def events_by_day(self) -> DataFrame:
+        """Silver events as the layer that the jobs write: one folder a day, so that date
+        predicates prune partitions."""
+        return self._bronze_layer("pr_events_by_day", self.events, by_day=True)
+
     def pr_events(self) -> DataFrame:
         if self._pr_events is not None:
             return self._pr_events
@@ -119,7 +132,7 @@ class Lake:
 
     def stream_events(self) -> DataFrame:
         """Silver events of adapter E (dedup / id reuse / hours fixtures)."""
-        return self._bronze_layer("event_silver", lambda: silver.to_events(self.event_bronze_stored()))
+        return self._bronze_layer("event_silver", lambda: silver.to_events(self.event_bronze_stored()), by_day=True)
 
     # --------------------------------------------------------------- staging
     def stg_events(self) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import bronze as B
 from ..operators import silver as S
+from ..operators.quality import key_counts
 from ..schemas import ENVELOPE, PR_TYPES, RETAINED_TYPES
 from . import adapters as A
 from .oracle import q
@@ -36,7 +37,7 @@ _RET_TYPES = ", ".join(f"'{t}'" for t in RETAINED_TYPES)
           UNION ALL SELECT 'PullRequestEvent' FROM orders WHERE o_orderstatus IN ('F', 'P')
           UNION ALL SELECT 'PullRequestReviewEvent' FROM lineitem
           UNION ALL SELECT 'PushEvent' FROM orders
-          UNION ALL SELECT NULL FROM region WHERE r_regionkey < 3) t
+          UNION ALL SELECT NULL FROM region) t
     GROUP BY type"""), ops="B3")
 def payload_retention(spark, sf_dir):
     """Rows per type and how many keep their JSON text (no row is dropped)."""
@@ -73,7 +74,7 @@ def actor_class(spark, sf_dir):
     FROM p_events WHERE event_date BETWEEN DATE '1996-03-01' AND DATE '1996-05-31'
     GROUP BY event_date"""), ops="A5 A7 B8")
 def partition_range(spark, sf_dir):
-    ev = S.stage(Lake(spark, sf_dir).events(), "1996-03-01", "1996-05-31")
+    ev = S.stage(Lake(spark, sf_dir).events_by_day(), "1996-03-01", "1996-05-31")
     return (ev.groupBy("event_date")
             .agg(F.count(F.lit(1)).alias("events"), F.countDistinct("event_type").alias("types")))
 
@@ -86,7 +87,7 @@ _IN_DAYS = ["1995-06-01", "1997-01-15", "1999-01-01", "2001-07-31"]
     FROM p_events WHERE event_date IN ({", ".join(f"DATE '{d}'" for d in _IN_DAYS)})
     GROUP BY 1, 2"""), ops="B8")
 def partition_in_list(spark, sf_dir):
-    ev = S.partition_in(Lake(spark, sf_dir).events(), _IN_DAYS)
+    ev = S.partition_in(Lake(spark, sf_dir).events_by_day(), _IN_DAYS)
     return ev.groupBy("event_date", "event_type").agg(F.count(F.lit(1)).alias("events"))
 
 
@@ -96,7 +97,7 @@ def partition_in_list(spark, sf_dir):
 def dedup_by_day(spark, sf_dir):
     """Per day: raw rows vs rows kept by the ``(event_id, event_date)`` dedup."""
     lake = Lake(spark, sf_dir)
-    raw = S.to_events(lake.event_bronze(), dedup=False).groupBy("event_date").agg(
+    raw = S.to_events(lake.event_bronze_stored(), dedup=False).groupBy("event_date").agg(
         F.count(F.lit(1)).alias("raw_rows"))
     kept = lake.stream_events().groupBy("event_date").agg(F.count(F.lit(1)).alias("kept_rows"))
     return raw.join(kept, "event_date", "full_outer").fillna(0)
@@ -110,10 +111,8 @@ def dedup_by_day(spark, sf_dir):
              - (SELECT count(DISTINCT event_id) FROM p_all) AS real_events_lost"""), ops="E1")
 def dedup_naive_loss(spark, sf_dir):
     """How many real events a dedup on the bare id would erase."""
-    ev = S.to_events(Lake(spark, sf_dir).pr_bronze(), dedup=False)
-    return (ev.agg(F.count(F.lit(1)).alias("raw_rows"),
-                   F.count_distinct("event_id", "event_date").alias("kept_by_day"),
-                   F.count_distinct("event_id").alias("kept_by_id_only"))
+    ev = S.to_events(Lake(spark, sf_dir).pr_bronze_stored(), dedup=False)
+    return (key_counts(ev).withColumnsRenamed({"n": "raw_rows", "pairs": "kept_by_day", "ids": "kept_by_id_only"})
             .withColumn("real_events_lost", F.col("kept_by_day") - F.col("kept_by_id_only")))
 
 
@@ -189,5 +188,3 @@ def bronze_parity(spark, sf_dir):
     assert one.columns == five.columns
     return env.agg(F.count(F.lit(1)).alias("rows"), F.count_if(same).alias("equal_rows"))
 
-
-PR_TYPE_LIST = list(PR_TYPES)

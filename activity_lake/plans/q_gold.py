@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import dims
-from .joins import bounded_broadcast
+from .joins import broadcast_calendar
 from .oracle import q
 from .output import for_output
 from .pipeline import Lake
@@ -93,11 +93,8 @@ def star_join(spark, sf_dir):
     """Fact enriched through the star: date (broadcast, bounded by the
     window), actor and repo dimensions (grow with data: planner's choice)."""
     lake = Lake(spark, sf_dir)
-    lo, hi = lake.window
-    import datetime as _dt
-    n_days = (_dt.date.fromisoformat(hi) - _dt.date.fromisoformat(lo)).days + 1
     f = lake.fact_pr_event()
-    d = bounded_broadcast(lake.dim_date().select("date", "year", "source_format"), n_days)
+    d = broadcast_calendar(lake.dim_date().select("date", "year", "source_format"))
     a = lake.dim_actor().select("actor", F.col("actor_class").alias("actor_dim_class"))
     r = lake.dim_repo().select("repo", "has_language")
     return (f.join(d, "date").join(a, "actor").join(r, "repo")

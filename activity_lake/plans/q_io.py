@@ -16,6 +16,7 @@ from ..session import configure, shared_dir
 from ..sources import raw as RAW
 from ..sources import sinks as SK
 from ..streaming import incremental as INC
+from . import adapters as A
 from .oracle import q
 from .output import for_output
 from .pipeline import Lake
@@ -68,25 +69,32 @@ def write_roundtrip(spark, sf_dir):
     return SK.per_day_counts(spark, path)
 
 
-@register("file_inventory", ops="A14")
+@register("file_inventory", q("E", f"""
+    SELECT CAST(t AS DATE) AS file_date, CAST(hour(t) AS INTEGER) AS file_hour,
+           if((CAST(t AS DATE), hour(t)) IN (SELECT DISTINCT event_date, hour(created_ts) FROM e_typed), 'ok', 'absent') AS state
+    FROM (SELECT unnest(generate_series(TIMESTAMP '{A.EVENT_WINDOW[0]} 00:00:00', TIMESTAMP '{A.EVENT_WINDOW[1]} 23:00:00', INTERVAL 1 HOUR)) AS t)
+    """), ops="A14")
 def file_inventory(spark, sf_dir):
-    """Inventory of the hourly files: day, hour, bytes, sha256, state."""
+    """State of every hour of the window (ok, empty or absent), from the file listing."""
     configure(spark)
     base = _scratch(spark, "inventory")
     path = _raw_files(spark, sf_dir, base)
-    return RAW.file_inventory(spark, path).drop("modified", "path")
+    return RAW.hour_states(spark, path, *A.EVENT_WINDOW)
 
 
-@register("storage_report", ops="A15")
+@register("storage_report", q("E", """
+    SELECT event_date, count(DISTINCT hour(created_ts)) AS hours_in, true AS has_bytes_in, true AS has_bytes_out
+    FROM e_typed GROUP BY event_date"""), ops="A15")
 def storage_report(spark, sf_dir):
-    """Bytes in (gzip raw files) vs bytes out (bronze Parquet) per day."""
+    """Bytes in (gzip raw files) vs bytes out (bronze Parquet) per day, from listings;
+    sizes depend on the codec, so the registered columns are those that don't."""
     configure(spark)
     base = _scratch(spark, "storage")
     path = _raw_files(spark, sf_dir, base)
-    raw_df = RAW.scan_raw(spark, path)
-    SK.write_partitioned(B.retain_payload(B.to_bronze(raw_df)), f"{base}/bronze")
-    raw_files = spark.read.option("recursiveFileLookup", "true").text(path)
-    return RAW.storage_report(raw_files, SK.read_layer(spark, f"{base}/bronze"))
+    SK.write_partitioned(B.retain_payload(B.to_bronze(RAW.scan_raw(spark, path))), f"{base}/bronze")
+    rep = RAW.storage_report(spark, path, f"{base}/bronze")
+    return rep.select("event_date", "hours_in", (F.col("bytes_in") > 0).alias("has_bytes_in"),
+                      (F.col("bytes_out") > 0).alias("has_bytes_out"))
 
 
 @register("run_log", q("E", """
@@ -155,12 +163,14 @@ def stream_equals_batch(spark, sf_dir):
 
 @register("stream_dedup", q("E", "SELECT * FROM e_events"), ops="L2")
 def stream_dedup(spark, sf_dir):
-    """In-stream dedup on ``(event_id, event_date)`` within a watermark."""
+    """In-stream dedup on ``(event_id, event_date)``; the files arrive in two waves, the
+    second with the earlier hours of every day, so it is late by up to the whole feed."""
     configure(spark)
     base = _scratch(spark, "stream-dedup")
-    raw_path = _raw_files(spark, sf_dir, base)
-    INC.stream_dedup(spark, raw_path, f"{base}/out", f"{base}/_ckpt")
+    feed = Lake(spark, sf_dir).event_raw()
+    for wave in (F.col("file_hour") >= 12, F.col("file_hour") < 12):
+        RAW.write_raw(feed.where(wave), f"{base}/raw", mode="append")
+        INC.stream_dedup(spark, f"{base}/raw", f"{base}/out", f"{base}/_ckpt")
     out = SK.read_layer(spark, f"{base}/out")
     return for_output(out.select("event_id", "event_type", "created_ts", "actor", "repo", "repo_owner",
                                  "event_date", "is_bot", "actor_class"))
-

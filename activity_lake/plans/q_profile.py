@@ -72,8 +72,10 @@ def _raw(spark, sf_dir):
 
 
 @register("p_volume", _pq("""
-    SELECT count(*) + 3 AS lines, 1 AS blank_lines, count(*) AS events, 2 AS unparseable_lines,
-           min(created_at) AS min_created_at, max(created_at) AS max_created_at FROM prof"""), ops="K1")
+    SELECT count(*) + any_value(r.bad + r.blank) AS lines, any_value(r.blank) AS blank_lines, count(*) AS events,
+           any_value(r.bad) AS unparseable_lines,
+           min(created_at) AS min_created_at, max(created_at) AS max_created_at
+    FROM prof, (SELECT count(*) FILTER (WHERE r_regionkey % 3 < 2) AS bad, count(*) FILTER (WHERE r_regionkey % 3 = 2) AS blank FROM region) r"""), ops="K1")
 def p_volume(spark, sf_dir):
     return PF.volume(_raw(spark, sf_dir)).drop("text_bytes")
 
@@ -85,9 +87,35 @@ def p_types(spark, sf_dir):
     return PF.type_frequency(_raw(spark, sf_dir))
 
 
-@register("p_paths", ops="K3")
+def _paths_sql() -> str:
+    """Paths of the adapters' documents: (types, path, value type, condition, occurrences)."""
+    prs = "type IN ('PullRequestEvent', 'PullRequestReviewEvent')"
+    pr, review, push, ev = "type = 'PullRequestEvent'", "type = 'PullRequestReviewEvent'", "type = 'PushEvent'", "k IS NULL"
+    p = "payload.pull_request"
+    rules = [(prs, "payload.action", "str", "true"), (prs, "payload.number", "int", "true"), (prs, p, "dict", "true"),
+             (prs, f"{p}.id", "int", "true"), (prs, f"{p}.number", "int", "true"), (prs, f"{p}.base", "dict", "true"),
+             (prs, f"{p}.base.repo", "dict", "true"), (prs, f"{p}.base.repo.language", "str", "full_fmt AND k % 12 <> 0"),
+             *[(prs, f"{p}.{x}", t, "full_fmt") for x, t in (("created_at", "str"), ("user", "dict"), ("user.login", "str"),
+                                                             ("user.type", "str"), ("additions", "int"), ("deletions", "int"))],
+             (pr, f"{p}.closed_at", "str", "full_fmt AND is_end"), (pr, f"{p}.merged", "bool", "full_fmt AND is_end"),
+             (pr, f"{p}.merged_at", "str", "full_fmt AND is_end AND st = 'F'"),
+             *[(review, f"payload.review{x}", t, "true") for x, t in (("", "dict"), (".state", "str"), (".submitted_at", "str"))],
+             (push, "payload.ref", "str", "true"), (push, "payload.size", "int", "full_fmt"), (push, "payload.commits", "list", "full_fmt")]
+    parts = [f"SELECT type AS event_type, '{path}' AS path, '{t}' AS value_type, count(*) AS occurrences FROM prof "
+             f"WHERE {types} AND {cond} GROUP BY type" for types, path, t, cond in rules]
+    parts += [f"SELECT type, 'payload.commits[]{x}', '{t}', CAST(sum(least(k % 30, 20)) AS BIGINT) FROM prof WHERE {push} AND full_fmt "
+              "AND k % 30 > 0 GROUP BY type" for x, t in (("", "dict"), (".sha", "str"))]
+    parts += [f"SELECT event_type, 'payload.{x}', '{t}', count(*) FROM e_props WHERE {cond} GROUP BY event_type"
+              for x, t, cond in (("props", "dict", "props IS NOT NULL"), ("props.k", "int", "json_extract_string(props, '$.k') IS NOT NULL"),
+                                 ("value", "float", "value IS NOT NULL"))]
+    e_props = ("e_props AS (SELECT event_type, value, props FROM events UNION ALL SELECT event_type, value, props FROM events "
+               "WHERE event_id % 97 = 0 UNION ALL SELECT 'reused', value, props FROM events WHERE event_id % 89 = 0)")
+    return _pq("\nUNION ALL\n".join(parts), e_props)
+
+
+@register("p_paths", _paths_sql(), ops="K3")
 def p_paths(spark, sf_dir):
-    """Observed-schema profile (checked against a Python walk in tests)."""
+    """Observed-schema profile of every type, level and array element."""
     return PF.observed_paths(_raw(spark, sf_dir))
 
 
@@ -183,35 +211,31 @@ def p_identifiers(spark, sf_dir):
     return PF.identifier_coverage(_raw(spark, sf_dir))
 
 
-DRIFT_YEARS = list(range(1995, 2002))
-
-
 def _drift_sql() -> str:
-    metrics = {
-        "events": "true",
-        "pr_events": "type = 'PullRequestEvent'",
-        "pr_with_created_at": "type = 'PullRequestEvent' AND full_fmt",
-        "pr_with_language": "type = 'PullRequestEvent' AND full_fmt AND k % 12 <> 0",
-        "pr_opened": "type = 'PullRequestEvent' AND action = 'opened'",
-        "pr_closed": "type = 'PullRequestEvent' AND action = 'closed'",
-        "pr_merged": "type = 'PullRequestEvent' AND action = 'merged'",
-        "bot_events": "ends_with(actor, '[bot]')",
-    }
-    rows = []
-    for m, cond in metrics.items():
-        cols = ", ".join(f"count(*) FILTER (WHERE y = {y} AND {cond}) AS \"{y}\"" for y in DRIFT_YEARS)
-        rows.append(f"SELECT '{m}' AS metric, {cols} FROM pp")
-    cols = ", ".join(f"count(DISTINCT type) FILTER (WHERE y = {y}) AS \"{y}\"" for y in DRIFT_YEARS)
-    rows.append(f"SELECT 'distinct_types', {cols} FROM pp")
+    pr, push = _PR, "type = 'PushEvent'"
+    has_pr = {"id": "true", "number": "true", "base": "true", "created_at": "full_fmt", "user": "full_fmt", "additions": "full_fmt",
+              "deletions": "full_fmt", "merged_at": "full_fmt AND is_end AND st = 'F'", "closed_at": "full_fmt AND is_end",
+              "merged": "full_fmt AND is_end", "head": "false"}
+    has_push = {"ref": "true", "size": "full_fmt", "commits": "full_fmt", "push_id": "false", "distinct_size": "false", "head": "false"}
+    count = lambda c: f"count(*) FILTER (WHERE {c})"
+    rows = [("lines", "count(*)"), ("events", "count(*)"), ("distinct_types", "count(DISTINCT type)"),
+            ("bot_events", count("actor LIKE '%[bot]'")), ("bot_pct", _pct2(count("actor LIKE '%[bot]'"), "count(*)")),
+            ("pr_events", count(pr)), ("push_events", count(push)),
+            ("pr_language_pct", _pct2(count(f"{pr} AND full_fmt AND k % 12 <> 0"), f"nullif({count(pr)}, 0)"))]
+    rows += [(f"pr_key_pct:{k}", _pct2(count(f"{pr} AND {c}"), f"nullif({count(pr)}, 0)")) for k, c in has_pr.items()]
+    rows += [(f"push_key_pct:{k}", _pct2(count(f"{push} AND {c}"), f"nullif({count(push)}, 0)")) for k, c in has_push.items()]
+    parts = [f"SELECT y AS unit, '{m}' AS metric, CAST({v} AS DOUBLE) AS value FROM pp GROUP BY y" for m, v in rows]
+    parts.append(f"SELECT y, 'action:' || action, CAST(count(*) AS DOUBLE) FROM pp WHERE {pr} GROUP BY ALL")
     pp = "pp AS (SELECT *, CAST(substr(created_at, 1, 4) AS INTEGER) AS y FROM prof WHERE k IS NOT NULL)"
-    return _pq("\nUNION ALL\n".join(rows), pp)
+    return _pq("SELECT * FROM (" + "\nUNION ALL\n".join(parts) + ") WHERE value IS NOT NULL", pp)
 
 
 @register("p_drift", _drift_sql(), ops="K10")
 def p_drift(spark, sf_dir):
-    """Drift of the PR feed across years (one pivot column per year)."""
+    """Drift of the PR feed across years (bytes are checked in tests: they are the
+    serialised lines' own)."""
     raw = A.pr_feed(spark, sf_dir).unionByName(A.pr_push_feed(spark, sf_dir))
-    return PF.drift(raw, F.substring("file_date", 1, 4).cast("int"), DRIFT_YEARS)
+    return PF.drift(raw, F.substring("file_date", 1, 4).cast("int")).where(F.col("metric") != "bytes")
 
 
 @register("p_examples", _pq("""

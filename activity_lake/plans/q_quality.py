@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..functions.actors import ACTOR_CLASSES
+from ..operators import bronze as B
 from ..operators import quality as Q
 from ..operators import silver as S
 from . import adapters as A
@@ -73,6 +74,12 @@ def q_hours_covered(spark, sf_dir):
     return _checks(Q.hours_covered(_stream_events(Lake(spark, sf_dir))))
 
 
+@register("q_days_missing_hours", q("E", f"SELECT * FROM {_HOURS} h WHERE hours < 24"), ops="J3")
+def q_days_missing_hours(spark, sf_dir):
+    """Every failing day of J3."""
+    return Q.days_missing_hours(_stream_events(Lake(spark, sf_dir)))
+
+
 # -------------------------------------------------------------------- J4-J7
 def _null_profile_sql() -> str:
     rows = [_sql_row(f"{c} has no NULLs", f"count(*) FILTER (WHERE {c} IS NULL) = 0",
@@ -118,7 +125,7 @@ _RECON_DAYS = """recon AS (
 
 
 def _recon_inputs(lake):
-    bronze = lake.event_bronze()
+    bronze = lake.event_bronze_stored()
     return bronze, lake.stream_events()
 
 
@@ -146,7 +153,27 @@ def q_reconcile_summary(spark, sf_dir):
     return _checks(Q.reconcile(bronze, silver, ("exact", "tolerance")))
 
 
+@register("q_worst_days", q("E", """
+    SELECT event_date, bronze_rows, bronze_keys, silver_rows, abs(missing_rows) AS difference FROM recon
+    WHERE flag_tolerance ORDER BY difference DESC, event_date LIMIT 3""", extra=[_RECON_DAYS]), ops="G3")
+def q_worst_days(spark, sf_dir):
+    """The three worst days of the tolerance mode (byte-identical copies count as lost)."""
+    return Q.worst_days(*_recon_inputs(Lake(spark, sf_dir)), "tolerance")
+
+
+@register("q_unparseable", q(("P", "E"), """
+    SELECT check_name AS "check", passed, CAST(observed AS DOUBLE) AS observed, CAST(threshold AS DOUBLE) AS threshold FROM (
+      SELECT 'info: lines without an event id' AS check_name, true AS passed, bad AS observed, 0 AS threshold FROM u
+      UNION ALL SELECT 'lines without an event id are rare', 100.0 * bad / n <= 0.1, round(100.0 * bad / n, 6), 0.1 FROM u)""",
+    extra=["""u AS (SELECT (SELECT count(*) FROM region) AS bad, (SELECT count(*) FROM region) + (SELECT count(*) FROM p_rows)
+             + (SELECT count(*) FROM orders) + (SELECT count(*) FROM e_typed) AS n)"""]), ops="J8 J9")
+def q_unparseable(spark, sf_dir):
+    """Bronze lines of the mixed feed (malformed ones included) without an event id."""
+    return _checks(Q.parseable(B.to_bronze(Lake(spark, sf_dir).profile_raw())))
+
+
 # -------------------------------------------------------------------- J10-J11
+# fixed values: the declared keys, mandatory columns, accepted values and relationships
 _UNIQUE = (
     ("fact_pr_event", "fact", ("date", "event_id")),
     ("pr_lifecycle", "lifecycle", ("repo", "pr_id")),

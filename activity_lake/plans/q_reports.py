@@ -107,7 +107,9 @@ def language_automation(spark, sf_dir):
 @register("coverage_card", q("dim_date", """
     SELECT min(date) AS first_day, max(date) AS last_day, count(*) AS days,
            count(*) FILTER (WHERE source_format = 'full') AS full_days,
-           count(*) FILTER (WHERE is_known_gap) AS gap_days
+           count(*) FILTER (WHERE is_known_gap) AS gap_days,
+           (SELECT count(DISTINCT event_date) FROM stg_events) AS days_with_data,
+           (SELECT min(event_date) FROM stg_events) AS first_data_day, (SELECT max(event_date) FROM stg_events) AS last_data_day
     FROM dim_date"""), ops="D25")
 def coverage_card(spark, sf_dir):
     return R.coverage_card(Lake(spark, sf_dir).dim_date())

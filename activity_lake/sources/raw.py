@@ -47,33 +47,55 @@ def write_raw(feed: DataFrame, path: str, mode: str = "overwrite") -> None:
      .partitionBy("file_date", "file_hour").text(path))
 
 
+def file_listing(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """``path, length, modified`` of every file below ``path`` (compressed or not); the
+    content column is never selected, so no file is read."""
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    return r.load(path).select("path", F.col("length"), F.col("modificationTime").alias("modified"))
+
+
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """One row per source file: day, hour, bytes, modification time,
-    SHA-256 of the content, state. Files are read by executors, never the driver."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.gz").load(path))
+    """One row per source file: day, hour (NULL for an unrecognised name), bytes,
+    modification time, state ok or empty."""
     p = F.col("path")
-    return files.select(
-        path_date(p).alias("file_date"), path_hour(p).alias("file_hour"),
-        F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"),
-        F.sha2(F.col("content"), 256).alias("sha256"),
-        F.when(F.col("length") > 0, F.lit("ok")).otherwise(F.lit("empty")).alias("state"),
-        p.alias("path"))
-
-
-def file_sizes(df: DataFrame, key: Column) -> DataFrame:
-    """Distinct files behind a file-based DataFrame with their sizes, keyed by
-    ``key`` (e.g. the partition date). Uses file metadata only."""
-    return (df.select(key.alias("key"), F.col("_metadata.file_path").alias("f"),
-                      F.col("_metadata.file_size").alias("size"))
-            .distinct())
-
-
-def storage_report(raw_files: DataFrame, layer: DataFrame) -> DataFrame:
-    """Bytes in (raw files) vs bytes out (layer files) per day, and ratio."""
-    bin_ = (file_sizes(raw_files, path_date(F.col("_metadata.file_path")).cast("date"))
-            .groupBy("key").agg(F.sum("size").alias("bytes_in"), F.count(F.lit(1)).alias("files_in")))
-    bout = (file_sizes(layer, F.col("event_date"))
-            .groupBy("key").agg(F.sum("size").alias("bytes_out"), F.count(F.lit(1)).alias("files_out")))
-    return (bin_.join(bout, "key", "full_outer").withColumnRenamed("key", "event_date")
+    return file_listing(spark, path).select(
+        path_date(p).cast("date").alias("file_date"), path_hour(p).alias("file_hour"),
+        F.col("length").alias("bytes"), "modified",
+        F.when(F.col("length") > 0, F.lit("ok")).otherwise(F.lit("empty")).alias("state"), p)
+
+
+def hour_states(spark: SparkSession, path: str, lo: str, hi: str) -> DataFrame:
+    """Every hour of ``[lo, hi]`` with its state: ok, empty or absent."""
+    from ..operators.planning import expected_hours
+    have = (file_inventory(spark, path).groupBy("file_date", "file_hour")
+            .agg(F.max("state").alias("state")))       # 'ok' sorts after 'empty'
+    want = expected_hours(spark, lo, hi).select(F.col("day").alias("file_date"), F.col("hour").alias("file_hour"))
+    return (want.join(have, ["file_date", "file_hour"], "left")
+            .withColumn("state", F.coalesce("state", F.lit("absent"))))
+
+
+def file_checksums(spark: SparkSession, path: str) -> DataFrame:
+    """Optional and apart from the listing: SHA-256 of each file, which needs its content
+    as one value (2 GB at most)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select("path", F.sha2(F.col("content"), 256).alias("sha256"))
+
+
+def unrecognised(raw: DataFrame) -> DataFrame:
+    """Lines whose file name gave no date: they belong to no day and must fail a job."""
+    return raw.where(F.col("file_date").isNull())
+
+
+def storage_report(spark: SparkSession, raw_path: str, layer_path: str) -> DataFrame:
+    """Bytes in (raw files) vs bytes out (layer files) per day, and their ratio,
+    from the two file listings alone."""
+    bin_ = (file_inventory(spark, raw_path).groupBy(F.col("file_date").alias("event_date"))
+            .agg(F.sum("bytes").alias("bytes_in"), F.count(F.lit(1)).alias("files_in"),
+                 F.countDistinct("file_hour").alias("hours_in")))
+    day = _group(F.col("path"), r"event_date=(\d{4}-\d{2}-\d{2})/", 1).cast("date")
+    bout = (file_listing(spark, layer_path, "*.parquet").groupBy(day.alias("event_date"))
+            .agg(F.sum("length").alias("bytes_out"), F.count(F.lit(1)).alias("files_out")))
+    return (bin_.join(bout, "event_date", "full_outer")
             .withColumn("ratio", F.round(F.col("bytes_out") / F.col("bytes_in"), 4)))

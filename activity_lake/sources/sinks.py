@@ -59,6 +59,12 @@ def read_layer(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return r.parquet(path)
 
 
+def has_layer(spark: SparkSession, path: str) -> bool:
+    """Whether anything was written at ``path`` (through Hadoop's file system API)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def per_day_counts(spark: SparkSession, path: str, days: Iterable | None = None) -> DataFrame:
     df = read_layer(spark, path)
     if days is not None:

@@ -88,3 +88,18 @@ def test_dedup_and_lifecycle_pre_aggregate_before_shuffle(spark, tmp_path):
     for df in (ev, facts.pr_lifecycle(S.to_pr_events(bronze), "2025-12-31")):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "partial_" in plan
+
+
+def test_registered_date_queries_prune_partitions(spark):
+    from activity_lake.plans.registry import QUERIES, load_all
+    load_all()
+    for name in ("partition_range", "partition_in_list"):
+        assert re.search(r"PartitionFilters: \[[^\]]*event_date", _formatted(QUERIES[name](spark, SF001))), name
+
+
+def test_coverage_card_and_uniqueness_plans(spark):
+    from activity_lake.plans.registry import QUERIES, load_all
+    load_all()
+    assert "Scan parquet" in _formatted(QUERIES["coverage_card"](spark, SF001))
+    for name in ("q_unique_per_day", "dedup_naive_loss"):
+        assert "Expand" not in _formatted(QUERIES[name](spark, SF001)), name

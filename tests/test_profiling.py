@@ -2,6 +2,8 @@
 import json
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from activity_lake.operators import profiling as PF
 from activity_lake.plans import adapters as A
 from conftest import SF001
@@ -25,18 +27,41 @@ def _tname(v):
     return type(v).__name__
 
 
-def _walk(obj, prefix, acc, depth=0):
-    if depth > PF.MAX_DEPTH:
-        return
+def _walk(obj, prefix, acc):
     if isinstance(obj, dict):
         for k, v in obj.items():
-            p = f"{prefix}.{k}"
-            acc[(p, _tname(v))] += 1
-            _walk(v, p, acc, depth + 1)
-    elif isinstance(obj, list) and obj:
-        p = f"{prefix}[]"
-        acc[(p, _tname(obj[0]))] += 1
-        _walk(obj[0], p, acc, depth + 1)
+            acc[(f"{prefix}.{k}", _tname(v))] += 1
+            _walk(v, f"{prefix}.{k}", acc)
+    elif isinstance(obj, list):
+        for v in obj:
+            acc[(f"{prefix}[]", _tname(v))] += 1
+            _walk(v, f"{prefix}[]", acc)
+
+
+def test_paths_of_deep_and_mixed_lines(spark):
+    deep = {"k12": 1}
+    for i in range(11, 0, -1):
+        deep = {f"k{i}": deep}
+    lines = [{"type": "X", "payload": {"deep": deep, "mixed": [1, {"b": 12345678901234567890}, [1.0, 1e3], None, "s", True, {"b": 2}]}},
+             {"payload": {"a": []}}, {"type": 5, "payload": 3}, [1], "text", None]
+    raw = spark.createDataFrame([(json.dumps(x), "2025-01-01", 0) for x in lines] + [(None, "2025-01-01", 0), ("{bad", "2025-01-01", 0)],
+                                "value string, file_date string, file_hour int")
+    expect = Counter()
+    for x in lines[:2]:
+        acc = Counter()
+        _walk(x["payload"], "payload", acc)
+        for k, n in acc.items():
+            expect[(x.get("type"), *k)] += n
+    got = {(r.event_type, r.path, r.value_type): r.occurrences for r in PF.observed_paths(raw).collect()}
+    assert got == dict(expect) and ("X", "payload.mixed[].b", "int") in got and ("X", "payload.mixed[][]", "float") in got
+    bound = {r.path for r in PF.observed_paths(raw, types=["X"], max_depth=2).collect()}
+    assert max(p.count(".") + p.count("[]") for p in bound) == 2
+
+
+def test_drift_bytes_are_the_lines_bytes(spark):
+    raw = A.pr_feed(spark, SF001)
+    got = PF.drift(raw, F.substring("file_date", 1, 4)).where("metric = 'bytes'").agg(F.sum("value")).first()[0]
+    assert got == raw.agg(F.sum(F.octet_length("value"))).first()[0]
 
 
 def test_paths_match_python_walk(spark):
@@ -48,18 +73,16 @@ def test_paths_match_python_walk(spark):
             ev = json.loads(line)
         except json.JSONDecodeError:
             continue
-        if ev.get("type") in PF.DETAIL_TYPES:
-            acc = Counter()
-            _walk(ev.get("payload"), "payload", acc)
-            for (p, t), n in acc.items():
-                expect[(ev["type"], p, t)] += n
+        acc = Counter()
+        _walk(ev.get("payload"), "payload", acc)
+        for (p, t), n in acc.items():
+            expect[(ev["type"], p, t)] += n
     got = {(r.event_type, r.path, r.value_type): r.occurrences
            for r in PF.observed_paths(raw).collect()}
-    # JSON floats such as 12.5 parse as decimals in VARIANT: same "float" name
     assert got == dict(expect)
 
 
 def test_volume_counts_malformed(spark):
     r = PF.volume(A.profile_feed(spark, SF001)).first()
-    assert r.blank_lines == 1 and r.unparseable_lines == 2
-    assert r.lines == r.events + 3
+    assert r.blank_lines == 1 and r.unparseable_lines == 4
+    assert r.lines == r.events + 5

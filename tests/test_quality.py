@@ -21,7 +21,7 @@ def _clean_day(spark, n=2000, day="2025-08-13"):
 def _report(spark, bronze, events, pr, lo="2025-08-13", hi="2025-08-13", mode="exact"):
     return Q.quality_report(
         Q.unique_per_day(events), Q.time_range(events, lo, hi), Q.hours_covered(events),
-        Q.null_profile(events, pr), Q.reconcile(bronze, events, mode))
+        Q.null_profile(events, pr), Q.reconcile(bronze, events, mode), Q.parseable(bronze))
 
 
 def _failed(report):
@@ -84,3 +84,19 @@ def test_unlisted_class_orphan_and_null_merge(spark, clean):
     assert Q.relationship_check(ev, "repo", parent, "repo", "t").first()["passed"] is False
     pr_bad = pr.withColumn("is_merge", F.when(F.col("event_id") == 9, None).otherwise(F.col("is_merge")))
     assert _failed(_report(spark, br, ev, pr_bad)) == ["is_merge has no NULLs"]
+
+
+def test_garbage_lines_fail_the_gate(spark):
+    day = "2025-08-13"
+    br = B.to_bronze(raw_df(spark, [(pr_doc(i + 1), day) for i in range(10)] + [("garbage", day)] * 90))
+    rows = {r["check"]: r for r in Q.parseable(br).collect()}
+    assert rows["info: lines without an event id"]["observed"] == 90
+    assert not rows["lines without an event id are rare"]["passed"]
+    with pytest.raises(Q.QualityGateError):
+        Q.gate(Q.quality_report(Q.reconcile(br, S.to_events(br)), Q.parseable(br)))
+
+
+def test_unknown_class_reaches_the_dimension(spark, clean):
+    from activity_lake.operators import dims
+    bad = clean[1].withColumn("actor_class", F.when(F.col("actor") == "user1", "zombie").otherwise(F.col("actor_class")))
+    assert Q.accepted_values_check(dims.dim_actor(bad), "actor_class", ["human"], "t").first()["passed"] is False
