@@ -229,10 +229,13 @@ def truncation(raw: DataFrame, event_type: str = "PushEvent") -> DataFrame:
     t = _of_type(raw, event_type)
     size = F.get_json_object("value", "$.payload.size").try_cast("bigint")
     n = F.coalesce(F.json_array_length(F.get_json_object("value", "$.payload.commits")), F.lit(0))
-    return t.agg(F.count(F.lit(1)).alias("events"),
-                 F.count(size).alias("with_size"),
-                 F.count_if(size > n).alias("truncated"),
-                 F.max(n).alias("max_commits"))
+    distinct = F.get_json_object("value", "$.payload.distinct_size").try_cast("bigint")
+    a = t.agg(F.count(F.lit(1)).alias("events"),
+              F.count(size).alias("with_size"),
+              F.count(distinct).alias("with_distinct_size"),
+              F.count_if(size > n).alias("truncated"),
+              F.max(n).alias("max_commits"))
+    return a.withColumn("truncated_pct", F.when(F.col("with_size") > 0, _pct2(F.col("truncated"), F.col("with_size"))))
 
 
 # -------------------------------------------------------------------- K7
@@ -257,6 +260,15 @@ def bot_signals(raw: DataFrame, user_type_paths: Sequence[str] = USER_TYPE_PATHS
     return head.unionByName(ut)
 
 
+def top_bots(raw: DataFrame, k: int = 20) -> DataFrame:
+    """The k most active ``[bot]`` logins with their percentage of all events."""
+    login = F.get_json_object("value", "$.actor.login")
+    by = raw.groupBy(login.alias("login")).agg(F.count_if(F.try_parse_json("value").isNotNull()).alias("events"))
+    total = by.agg(F.sum("events").alias("total")).withColumn("_one", F.lit(1))      # one row
+    bots = by.where(F.col("login").endswith("[bot]")).orderBy(F.desc("events"), "login").limit(k)
+    return bots.withColumn("_one", F.lit(1)).join(total, "_one").select("login", "events", _pct2(F.col("events"), F.col("total")).alias("pct"))
+
+
 # -------------------------------------------------------------------- K8
 def field_matrix(raw: DataFrame, event_type: str = "PullRequestEvent",
                  fields: Sequence[str] = TEMPORAL_FIELDS) -> DataFrame:

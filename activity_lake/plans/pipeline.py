@@ -134,6 +134,10 @@ class Lake:
         """Silver events of adapter E (dedup / id reuse / hours fixtures)."""
         return self._bronze_layer("event_silver", lambda: silver.to_events(self.event_bronze_stored()), by_day=True)
 
+    def gold(self, name: str) -> DataFrame:
+        """A gold table (dim_date, fact_pr_event, pr_lifecycle, ...) as a stored table."""
+        return self._bronze_layer(f"gold_{name}", getattr(self, name))
+
     # --------------------------------------------------------------- staging
     def stg_events(self) -> DataFrame:
         return silver.stage(self.events(), *self.window)

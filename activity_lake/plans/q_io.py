@@ -98,7 +98,7 @@ def storage_report(spark, sf_dir):
 
 
 @register("run_log", q("E", """
-    SELECT 'silver_events' AS layer, event_date, count(*) AS rows FROM e_events GROUP BY event_date"""),
+    SELECT 'silver_events' AS layer, event_date, count(*) AS rows, true AS has_bytes FROM e_events GROUP BY event_date"""),
     ops="A12 A13")
 def run_log(spark, sf_dir):
     """One log record per written day, appended as JSON next to a corrupt line;
@@ -108,12 +108,13 @@ def run_log(spark, sf_dir):
     ev = Lake(spark, sf_dir).stream_events()
     res = SK.write_partitioned(ev, f"{base}/silver/events", rebalance=True)
     per_day = SK.per_day_counts(spark, f"{base}/silver/events")
-    SK.append_run_log(spark, SK.log_records(per_day, "silver_events", res["seconds"]), f"{base}/log")
+    sizes = RAW.layer_bytes(spark, f"{base}/silver/events")
+    SK.append_run_log(spark, SK.log_records(per_day, "silver_events", res["seconds"], bytes_out=sizes), f"{base}/log")
     (spark.createDataFrame([('{"layer": "silver_events", "rows": ',)], "value string")
      .write.mode("append").text(f"{base}/log"))
     log = SK.read_run_log(spark, f"{base}/log")
     return log.where(F.col("layer").isNotNull() & F.col("event_date").isNotNull()).select(
-        "layer", "event_date", "rows")
+        "layer", "event_date", "rows", (F.col("bytes_out") > 0).alias("has_bytes"))
 
 
 _EXPORT_CTE = {"monthly_activity": "activity", "monthly_language": "lang", "monthly_ai_agents": "agents",
@@ -121,31 +122,48 @@ _EXPORT_CTE = {"monthly_activity": "activity", "monthly_language": "lang", "mont
                "repo_balance": "balance", "calendar_export": "dim_date"}
 
 
-@register("export_guard", q(tuple(_EXPORT_CTE.values()), "\nUNION ALL\n".join(
-    f"SELECT '{n}' AS name, count(*) AS rows, false AS over_limit FROM {c}" for n, c in _EXPORT_CTE.items())),
-    ops="A9 A10 A16 G1")
+def _named_exports(lake) -> dict:
+    """The eight aggregates over the stored gold tables."""
+    fact, lc, contrib = lake.gold("fact_pr_event"), lake.gold("pr_lifecycle"), lake.gold("contributor_month")
+    return {"monthly_activity": R.monthly_activity(fact), "monthly_language": R.monthly_language(fact),
+            "monthly_ai_agents": R.monthly_ai_agents(fact), "monthly_latency": R.monthly_latency(lc),
+            "censoring_matrix": R.censoring_matrix(lc), "retention_curve": R.retention_curve(contrib),
+            "repo_balance": R.repo_balance(contrib), "calendar_export": R.calendar_export(lake.gold("dim_date"))}
+
+
+def _guard_sql(over: str) -> str:
+    return q(tuple(_EXPORT_CTE.values()), "\nUNION ALL\n".join(
+        f"SELECT '{n}' AS name, count(*) AS rows, {over} AS over_limit FROM {c}" for n, c in _EXPORT_CTE.items()))
+
+
+@register("export_guard", _guard_sql("false"), ops="A8 A9 A10 A16 G1")
 def export_guard(spark, sf_dir):
     """Export the eight aggregates (zstd Parquet), re-read and count each, and
     flag any above the size guard."""
-    configure(spark)
-    lake = Lake(spark, sf_dir)
-    fact, lc, contrib = lake.fact_pr_event(), lake.pr_lifecycle(), lake.contributor_month()
-    named = {
-        "monthly_activity": R.monthly_activity(fact),
-        "monthly_language": R.monthly_language(fact),
-        "monthly_ai_agents": R.monthly_ai_agents(fact),
-        "monthly_latency": R.monthly_latency(lc),
-        "censoring_matrix": R.censoring_matrix(lc),
-        "retention_curve": R.retention_curve(contrib),
-        "repo_balance": R.repo_balance(contrib),
-        "calendar_export": R.calendar_export(lake.dim_date()),
-    }
-    out = _scratch(spark, "exports")
-    report = SK.export_all(spark, out, named)
-    SK.read_exports(spark, out, named)
+    report = SK.export_all(spark, _scratch(spark, "exports"), _named_exports(Lake(spark, sf_dir)))
+    return report.select("name", "rows", "over_limit")
+
+
+@register("export_guard_over", _guard_sql("true"), ops="A16")
+def export_guard_over(spark, sf_dir):
+    """The same with a limit of one byte: every export is flagged."""
+    report = SK.export_all(spark, _scratch(spark, "exports"), _named_exports(Lake(spark, sf_dir)), max_mb=1 / 2**20)
     return report.select("name", "rows", "over_limit")
 
 
+def _export_values(name: str, columns: str, source: str):
+    @register(f"export_{name}", q(source, f"SELECT {columns} FROM {source}"), ops="A8 A9 A10 G1")
+    def read_back(spark, sf_dir):
+        out = _scratch(spark, "export")
+        SK.export_all(spark, out, {name: _named_exports(Lake(spark, sf_dir))[name]})
+        return SK.read_exports(spark, out, [name])[name]
+    read_back.__doc__ = f"Values of the {name} export, written from stored gold tables and read back."
+
+
+for _name, _source in _EXPORT_CTE.items():
+    _export_values(_name, "date, year, month, source_format, is_known_gap, has_data" if _name == "calendar_export" else "*", _source)
+
+
 @register("stream_equals_batch", q("E", "SELECT * FROM e_events"), ops="L1")
 def stream_equals_batch(spark, sf_dir):
     """Files arrive in two waves (hours 0-11, then 12-23, so every day gets

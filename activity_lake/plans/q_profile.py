@@ -170,8 +170,10 @@ def p_language_values(spark, sf_dir):
 
 @register("p_truncation", _pq("""
     SELECT count(*) AS events, count(*) FILTER (WHERE full_fmt) AS with_size,
-           count(*) FILTER (WHERE full_fmt AND k % 30 > 20) AS truncated,
-           CAST(max(CASE WHEN full_fmt THEN least(k % 30, 20) ELSE 0 END) AS INTEGER) AS max_commits
+           0 AS with_distinct_size, count(*) FILTER (WHERE full_fmt AND k % 30 > 20) AS truncated,
+           CAST(max(CASE WHEN full_fmt THEN least(k % 30, 20) ELSE 0 END) AS INTEGER) AS max_commits,
+           floor((count(*) FILTER (WHERE full_fmt AND k % 30 > 20) * 20000 + count(*) FILTER (WHERE full_fmt))
+                 / (2 * nullif(count(*) FILTER (WHERE full_fmt), 0))) / 100.0 AS truncated_pct
     FROM prof WHERE type = 'PushEvent'"""), ops="K6")
 def p_truncation(spark, sf_dir):
     return PF.truncation(_raw(spark, sf_dir))
@@ -190,6 +192,13 @@ def p_bot_signals(spark, sf_dir):
     return PF.bot_signals(_raw(spark, sf_dir))
 
 
+@register("p_top_bots", _pq(f"""
+    SELECT actor AS login, count(*) AS events, {_pct2('count(*)', '(SELECT count(*) FROM prof)')} AS pct
+    FROM prof WHERE actor LIKE '%[bot]' GROUP BY actor ORDER BY events DESC, login LIMIT 20"""), ops="K7 G4")
+def p_top_bots(spark, sf_dir):
+    return PF.top_bots(_raw(spark, sf_dir))
+
+
 @register("p_field_matrix", _pq(f"""
     SELECT action, count(*) AS events,
            count(*) FILTER (WHERE full_fmt) AS created_at, 0 AS updated_at,
@@ -239,8 +248,13 @@ def p_drift(spark, sf_dir):
 
 
 @register("p_examples", _pq("""
-    SELECT type, arg_min(id, (created_at, id)) AS id, min(created_at) AS created_at
+    SELECT type, arg_min(id, (created_at, id)) AS id, min(created_at) AS created_at,
+           type AS json_type, CAST(arg_min(id, (created_at, id)) AS VARCHAR) AS json_id,
+           arg_min(actor, (created_at, id)) AS json_login
     FROM prof GROUP BY type"""), ops="K11")
 def p_examples(spark, sf_dir):
-    return PF.examples(_raw(spark, sf_dir)).drop("json")
+    """One real line per type; the line's text is checked by the fields read back from it."""
+    ex = PF.examples(_raw(spark, sf_dir))
+    return ex.select("type", "id", "created_at", F.get_json_object("json", "$.type").alias("json_type"),
+                     F.get_json_object("json", "$.id").alias("json_id"), F.get_json_object("json", "$.actor.login").alias("json_login"))
 

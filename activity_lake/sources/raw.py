@@ -88,14 +88,19 @@ def unrecognised(raw: DataFrame) -> DataFrame:
     return raw.where(F.col("file_date").isNull())
 
 
+def layer_bytes(spark: SparkSession, layer_path: str) -> DataFrame:
+    """``event_date, bytes_out, files_out`` of a partitioned layer, from its file listing."""
+    day = _group(F.col("path"), r"event_date=(\d{4}-\d{2}-\d{2})/", 1).cast("date")
+    return (file_listing(spark, layer_path, "*.parquet").groupBy(day.alias("event_date"))
+            .agg(F.sum("length").alias("bytes_out"), F.count(F.lit(1)).alias("files_out")))
+
+
 def storage_report(spark: SparkSession, raw_path: str, layer_path: str) -> DataFrame:
     """Bytes in (raw files) vs bytes out (layer files) per day, and their ratio,
     from the two file listings alone."""
     bin_ = (file_inventory(spark, raw_path).groupBy(F.col("file_date").alias("event_date"))
             .agg(F.sum("bytes").alias("bytes_in"), F.count(F.lit(1)).alias("files_in"),
                  F.countDistinct("file_hour").alias("hours_in")))
-    day = _group(F.col("path"), r"event_date=(\d{4}-\d{2}-\d{2})/", 1).cast("date")
-    bout = (file_listing(spark, layer_path, "*.parquet").groupBy(day.alias("event_date"))
-            .agg(F.sum("length").alias("bytes_out"), F.count(F.lit(1)).alias("files_out")))
+    bout = layer_bytes(spark, layer_path)
     return (bin_.join(bout, "event_date", "full_outer")
             .withColumn("ratio", F.round(F.col("bytes_out") / F.col("bytes_in"), 4)))

@@ -84,15 +84,17 @@ def read_run_log(spark: SparkSession, log_path: str) -> DataFrame:
 
 
 def log_records(per_day: DataFrame, layer: str, seconds: float = 0.0,
-                bytes_in: DataFrame | None = None) -> DataFrame:
-    """Run-log rows from a per-day count table ``(event_date, rows)``."""
+                bytes_in: DataFrame | None = None, bytes_out: DataFrame | None = None) -> DataFrame:
+    """Run-log rows from a per-day count table ``(event_date, rows)`` and, where known,
+    per-day sizes ``(event_date, bytes_in)`` and ``(event_date, bytes_out)``."""
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    out = (per_day.select(F.lit(layer).alias("layer"), "event_date", F.col("rows").cast("long").alias("rows"))
-           .withColumn("bytes_in", F.lit(None).cast("long"))
-           .withColumn("bytes_out", F.lit(None).cast("long"))
-           .withColumn("seconds", F.lit(float(seconds)))
-           .withColumn("logged_at", F.lit(now).cast("timestamp")))
-    return out
+    out = per_day.select("event_date", F.lit(layer).alias("layer"), F.col("rows").cast("long").alias("rows"))
+    for name, sizes in (("bytes_in", bytes_in), ("bytes_out", bytes_out)):
+        if sizes is None:
+            out = out.withColumn(name, F.lit(None).cast("long"))
+        else:
+            out = out.join(sizes.select("event_date", F.col(name).cast("long").alias(name)), "event_date", "left")
+    return out.withColumn("seconds", F.lit(float(seconds))).withColumn("logged_at", F.lit(now).cast("timestamp"))
 
 
 def export(df: DataFrame, path: str, compression: str = DEFAULT_CODEC) -> dict:
