@@ -193,21 +193,30 @@ def key_coverage(raw: DataFrame, event_type: str, obj_path: str) -> DataFrame:
 
 
 # -------------------------------------------------------------------- K5
+# K5 and K7-K9 parse a line once: everything is read from the VARIANT inside one
+# aggregate. Types are tested in the aggregate too, because a filter on the parsed value
+# would be pushed below the projection and parse the line a second time.
+def _text_at(path: str) -> Column:
+    return F.expr(f"try_variant_get(j, '$.{path}', 'string')")
+
+
 def _present(path: str) -> Column:
-    parent, _, leaf = path.rpartition(".")
-    keys = F.json_object_keys(F.get_json_object("value", _jp(parent)) if parent else F.col("value"))
-    return F.coalesce(F.array_contains(keys, F.lit(leaf)), F.lit(False))
+    """The key is there, maybe with a JSON null."""
+    return F.expr(f"try_variant_get(j, '$.{path}') IS NOT NULL")
+
+
+def _non_null(path: str) -> Column:
+    return _present(path) & ~F.expr(f"is_variant_null(try_variant_get(j, '$.{path}'))")
 
 
 def candidate_paths(raw: DataFrame, event_type: str = "PullRequestEvent",
                     paths: Sequence[str] = LANGUAGE_CANDIDATE_PATHS) -> DataFrame:
     """Per candidate path: key present vs value non-NULL, over one event type."""
-    t = _of_type(raw, event_type)
-    aggs = [F.count(F.lit(1)).alias("_n")]
+    own = F.coalesce(_text_at("type") == F.lit(event_type), F.lit(False))
+    aggs = [F.count_if(own).alias("_n")]
     for i, p in enumerate(paths):
-        aggs += [F.count_if(_present(p)).alias(f"p{i}"),
-                 F.count_if(F.get_json_object("value", _jp(p)).isNotNull()).alias(f"v{i}")]
-    a = t.agg(*aggs)
+        aggs += [F.count_if(own & _present(p)).alias(f"p{i}"), F.count_if(own & _non_null(p)).alias(f"v{i}")]
+    a = _typed(raw).agg(*aggs)
     rows = F.array(*[F.struct(F.lit(p).alias("path"), F.col(f"p{i}").alias("present"),
                               F.col(f"v{i}").alias("non_null")) for i, p in enumerate(paths)])
     return (a.select("_n", F.explode(rows).alias("r"))
@@ -241,23 +250,20 @@ def truncation(raw: DataFrame, event_type: str = "PushEvent") -> DataFrame:
 # -------------------------------------------------------------------- K7
 def bot_signals(raw: DataFrame, user_type_paths: Sequence[str] = USER_TYPE_PATHS) -> DataFrame:
     """Rows ``(signal, n)``: login presence, ``[bot]`` suffix events, distinct
-    bot logins, and the user-type values seen at each candidate path."""
-    t = _typed(raw)          # unparseable lines have no login: nothing to filter
-    login = F.expr("try_variant_get(j, '$.actor.login', 'string')")
-    base = t.agg(F.count_if(login.isNotNull()).alias("with_login"),
-                 F.count_if(login.endswith("[bot]")).alias("bot_suffix"),
-                 F.count_distinct(F.when(login.endswith("[bot]"), login)).alias("bot_logins"))
-    head = base.select(F.explode(F.array(
-        F.struct(F.lit("events_with_login").alias("signal"), F.col("with_login").alias("n")),
-        F.struct(F.lit("events_bot_suffix").alias("signal"), F.col("bot_suffix").alias("n")),
-        F.struct(F.lit("distinct_bot_logins").alias("signal"), F.col("bot_logins").alias("n")))).alias("r")
-    ).select("r.*")
-    vals = F.array(*[F.when(F.get_json_object("value", _jp(p)).isNotNull(),
-                            F.concat(F.lit(p + "="), F.get_json_object("value", _jp(p))))
-                     for p in user_type_paths])
-    ut = (raw.select(F.explode(F.filter(vals, lambda x: x.isNotNull())).alias("signal"))
+    bot logins, and the user-type values seen at each candidate path.
+
+    Each line gives the list of its signals; a bot's login is one of them, so distinct
+    logins are the groups of that kind."""
+    login = _text_at("actor.login")
+    bot = login.endswith("[bot]")
+    signals = F.array(F.when(login.isNotNull(), F.lit("events_with_login")), F.when(bot, F.lit("events_bot_suffix")),
+                      F.when(bot, F.concat(F.lit("login "), login)),
+                      *[F.concat(F.lit(p + "="), _text_at(p)) for p in user_type_paths])
+    by = (_typed(raw).select(F.explode(signals).alias("signal")).where(F.col("signal").isNotNull())
           .groupBy("signal").agg(F.count(F.lit(1)).alias("n")))
-    return head.unionByName(ut)
+    own = F.col("signal").startswith("login ")
+    return (by.groupBy(F.when(own, F.lit("distinct_bot_logins")).otherwise(F.col("signal")).alias("signal"))
+            .agg(F.sum(F.when(own, F.lit(1)).otherwise(F.col("n"))).alias("n")))
 
 
 def top_bots(raw: DataFrame, k: int = 20) -> DataFrame:
@@ -273,12 +279,12 @@ def top_bots(raw: DataFrame, k: int = 20) -> DataFrame:
 def field_matrix(raw: DataFrame, event_type: str = "PullRequestEvent",
                  fields: Sequence[str] = TEMPORAL_FIELDS) -> DataFrame:
     """Per action: events, and how many carry each temporal field non-NULL."""
-    t = _of_type(raw, event_type)
-    action = F.coalesce(F.get_json_object("value", "$.payload.action"), F.lit("(no action)"))
-    return (t.groupBy(action.alias("action"))
-            .agg(F.count(F.lit(1)).alias("events"),
-                 *[F.count(F.get_json_object("value", f"$.payload.pull_request.{f}")).alias(f)
-                   for f in fields]))
+    own = F.coalesce(_text_at("type") == F.lit(event_type), F.lit(False))
+    action = F.when(own, F.coalesce(_text_at("payload.action"), F.lit("(no action)")))
+    return (_typed(raw).groupBy(action.alias("action"))
+            .agg(F.count_if(own).alias("events"),
+                 *[F.count_if(own & _non_null(f"payload.pull_request.{f}")).alias(f) for f in fields])
+            .where(F.col("events") > 0))
 
 
 # -------------------------------------------------------------------- K9
@@ -286,9 +292,10 @@ def identifier_coverage(raw: DataFrame, types: Sequence[str] = PR_TYPES,
                         paths: Sequence[str] = PR_IDENTIFIER_PATHS) -> DataFrame:
     """Per event type and identifier path: events where it is non-NULL
     (unpivoted with ``stack``; paths with zero hits are kept)."""
-    t = _of_type(raw, types, keep_type=True)
-    agg = t.groupBy("event_type").agg(
-        *[F.count(F.get_json_object("value", _jp(p))).alias(f"c{i}") for i, p in enumerate(paths)])
+    kind = _text_at("type")
+    agg = _typed(raw).groupBy(kind.alias("event_type")).agg(
+        F.count_if(kind.isin(list(types))).alias("_own"),
+        *[F.count_if(_non_null(p)).alias(f"c{i}") for i, p in enumerate(paths)]).where(F.col("_own") > 0)
     stack = "stack({n}, {pairs}) AS (path, events)".format(
         n=len(paths), pairs=", ".join(f"'{p}', c{i}" for i, p in enumerate(paths)))
     return agg.selectExpr("event_type", stack)

@@ -103,3 +103,13 @@ def test_coverage_card_and_uniqueness_plans(spark):
     assert "Scan parquet" in _formatted(QUERIES["coverage_card"](spark, SF001))
     for name in ("q_unique_per_day", "dedup_naive_loss"):
         assert "Expand" not in _formatted(QUERIES[name](spark, SF001)), name
+
+
+def test_profiles_parse_each_line_once(spark):
+    from activity_lake.operators import profiling as PF
+    raw = Lake(spark, SF001).profile_raw()
+    for op in (PF.candidate_paths, PF.bot_signals, PF.field_matrix, PF.identifier_coverage, PF.volume, PF.type_frequency):
+        df = op(raw)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall(r"try_parse_json|parse_json\(", plan)) <= 1, (op.__name__, plan)
+        assert "get_json_object" not in plan, op.__name__
