@@ -13,8 +13,9 @@ agree with about the probability of the Jaccard similarity.
 4. Pairs are screened by the joint likelihood of their registers, then confirmed on
    full shingle sets; confirmed links make components.
 5. Buckets that still hold several components are compared again, across components
-   only, in tiles of registers (salted, so that no task holds a whole bucket); the
-   pairs that pass the screen are confirmed like the others. No cap on a bucket.
+   only, in tiles (so that no task holds a whole bucket); what passes the screen is
+   confirmed on full sets there, and a tile hands on the links that join components, not
+   the pairs it compared. No cap on a bucket.
 
 Defined cases: null, empty and blank texts have an empty set and link with nothing;
 texts of fewer words than a shingle have their whole sequence as one shingle; repeated
@@ -70,36 +71,40 @@ def band_keys(regs: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def joint_estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
-    """Maximum-likelihood Jaccard similarity of pairs from their registers and set sizes.
-
-    The log-likelihood of (registers larger in a, larger in b, equal) is concave in the
-    similarity, so its derivative is bisected."""
-    more = (a > b).sum(axis=1).astype(float)
-    less = (a < b).sum(axis=1).astype(float)
-    same = a.shape[1] - more - less
-    u = size_a / (size_a + size_b)
-    v = 1 - u
+def _slope(j, more, less, same, u, v):
+    """Derivative in the similarity j of the log-likelihood of (registers larger in a,
+    larger in b, equal), given the shares u and v of the set sizes."""
     c = (SPACING - 1) / SPACING
-    log_b = np.log(SPACING)
+    x, y = np.maximum(u - v * j, 1e-12), np.maximum(v - u * j, 1e-12)
+    px, py = (np.maximum(-np.log1p(-t * c) / np.log(SPACING), 1e-15) for t in (x, y))
+    dx, dy = (c / (1 - t * c) / np.log(SPACING) for t in (x, y))
+    return -more * v * dx / px - less * u * dy / py + same * (v * dx + u * dy) / np.maximum(1 - px - py, 1e-15)
 
-    def p(x):
-        return -np.log1p(-x * c) / log_b
 
-    def dp(x):
-        return c / (1 - x * c) / log_b
+def _counts(a, b, size_a, size_b):
+    more, less = (a > b).sum(axis=1).astype(float), (a < b).sum(axis=1).astype(float)
+    u = size_a / (size_a + size_b)
+    return more, less, a.shape[1] - more - less, u, 1 - u
+
 
+def joint_estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
+    """Maximum-likelihood Jaccard similarity of pairs from their registers and set sizes:
+    the log-likelihood is concave in the similarity, so its slope is bisected."""
+    counts = _counts(a, b, size_a, size_b)
+    u, v = counts[3:]
     lo, hi = np.zeros(len(u)), np.minimum(u / v, v / u)
     for _ in range(24):
         j = (lo + hi) / 2
-        x, y = np.maximum(u - v * j, 1e-12), np.maximum(v - u * j, 1e-12)
-        px, py = np.maximum(p(x), 1e-15), np.maximum(p(y), 1e-15)
-        slope = (-more * v * dp(x) / px - less * u * dp(y) / py
-                 + same * (v * dp(x) + u * dp(y)) / np.maximum(1 - px - py, 1e-15))
-        lo, hi = np.where(slope > 0, j, lo), np.where(slope > 0, hi, j)
+        up = _slope(j, *counts) > 0
+        lo, hi = np.where(up, j, lo), np.where(up, hi, j)
     return (lo + hi) / 2
 
 
+def likely(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, least: float) -> np.ndarray:
+    """Whether the joint estimate is at least `least`: the slope there is not negative."""
+    return _slope(least, *_counts(a, b, size_a, size_b)) >= 0
+
+
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
     """id, node (content key), n_shingles, regs, bands of every row (map only)."""
     src = docs.select(F.col(id_col).cast("long").alias("id"),
@@ -147,37 +152,46 @@ def _screen(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            j = joint_estimate(_matrix(batch.column("ra")), _matrix(batch.column("rb")),
-                               batch.column("na").to_numpy().astype(float), batch.column("nb").to_numpy().astype(float))
-            keep = pa.array(j >= percent / 100 - MARGIN)
+            keep = pa.array(likely(_matrix(batch.column("ra")), _matrix(batch.column("rb")),
+                                   batch.column("na").to_numpy().astype(float), batch.column("nb").to_numpy().astype(float),
+                                   percent / 100 - MARGIN))
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
     return both.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a binary, b binary")
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, text_col: str, width: int, percent: int) -> DataFrame:
-    """The pairs for which 100 * |intersection| >= percent * |union| on full sets."""
-    need = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _texts(docs: DataFrame, text_col: str, need: DataFrame) -> DataFrame:
+    """node, text of the nodes in `need`, one row each."""
     texts = docs.select(F.unhex(F.md5(F.coalesce(text_bytes(docs, text_col), F.lit(b"")))).alias("node"),
                         text_bytes(docs, text_col).alias("text"))
-    texts = texts.join(need, "node", "left_semi").dropDuplicates(["node"])
+    return texts.join(need.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+
+
+def _shingle_set(text: bytes, width: int) -> np.ndarray:
+    buf = np.frombuffer(text, np.uint8)
+    return X.shingles(X.words(buf, np.array([0, len(buf)])).hashes, width)
+
+
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether 100 * |intersection| >= percent * |union|, on full sets."""
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
+def _confirm(pairs: DataFrame, docs: DataFrame, text_col: str, width: int, percent: int) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
+    texts = _texts(docs, text_col, pairs.select(F.explode(F.array("a", "b")).alias("node")))
     both = (pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
             .join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a"))
 
-    def shingle_set(text: bytes) -> np.ndarray:
-        buf = np.frombuffer(text, np.uint8)
-        return X.shingles(X.words(buf, np.array([0, len(buf)])).hashes, width)
-
     def run(batches):
         last, last_set = None, None
         for batch in batches:
             keep = []
             for ta, tb in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist()):
                 if ta != last:
-                    last, last_set = ta, shingle_set(ta)
-                other = shingle_set(tb)
-                common = len(np.intersect1d(last_set, other, assume_unique=True))
-                keep.append(100 * common >= percent * (len(last_set) + len(other) - common))
+                    last, last_set = ta, _shingle_set(ta, width)
+                keep.append(_linked(last_set, _shingle_set(tb, width), percent))
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
@@ -214,40 +228,61 @@ def components(edges: DataFrame) -> DataFrame:
     return labels.union(edges.select(F.col("u").alias("node"), F.col("u").alias("label")).distinct())
 
 
-def _across(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Screened pairs between different components of one bucket, from tiles of registers."""
+def _across(members: DataFrame, nodes: DataFrame, docs: DataFrame, text_col: str, width: int, percent: int) -> DataFrame:
+    """Links between different components that share a bucket.
+
+    A bucket's members are dealt to tiles, and each pair of tiles is one group. There,
+    pairs of different components are screened by their registers, in the first band that
+    they share, and confirmed on full sets, best candidates first; components that a
+    confirmed link has joined need no further link, so a group gives fewer rows than it
+    has members."""
     sized = members.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    # In a bucket of two nodes their only pair has been tried already.
     sized = sized.where((F.col("lo") != F.col("hi")) & (F.col("n") > 2)).select(
         "key", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
-    rows = members.join(sized, "key").join(nodes.select("node", "n_shingles", "regs"), "node")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    rows = stored(members.join(sized, "key"), "residual")
+    texts = _texts(docs, text_col, rows)
+    full = texts.join(nodes.select("node", "n_shingles", "regs"), "node")
+    rows = rows.join(full, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    rows = rows.select("key", "node", "label", "n_shingles", "regs", "own",
+    rows = rows.select("key", "band", "node", "label", "n_shingles", "regs", "text", "own",
                        F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    least = percent / 100 - MARGIN
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
+        i, j, band = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0]), int(pdf["band"].iloc[0])
         regs = np.frombuffer(b"".join(pdf["regs"]), np.uint16).reshape(len(pdf), BANDS * ROWS)
         size = pdf["n_shingles"].to_numpy().astype(float)
-        label = pd.factorize(pdf["label"])[0]
-        own = pdf["own"].to_numpy()
-        node = pdf["node"].to_numpy()
-        out_a, out_b = [], []
-        for at in range(len(pdf)):
-            if own[at] != i:
-                continue
-            ok = (own == j) & (label != label[at]) & (np.minimum(size, size[at]) * 100 >= percent * np.maximum(size, size[at]))
+        root = pd.factorize(pdf["label"])[0]      # component of each member; joined ones are renamed
+        own, node, text = pdf["own"].to_numpy(), pdf["node"].to_numpy(), pdf["text"].to_numpy()
+        sets: dict[int, np.ndarray] = {}
+
+        def shingle_set(at: int) -> np.ndarray:
+            if at not in sets:
+                sets[at] = _shingle_set(text[at], width)
+            return sets[at]
+
+        links = []
+        for at in np.flatnonzero(own == i):
+            ok = (own == j) & (root != root[at]) & (100 * np.minimum(size, size[at]) >= percent * np.maximum(size, size[at]))
             if i == j:
                 ok[:at + 1] = False
-            at_b = np.flatnonzero(ok)
-            if len(at_b):
-                est = joint_estimate(np.broadcast_to(regs[at], (len(at_b), regs.shape[1])), regs[at_b],
-                                     np.full(len(at_b), size[at]), size[at_b])
-                for k in at_b[est >= percent / 100 - MARGIN]:
-                    x, y = sorted((node[at], node[k]))
-                    out_a.append(x)
-                    out_b.append(y)
-        return pd.DataFrame({"a": out_a, "b": out_b})
+            to = np.flatnonzero(ok)
+            if not len(to):
+                continue
+            same = regs[to] == regs[at]
+            shared = same.reshape(len(to), BANDS, ROWS).all(axis=2)
+            here = shared.argmax(axis=1) == band
+            to, same = to[here], same[here]
+            if not len(to):
+                continue
+            here = likely(np.broadcast_to(regs[at], (len(to), regs.shape[1])), regs[to], np.full(len(to), size[at]), size[to], least)
+            to = to[here][np.argsort(-same[here].sum(axis=1), kind="stable")]
+            for other in to:
+                if root[other] != root[at] and _linked(shingle_set(at), shingle_set(other), percent):
+                    links.append((node[at], node[other]))
+                    root[root == root[other]] = root[at]
+        return pd.DataFrame({"a": [x[0] for x in links], "b": [x[1] for x in links]})
 
     return rows.groupBy("key", "i", "j").applyInPandas(run, "a binary, b binary")
 
@@ -259,19 +294,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     table = stored(sketches(docs, id_col, text_col, width), "sketches")
     nodes = stored(table.where(F.col("n_shingles") > 0).groupBy("node").agg(
         F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs"), F.first("bands").alias("bands")), "nodes")
-    keyed = nodes.select(F.explode("bands").alias("key"), "node")
+    keyed = nodes.select(F.posexplode("bands").alias("band", "key"), "node")
     leads = keyed.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where(F.col("n") > 1).select("key", "a")
     members = stored(keyed.join(leads, "key"), "buckets")
     stars = members.where(F.col("node") != F.col("a")).select("a", F.col("node").alias("b"))
     tried = stored(_screen(stars, nodes, percent), "screened")
     links = stored(_confirm(tried, docs, text_col, width, percent), "links")
     label = stored(components(links), "labels")
-    named = members.select("key", "node").join(label, "node", "left").select(
-        "key", "node", F.coalesce("label", "node").alias("label"))
-    rest = _across(named, nodes, percent).distinct()
-    rest = stored(rest.join(tried, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        more = _confirm(rest, docs, text_col, width, percent)
+    named = members.select("key", "band", "node").join(label, "node", "left").select(
+        "key", "band", "node", F.coalesce("label", "node").alias("label"))
+    more = stored(_across(named, nodes, docs, text_col, width, percent), "links")
+    if not more.isEmpty():
         label = stored(components(links.union(more)), "labels")
     rows = table.select("id", "node", "n_shingles").join(label, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
@@ -297,3 +330,20 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     blank = docs.join(empty.select(F.col("id").alias("_own"), F.col("node").alias("_node")),
                       F.col(id_col).cast("long").eqNullSafe(F.col("_own")) & (key == F.col("_node")), "left_semi")
     return one.union(blank)
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, ws[i] || chr(1) || ws[i + 1] || chr(1) || ws[i + 2] AS g
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) > 2)
+      UNION ALL SELECT doc_id, array_to_string(ws, chr(1)) FROM w WHERE len(ws) IN (1, 2)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(doc_id, seen) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.seen)
+SELECT w.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r.seen) AS component_id, w.doc_id = min(r.seen) AS kept
+FROM w JOIN r ON r.doc_id = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id GROUP BY w.doc_id
+"""

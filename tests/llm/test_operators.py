@@ -314,6 +314,9 @@ def test_registers_merge_and_estimate():
     assert (near_dedup.registers(np.concatenate((left, right))) == np.maximum(near_dedup.registers(left), near_dedup.registers(right))).all()
     est = near_dedup.joint_estimate(near_dedup.registers(left)[None], near_dedup.registers(right)[None], np.array([400.0]), np.array([400.0]))
     assert abs(est[0] - 0.6) < 0.12
+    for least in (0.3, est[0] - 0.01, est[0] + 0.01, 0.9):
+        assert near_dedup.likely(near_dedup.registers(left)[None], near_dedup.registers(right)[None],
+                                 np.array([400.0]), np.array([400.0]), least)[0] == (est[0] >= least)
 
 
 def test_band_recall_is_near_one():
