@@ -96,8 +96,10 @@ QUERIES = {f.__name__: f for f in (
     op7_setsketch_dedup, op8_quality_cascade, op9_bpe, op10_chat_collapse)}
 
 ORACLE = {
+    "op1_shard_interleave": sharding.ORACLE_SQL,
     "op2_url_filter": url_filter.ORACLE_SQL,
     "op5_topk_tiles": topk_search.ORACLE_SQL,
+    "op7_setsketch_dedup": near_dedup.ORACLE_SQL,
     "op8_quality_cascade": quality.ORACLE_SQL,
     "op10_chat_collapse": chat.ORACLE_SQL,
 }

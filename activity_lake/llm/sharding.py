@@ -68,3 +68,29 @@ def write_shards(sharded: DataFrame, path: str) -> None:
     """The shards as folders shard=k, each in slot order within its files."""
     (sharded.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
      .write.partitionBy("shard").parquet(path))
+
+
+def _crc32_sql(blob: str) -> str:
+    """CRC-32 of a blob, a byte at a time with the table of its 16 low nibbles."""
+    table = []
+    for n in range(16):
+        for _ in range(4):
+            n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+        table.append(n)
+    entry = f"{table}::BIGINT[]"
+    step = f"xor(({entry})[1 + (xor({{0}}, {{1}}) & 15)], {{0}} >> 4)"
+    one = step.format("c", "b")
+    return (f"xor(list_reduce(list_transform(regexp_extract_all(hex({blob}), '..'), lambda x: CAST('0x' || x AS BIGINT)), "
+            f"lambda c, b: {step.format('(' + one + ')', '(b >> 4)')}, 4294967295::BIGINT), 4294967295::BIGINT)")
+
+
+ORACLE_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce('=' || source, '-') AS stratum, CAST(octet_length(encode(coalesce(text, ''))) + 8 AS BIGINT) AS size,
+                  {_crc32_sql("encode(coalesce(text, ''))")} AS crc FROM documents),
+k AS (SELECT *, md5(concat_ws('|', 's1', coalesce(CAST(doc_id AS VARCHAR), '-'), CAST(crc AS VARCHAR))) AS h FROM d),
+r AS (SELECT *, 2 * row_number() OVER (PARTITION BY stratum ORDER BY h) - 1 AS twice, count(*) OVER (PARTITION BY stratum) AS n FROM k),
+p AS (SELECT *, row_number() OVER (ORDER BY CAST(twice AS DOUBLE) / n, h, stratum) - 1 AS pos, count(*) OVER () AS total FROM r)
+SELECT doc_id, size, crc AS text_crc32, 'rows' AS law, CAST(pos * 24 // total AS INTEGER) AS shard,
+       CAST(pos - ((pos * 24 // total) * total + 23) // 24 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM p
+"""
