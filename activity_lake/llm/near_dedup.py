@@ -320,16 +320,17 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     (one of them, if rows repeat), with all its columns; texts without words all stay."""
     found = stored(near_duplicates(docs, id_col, text_col, width, percent), "found")
     kept = found.where((F.col("n_shingles") > 0) & F.col("id").eqNullSafe(F.col("component")))
-    kept = kept.groupBy("component").agg(F.min("node").alias("node"), F.count("*").alias("n"))
-    empty = found.where(F.col("n_shingles") == 0).select("id", "node").distinct()
+    kept = kept.groupBy("component").agg(F.min("node").alias("_node"), F.count("*").alias("n"))
+    empty = found.where(F.col("n_shingles") == 0).select(F.col("id").alias("_own"), F.col("node").alias("_node")).distinct()
     key = F.unhex(F.md5(F.coalesce(text_bytes(docs, text_col), F.lit(b""))))
-    one = docs.join(kept.select(F.col("component").alias("_own"), F.col("node").alias("_node")),
-                    F.col(id_col).cast("long").eqNullSafe(F.col("_own")) & (key == F.col("_node")), "left_semi")
-    if not kept.where(F.col("n") > 1).isEmpty():  # rows repeat: one of them stays
-        one = one.dropDuplicates([id_col])
-    blank = docs.join(empty.select(F.col("id").alias("_own"), F.col("node").alias("_node")),
-                      F.col(id_col).cast("long").eqNullSafe(F.col("_own")) & (key == F.col("_node")), "left_semi")
-    return one.union(blank)
+
+    def rows_of(keys: DataFrame) -> DataFrame:
+        return docs.join(keys, F.col(id_col).cast("long").eqNullSafe(F.col("_own")) & (key == F.col("_node")), "left_semi")
+
+    firsts = kept.select(F.col("component").alias("_own"), "_node")
+    if kept.where(F.col("n") > 1).isEmpty():
+        return rows_of(firsts.union(empty))
+    return rows_of(firsts).dropDuplicates([id_col]).union(rows_of(empty))  # rows repeat: one of them stays
 
 
 ORACLE_SQL = r"""
