@@ -41,7 +41,7 @@ BITS_PER_KEY = 8
 PROBES = 4
 MU = 20.0
 SHARD_BYTES = 64 << 20
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 4 << 20
 MAX_MODEL_BYTES = 8 << 30
 #: Partial counts are handed on when a task holds so many n-grams.
 FLUSH = 3_000_000
