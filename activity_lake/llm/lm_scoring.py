@@ -13,8 +13,10 @@ serves the add-one base score.
 
 Filter and table are cut into shards by hash range of at most SHARD_BYTES; each is one
 broadcast, and a worker scores a chunk of texts against one shard after the other, so its
-memory holds one shard and one chunk however large the corpus is. Broadcasting is refused
-beyond max_model_bytes. Nothing is pruned: every n-gram of the corpus is in the filter.
+memory holds one shard and one chunk however large the corpus is. A model beyond
+max_model_bytes isn't broadcast: chunks send their distinct n-grams to the segments
+instead, and the counts come back to the chunk. Nothing is pruned: every n-gram of the
+corpus is in the filter.
 
 Defined cases: a null or empty text is its end token alone; a null id counts as the empty
 string for the fold; repeated rows are counted and scored each; without training rows all
@@ -29,6 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -203,7 +206,7 @@ def build_segments(partial: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """Corpus totals and the broadcast shards (first segment, end segment, payload)."""
+    """Corpus totals and the broadcast shards, or the table of segments if it is too large."""
 
     order: int
     seg_bits: int
@@ -211,6 +214,7 @@ class Model:
     distinct: int
     estimated: float
     shards: list
+    table: DataFrame | None = None
 
 
 def _payload(rows: list, lo: int, hi: int, order: int) -> dict:
@@ -235,8 +239,9 @@ def train(texts: DataFrame, order: int = ORDER, shard_bytes: int = SHARD_BYTES,
     sums = table.where(F.col("n") == 1).agg(F.sum("total"), F.sum("distinct"), F.sum("estimated")).first()
     weight = F.length("bits") + F.coalesce(F.length("keys"), F.lit(0)) + F.coalesce(F.length("counts"), F.lit(0))
     sizes = {r[0]: r[1] for r in table.groupBy("seg").agg(F.sum(weight)).collect()}  # one row a segment
+    totals = (order, seg_bits, int(sums[0] or 0), int(sums[1] or 0), float(sums[2] or 0))
     if sum(sizes.values()) > max_model_bytes:
-        raise ValueError(f"the model has {sum(sizes.values())} bytes, more than {max_model_bytes}")
+        return Model(*totals, [], table)
     shards, lo, held = [], 0, 0
     for seg in range((1 << seg_bits) + 1):
         if seg == 1 << seg_bits or (held and held + sizes.get(seg, 0) > shard_bytes):
@@ -245,7 +250,7 @@ def train(texts: DataFrame, order: int = ORDER, shard_bytes: int = SHARD_BYTES,
             del part
             lo, held = seg, 0
         held += sizes.get(seg, 0)
-    return Model(order, seg_bits, int(sums[0] or 0), int(sums[1] or 0), float(sums[2] or 0), shards)
+    return Model(*totals, shards)
 
 
 def _use(shard) -> dict:
@@ -279,13 +284,19 @@ def _score_chunk(tok: np.ndarray, border: np.ndarray, m: Model) -> tuple[np.ndar
         del part
         if len(m.shards) > 2:
             _release(shard)
+    return _finish(border, code, exact, est, m)
+
+
+def _finish(border: np.ndarray, code: np.ndarray, exact: np.ndarray, est: dict, m: Model) -> tuple[np.ndarray, ...]:
+    """(n_tokens, n_known, base, score) of each text from the counts: exact and est[1] of
+    the distinct words (code: each token's), est[n] of the n-gram that ends at each token."""
     p = ((est[1] + 1) / (m.estimated + m.distinct + 1))[code]
-    context = np.empty(len(tok))
+    context = np.empty(len(code))
     uni = est[1][code]
     end = uni[border[1:] - 1]
     for n in range(2, m.order + 1):
         seen = uni if n == 2 else np.minimum(est[n - 1], context)
-        context = np.empty(len(tok))
+        context = np.empty(len(code))
         context[1:] = seen[:-1]
         context[border[:-1]] = end  # before a text stand end tokens
         p = (np.minimum(est[n], context) + MU * p) / (context + MU)
@@ -295,38 +306,122 @@ def _score_chunk(tok: np.ndarray, border: np.ndarray, m: Model) -> tuple[np.ndar
             np.add.reduceat(base, at), np.add.reduceat(np.log10(p), at))
 
 
+def _chunks(batches):
+    """(texts' tokens, borders, rows) of chunks of about CHUNK_BYTES of text."""
+    held, size = [], 0
+
+    def joined():
+        tok = np.concatenate([h[0] for h in held])
+        shift = np.cumsum([0] + [len(h[0]) for h in held])
+        border = np.concatenate([h[1][:-1] + s for h, s in zip(held, shift)] + [shift[-1:]])
+        rows = pa.concat_batches([h[2] for h in held])
+        held.clear()
+        return tok, border, rows
+
+    for batch in batches:
+        for at, buf, offs in X.blocks(batch.column("text")):
+            held.append((*tokens(buf, offs), batch.slice(at, len(offs) - 1)))
+            size += len(buf)
+            if size >= CHUNK_BYTES:
+                yield joined()
+                size = 0
+    if held:
+        yield joined()
+
+
+_OUT = "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def _routed(src: DataFrame, m: Model, kind: str) -> DataFrame:
+    """Scores without a broadcast. A chunk's rows and the distinct n-grams that it asks for
+    are stored; a segment answers all chunks that ask for its n-grams; the answers meet
+    the chunk's rows again. A group is one segment or one chunk."""
+    order, seg_bits = m.order, m.seg_bits
+    totals = Model(order, seg_bits, m.total, m.distinct, m.estimated, [])
+
+    def split(batches):
+        part = TaskContext.get().partitionId()
+        for number, (tok, border, rows) in enumerate(_chunks(batches)):
+            chunk = f"{part}-{number}"
+            n, none = len(rows), lambda k, t: pa.nulls(k, t)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chunk] * n), rows.column("id"), rows.column("text"), rows.column("held_out"), none(n, pa.int32()),
+                 none(n, pa.int32()), none(n, pa.binary())], names=["chunk", "id", "text", "held_out", "n", "seg", "keys"])
+            for size in range(1, order + 1):
+                keys = np.unique(grams(tok, border, size))
+                cut = np.searchsorted((keys >> np.uint64(64 - seg_bits)).astype(np.int64), np.arange((1 << seg_bits) + 1))
+                some = np.flatnonzero(np.diff(cut))
+                k = len(some)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk] * k), none(k, rows.column("id").type), none(k, rows.column("text").type), none(k, pa.bool_()),
+                     pa.array(np.full(k, size, np.int32)), pa.array(some.astype(np.int32)),
+                     pa.array([keys[cut[x]:cut[x + 1]].tobytes() for x in some], pa.binary())],
+                    names=["chunk", "id", "text", "held_out", "n", "seg", "keys"])
+
+    src = src.withColumn("id", F.col("id").cast("string"))  # pandas has no integers beside nulls
+    parts = stored(src.mapInArrow(split, "chunk string, id string, text binary, held_out boolean, n int, seg int, keys binary"), "asked")
+
+    def answer(asked: pd.DataFrame, segment: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for ask in asked.itertuples(index=False):
+            keys = np.frombuffer(ask.keys, np.uint64)
+            lev, exact = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+            if len(segment):
+                own = segment.iloc[0]
+                data = np.frombuffer(own["bits"], np.uint8)
+                lev = probe_levels(keys if ask.n == 1 else short(keys, seg_bits), np.zeros(len(keys), np.int64),
+                                   np.array([0]), np.array([len(data) * 8]), data)
+                if ask.n == 1:
+                    known, counts = np.frombuffer(own["keys"], np.uint64), np.frombuffer(own["counts"], np.int64)
+                    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                    exact = np.where(known[at] == keys, counts[at], 0)
+            out.append((ask.chunk, ask.n, ask.keys, lev.astype(np.uint8).tobytes(), exact.tobytes() if ask.n == 1 else None))
+        return pd.DataFrame(out, columns=["chunk", "n", "keys", "levels", "exact"])
+
+    asked = parts.where(F.col("n").isNotNull()).select("chunk", "n", "seg", "keys")
+    answers = asked.groupBy("n", "seg").cogroup(m.table.select("n", "seg", "bits", "keys", "counts").groupBy("n", "seg")).applyInPandas(
+        answer, "chunk string, n int, keys binary, levels binary, exact binary")
+
+    def finish(rows: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
+        data = b"".join(rows["text"])
+        offs = np.concatenate(([0], np.cumsum([len(t) for t in rows["text"]])))
+        tok, border = tokens(np.frombuffer(data, np.uint8), offs)
+        est, exact, code = {}, None, None
+        for n in range(1, order + 1):
+            own = got[got["n"] == n]
+            keys = np.frombuffer(b"".join(own["keys"]), np.uint64)
+            by = np.argsort(keys)
+            means = _MEANS[np.frombuffer(b"".join(own["levels"]), np.uint8)][by]
+            at = np.searchsorted(keys[by], grams(tok, border, n))
+            if n == 1:
+                code, est[1], exact = at, means, np.frombuffer(b"".join(own["exact"]), np.int64)[by]
+            else:
+                est[n] = means[at]
+        count, known, base, score = _finish(border, code, exact, est, totals)
+        return pd.DataFrame({"id": rows["id"], "held_out": rows["held_out"], "n_tokens": count, "n_known": known,
+                             "train_tokens": totals.total, "base_score": base, "score": score})
+
+    texts = parts.where(F.col("n").isNull()).select("chunk", "id", F.coalesce("text", F.lit(b"")).alias("text"), "held_out")
+    out = texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(finish, f"id string, {_OUT}")
+    return out.withColumn("id", F.col("id").cast(kind))
+
+
 def score_texts(docs: DataFrame, held_out: Callable[[str], Column], id_col: str = "doc_id", text_col: str = "text",
-                order: int = ORDER, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+                order: int = ORDER, shard_bytes: int = SHARD_BYTES, max_model_bytes: int = MAX_MODEL_BYTES) -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row; the
     model learns from the rows whose id's held_out(column name) is false."""
     src = docs.select(F.col(id_col).alias("id"), text_bytes(docs, text_col).alias("text"), held_out(id_col).alias("held_out"))
-    m = train(src.where(~F.col("held_out")).select("text"), order, shard_bytes)
+    m = train(src.where(~F.col("held_out")).select("text"), order, shard_bytes, max_model_bytes)
     kind = src.schema["id"].dataType.simpleString()
+    if m.table is not None:
+        return _routed(src, m, kind)
 
     def run(batches):
-        held, size = [], 0
-
-        def flush():
-            tok = np.concatenate([h[0] for h in held])
-            shift = np.cumsum([0] + [len(h[0]) for h in held])
-            border = np.concatenate([h[1][:-1] + s for h, s in zip(held, shift)] + [shift[-1:]])
+        for tok, border, rows in _chunks(batches):
             n, known, base, score = _score_chunk(tok, border, m)
-            rows = pa.concat_batches([h[2] for h in held])
-            held.clear()
-            return pa.RecordBatch.from_arrays(
-                [rows.column(0), rows.column(1), pa.array(n), pa.array(known), pa.array(np.full(len(n), m.total)),
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("id"), rows.column("held_out"), pa.array(n), pa.array(known), pa.array(np.full(len(n), m.total)),
                  pa.array(base), pa.array(score)],
                 names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-        for batch in batches:
-            for at, buf, offs in X.blocks(batch.column("text")):
-                tok, border = tokens(buf, offs)
-                held.append((tok, border, batch.select(["id", "held_out"]).slice(at, len(offs) - 1)))
-                size += len(buf)
-                if size >= CHUNK_BYTES:
-                    yield flush()
-                    size = 0
-        if held:
-            yield flush()
-
-    return src.mapInArrow(run, f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return src.mapInArrow(run, f"id {kind}, {_OUT}")

@@ -134,6 +134,17 @@ def test_lm_base_is_exact_and_model_helps(request):
         assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
 
 
+def test_lm_beyond_the_broadcast_bound(request, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "CHUNK_BYTES", 50_000)
+    for df in frames(request):
+        key = lambda r: (r["id"] is None, r["id"], r["n_tokens"], r["score"])
+        one = sorted(lm_scoring.score_texts(df, queries.lm_held_out).collect(), key=key)
+        two = sorted(lm_scoring.score_texts(df, queries.lm_held_out, max_model_bytes=0).collect(), key=key)
+        assert [r[:5] for r in one] == [r[:5] for r in two]
+        for a, b in zip(one, two):
+            assert math.isclose(a["score"], b["score"], rel_tol=1e-9) and math.isclose(a["base_score"], b["base_score"], rel_tol=1e-9)
+
+
 def test_lm_matches_the_formula_when_the_filter_has_no_false_hits(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "BITS_PER_KEY", 64)
     texts = ["a b a b a c", "b a", "", None, "d d d d d d d"]
