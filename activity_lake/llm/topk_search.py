@@ -86,9 +86,11 @@ def top_k(vectors: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str =
     shards = _blocks(rows, "shards").select("dim", F.col("block").alias("shard"), "ids", "vs")
     queries = _blocks(rows.where(F.pmod(F.col("id"), F.lit(query_step)) == 0), "queries").select(
         "dim", F.col("block").alias("qblock"), F.col("ids").alias("qids"), F.col("vs").alias("qvs"))
-    # Each query block visits every shard of its dimension: the stated set against all rows, in tiles.
-    places = shards.select("dim", "shard").distinct()
-    tiles = queries.join(places, "dim").join(shards, ["dim", "shard"])
+    # Each query block visits every shard of its dimension: the stated set against all
+    # rows, in tiles. Blocks are copied where they are, then dealt by shard.
+    sizes = shards.groupBy("dim").agg((F.max("shard") + 1).alias("n_shards"))
+    visits = queries.join(sizes, "dim").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("n_shards") - 1)))
+    tiles = visits.drop("n_shards").join(shards, ["dim", "shard"])
 
     def run(batches):
         for pdf in batches:
@@ -100,7 +102,7 @@ def top_k(vectors: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str =
     lists = tiles.select("shard", "qids", "qvs", "ids", "vs").mapInPandas(
         run, "query_id long, vec_id long, score long, shard int")
     # Tree merge: each level keeps the k best of FAN lists; the last level spans all shards.
-    n_shards = places.groupBy("dim").count().agg(F.max("count")).first()[0] or 0
+    n_shards = sizes.agg(F.max("n_shards")).first()[0] or 0
     width = 1
     while True:
         width *= FAN
