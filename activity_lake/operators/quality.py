@@ -240,6 +240,15 @@ def accepted_values_check(df: DataFrame, col: str, values: Sequence, name: str)
     return a.select(*_row(f"{name}.{col} accepted values", F.col("v") == 0, F.col("v"), 0))
 
 
+def declared_checks(df: DataFrame, not_null: Sequence[str], accepted: Sequence[tuple[str, Sequence]], name: str) -> DataFrame:
+    """J12 and J13 of one table in one aggregate."""
+    nulls = {f"{name}.{c} not null": F.col(c).isNull() for c in not_null}
+    strange = {f"{name}.{c} accepted values": F.col(c).isNotNull() & ~F.col(c).isin(list(v)) for c, v in accepted}
+    checks = {**nulls, **strange}
+    a = df.agg(*[F.count_if(bad).alias(f"c{i}") for i, bad in enumerate(checks.values())])
+    return _rows(a, [_row(n, F.col(f"c{i}") == 0, F.col(f"c{i}"), 0) for i, n in enumerate(checks)])
+
+
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose non-NULL foreign key has no parent (anti join)."""
     p = parent.select(F.col(pk).alias("_pk")).distinct()

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import bronze as B
 from ..operators import dims, facts, silver
 from ..session import configure, shared_dir
+from ..sources import raw as RAW
 from ..sources import sinks as SK
 from . import adapters as A
 
@@ -103,6 +104,15 @@ class Lake:
         self._stored[name] = SK.read_layer(self.spark, path)
         return self._stored[name]
 
+    def raw_files(self) -> str:
+        """Folder of adapter E as hourly gzip files, written once per application and input."""
+        key = (self.spark.sparkContext.applicationId, shared_dir(self.spark, ""), _input_stamp(self.spark, self.sf_dir), "raw_files")
+        if key not in _LAYERS:
+            path = shared_dir(self.spark, f"lake-{uuid.uuid4().hex[:12]}/raw")
+            RAW.write_raw(self.event_raw(), path)
+            _LAYERS[key] = path
+        return _LAYERS[key]
+
     def profile_raw(self) -> DataFrame:
         """The mixed profiling feed, stored once as a table of raw lines."""
         return self._bronze_layer("profile_raw", lambda: A.profile_feed(self.spark, self.sf_dir))

@@ -27,13 +27,6 @@ def _scratch(spark, tag: str) -> str:
     return shared_dir(spark, f"{tag}-{uuid.uuid4().hex[:12]}")
 
 
-def _raw_files(spark, sf_dir, base: str) -> str:
-    """Adapter E written as hourly gzip files (one folder per day and hour)."""
-    path = f"{base}/raw"
-    RAW.write_raw(Lake(spark, sf_dir).event_raw(), path)
-    return path
-
-
 @register("raw_file_scan", q("E", """
     SELECT event_date, count(*) AS rows, count(DISTINCT hour(created_ts)) AS hours,
            count(DISTINCT event_id) AS ids
@@ -42,8 +35,7 @@ def raw_file_scan(spark, sf_dir):
     """Write the feed as hourly .gz files, scan them back (date and hour taken
     from the file path), extract bronze, count per day."""
     configure(spark)
-    base = _scratch(spark, "raw-scan")
-    path = _raw_files(spark, sf_dir, base)
+    path = Lake(spark, sf_dir).raw_files()
     br = B.to_bronze(RAW.scan_raw(spark, path))
     return (br.groupBy("event_date")
             .agg(F.count(F.lit(1)).alias("rows"),
@@ -77,8 +69,7 @@ def write_roundtrip(spark, sf_dir):
 def file_inventory(spark, sf_dir):
     """State of every hour of the window (ok, empty or absent), from the file listing."""
     configure(spark)
-    base = _scratch(spark, "inventory")
-    path = _raw_files(spark, sf_dir, base)
+    path = Lake(spark, sf_dir).raw_files()
     return RAW.hour_states(spark, path, *A.EVENT_WINDOW)
 
 
@@ -90,7 +81,7 @@ def storage_report(spark, sf_dir):
     sizes depend on the codec, so the registered columns are those that don't."""
     configure(spark)
     base = _scratch(spark, "storage")
-    path = _raw_files(spark, sf_dir, base)
+    path = Lake(spark, sf_dir).raw_files()
     SK.write_partitioned(B.retain_payload(B.to_bronze(RAW.scan_raw(spark, path))), f"{base}/bronze")
     rep = RAW.storage_report(spark, path, f"{base}/bronze")
     return rep.select("event_date", "hours_in", (F.col("bytes_in") > 0).alias("has_bytes_in"),

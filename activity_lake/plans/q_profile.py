@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import planning as PL
 from ..operators import profiling as PF
 from ..operators.quality import hours_per_day
+from ..sources import raw as RAW
 from . import adapters as A
 from .oracle import q
 from .pipeline import Lake
@@ -50,7 +51,7 @@ def pending_days(spark, sf_dir):
     lake = Lake(spark, sf_dir)
     done = (hours_per_day(lake.stream_events()).where(F.col("hours") == 24)
             .select(F.col("event_date").alias("day")))
-    available = lake.event_raw().select(F.to_date("file_date").alias("day"))
+    available = RAW.file_inventory(spark, lake.raw_files()).select(F.col("file_date").alias("day"))
     return PL.pending_days(spark, E_LO, E_HI, done=done, gaps=GAPS, available=available)
 
 
@@ -60,9 +61,9 @@ def pending_days(spark, sf_dir):
     WHERE (CAST(t AS DATE), hour(t)) NOT IN (SELECT DISTINCT event_date, hour(created_ts) FROM e_typed)"""),
     ops="C7")
 def missing_hours(spark, sf_dir):
-    """Hours of the window with no source file (inventory from the raw feed)."""
-    inv = (Lake(spark, sf_dir).event_raw()
-           .select(F.to_date("file_date").alias("day"), F.col("file_hour").alias("hour")))
+    """Hours of the window with no source file, from the file listing."""
+    inv = (RAW.file_inventory(spark, Lake(spark, sf_dir).raw_files())
+           .select(F.col("file_date").alias("day"), F.col("file_hour").alias("hour")))
     return PL.missing_hours(spark, E_LO, E_HI, inv)
 
 
