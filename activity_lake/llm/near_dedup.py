@@ -41,6 +41,8 @@ BANDS, ROWS = 40, 5
 #: threshold: four to five standard errors of the estimate from 200 registers.
 MARGIN = 0.12
 TILE = 1024
+#: Most nodes (one 64-bit number each) that are broadcast to filter texts at the scan.
+BROADCAST_NODES = 2_000_000
 
 _RNG = np.random.default_rng(20240607)
 _MUL = (_RNG.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1))[:, None]
@@ -164,7 +166,13 @@ def _texts(docs: DataFrame, text_col: str, need: DataFrame) -> DataFrame:
     """node, text of the nodes in `need`, one row each."""
     texts = docs.select(F.unhex(F.md5(F.coalesce(text_bytes(docs, text_col), F.lit(b"")))).alias("node"),
                         text_bytes(docs, text_col).alias("text"))
-    return texts.join(need.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    need = need.select("node").distinct()
+    if need.count() <= BROADCAST_NODES:
+        # Drops the texts that no pair needs where they are read; a hash collision only
+        # lets a text through to the join below. Beyond the bound all texts are shuffled.
+        few = need.select(F.xxhash64("node").alias("_k")).distinct()
+        texts = texts.join(F.broadcast(few), F.xxhash64("node") == F.col("_k"), "left_semi")
+    return texts.join(need, "node", "left_semi").dropDuplicates(["node"])
 
 
 def _shingle_set(text: bytes, width: int) -> np.ndarray:
