@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from . import _text as X
 from ._spark import text_bytes
 
-#: The sample on which costs and selectivities are estimated (rows, drawn by hash).
+#: The sample on which costs and selectivities are estimated (expected rows, drawn by hash).
 SAMPLE_ROWS = 400
 
 #: Thresholds of the rules.
@@ -169,8 +169,11 @@ def plan(texts: list[bytes], rules: tuple[Rule, ...] = RULES) -> list[Measured]:
 def cascade(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", rules: tuple[Rule, ...] = RULES,
             sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
     """The rules in the order estimated on a bounded sample of docs."""
-    draw = docs.select(text_bytes(docs, text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string")).alias("h"))
-    sample = [r[0] or b"" for r in draw.orderBy("h").select("text").limit(sample_rows).collect()]
+    share = min(1.0, sample_rows / max(docs.count(), 1))
+    below = min(-2**63 + int(share * 2**64), 2**63 - 1)
+    draw = docs.where(F.xxhash64(F.col(id_col).cast("string")) <= below).select(text_bytes(docs, text_col).alias("text"))
+    # About sample_rows texts in all; the limit holds if many rows share a drawn id.
+    sample = [r[0] or b"" for r in draw.limit(2 * sample_rows).collect()]
     by_name = {r.name: r for r in rules}
     return [by_name[m.name] for m in plan(sample, rules)]
 
