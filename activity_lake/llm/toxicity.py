@@ -6,7 +6,9 @@ logistic layer on the pooled values gives the score. Labels, language, source an
 are no inputs. Thresholds are calibrated by language on rows kept out of training.
 
 Training takes a bounded sample of labelled rows (SAMPLE_TOXIC and SAMPLE_CLEAN rows,
-drawn by a hash of the id) on the driver; scoring is one map over whole texts. Only
+drawn by a hash of the id) on the driver; scoring is one map over whole texts. Both classes
+of all labelled rows are counted, and the logit is shifted by the ratio of their sampling
+rates: a score stands for the share among all labelled rows, whatever the sample's mix. Only
 buckets that occur in MIN_DF sampled texts have a vector; others are zero, so words that
 the sample doesn't hold can't move a score by a hash collision or by chance.
 
@@ -27,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _text as X
-from ._spark import text_bytes
+from ._spark import stored, text_bytes
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 3000
 THRESHOLD = 0.3
@@ -111,8 +113,10 @@ class Net:
         return self.thresholds.get(lang, self.thresholds.get("", THRESHOLD))
 
 
-def fit(texts: list[bytes], labels: np.ndarray, langs: list[str | None], seed: int = 7) -> Net | None:
-    """A trained net, or None if the rows don't hold both classes."""
+def fit(texts: list[bytes], labels: np.ndarray, langs: list[str | None], seed: int = 7,
+        weights: tuple[float, float] = (1.0, 1.0)) -> Net | None:
+    """A trained net, or None if the rows don't hold both classes. A row of class y stands
+    for weights[y] rows."""
     if len(set(labels.tolist())) < 2:
         return None
     rng = np.random.default_rng(seed)
@@ -144,7 +148,7 @@ def fit(texts: list[bytes], labels: np.ndarray, langs: list[str | None], seed: i
             # Dropped buckets make the rest of a text's evidence count as well.
             kept = rng.random(len(net.emb)) >= DROP
             _step(net, rows, labels, train[at:at + BATCH], g2, kept)
-    _calibrate(net, texts, labels, langs, np.flatnonzero(hold) if hold.any() else train)
+    _calibrate(net, texts, labels, langs, np.flatnonzero(hold) if hold.any() else train, weights)
     return net
 
 
@@ -201,20 +205,23 @@ def _step(net: Net, rows: list[np.ndarray], labels: np.ndarray, batch: np.ndarra
     net.out_bias -= RATE * d_b / m / np.sqrt(g2["b"])
 
 
-def _best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The middle of the cut range with the best F1."""
+def _best_threshold(scores: np.ndarray, labels: np.ndarray, weights: tuple[float, float]) -> float:
+    """The middle of the cut range with the best F1, rows counted by their class's weight."""
     order = np.argsort(-scores)
     s, y = scores[order], labels[order]
-    hits = np.cumsum(y)
-    f1 = 2 * hits / (np.arange(len(y)) + 1 + y.sum())
+    w = np.where(y == 1, weights[1], weights[0])
+    hits = np.cumsum(w * y)
+    f1 = 2 * hits / (np.cumsum(w) + hits[-1])
     k = int(np.argmax(f1))
     low = s[k + 1] if k + 1 < len(s) else 0.0
     return float(np.clip((s[k] + low) / 2, 0.1, 0.7))
 
 
-def _calibrate(net: Net, texts: list[bytes], labels: np.ndarray, langs: list[str | None], at: np.ndarray) -> None:
+def _calibrate(net: Net, texts: list[bytes], labels: np.ndarray, langs: list[str | None], at: np.ndarray,
+               weights: tuple[float, float]) -> None:
     """Scales the logit on rows kept out of training (logistic fit, drawn towards the
-    identity), then sets thresholds by language."""
+    identity) and shifts it from the sample's odds to those of all labelled rows, then sets
+    thresholds by language."""
     score = lambda: np.concatenate([net.score_block(np.frombuffer(texts[i], np.uint8), np.array([0, len(texts[i])])) for i in at])
     y = labels[at]
     s = np.clip(score(), 1e-12, 1 - 1e-12)
@@ -226,13 +233,13 @@ def _calibrate(net: Net, texts: list[bytes], labels: np.ndarray, langs: list[str
         hess = (design * (p * (1 - p))[:, None]).T @ design + 0.5 * np.eye(2)
         step = np.linalg.solve(hess, design.T @ (p - y) + 0.5 * (w - prior))
         w = w - np.clip(step, -1, 1)
-    if w[0] > 0:
-        net.scale = (float(w[0]), float(w[1]))
+    net.scale = (float(w[0]), float(w[1])) if w[0] > 0 else net.scale
+    net.scale = (net.scale[0], net.scale[1] + float(np.log(weights[1] / weights[0])))
     s = score()
     for lang in {langs[i] for i in at if langs[i] is not None}:
         own = np.array([langs[i] == lang for i in at])
         if min((y[own] == 1).sum(), (y[own] == 0).sum()) >= MIN_CALIBRATION:
-            net.thresholds[lang] = _best_threshold(s[own], y[own])
+            net.thresholds[lang] = _best_threshold(s[own], y[own], weights)
 
 
 def train(docs: DataFrame, labels: DataFrame, held_out: Callable[[str], Column], id_col: str = "doc_id",
@@ -242,14 +249,17 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Callable[[str], Column],
     ids = docs.select(F.col(id_col).cast("long").alias("id")).where(F.col("id").isNotNull()).distinct()
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).where(
         F.col("y").isin(0, 1) & F.col("id").isNotNull()).groupBy("id").agg(F.max("y").alias("y"))
-    known = known.where(~held_out("id")).join(ids, "id", "left_semi")
+    known = stored(known.where(~held_out("id")).join(ids, "id", "left_semi"), "labelled")
+    count = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     part = lambda y, n: known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(n)
     drawn = part(1, sample[0]).union(part(0, sample[1]))
     src = docs.select(F.col(id_col).cast("long").alias("id"), text_bytes(docs, text_col).alias("text"),
                       (F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")).alias("lang"))
     # drawn has at most sum(sample) rows of two numbers.
     rows = src.join(F.broadcast(drawn), "id").dropDuplicates(["id"]).orderBy("id").collect()
-    return fit([r["text"] or b"" for r in rows], np.array([r["y"] for r in rows]), [r["lang"] for r in rows])
+    y = np.array([r["y"] for r in rows])
+    weights = tuple(count.get(k, 0) / max((y == k).sum(), 1) for k in (0, 1))
+    return fit([r["text"] or b"" for r in rows], y, [r["lang"] for r in rows], weights=weights)
 
 
 def _scores(net: Net | None, column: pa.Array) -> np.ndarray:

@@ -217,6 +217,31 @@ def test_toxicity_score_ignores_block_borders(edge):
 
 
 # ---- 5 top-k
+def toxic_rows(n, share, seed, langs=("en",)):
+    """(doc_id, text, lang, toxic): a toxic text mostly holds one of the marks, a clean one seldom."""
+    rng = random.Random(seed)
+    vocab, marks = [f"w{i}" for i in range(60)], [f"mark{i}" for i in range(4)]
+    rows = []
+    for i in range(n):
+        toxic = int(rng.random() < share)
+        text = [rng.choice(vocab) for _ in range(12)]
+        if rng.random() < (0.7 if toxic else 0.1):
+            text[rng.randrange(12)] = rng.choice(marks)
+        rows.append((i, " ".join(text), langs[i % len(langs)], toxic))
+    return rows
+
+
+def test_toxicity_score_means_the_share_of_the_table_when_the_caps_bite(spark):
+    rows = toxic_rows(12000, 0.06, 3)
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    net = toxicity.train(docs, labels, lambda c: F.lit(False), sample=(400, 600))
+    truth = {r[0]: r[3] for r in rows}
+    scores = [r["score"] for r in toxicity.score(docs, net).collect()]
+    # The sample's mix is 40% toxic; the calibration fold holds about 200 rows.
+    assert 0.6 < np.mean(scores) / np.mean(list(truth.values())) < 1.6
+
+
 def brute_topk(rows, k):
     vecs = [(i, [math.floor(256 * x) for x in v]) for i, v in rows
             if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
