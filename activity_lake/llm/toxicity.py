@@ -3,7 +3,9 @@
 A word's vector is the sum of hashed embeddings of the word and of its first 4 and 6
 bytes. Filters of width 1, 2 and 3 slide over the whole text; each is max-pooled, and a
 logistic layer on the pooled values gives the score. Labels, language, source and id
-are no inputs. Thresholds are calibrated by language on rows kept out of training.
+are no inputs. Thresholds are calibrated by language on all labelled rows that the net wasn't
+trained on: Spark counts them by language, class and score bin, and each cut has the best F1
+over these histograms, in which a language's class counts as many rows as it has labelled.
 
 Training takes a bounded sample of labelled rows (SAMPLE_TOXIC and SAMPLE_CLEAN rows,
 drawn by a hash of the id) on the driver; scoring is one map over whole texts. Both classes
@@ -13,7 +15,8 @@ buckets that occur in MIN_DF sampled texts have a vector; others are zero, so wo
 the sample doesn't hold can't move a score by a hash collision or by chance.
 
 Defined cases: a null, empty or blank text has the score of no evidence; a null or
-unknown language takes the global threshold; a sample without both classes gives the
+unknown language, and one with fewer than MIN_CALIBRATION such rows of either class, takes
+the global threshold (with too few rows in all languages together: THRESHOLD); a sample without both classes gives the
 score 0 for all; rows whose label is null aren't used; repeated rows are scored alike; an empty
 table gives an empty result; `keep_clean` passes all input columns through untouched.
 """
@@ -38,6 +41,8 @@ DIM, FILTERS, WIDTHS = 12, 8, (1, 2, 3)
 EPOCHS, BATCH, RATE, DECAY, DROP = 8, 32, 0.15, 5e-4, 0.4
 #: A language's own threshold needs so many calibration rows of each class.
 MIN_CALIBRATION = 15
+#: Equal score bins of the histograms that thresholds are chosen from.
+BINS = 1000
 PAD = 3
 
 #: Words are runs of ASCII letters and digits and of all bytes beyond ASCII.
@@ -80,7 +85,8 @@ class Net:
     out: np.ndarray = field(default_factory=lambda: np.zeros(len(WIDTHS) * FILTERS))
     out_bias: float = 0.0
     scale: tuple[float, float] = (1.0, 0.0)                # logit -> slope * logit + shift
-    thresholds: dict[str, float] = field(default_factory=dict)
+    thresholds: dict[str, float] = field(default_factory=dict)   # "" -> the global one
+    trained: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64), repr=False)  # positions in the sample
 
     def rows(self, buckets: np.ndarray) -> np.ndarray:
         """Embedding rows of buckets (0 for unknown ones)."""
@@ -113,6 +119,21 @@ class Net:
         return self.thresholds.get(lang, self.thresholds.get("", THRESHOLD))
 
 
+def _hold(labels: np.ndarray, langs: list[str | None], rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """(rows kept out of training, rows that each of them stands for). A fifth of each class
+    of each language, but MIN_CALIBRATION rows where it has twice as many."""
+    strata: dict[tuple, list[int]] = {}
+    for i, key in enumerate(zip(langs, labels.tolist())):
+        strata.setdefault(key, []).append(i)
+    hold, weight = np.zeros(len(labels), bool), np.ones(len(labels))
+    for at in strata.values():
+        n = len(at)
+        mean = max(0.2 * n, MIN_CALIBRATION if n >= 2 * MIN_CALIBRATION else 0)
+        hold[rng.permutation(at)[:int(mean + rng.random())]] = True
+        weight[at] = n / mean
+    return hold, weight
+
+
 def fit(texts: list[bytes], labels: np.ndarray, langs: list[str | None], seed: int = 7,
         weights: tuple[float, float] = (1.0, 1.0)) -> Net | None:
     """A trained net, or None if the rows don't hold both classes. A row of class y stands
@@ -125,9 +146,11 @@ def fit(texts: list[bytes], labels: np.ndarray, langs: list[str | None], seed: i
         buf = np.frombuffer(t, np.uint8)
         b, code, _ = features(buf, np.array([0, len(buf)]))
         docs.append(b[code] if len(code) else np.zeros((0, 1 + len(_PREFIXES)), np.uint64))
-    hold = rng.random(len(docs)) < 0.2
+    hold, stands_for = _hold(labels, langs, rng)
     if len(set(labels[~hold].tolist())) < 2:
         hold[:] = False
+    if not hold.any():
+        stands_for[:] = 1
     seen = np.concatenate([np.unique(d) for d, h in zip(docs, hold) if not h])
     known, df = np.unique(seen, return_counts=True)
     known = known[(df >= MIN_DF) & (known > 0)]
@@ -137,6 +160,7 @@ def fit(texts: list[bytes], labels: np.ndarray, langs: list[str | None], seed: i
         net.bias[w] = np.zeros(FILTERS)
     net.out = rng.uniform(0.2, 0.6, len(WIDTHS) * FILTERS)
     train = np.flatnonzero(~hold)
+    net.trained = train.copy()
     rows = [net.rows(d) for d in docs]
     rate = labels[train].mean()
     net.out_bias = float(np.log(rate / (1 - rate)))
@@ -148,7 +172,7 @@ def fit(texts: list[bytes], labels: np.ndarray, langs: list[str | None], seed: i
             # Dropped buckets make the rest of a text's evidence count as well.
             kept = rng.random(len(net.emb)) >= DROP
             _step(net, rows, labels, train[at:at + BATCH], g2, kept)
-    _calibrate(net, texts, labels, langs, np.flatnonzero(hold) if hold.any() else train, weights)
+    _calibrate(net, texts, labels, np.flatnonzero(hold) if hold.any() else train, stands_for, weights)
     return net
 
 
@@ -205,47 +229,75 @@ def _step(net: Net, rows: list[np.ndarray], labels: np.ndarray, batch: np.ndarra
     net.out_bias -= RATE * d_b / m / np.sqrt(g2["b"])
 
 
-def _best_threshold(scores: np.ndarray, labels: np.ndarray, weights: tuple[float, float]) -> float:
-    """The middle of the cut range with the best F1, rows counted by their class's weight."""
-    order = np.argsort(-scores)
-    s, y = scores[order], labels[order]
-    w = np.where(y == 1, weights[1], weights[0])
-    hits = np.cumsum(w * y)
-    f1 = 2 * hits / (np.cumsum(w) + hits[-1])
+def _best_threshold(clean: np.ndarray, toxic: np.ndarray) -> float:
+    """The middle of the cut range with the best F1, from each class's rows by score bin."""
+    hits, flagged = np.cumsum(toxic[::-1]), np.cumsum((clean + toxic)[::-1])
+    f1 = 2 * hits / (flagged + hits[-1])          # of a cut below the k-th bin from the top
     k = int(np.argmax(f1))
-    low = s[k + 1] if k + 1 < len(s) else 0.0
-    return float(np.clip((s[k] + low) / 2, 0.1, 0.7))
+    more = np.flatnonzero(flagged[k:] > flagged[k])
+    low = k + int(more[0]) - 1 if len(more) else BINS - 1      # empty bins below may be cut or not
+    return float(np.clip((BINS - 1 - (k + low) / 2) / BINS, 0.1, 0.7))
 
 
-def _calibrate(net: Net, texts: list[bytes], labels: np.ndarray, langs: list[str | None], at: np.ndarray,
+def _calibrate(net: Net, texts: list[bytes], labels: np.ndarray, at: np.ndarray, stands_for: np.ndarray,
                weights: tuple[float, float]) -> None:
     """Scales the logit on rows kept out of training (logistic fit, drawn towards the
-    identity) and shifts it from the sample's odds to those of all labelled rows, then sets
-    thresholds by language."""
-    score = lambda: np.concatenate([net.score_block(np.frombuffer(texts[i], np.uint8), np.array([0, len(texts[i])])) for i in at])
+    identity) and shifts it from the sample's odds to those of all labelled rows."""
     y = labels[at]
-    s = np.clip(score(), 1e-12, 1 - 1e-12)
+    s = np.concatenate([net.score_block(np.frombuffer(texts[i], np.uint8), np.array([0, len(texts[i])])) for i in at])
+    s = np.clip(s, 1e-12, 1 - 1e-12)
     x = np.log(s / (1 - s))
     design = np.stack((x, np.ones(len(x))), axis=1)
+    own = stands_for[at] * len(at) / stands_for[at].sum()
     w, prior = np.array([1.0, 0.0]), np.array([1.0, 0.0])
     for _ in range(30):
         p = _sigmoid(design @ w)
-        hess = (design * (p * (1 - p))[:, None]).T @ design + 0.5 * np.eye(2)
-        step = np.linalg.solve(hess, design.T @ (p - y) + 0.5 * (w - prior))
+        hess = (design * (own * p * (1 - p))[:, None]).T @ design + 0.5 * np.eye(2)
+        step = np.linalg.solve(hess, design.T @ (own * (p - y)) + 0.5 * (w - prior))
         w = w - np.clip(step, -1, 1)
     net.scale = (float(w[0]), float(w[1])) if w[0] > 0 else net.scale
     net.scale = (net.scale[0], net.scale[1] + float(np.log(weights[1] / weights[0])))
-    s = score()
-    for lang in {langs[i] for i in at if langs[i] is not None}:
-        own = np.array([langs[i] == lang for i in at])
-        if min((y[own] == 1).sum(), (y[own] == 0).sum()) >= MIN_CALIBRATION:
-            net.thresholds[lang] = _best_threshold(s[own], y[own], weights)
+
+
+def _thresholds(net: Net, src: DataFrame, known: DataFrame, trained: DataFrame) -> dict[str, float]:
+    """Thresholds by language and the global one (""). src (id, text, lang) is scored where it
+    is read; only ids, languages and score bins meet the labels."""
+    edges = np.arange(1, BINS) / BINS
+
+    def run(batches):
+        for batch in batches:
+            bins = np.searchsorted(edges, _scores(net, batch.column("text")), side="right")
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("lang"), pa.array(bins.astype(np.int32))],
+                                             names=["id", "lang", "bin"])
+
+    # Rows of a repeated id count once, as its first language and bin.
+    rows = src.mapInArrow(run, "id long, lang string, bin int").groupBy("id").agg(F.min(F.struct("lang", "bin")).alias("r"))
+    rows = rows.join(known, "id").join(F.broadcast(trained.withColumn("trained", F.lit(1))), "id", "left")
+    # Languages x classes x bins.
+    counts = stored(rows.groupBy(F.col("r.lang").alias("lang"), "y", F.col("r.bin").alias("bin")).agg(
+        F.count("*").alias("n"), F.sum(F.when(F.col("trained").isNull(), 1).otherwise(0)).alias("m")), "bins")
+    sums = counts.groupBy("lang", "y").agg(F.sum("n").alias("all_n"), F.sum("m").alias("all_m")).where("all_m > 0")
+    weighted = counts.where("m > 0").join(sums.withColumnsRenamed({"lang": "_lang", "y": "_y"}),
+                                          F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("y") == F.col("_y"))).select(
+        "lang", "y", "bin", "m", (F.col("m") * F.col("all_n") / F.col("all_m")).alias("w"))
+    enough = sums.where(F.col("lang").isNotNull() & (F.col("all_m") >= MIN_CALIBRATION)).groupBy("lang").agg(
+        F.count("*").alias("classes")).where("classes = 2")
+    # Two classes and BINS bins for each language that has enough rows.
+    own = weighted.join(enough, "lang", "left_semi").select("lang", "y", "bin", "m", "w")
+    total = weighted.groupBy("y", "bin").agg(F.sum("m").alias("m"), F.sum("w").alias("w")).select(
+        F.lit(None).cast("string").alias("lang"), "y", "bin", "m", "w")
+    found: dict[str | None, np.ndarray] = {}
+    for r in own.union(total).collect():
+        found.setdefault(r["lang"], np.zeros((2, 2, BINS)))[:, r["y"], r["bin"]] = r["m"], r["w"]
+    return {lang or "": _best_threshold(*h[1]) for lang, h in found.items()
+            if lang != "" and h[0].sum(axis=1).min() >= MIN_CALIBRATION}
 
 
 def train(docs: DataFrame, labels: DataFrame, held_out: Callable[[str], Column], id_col: str = "doc_id",
           text_col: str = "text", lang_col: str | None = "lang", label_col: str = "toxic",
           sample: tuple[int, int] = (SAMPLE_TOXIC, SAMPLE_CLEAN)) -> Net | None:
-    """The net of a bounded sample of the labelled rows that held_out doesn't withhold."""
+    """The net of a bounded sample of the labelled rows that held_out doesn't withhold, with
+    thresholds from all of them."""
     ids = docs.select(F.col(id_col).cast("long").alias("id")).where(F.col("id").isNotNull()).distinct()
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).where(
         F.col("y").isin(0, 1) & F.col("id").isNotNull()).groupBy("id").agg(F.max("y").alias("y"))
@@ -259,7 +311,12 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Callable[[str], Column],
     rows = src.join(F.broadcast(drawn), "id").dropDuplicates(["id"]).orderBy("id").collect()
     y = np.array([r["y"] for r in rows])
     weights = tuple(count.get(k, 0) / max((y == k).sum(), 1) for k in (0, 1))
-    return fit([r["text"] or b"" for r in rows], y, [r["lang"] for r in rows], weights=weights)
+    net = fit([r["text"] or b"" for r in rows], y, [r["lang"] for r in rows], weights=weights)
+    if net is not None:
+        trained = docs.sparkSession.createDataFrame([(rows[i]["id"],) for i in net.trained], "id long")
+        net.thresholds = _thresholds(net, src.where(F.col("id").isNotNull() & ~held_out("id")), known, trained)
+        net.trained = net.trained[:0]
+    return net
 
 
 def _scores(net: Net | None, column: pa.Array) -> np.ndarray:

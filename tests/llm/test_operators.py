@@ -242,6 +242,39 @@ def test_toxicity_score_means_the_share_of_the_table_when_the_caps_bite(spark):
     assert 0.6 < np.mean(scores) / np.mean(list(truth.values())) < 1.6
 
 
+def test_toxicity_thresholds_come_from_all_labelled_rows(spark):
+    rows = toxic_rows(9000, 0.1, 4, langs=["en"] * 40 + ["fr"] * 19 + ["de"]) + [(9000 + i, "w1 mark1", None, i % 2) for i in range(8)]
+    rows += [(9100 + i, f"w{i} mark{i % 4}", "xx", 1) for i in range(20)]          # one class only
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    net = toxicity.train(docs.union(docs.limit(50)), labels, lambda c: F.lit(False), sample=(150, 300))
+    assert {"", "en", "fr"} <= set(net.thresholds) and "xx" not in net.thresholds
+    assert net.threshold("xx") == net.threshold(None) == net.thresholds[""]
+    truth = {r[0]: r[3] for r in rows}
+    out = toxicity.score(docs.where("lang = 'fr'"), net).collect()
+    s, y = np.array([r["score"] for r in out]), np.array([truth[r["id"]] for r in out])
+    f1 = lambda t: 2 * (y * (s >= t)).sum() / ((s >= t).sum() + y.sum())
+    assert f1(net.thresholds["fr"]) > max(f1(t) for t in np.arange(100, 701) / 1000) - 0.02
+
+
+def test_toxicity_cut_in_bins():
+    rng = np.random.default_rng(3)
+    s, y = rng.random(300), rng.random(300)
+    y = (y < s ** 3).astype(int)
+    bins = [np.bincount((s[y == k] * toxicity.BINS).astype(int), minlength=toxicity.BINS) for k in (0, 1)]
+    f1 = lambda t: 2 * (y * (s >= t)).sum() / ((s >= t).sum() + y.sum())
+    t = toxicity._best_threshold(*bins)
+    assert 0.1 < t < 0.7 and np.isclose(f1(t), max(f1(k / toxicity.BINS) for k in range(toxicity.BINS)))
+
+
+def test_toxicity_fold_is_drawn_by_language():
+    labels = np.array([1] * 40 + [0] * 300 + [1] * 20)
+    langs = ["fr"] * 340 + ["es"] * 20
+    hold, weight = toxicity._hold(labels, langs, np.random.default_rng(1))
+    assert hold[:40].sum() == 15 and hold[40:340].sum() == 60 and hold[340:].sum() == 4
+    assert np.isclose(weight[0], 40 / 15) and weight[50] == 5
+
+
 def brute_topk(rows, k):
     vecs = [(i, [math.floor(256 * x) for x in v]) for i, v in rows
             if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
