@@ -298,7 +298,8 @@ def _across(members: DataFrame, nodes: DataFrame, docs: DataFrame, text_col: str
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     width: int = 5, percent: int = 80) -> DataFrame:
     """One row for each row of docs: id, node, n_shingles, component (smallest id of the
-    texts that are reachable over links of at least percent/100 Jaccard similarity)."""
+    texts that are reachable over links of at least percent/100 Jaccard similarity), label
+    (smallest node of these texts: unlike the id, it is never null or shared by others)."""
     table = stored(sketches(docs, id_col, text_col, width), "sketches")
     nodes = stored(table.where(F.col("n_shingles") > 0).groupBy("node").agg(
         F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs"), F.first("bands").alias("bands")), "nodes")
@@ -318,27 +319,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "label", F.coalesce("label", "node"))
     # Empty sets link with nothing: each such row is its own component.
     names = rows.where(F.col("n_shingles") > 0).groupBy("label").agg(F.min("id").alias("component"))
-    some = rows.where(F.col("n_shingles") > 0).join(names, "label").select("id", "node", "n_shingles", "component")
-    return some.union(rows.where(F.col("n_shingles") == 0).select("id", "node", "n_shingles", F.col("id").alias("component")))
+    some = rows.where(F.col("n_shingles") > 0).join(names, "label").select("id", "node", "n_shingles", "component", "label")
+    return some.union(rows.where(F.col("n_shingles") == 0).select("id", "node", "n_shingles", F.col("id").alias("component"), "label"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
              percent: int = 80) -> DataFrame:
     """docs without near-duplicates: the row with the smallest id of each component stays
-    (one of them, if rows repeat), with all its columns; texts without words all stay."""
+    (one of them, if rows repeat), with all its columns; texts without words all stay.
+    Components are told apart by their label: texts that aren't alike all stay, also if
+    their ids are null or the same."""
     found = stored(near_duplicates(docs, id_col, text_col, width, percent), "found")
     kept = found.where((F.col("n_shingles") > 0) & F.col("id").eqNullSafe(F.col("component")))
-    kept = kept.groupBy("component").agg(F.min("node").alias("_node"), F.count("*").alias("n"))
+    kept = kept.groupBy("label").agg(F.first("component").alias("_own"), F.min("node").alias("_node"), F.count("*").alias("n"))
     empty = found.where(F.col("n_shingles") == 0).select(F.col("id").alias("_own"), F.col("node").alias("_node")).distinct()
     key = F.unhex(F.md5(F.coalesce(text_bytes(docs, text_col), F.lit(b""))))
 
     def rows_of(keys: DataFrame) -> DataFrame:
         return docs.join(keys, F.col(id_col).cast("long").eqNullSafe(F.col("_own")) & (key == F.col("_node")), "left_semi")
 
-    firsts = kept.select(F.col("component").alias("_own"), "_node")
+    firsts = kept.select("_own", "_node")
     if kept.where(F.col("n") > 1).isEmpty():
         return rows_of(firsts.union(empty))
-    return rows_of(firsts).dropDuplicates([id_col]).union(rows_of(empty))  # rows repeat: one of them stays
+    # Rows repeat: one of each id and text stays.
+    once = rows_of(firsts).withColumns({"_id": F.col(id_col).cast("long"), "_key": key}).dropDuplicates(["_id", "_key"])
+    return once.drop("_id", "_key").union(rows_of(empty))
 
 
 ORACLE_SQL = r"""

@@ -376,6 +376,20 @@ def test_keep_one(edge, empty, docs001):
     assert near_dedup.keep_one(empty).count() == 0
 
 
+def test_keep_one_tells_components_apart_by_their_texts(spark):
+    say = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(None, say(0)), (None, say(1)), (None, say(1) + " end"), (None, say(1)), (5, say(2)), (5, say(3)), (5, say(3)), (9, say(2) + " end"),
+            (7, say(4)), (7, say(4)), (None, ""), (3, say(5)), (5, say(5)), (None, say(6)), (8, say(6))]
+    for chosen in (rows, rows[:2], rows[4:6]):      # with and without repeated rows
+        kept = near_dedup.keep_one(spark.createDataFrame(chosen, "doc_id long, text string").repartition(3)).collect()
+        # Each text's number, and the id that stays: the smallest of its group.
+        group = lambda t: re.sub("x.*", "", t)
+        want = {}
+        for i, t in chosen:
+            want[group(t)] = min((x for x, u in chosen if group(u) == group(t) and x is not None), default=None)
+        assert sorted((group(r["text"]), str(r["doc_id"])) for r in kept) == sorted((g, str(i)) for g, i in want.items())
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(1)
     a, b, c = (rng.integers(0, 2**63, n, dtype=np.uint64) for n in (300, 100, 100))
