@@ -7,12 +7,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, lm_scoring, near_dedup, packing, quality, sharding, topk_search, toxicity, url_filter
+from . import (alignment, best_fit, bpe, chat, divergence, lm_scoring, near_dedup, packing, quality, sharding, topk_search,
+               toxicity, url_filter)
 from ._spark import text_bytes
 
 #: Fixed values of the contracts.
 SHARDS = 24
 TOKENIZER = "word_bpe_49k.json"
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
@@ -91,9 +93,26 @@ def op10_chat_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("conv").alias("conv_id"), F.col("n_turns").cast("long").alias("n_turns"), "n_copies", "text")
 
 
+def op11_bulk_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = best_fit.pack_best_fit(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return out.select(F.col("id").alias("doc_id"), "piece", "start", (F.octet_length("ids") / 4).cast("long").alias("length"),
+                      F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op12_align_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = alignment.align(_table(spark, sf_dir, "documents"), *map(public_tokenizers.path, ALIGNED))
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return out.select(F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_shard_interleave, op2_url_filter, op3_lm_bloom, op4_toxicity_cnn, op5_topk_tiles, op6_pack_concat,
-    op7_setsketch_dedup, op8_quality_cascade, op9_bpe, op10_chat_collapse)}
+    op7_setsketch_dedup, op8_quality_cascade, op9_bpe, op10_chat_collapse,
+    op11_bulk_best_fit, op12_align_cuts, op13_source_divergence)}
 
 ORACLE = {
     "op1_shard_interleave": sharding.ORACLE_SQL,
@@ -102,4 +121,5 @@ ORACLE = {
     "op7_setsketch_dedup": near_dedup.ORACLE_SQL,
     "op8_quality_cascade": quality.ORACLE_SQL,
     "op10_chat_collapse": chat.ORACLE_SQL,
+    "op13_source_divergence": divergence.ORACLE_SQL,
 }
