@@ -3,8 +3,9 @@
 Rules (host, path, verdict) become two sorted arrays of 64-bit xxhash digests in one
 file: hosts with the path lengths that occur for them, and whole rules with the place
 of their full string. Executors get the file through Spark (SparkContext.addFile) and
-memory-map it; every worker of a machine shares the mapped pages. A url is probed with each
-suffix of its host (vectorised binary search); for the hosts found, with its path's
+memory-map it; every worker of a machine shares the mapped pages. A url is probed with the
+suffixes of its host that have no more labels and bytes than the longest rule host (vectorised
+binary search); for the hosts found, with its path's
 prefixes of the lengths known for that host; each hit is confirmed against the stored
 string, so a digest collision can't decide. The longest confirmed rule wins.
 
@@ -12,7 +13,8 @@ The rule list is a parameter, not data: `build` refuses one whose file would exc
 MAX_BYTES. A url without a rule gets the default verdict ("allow").
 
 Defined cases: a null url or one without "://" has an empty host and path, which no rule
-fits; two rules for the same host and path are refused; an empty table gives an empty
+fits; a url of any length or number of labels costs time and memory in proportion to its
+length; two rules for the same host and path are refused; an empty table gives an empty
 result; repeated rows are judged alike; other input columns are ignored.
 """
 
@@ -32,7 +34,8 @@ from pyspark.sql import functions as F
 from ._spark import scratch
 
 MAX_BYTES = 1 << 30
-_HEAD = struct.Struct("<4sQQQQ")
+#: Tag, hosts, path lengths, rules, string bytes, most labels and bytes of a rule host.
+_HEAD = struct.Struct("<4sQQQQQQ")
 
 
 def split_rule(rule: str) -> tuple[str, str]:
@@ -82,7 +85,8 @@ def build(rules: Iterable[tuple[str, str]], max_bytes: int = MAX_BYTES) -> bytes
     blob = b"".join(e[1] for e in entries)
     body = [np.array(hosts, "<u8"), first.astype("<i8"), np.array(flat, "<i8"), np.array([e[0] for e in entries], "<u8"),
             offs.astype("<i8"), np.array([e[2] for e in entries], "u1")]
-    out = _HEAD.pack(b"URL1", len(hosts), len(flat), len(entries), len(blob)) + b"".join(a.tobytes() for a in body) + blob
+    labels, longest = (max((f(h) for h, _ in parsed), default=0) for f in (lambda h: h.count(".") + 1, lambda h: len(h.encode())))
+    out = _HEAD.pack(b"URL2", len(hosts), len(flat), len(entries), len(blob), labels, longest) + b"".join(a.tobytes() for a in body) + blob
     if len(out) > max_bytes:
         raise ValueError(f"the digest file has {len(out)} bytes, more than {max_bytes}")
     return out
@@ -93,8 +97,8 @@ class DigestArray:
 
     def __init__(self, path: str):
         data = np.memmap(path, np.uint8, "r")
-        tag, n_hosts, n_flat, n, n_blob = _HEAD.unpack(bytes(data[:_HEAD.size]))
-        if tag != b"URL1":
+        tag, n_hosts, n_flat, n, n_blob, self.labels, self.longest = _HEAD.unpack(bytes(data[:_HEAD.size]))
+        if tag != b"URL2":
             raise ValueError(f"{path} is no digest file")
         at = _HEAD.size
 
@@ -121,12 +125,16 @@ class DigestArray:
         """(rule, verdict) of the longest fitting rule for each (host, path), or None."""
         suffixes, owner = [], []
         for i, (host, _) in enumerate(parts):
-            at = 0
-            while host and at >= 0:
-                suffixes.append(host[at:].encode())
+            end = len(host)
+            for _ in range(self.labels if host else 0):
+                dot = host.rfind(".", 0, end)
+                if len(host) - dot - 1 > self.longest:
+                    break
+                suffixes.append(host[dot + 1:].encode())
                 owner.append(i)
-                dot = host.find(".", at)
-                at = dot + 1 if dot >= 0 else -1
+                if dot < 0:
+                    break
+                end = dot
         found = self._places(self.hosts, np.array([_digest(s) for s in suffixes], np.uint64))
         probes, source = [], []
         for s in np.flatnonzero(found >= 0):
