@@ -42,7 +42,8 @@ def quantised(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 def _blocks(rows: DataFrame, what: str) -> DataFrame:
     """Blocks of at most about TILE rows of one dimension: ids and components as arrays."""
     counts = rows.groupBy("dim").agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts"))
-    dealt = rows.join(counts, "dim").withColumn("block", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    # The scan's row numbers spread rows that repeat an id, or a whole row.
+    dealt = rows.withColumn("own", F.monotonically_increasing_id()).join(counts, "dim").withColumn("block", F.pmod(F.xxhash64("id", "v", "own"), F.col("parts")).cast("int"))
     return stored(dealt.groupBy("dim", "block").agg(
         F.collect_list("id").alias("ids"), F.collect_list("v").alias("vs")), what)
 

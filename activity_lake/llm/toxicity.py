@@ -17,7 +17,8 @@ the sample doesn't hold can't move a score by a hash collision or by chance.
 Defined cases: a null, empty or blank text has the score of no evidence; a null or
 unknown language, and one with fewer than MIN_CALIBRATION such rows of either class, takes
 the global threshold (with too few rows in all languages together: THRESHOLD); a sample without both classes gives the
-score 0 for all; rows whose label is null aren't used; repeated rows are scored alike; an empty
+score 0 for all; rows whose label is null aren't used; of several rows with one labelled id
+the one with the least (language, text) is trained on; repeated rows are scored alike; an empty
 table gives an empty result; `keep_clean` passes all input columns through untouched.
 """
 
@@ -35,6 +36,8 @@ from . import _text as X
 from ._spark import stored, text_bytes
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 3000
+#: Most bytes that a text of the training sample brings to the driver (scoring reads whole texts).
+SAMPLE_TEXT_BYTES = 256 << 10
 THRESHOLD = 0.3
 MIN_DF = 3
 DIM, FILTERS, WIDTHS = 12, 8, (1, 2, 3)
@@ -236,7 +239,7 @@ def _best_threshold(clean: np.ndarray, toxic: np.ndarray) -> float:
     k = int(np.argmax(f1))
     more = np.flatnonzero(flagged[k:] > flagged[k])
     low = k + int(more[0]) - 1 if len(more) else BINS - 1      # empty bins below may be cut or not
-    return float(np.clip((BINS - 1 - (k + low) / 2) / BINS, 0.1, 0.7))
+    return float((BINS - 1 - (k + low) / 2) / BINS)
 
 
 def _calibrate(net: Net, texts: list[bytes], labels: np.ndarray, at: np.ndarray, stands_for: np.ndarray,
@@ -308,7 +311,12 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Callable[[str], Column],
     src = docs.select(F.col(id_col).cast("long").alias("id"), text_bytes(docs, text_col).alias("text"),
                       (F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")).alias("lang"))
     # drawn has at most sum(sample) rows of two numbers.
-    rows = src.join(F.broadcast(drawn), "id").dropDuplicates(["id"]).orderBy("id").collect()
+    # Of several rows with one id the least (language, text) is taken, and a text longer than
+    # SAMPLE_TEXT_BYTES gives its first and last halves of that, so that the sample is bounded.
+    half = SAMPLE_TEXT_BYTES // 2
+    ends = F.when(F.octet_length("text") > SAMPLE_TEXT_BYTES, F.concat(F.substring("text", 1, half), F.lit(b" "), F.substring("text", -half, half)))
+    rows = src.withColumn("text", F.coalesce(ends, "text")).join(F.broadcast(drawn), "id").groupBy("id", "y").agg(
+        F.min(F.struct("lang", "text")).alias("r")).select("id", "y", "r.lang", "r.text").orderBy("id").collect()
     y = np.array([r["y"] for r in rows])
     weights = tuple(count.get(k, 0) / max((y == k).sum(), 1) for k in (0, 1))
     net = fit([r["text"] or b"" for r in rows], y, [r["lang"] for r in rows], weights=weights)
