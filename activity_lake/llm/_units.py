@@ -17,8 +17,10 @@ import numpy as np
 
 from . import _text as X
 
-#: Distinct units that a worker keeps; at the limit it starts afresh (results don't change).
+#: Distinct units and their bytes that a worker keeps; beyond them it starts afresh (results
+#: don't change).
 CACHE_UNITS = 1_000_000
+CACHE_BYTES = 64 << 20
 
 _SPACE, _LETTER, _DIGIT, _OTHER, _HARD = range(5)
 _CLASS = np.full(256, _HARD, np.uint8)
@@ -70,19 +72,22 @@ class UnitEncoder:
     """Ids of whole texts from ids of distinct units, each encoded once a worker.
 
     `encode` gets simple units (lower-cased bytes) and hard units (raw bytes) and returns
-    a list of id lists for each."""
+    a list of id lists for each. Known units are found by their bytes, never by a hash; a
+    simple and a hard unit never have the same bytes, as only a hard one holds a byte or
+    pair that makes it hard."""
 
     def __init__(self, encode: Callable[[list[bytes], bool], list[list[int]]], limit: int = CACHE_UNITS):
         self._encode, self._limit = encode, limit
         self._clear()
 
     def _clear(self) -> None:
-        self._keys = np.zeros(0, np.uint64)
+        self._places: dict[bytes, int] = {}
+        self._bytes = 0
         self._at = np.zeros(0, np.int64)
         self._len = np.zeros(0, np.int64)
         self._ids = np.zeros(0, np.uint32)
 
-    def _learn(self, keys: np.ndarray, spans: list[bytes], hard: np.ndarray) -> None:
+    def _learn(self, spans: list[bytes], hard: np.ndarray) -> None:
         ids: list[list[int]] = [[]] * len(spans)
         for kind in (False, True):
             at = np.flatnonzero(hard == kind)
@@ -93,32 +98,26 @@ class UnitEncoder:
         flat = np.array([x for y in ids for x in y], np.uint32)
         start = len(self._ids) + np.concatenate(([0], np.cumsum(lens)[:-1]))
         self._ids = np.concatenate((self._ids, flat))
-        place = np.searchsorted(self._keys, keys)
-        self._keys = np.insert(self._keys, place, keys)
-        self._at = np.insert(self._at, place, start)
-        self._len = np.insert(self._len, place, lens)
+        self._places.update(zip(spans, range(len(self._at), len(self._at) + len(spans))))
+        self._bytes += sum(map(len, spans))
+        self._at = np.concatenate((self._at, start))
+        self._len = np.concatenate((self._len, lens))
 
     def block(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, border of each text's ids)."""
         starts, ends, hard, first, folded = units(buf, offs)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offs), np.int64)
-        hashes = X.hash_spans(folded, starts, ends, X.AS_IS)
-        keys, back = X.factorize(hashes)
-        if len(self._keys) > self._limit:
+        code, at = X.span_codes(folded, starts, ends, X.hash_spans(folded, starts, ends))
+        if len(self._places) > self._limit or self._bytes > CACHE_BYTES:
             self._clear()
-        place = np.searchsorted(self._keys, keys)
-        known = place < len(self._keys)
-        known[known] = self._keys[place[known]] == keys[known]
-        new = np.flatnonzero(~known)
-        if len(new):
-            new = new[np.argsort(keys[new])]
-            data, where = folded.tobytes(), np.empty(len(keys), np.int64)
-            where[back] = np.arange(len(back))
-            where = where[new]
-            self._learn(keys[new], [data[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist())], hard[where])
-            place = np.searchsorted(self._keys, keys)
-        at, lens = self._at[place][back], self._len[place][back]
+        data = folded.tobytes()
+        spans = [data[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+        new = [i for i, s in enumerate(spans) if s not in self._places]
+        if new:
+            self._learn([spans[i] for i in new], hard[at[new]])
+        place = np.fromiter(map(self._places.__getitem__, spans), np.int64, len(spans))[code]
+        begin, lens = self._at[place], self._len[place]
         stop = np.cumsum(lens)
-        ids = self._ids[np.repeat(at - (stop - lens), lens) + np.arange(int(stop[-1]))]
+        ids = self._ids[np.repeat(begin - (stop - lens), lens) + np.arange(int(stop[-1]))]
         return ids, np.concatenate(([0], stop))[first]

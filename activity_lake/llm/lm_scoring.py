@@ -6,9 +6,11 @@ the hash space). A count c has the level 1 + floor(log_b c); the filter holds th
 with each level up to its own, so membership probes at level 1, 2, ... until the first
 miss give the quantised count. The probability of a word is Dirichlet-smoothed:
 
-    P(w | v) = (min(c(vw), c(v)) + MU * P(w)) / (c(v) + MU),  P(w) = (c(w) + 1) / (N + V + 1)
+    P(w | v) = (min(c(vw), c(v)) + MU * P(w)) / (c(v) + MU + e),  P(w) = (c(w) + 1) / (N + V + 1)
 
-with counts from the filter, applied order by order. A second, exact table of word counts
+with counts from the filter, applied order by order. e = FALSE_HITS * (V + 1) is the count that
+false hits are expected to add to the V + 1 successors of a context that occurs (0 for one
+that doesn't), so the probabilities of a context's successors sum to about 1. A second, exact table of word counts
 serves the add-one base score.
 
 Filter and table are cut into shards by hash range of at most SHARD_BYTES; each is one
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -39,24 +42,38 @@ from . import _text as X
 from ._spark import stored, text_bytes
 
 ORDER = 2
-LEVEL_BASE = 1.5
-BITS_PER_KEY = 8
-PROBES = 4
+LEVEL_BASE = 1.2
+BITS_PER_KEY = 24
+PROBES = 17
+#: Share of absent keys that the filter holds by chance: all probes hit set bits.
+FALSE_HITS = (1 - np.exp(-PROBES / BITS_PER_KEY)) ** PROBES
 MU = 20.0
 SHARD_BYTES = 64 << 20
 CHUNK_BYTES = 4 << 20
-MAX_MODEL_BYTES = 8 << 30
+#: Text whose n-grams make one segment of the hash space: a group of the counting shuffle.
+SEGMENT_BYTES = 2 << 20
+MAX_MODEL_BYTES = 512 << 20
 #: Partial counts are handed on when a task holds so many n-grams.
 FLUSH = 3_000_000
 
-END = X.mix(np.array([0x5EED], np.uint64))
+def digest(word: bytes) -> int:
+    """64 bits of a cryptographic hash: words are known by it across the corpus, where their
+    bytes can't be compared, so a pair that shares one can't be written on purpose."""
+    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+
+
+#: The end token, which no word can be spelt as.
+END = np.array([digest(b"")], np.uint64)
 
 
 def tokens(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all tokens, border of each text's tokens); the end token closes a text."""
+    """(digests of all tokens, border of each text's tokens); the end token closes a text."""
     w = X.words(buf, offs)
     border = w.first + np.arange(len(offs))
-    return np.insert(w.hashes, w.first[1:], END), border
+    code, at = w.codes()
+    data = w.folded.tobytes()
+    own = np.array([digest(data[a:b]) for a, b in zip(w.starts[at].tolist(), w.ends[at].tolist())], np.uint64)
+    return np.insert(own[code] if len(code) else own, w.first[1:], END), border
 
 
 def grams(tok: np.ndarray, border: np.ndarray, order: int) -> np.ndarray:
@@ -78,14 +95,19 @@ def level(count: np.ndarray) -> np.ndarray:
 
 
 #: Least count of each level, and the mean count that a level stands for.
-_FLOORS = np.unique(np.ceil(LEVEL_BASE ** np.arange(110)).astype(np.float64))
+_FLOORS = np.unique(np.ceil(LEVEL_BASE ** np.arange(230)).astype(np.float64))
 _MEANS = np.concatenate(([0.0], (_FLOORS + np.concatenate((_FLOORS[1:] - 1, [_FLOORS[-1]]))) / 2))
 
 
-def places(key: np.ndarray, lev: np.ndarray, bits: np.ndarray, probe: int) -> np.ndarray:
-    """Bit of (key, level) in a segment of `bits` bits."""
-    x = X.mix(key * X._ODD[0] + lev.astype(np.uint64) * X._ODD[1] + np.uint64((probe + 1) * int(X._ODD[2]) & (2**64 - 1)))
-    return ((x >> np.uint64(32)) * bits.astype(np.uint64)) >> np.uint64(32)
+def entry(key: np.ndarray, lev: np.ndarray | int) -> np.ndarray:
+    """Hash of (key, level); its halves give all its probes."""
+    return X.mix(key * X._ODD[0] + np.asarray(lev).astype(np.uint64) * X._ODD[1])
+
+
+def place(entries: np.ndarray, bits: np.ndarray, probe: int) -> np.ndarray:
+    """Bit of each entry for one probe in a segment of `bits` bits."""
+    x = (entries >> np.uint64(32)) + np.uint64(probe) * (entries | np.uint64(1))
+    return ((x & np.uint64(0xFFFFFFFF)) * bits.astype(np.uint64)) >> np.uint64(32)
 
 
 def filter_bits(keys: np.ndarray, levels: np.ndarray) -> np.ndarray:
@@ -95,9 +117,9 @@ def filter_bits(keys: np.ndarray, levels: np.ndarray) -> np.ndarray:
     rep = np.repeat(keys, levels)
     lev = np.arange(n) - np.repeat(np.cumsum(levels) - levels, levels) + 1
     out = np.zeros(bits, bool)
-    size = np.full(n, bits, np.uint64)
+    size, entries = np.uint64(bits), entry(rep, lev)
     for p in range(PROBES):
-        out[places(rep, lev, size, p)] = True
+        out[place(entries, size, p)] = True
     return np.packbits(out, bitorder="little")
 
 
@@ -108,11 +130,11 @@ def probe_levels(keys: np.ndarray, seg: np.ndarray, first: np.ndarray, bits: np.
     alive = np.flatnonzero(bits[seg] > 0)
     lev = 1
     while len(alive):
+        entries, s = entry(keys[alive], lev), seg[alive]
         for p in range(PROBES):
-            s = seg[alive]
-            at = places(keys[alive], np.full(len(alive), lev), bits[s], p)
-            hit = (data[first[s] + (at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
-            alive = alive[hit > 0]
+            at = place(entries, bits[s], p)
+            hit = (data[first[s] + (at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+            alive, entries, s = alive[hit], entries[hit], s[hit]
         out[alive] = lev
         lev += 1
         if lev >= len(_MEANS):
@@ -146,6 +168,12 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[at], np.add.reduceat(counts, at) if len(at) else counts
 
 
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values, borders of their runs) of a sorted array."""
+    cut = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1], [True]))) if len(values) else np.zeros(1, np.int64)
+    return values[cut[:-1]], cut
+
+
 def count_ngrams(texts: DataFrame, seg_bits: int, order: int = ORDER) -> DataFrame:
     """Partial n-gram counts: n, seg, keys, counts (packed arrays) from each task."""
 
@@ -162,12 +190,11 @@ def count_ngrams(texts: DataFrame, seg_bits: int, order: int = ORDER) -> DataFra
                 at = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1])))
                 keys, counts = every[at], np.diff(np.append(at, len(every)))
                 seg = (keys >> np.uint64(64 - seg_bits)).astype(np.int64)
-                cut = np.searchsorted(seg, np.arange((1 << seg_bits) + 1))
-                some = np.flatnonzero(np.diff(cut))
+                some, cut = _runs(seg)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(some), n, np.int32)), pa.array(some.astype(np.int32)),
-                     pa.array([_pack(keys[cut[s]:cut[s + 1]], n, seg_bits) for s in some], pa.binary()),
-                     pa.array([counts[cut[s]:cut[s + 1]].astype("<u4").tobytes() for s in some], pa.binary())],
+                     pa.array([_pack(keys[a:b], n, seg_bits) for a, b in zip(cut[:-1], cut[1:])], pa.binary()),
+                     pa.array([counts[a:b].astype("<u4").tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())],
                     names=["n", "seg", "keys", "counts"])
                 held[n - 1].clear()
 
@@ -234,7 +261,8 @@ def train(texts: DataFrame, order: int = ORDER, shard_bytes: int = SHARD_BYTES,
           max_model_bytes: int = MAX_MODEL_BYTES) -> Model:
     """The model of the rows of texts (column text, bytes)."""
     spark = texts.sparkSession
-    seg_bits = int(np.clip(np.ceil(np.log2(max(texts.count(), 1) / 500)), 4, 20))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 1
+    seg_bits = int(np.clip(np.ceil(np.log2(size / SEGMENT_BYTES)), 4, 24))
     table = stored(build_segments(count_ngrams(texts, seg_bits, order)), "lm")
     sums = table.where(F.col("n") == 1).agg(F.sum("total"), F.sum("distinct"), F.sum("estimated")).first()
     weight = F.length("bits") + F.coalesce(F.length("keys"), F.lit(0)) + F.coalesce(F.length("counts"), F.lit(0))
@@ -269,9 +297,9 @@ def _score_chunk(tok: np.ndarray, border: np.ndarray, m: Model) -> tuple[np.ndar
     exact = np.zeros(len(distinct), np.int64)
     est = {1: np.zeros(len(distinct))}
     keys = {1: distinct}
-    segs = {1: seg_of(distinct)}
+    segs, back = {1: seg_of(distinct)}, {}
     for n in range(2, m.order + 1):
-        g = grams(tok, border, n)
+        g, back[n] = X.factorize(grams(tok, border, n))
         segs[n], keys[n], est[n] = seg_of(g), short(g, m.seg_bits), np.zeros(len(g))
     for shard in m.shards:
         part = _use(shard)
@@ -282,15 +310,17 @@ def _score_chunk(tok: np.ndarray, border: np.ndarray, m: Model) -> tuple[np.ndar
                 place = np.minimum(np.searchsorted(part["keys"], keys[1][at]), len(part["keys"]) - 1)
                 exact[at] = np.where(part["keys"][place] == keys[1][at], part["counts"][place], 0)
         del part
-        if len(m.shards) > 2:
+        if len(m.shards) > 1:
             _release(shard)
+    est |= {n: est[n][at] for n, at in back.items()}
     return _finish(border, code, exact, est, m)
 
 
-def _finish(border: np.ndarray, code: np.ndarray, exact: np.ndarray, est: dict, m: Model) -> tuple[np.ndarray, ...]:
-    """(n_tokens, n_known, base, score) of each text from the counts: exact and est[1] of
-    the distinct words (code: each token's), est[n] of the n-gram that ends at each token."""
+def probabilities(border: np.ndarray, code: np.ndarray, est: dict, m: Model) -> np.ndarray:
+    """P of each token after its context, from the counts: est[1] of the distinct words
+    (code: each token's), est[n] of the n-gram that ends at each token."""
     p = ((est[1] + 1) / (m.estimated + m.distinct + 1))[code]
+    false = FALSE_HITS * (m.distinct + 1)
     context = np.empty(len(code))
     uni = est[1][code]
     end = uni[border[1:] - 1]
@@ -299,11 +329,16 @@ def _finish(border: np.ndarray, code: np.ndarray, exact: np.ndarray, est: dict,
         context = np.empty(len(code))
         context[1:] = seen[:-1]
         context[border[:-1]] = end  # before a text stand end tokens
-        p = (np.minimum(est[n], context) + MU * p) / (context + MU)
+        p = (np.minimum(est[n], context) + MU * p) / (context + MU + np.where(context > 0, false, 0))
+    return p
+
+
+def _finish(border: np.ndarray, code: np.ndarray, exact: np.ndarray, est: dict, m: Model) -> tuple[np.ndarray, ...]:
+    """(n_tokens, n_known, base, score) of each text; exact are the distinct words' counts."""
     at = border[:-1]
     base = np.log10((exact + 1) / (m.total + m.distinct + 1))[code]
     return (np.diff(border), np.add.reduceat((exact > 0)[code].astype(np.int64), at),
-            np.add.reduceat(base, at), np.add.reduceat(np.log10(p), at))
+            np.add.reduceat(base, at), np.add.reduceat(np.log10(probabilities(border, code, est, m)), at))
 
 
 def _chunks(batches):
@@ -349,13 +384,12 @@ def _routed(src: DataFrame, m: Model, kind: str) -> DataFrame:
                  none(n, pa.int32()), none(n, pa.binary())], names=["chunk", "id", "text", "held_out", "n", "seg", "keys"])
             for size in range(1, order + 1):
                 keys = np.unique(grams(tok, border, size))
-                cut = np.searchsorted((keys >> np.uint64(64 - seg_bits)).astype(np.int64), np.arange((1 << seg_bits) + 1))
-                some = np.flatnonzero(np.diff(cut))
+                some, cut = _runs((keys >> np.uint64(64 - seg_bits)).astype(np.int64))
                 k = len(some)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([chunk] * k), none(k, rows.column("id").type), none(k, rows.column("text").type), none(k, pa.bool_()),
                      pa.array(np.full(k, size, np.int32)), pa.array(some.astype(np.int32)),
-                     pa.array([keys[cut[x]:cut[x + 1]].tobytes() for x in some], pa.binary())],
+                     pa.array([keys[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())],
                     names=["chunk", "id", "text", "held_out", "n", "seg", "keys"])
 
     src = src.withColumn("id", F.col("id").cast("string"))  # pandas has no integers beside nulls

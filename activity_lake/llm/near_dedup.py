@@ -117,14 +117,16 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
         for batch in batches:
             for at, buf, offs in X.blocks(batch.column("text")):
                 w = X.words(buf, offs)
+                codes = w.codes()[0]
                 n = len(offs) - 1
                 size = np.zeros(n, np.int64)
                 regs = np.zeros((n, BANDS * ROWS), np.uint16)
                 for i in range(n):
-                    s = X.shingles(w.hashes[w.first[i]:w.first[i + 1]], width)
-                    size[i] = len(s)
-                    if len(s):
-                        regs[i] = registers(s)
+                    own = slice(w.first[i], w.first[i + 1])
+                    s = X.shingles(w.hashes[own], codes[own], width)
+                    size[i] = s.size
+                    if s.size:
+                        regs[i] = registers(s.keys)
                 keys = band_keys(regs)
                 some = size > 0
                 part = batch.slice(at, n)
@@ -175,15 +177,41 @@ def _texts(docs: DataFrame, text_col: str, need: DataFrame) -> DataFrame:
     return texts.join(need, "node", "left_semi").dropDuplicates(["node"])
 
 
-def _shingle_set(text: bytes, width: int) -> np.ndarray:
-    buf = np.frombuffer(text, np.uint8)
-    return X.shingles(X.words(buf, np.array([0, len(buf)])).hashes, width)
-
-
-def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Whether 100 * |intersection| >= percent * |union|, on full sets."""
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * common >= percent * (len(a) + len(b) - common)
+class TextSet:
+    """A text's shingles together with its words."""
+
+    def __init__(self, text: bytes, width: int):
+        buf = np.frombuffer(text, np.uint8)
+        self.words = X.words(buf, np.array([0, len(buf)]))
+        self.set = X.shingles(self.words.hashes, self.words.codes()[0], width)
+
+    def windows(self) -> set[tuple[bytes, ...]]:
+        """The shingles as sequences of words."""
+        w, n = self.words, self.set.width
+        spelt = [w.folded[a:b].tobytes() for a, b in zip(w.starts, w.ends)]
+        return {tuple(spelt[i:i + n]) for i in range(len(spelt) - n + 1)} if n else set()
+
+
+def _linked(a: TextSet, b: TextSet, percent: int) -> bool:
+    """Whether 100 * |intersection| >= percent * |union|, on full sets of words: equal hashes
+    propose common shingles, whose words are then compared."""
+    x, y = a.set, b.set
+    _, i, j = np.intersect1d(x.keys, y.keys, assume_unique=True, return_indices=True)
+    enough = lambda common: 100 * common >= percent * (x.size + y.size - common)
+    if x.size == len(x.keys) and y.size == len(y.keys):
+        if not enough(len(i)):
+            return False        # different shingles of one hash can only raise the count
+        if not len(i):
+            return enough(0)
+        if x.width == y.width:
+            # Words that stand in common shingles, each pair of places once.
+            many = len(b.words.starts)
+            pairs = np.unique((x.at[i] * many + y.at[j])[:, None] + np.arange(x.width) * (many + 1))
+            p, q = np.divmod(pairs, many)
+            v, w = a.words, b.words
+            if X.same_spans(v.folded, v.starts[p], v.ends[p], w.folded, w.starts[q], w.ends[q]).all():
+                return True
+    return enough(len(a.windows() & b.windows()))
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, text_col: str, width: int, percent: int) -> DataFrame:
@@ -198,8 +226,8 @@ def _confirm(pairs: DataFrame, docs: DataFrame, text_col: str, width: int, perce
             keep = []
             for ta, tb in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist()):
                 if ta != last:
-                    last, last_set = ta, _shingle_set(ta, width)
-                keep.append(_linked(last_set, _shingle_set(tb, width), percent))
+                    last, last_set = ta, TextSet(ta, width)
+                keep.append(_linked(last_set, TextSet(tb, width), percent))
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
@@ -263,11 +291,11 @@ def _across(members: DataFrame, nodes: DataFrame, docs: DataFrame, text_col: str
         size = pdf["n_shingles"].to_numpy().astype(float)
         root = pd.factorize(pdf["label"])[0]      # component of each member; joined ones are renamed
         own, node, text = pdf["own"].to_numpy(), pdf["node"].to_numpy(), pdf["text"].to_numpy()
-        sets: dict[int, np.ndarray] = {}
+        sets: dict[int, TextSet] = {}
 
-        def shingle_set(at: int) -> np.ndarray:
+        def shingle_set(at: int) -> TextSet:
             if at not in sets:
-                sets[at] = _shingle_set(text[at], width)
+                sets[at] = TextSet(text[at], width)
             return sets[at]
 
         links = []

@@ -30,8 +30,6 @@ from .bpe import byte_symbols
 
 WINDOW = 2048
 END_ID = 1
-#: Most partitions of pass 1 whose offsets (two numbers each) are broadcast.
-BROADCAST_PARTS = 1_000_000
 
 
 class LibraryUnits:
@@ -91,10 +89,9 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     tokens = stored(tokenized(docs, path, id_col, text_col, end_id), "tokens")
     run = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = tokens.groupBy("part").agg(F.sum("n").alias("m")).select("part", (F.sum("m").over(run) - F.col("m")).alias("base"))
-    # One small row a partition of pass 1: within the bound they go to every task, so that
-    # no document is shuffled; beyond it the join is left to the planner.
-    few = totals.count() <= BROADCAST_PARTS
-    placed = tokens.join(F.broadcast(totals) if few else totals, "part").withColumn("lo", F.col("base") + F.col("before"))
+    # One small row a partition of pass 1, written, so that the planner knows its size.
+    totals = stored(totals, "totals")
+    placed = tokens.join(totals, "part").withColumn("lo", F.col("base") + F.col("before"))
     placed = placed.withColumn("hi", F.col("lo") + F.col("n"))
     pieces = placed.withColumn("sequence_id", F.explode(F.sequence(
         F.expr(f"lo div {window}"), F.expr(f"(hi - 1) div {window}"))))

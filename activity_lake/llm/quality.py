@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 from . import _text as X
 from ._spark import text_bytes
 
-#: The sample on which costs and selectivities are estimated (expected rows, drawn by hash).
+#: The sample on which costs and selectivities are estimated (expected rows, drawn by hash), and
+#: most bytes of a text in it; only the order of rules depends on the sample.
 SAMPLE_ROWS = 400
+SAMPLE_TEXT_BYTES = 64 << 10
 
 #: Thresholds of the rules.
 MIN_WORDS = 50
@@ -104,15 +106,14 @@ class Text:
     def n_repeat_words(self) -> int:
         """Words in a window of three words that the text holds twice or more."""
         def make():
-            h = X.words(self.buf, np.array([0, len(self.buf)]), fold=X.AS_IS).hashes
-            if len(h) < 4:
+            code = X.words(self.buf, np.array([0, len(self.buf)]), fold=X.AS_IS).codes()[0]
+            if len(code) < 4:
                 return 0
-            g = X.gram([h[:-2], h[1:-1], h[2:]])
-            _, at, n = np.unique(g, return_inverse=True, return_counts=True)
-            twice = n[at] > 1
-            hit = np.zeros(len(h), bool)
+            window = X.window_codes(code, 3)
+            twice = np.bincount(window)[window] > 1
+            hit = np.zeros(len(code), bool)
             for k in range(3):
-                hit[k:len(g) + k] |= twice
+                hit[k:len(window) + k] |= twice
             return np.count_nonzero(hit)
         return self._get("n_repeat_words", make)
 
@@ -171,7 +172,8 @@ def cascade(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", rul
     """The rules in the order estimated on a bounded sample of docs."""
     share = min(1.0, sample_rows / max(docs.count(), 1))
     below = min(-2**63 + int(share * 2**64), 2**63 - 1)
-    draw = docs.where(F.xxhash64(F.col(id_col).cast("string")) <= below).select(text_bytes(docs, text_col).alias("text"))
+    draw = docs.where(F.xxhash64(F.col(id_col).cast("string")) <= below).select(
+        F.substring(text_bytes(docs, text_col), 1, SAMPLE_TEXT_BYTES).alias("text"))
     # About sample_rows texts in all; the limit holds if many rows share a drawn id.
     sample = [r[0] or b"" for r in draw.limit(2 * sample_rows).collect()]
     by_name = {r.name: r for r in rules}

@@ -88,6 +88,17 @@ def test_url_filter(spark):
     assert url_filter.judge_urls(df.limit(0), queries.URL_RULES).count() == 0
 
 
+def test_url_filter_long_urls(spark):
+    rng = random.Random(4)
+    many = ".".join(rng.choice("abcdefgh") for _ in range(500_000))
+    urls = [f"http://{many}.example.net/en/x", f"http://{many}.net/" + "p/" * 400_000, "http://" + "h" * 1_000_000 + ".org/fr/",
+            f"http://{'.' * 300_000}org/fr/", "http://" + "n" * 1_000_000, f"http://{many}.example.net", f"http://{many}.a.b.c/"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(1)
+    got = {r["id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filter.judge_urls(df, queries.URL_RULES).collect()}
+    assert got == {i: brute_url(u, queries.URL_RULES) for i, u in enumerate(urls)}
+    assert {got[0][2], got[1][2], got[2][2], got[4][2]} == {"example.net/en/", "net/", "org/fr/", None}
+
+
 def test_url_filter_many_rules_and_collisions(tmp_path, monkeypatch):
     rng = random.Random(3)
     rules = {f"h{rng.randint(0, 60)}.c{rng.randint(0, 9)}/" + "/".join("ab"[rng.randint(0, 1)] for _ in range(rng.randint(0, 3))): "block" for _ in range(500)}
@@ -145,8 +156,7 @@ def test_lm_beyond_the_broadcast_bound(request, monkeypatch):
             assert math.isclose(a["score"], b["score"], rel_tol=1e-9) and math.isclose(a["base_score"], b["base_score"], rel_tol=1e-9)
 
 
-def test_lm_matches_the_formula_when_the_filter_has_no_false_hits(spark, monkeypatch):
-    monkeypatch.setattr(lm_scoring, "BITS_PER_KEY", 64)
+def test_lm_matches_the_formula(spark):
     texts = ["a b a b a c", "b a", "", None, "d d d d d d d"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["id"]: r["score"] for r in lm_scoring.score_texts(df, lambda c: F.lit(False)).collect()}
@@ -157,10 +167,11 @@ def test_lm_matches_the_formula_when_the_filter_has_no_false_hits(spark, monkeyp
         bi.update(zip(["E", *tok[:-1]], tok))
     q = lambda c: float(lm_scoring._MEANS[lm_scoring.level(np.array([c]))[0]]) if c else 0.0
     z = sum(q(c) for c in uni.values()) + len(uni) + 1
+    false = lm_scoring.FALSE_HITS * (len(uni) + 1)
     for i, t in enumerate(texts):
         tok, s = [*words(t), "E"], 0
         for v, w in zip(["E", *tok[:-1]], tok):
-            s += math.log10((min(q(bi[v, w]), q(uni[v])) + lm_scoring.MU * (q(uni[w]) + 1) / z) / (q(uni[v]) + lm_scoring.MU))
+            s += math.log10((min(q(bi[v, w]), q(uni[v])) + lm_scoring.MU * (q(uni[w]) + 1) / z) / (q(uni[v]) + lm_scoring.MU + false))
         assert math.isclose(got[i], s, rel_tol=1e-9)
 
 
@@ -171,7 +182,35 @@ def test_lm_filter_has_no_misses_and_few_false_hits():
     args = (np.zeros(20000, np.int64), np.array([0]), np.array([len(data) * 8]), data)
     found = lm_scoring.probe_levels(keys, *args)
     assert (found[:10000] >= lev[:10000]).all()
-    assert (found[:10000] > lev[:10000]).mean() < 0.05 and (found[10000:] > 0).mean() < 0.05
+    assert (found[:10000] > lev[:10000]).mean() < 0.002 and (found[10000:] > 0).mean() < 0.002
+    absent = X.mix(np.arange(10**7, 10**7 + 3 * 10**6, dtype=np.uint64))
+    hits = lm_scoring.probe_levels(absent, np.zeros(len(absent), np.int64), *args[1:]) > 0
+    assert 0.3 < hits.mean() / lm_scoring.FALSE_HITS < 3
+
+
+@pytest.mark.parametrize("seen", [1, 5, 60])
+def test_lm_probabilities_of_a_context_sum_to_one(seen):
+    """A context that occurs `seen` times among 100,000 words, with production parameters."""
+    rng = np.random.default_rng(seen)
+    vocab = np.array([lm_scoring.digest(b"w%d" % i) for i in range(100_000)], np.uint64)
+    end = len(vocab)
+    words_ = np.append(vocab, lm_scoring.END)
+    # One text: every word but word 0 once or more, then word 0 with its successors.
+    body = rng.permutation(np.concatenate((np.arange(1, end), rng.integers(1, end, 100_000))))
+    text = np.concatenate((body, np.stack((np.zeros(seen, np.int64), rng.integers(1, 40, seen)), axis=1).reshape(-1), [end]))
+    tok, border = words_[text], np.array([0, len(text)])
+    tables = {}
+    for n in (1, 2):
+        keys, counts = np.unique(lm_scoring.grams(tok, border, n), return_counts=True)
+        tables[n] = (keys, lm_scoring.level(counts), lm_scoring.filter_bits(keys, lm_scoring.level(counts)))
+    m = lm_scoring.Model(2, 0, len(text), len(tables[1][0]), float(lm_scoring._MEANS[tables[1][1]].sum()), [])
+    # All texts "word 0, any word": the second token's probabilities are those of the context.
+    ask = np.stack((np.zeros(len(words_), np.int64), np.arange(len(words_))), axis=1).reshape(-1)
+    rows = np.arange(len(words_) + 1) * 2
+    means = lambda n, keys: lm_scoring._MEANS[lm_scoring.probe_levels(
+        keys, np.zeros(len(keys), np.int64), np.array([0]), np.array([len(tables[n][2]) * 8]), tables[n][2])]
+    p = lm_scoring.probabilities(rows, ask, {1: means(1, words_), 2: means(2, lm_scoring.grams(words_[ask], rows, 2))}, m)
+    assert 0.9 < p[1::2].sum() < 1.1
 
 
 def test_lm_empty_and_without_training_rows(empty, edge):
@@ -264,7 +303,7 @@ def test_toxicity_cut_in_bins():
     bins = [np.bincount((s[y == k] * toxicity.BINS).astype(int), minlength=toxicity.BINS) for k in (0, 1)]
     f1 = lambda t: 2 * (y * (s >= t)).sum() / ((s >= t).sum() + y.sum())
     t = toxicity._best_threshold(*bins)
-    assert 0.1 < t < 0.7 and np.isclose(f1(t), max(f1(k / toxicity.BINS) for k in range(toxicity.BINS)))
+    assert np.isclose(f1(t), max(f1(k / toxicity.BINS) for k in range(toxicity.BINS)))
 
 
 def test_toxicity_fold_is_drawn_by_language():
@@ -532,6 +571,83 @@ def test_chat(spark):
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+# ---- words that share a weak hash
+def thue_morse(n, letters):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+TWINS = [(thue_morse(n, "ab"), thue_morse(n, "ba")) for n in (1024, 2048, 4096)]
+
+
+def collision_rows():
+    """Texts of words that a polynomial hash can't tell apart, for each operator on words."""
+    rows = []
+    for k, (x, y) in enumerate(TWINS):
+        rows += [(10 * k, f"{x} q r s {y} q r t"), (10 * k + 1, f"{x} q r"), (10 * k + 2, f"{y} q r"), (10 * k + 3, f"{x} {y}"),
+                 (10 * k + 4, f"{x}'s {y}'s {x}"), (10 * k + 5, f"{y} {y} {x}")]
+    return rows
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_operators_tell_words_apart_that_share_a_hash(spark, monkeypatch, weak):
+    if weak:    # in this process: nearly all words share a hash
+        for text in [t for _, t in collision_rows()] + ["a b c d a b d c a b c", "a b", "b a", "a a b", ""]:
+            buf = np.frombuffer(text.encode(), np.uint8)
+            with monkeypatch.context() as m:
+                m.setattr(X, "hash_spans", lambda buf, starts, ends: (ends - starts).astype(np.uint64) // 3)
+                code, _ = X.words(buf, np.array([0, len(buf)])).codes()
+                assert quality.Text(text.encode()).n_repeat_words == brute_quality(text)[4]
+                sets = near_dedup.TextSet(text.encode(), 3)
+                ids = packing.UnitEncoder(packing.LibraryUnits(TOK)).block(buf, np.array([0, len(buf)]))[0].tolist()
+            w = words(text)
+            assert [w.index(x) for x in w] == [w.index(w[i]) for i in [code.tolist().index(c) for c in code]]
+            assert sets.set.size == len(sets.windows())
+            from tokenizers import Tokenizer
+            assert ids == Tokenizer.from_file(TOK).encode(text, add_special_tokens=False).ids
+        return
+    from tokenizers import Tokenizer
+    own = Tokenizer.from_file(TOK)
+    df = spark.createDataFrame(collision_rows(), "doc_id long, text string").repartition(1)
+    rows = [tuple(r) for r in df.collect()]
+    ids = {i: own.encode(t, add_special_tokens=False).ids for i, t in rows}
+    assert {r["id"]: r["ids"] for r in bpe.encode_decode(df, TOK).collect()} == ids
+    got = defaultdict(list)
+    for r in sorted(packing.pack(df, TOK).collect(), key=lambda r: (r["id"], r["start"])):
+        got[r["id"]] += np.frombuffer(r["ids"], "<u4").tolist()
+    assert got == {i: [*x, 1] for i, x in ids.items()}
+    assert Counter(tuple(r)[:6] for r in quality.judge(df).collect()) == Counter((i, *brute_quality(t)) for i, t in rows)
+    found = near_dedup.near_duplicates(df, width=3, percent=85).collect()
+    assert Counter((r["id"], r["n_shingles"], r["component"]) for r in found) == brute_components(rows, 3, 85)
+    count = Counter(t for i, text in rows if i % 10 in (0, 4) for t in [*words(text), "END"])
+    scored = {r["id"]: r["n_known"] for r in lm_scoring.score_texts(df, lambda c: ~(F.col(c) % 10).isin(0, 4)).collect()}
+    assert scored == {i: sum(count[t] > 0 for t in [*words(text), "END"]) for i, text in rows}
+
+
+def test_linked_compares_words_when_hashes_agree(monkeypatch):
+    say = lambda n, seed: " ".join(f"{random.Random(seed + i).randrange(10**6):x}" for i in range(n))
+    base = say(60, 1)
+    texts = [base, base + " tail", base.replace(" ", "\n"), say(60, 900), "p q r", "x y z", "p q", "", "p q r p q r"]
+    for weak in (False, True):
+        if weak:
+            monkeypatch.setattr(X, "hash_spans", lambda buf, starts, ends: (ends - starts).astype(np.uint64) // 3)
+        for s in texts:
+            for t in texts:
+                a, b = (near_dedup.TextSet(x.encode(), 3) for x in (s, t))
+                x, y = a.windows(), b.windows()
+                assert near_dedup._linked(a, b, 85) == (100 * len(x & y) >= 85 * len(x | y))
+
+
+def test_one_word_of_50_megabytes_takes_bounded_memory():
+    import tracemalloc
+    data = np.frombuffer(b"ab" * (25 << 20), np.uint8)
+    tracemalloc.start()
+    w = X.words(data, np.array([0, len(data)]))
+    w.codes()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(w.starts) == 1 and peak < 8 * len(data)
+
+
 # ---- text helpers
 def test_words_of_blocks():
     rng = random.Random(8)
@@ -544,4 +660,4 @@ def test_words_of_blocks():
             assert [buf[s:e].tobytes() for s, e in zip(w.starts[w.first[i]:w.first[i + 1]], w.ends[w.first[i]:w.first[i + 1]])] == WORD.findall(t)
             for word, h in zip(WORD.findall(t), w.hashes[w.first[i]:w.first[i + 1]]):
                 lone = np.frombuffer(word, np.uint8)
-                assert X.hash_spans(lone, np.array([0]), np.array([len(lone)]))[0] == h
+                assert X.hash_spans(X.LOWER[lone], np.array([0]), np.array([len(lone)]))[0] == h
