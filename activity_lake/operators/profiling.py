@@ -9,11 +9,12 @@ arbitrarily nested keys aren't columns.
 from __future__ import annotations
 
 import json
+import re
 from collections import Counter
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values: candidate paths and signals the profiler measures ---------
@@ -28,9 +29,11 @@ PR_IDENTIFIER_PATHS = ("payload.pull_request.id", "payload.pull_request.number",
                        "payload.pull_request.node_id", "payload.number")
 USER_TYPE_PATHS = ("payload.pull_request.user.type", "payload.issue.user.type",
                    "payload.sender.type", "actor.type")
-# ----------------------------------------------------------------------------
-
 PR_TYPES = ("PullRequestEvent", "PullRequestReviewEvent", "PullRequestReviewCommentEvent")
+PR_DRIFT_KEYS = ("id", "number", "created_at", "merged_at", "closed_at", "merged", "user", "additions",
+                 "deletions", "base", "head")
+PUSH_DRIFT_KEYS = ("push_id", "size", "distinct_size", "commits", "ref", "head")
+# ----------------------------------------------------------------------------
 
 
 def _jp(path: str) -> str:
@@ -64,6 +67,13 @@ def _pct2(num: Column, den: Column) -> Column:
     return F.floor((num * 20000 + den) / (den * 2)) / F.lit(100.0)
 
 
+def _with_total(rows: DataFrame, total: Column) -> DataFrame:
+    """rows with `_total`, an aggregate over all of them: one row, joined to each (no window
+    that would bring all rows to one task)."""
+    one = F.lit(1).alias("_one")
+    return rows.select("*", one).join(rows.agg(total.alias("_total")).select("_total", one), "_one").drop("_one")
+
+
 # -------------------------------------------------------------------- K1
 def volume(raw: DataFrame) -> DataFrame:
     """Lines, blank lines, parseable events, unparseable lines, text bytes,
@@ -91,10 +101,7 @@ def type_frequency(raw: DataFrame, k: int | None = None) -> DataFrame:
     by = (t.groupBy(F.expr("try_variant_get(j, '$.type', 'string')").alias("type"))
           .agg(F.count_if(ok).alias("events"))
           .where(F.col("events") > 0))
-    # The grouped result has one row per event type (bounded by the feed's
-    # vocabulary), so the un-partitioned window total is a tiny single task.
-    total = F.sum("events").over(Window.partitionBy())
-    out = by.withColumn("pct", _pct2(F.col("events"), total))
+    out = _with_total(by, F.sum("events")).select("type", "events", _pct2(F.col("events"), F.col("_total")).alias("pct"))
     if k is not None:
         out = out.orderBy(F.desc("events"), F.asc("type")).limit(k)
     return out
@@ -106,24 +113,84 @@ _PATHS_HELD = 200_000
 _JSON_TYPES = {type(None): "null", bool: "bool", int: "int", float: "float", str: "str", list: "list", dict: "dict"}
 
 
+_CONTAINERS = (dict, list)
+
+
 def _walk(node, path: str, depth: int | None, out: list[tuple[str, str]]) -> None:
     """Appends (path, type) of everything below a parsed JSON value: all keys and all
-    array elements; depth bounds the levels only if it is given."""
-    if depth == 0:
-        return
-    below = None if depth is None else depth - 1
-    if isinstance(node, dict):
-        for key, child in node.items():
-            at = f"{path}.{key}"
-            out.append((at, _JSON_TYPES[type(child)]))
-            if isinstance(child, (dict, list)):
-                _walk(child, at, below, out)
-    elif isinstance(node, list):
-        at = path + "[]"
-        for child in node:
+    array elements; depth bounds the levels only if it is given. Walks with a list of open
+    containers, so nesting is bounded by memory alone."""
+    todo = [(node, path, depth)] if isinstance(node, _CONTAINERS) else []
+    while todo:
+        node, path, left = todo.pop()
+        if left == 0:
+            continue
+        below = None if left is None else left - 1
+        if isinstance(node, dict):
+            children = [(f"{path}.{key}", child) for key, child in node.items()]
+        else:
+            children = [(path + "[]", child) for child in node]
+        for at, child in children:
             out.append((at, _JSON_TYPES[type(child)]))
-            if isinstance(child, (dict, list)):
-                _walk(child, at, below, out)
+            if isinstance(child, _CONTAINERS):
+                todo.append((child, at, below))
+
+
+_TOKEN = re.compile(r'[ \t\r\n]*(?:([\[\]{},:])|("(?:[^"\\\x00-\x1f]|\\.)*")|([^ \t\r\n\[\]{},:"]+))')
+
+
+def _parse(line: str):
+    """The value of a JSON text of any depth. The usual parser recurses; a text that is too
+    deep for it is put together from its tokens with a list of open containers."""
+    try:
+        return json.loads(line)
+    except RecursionError:
+        pass
+    # State: what may come next. A container that closes becomes a value of the one around it.
+    open_: list = []
+    keys: list = []
+    result, expect, at, end = None, "value", 0, len(line.rstrip(" \t\r\n"))
+    while at < end:
+        m = _TOKEN.match(line, at)
+        if not m:
+            raise ValueError("no JSON")
+        at, (mark, text, plain) = m.end(), m.groups()
+        if mark in (",", ":"):
+            if expect != ("colon" if mark == ":" else "more"):
+                raise ValueError("no JSON")
+            expect = "value" if mark == ":" or isinstance(open_[-1], list) else "key"
+            continue
+        if mark in ("]", "}"):
+            kind = list if mark == "]" else dict
+            if not open_ or not isinstance(open_[-1], kind) or not (expect == "more" or expect.endswith("first")):
+                raise ValueError("no JSON")
+            open_.pop()
+            keys.pop()
+            expect = "more" if open_ else "end"
+            continue
+        if expect.startswith("key"):
+            if text is None:
+                raise ValueError("no JSON")
+            keys[-1], expect = json.loads(text), "colon"
+            continue
+        if not expect.startswith("value"):
+            raise ValueError("no JSON")
+        value = {} if mark == "{" else [] if mark == "[" else json.loads(text or plain)
+        if not open_:
+            result = value
+        elif isinstance(open_[-1], list):
+            open_[-1].append(value)
+        else:
+            open_[-1][keys[-1]] = value
+        if mark:
+            open_.append(value)
+            keys.append(None)
+            expect = "key first" if mark == "{" else "value first"
+        else:
+            expect = "more" if open_ else "end"
+    if expect != "end":
+        raise ValueError("no JSON")
+    return result
 
 
 def observed_paths(raw: DataFrame, types: Sequence[str] | None = None,
@@ -133,7 +200,8 @@ def observed_paths(raw: DataFrame, types: Sequence[str] | None = None,
 
     Each line is parsed once; a task sends on its distinct (type, path, value type) with
     counts, so the shuffle carries the feed's schema and not its lines. A number is an
-    int if its text has neither fraction nor exponent, however large it is. Lines that
+    int if its text has neither fraction nor exponent, however large it is. Lines nested
+    however deep are walked like others. Lines that
     don't parse, or aren't objects, have no paths (the volume profile counts them).
     """
     wanted = None if types is None else frozenset(types)
@@ -153,7 +221,7 @@ def observed_paths(raw: DataFrame, types: Sequence[str] | None = None,
         for batch in batches:
             for line in batch.column(0).to_pylist():
                 try:
-                    event = json.loads(line) if line else None
+                    event = _parse(line) if line else None
                 except ValueError:
                     continue
                 if not isinstance(event, dict):
@@ -175,21 +243,30 @@ def observed_paths(raw: DataFrame, types: Sequence[str] | None = None,
 
 
 # -------------------------------------------------------------------- K4
-def key_coverage(raw: DataFrame, event_type: str, obj_path: str) -> DataFrame:
-    """Keys present in the object at ``obj_path`` for one event type, with
-    coverage over that type's events (percent, 2 dp, half-up)."""
-    t = _of_type(raw, event_type)
-    obj = F.get_json_object("value", _jp(obj_path))
-    # Each event contributes its keys plus one NULL marker that counts the
-    # event itself, so the type total comes out of the same aggregation.
-    keys = F.concat(F.array(F.lit(None).cast("string")), F.coalesce(F.json_object_keys(obj), F.array()))
-    per = t.select(F.explode(keys).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("events"))
-    # One row per distinct key (bounded by the object's schema): the
-    # un-partitioned window is a tiny single task.
-    total = F.max(F.when(F.col("key").isNull(), F.col("events"))).over(Window.partitionBy())
-    return (per.withColumn("type_events", total).where(F.col("key").isNotNull())
-            .withColumn("pct", _pct2(F.col("events"), F.col("type_events")))
-            .select(F.lit(obj_path).alias("object"), "key", "events", "type_events", "pct"))
+def _keys_at(path: str) -> Column:
+    """Keys of the object at ``path`` in their stored (sorted) order; NULL if there is no object."""
+    return F.map_keys(F.expr(f"try_variant_get(j, '$.{path}', 'map<string,variant>')"))
+
+
+def key_coverage(raw: DataFrame, *objects: tuple[str, str]) -> DataFrame:
+    """Keys present in the object of each ``(event type, path)``, with coverage over that type's
+    events (percent, 2 dp, half-up); a type without events has no rows.
+
+    Each line is parsed once for all objects and gives its key set; equal key sets are counted
+    together before they are unrolled, so the keys of a schema cost one row a set and task, and only
+    map-like objects (whose sets differ) one row a key."""
+    kind = _text_at("type")
+    sets = F.filter(F.array(*[F.when(kind == F.lit(t), F.struct(F.lit(i).alias("o"), F.coalesce(_keys_at(p), F.array()).alias("keys")))
+                              for i, (t, p) in enumerate(objects)]), lambda x: x.isNotNull())
+    per_set = _typed(raw).select(F.inline(sets)).groupBy("o", "keys").agg(F.count(F.lit(1)).alias("n"))
+    # A NULL marker beside the keys counts the events themselves.
+    marked = F.explode(F.concat(F.array(F.lit(None).cast("string")), "keys"))
+    per_key = per_set.select("o", marked.alias("key"), "n").groupBy("o", "key").agg(F.sum("n").alias("events"))
+    totals = per_key.where(F.col("key").isNull()).select("o", F.col("events").alias("type_events"))     # one row an object
+    names = F.array(*[F.lit(p) for _, p in objects])
+    return (per_key.where(F.col("key").isNotNull()).join(totals, "o")
+            .select(F.element_at(names, F.col("o") + 1).alias("object"), "key", "events", "type_events",
+                    _pct2(F.col("events"), F.col("type_events")).alias("pct")))
 
 
 # -------------------------------------------------------------------- K5
@@ -302,11 +379,6 @@ def identifier_coverage(raw: DataFrame, types: Sequence[str] = PR_TYPES,
 
 
 # -------------------------------------------------------------------- K10
-PR_DRIFT_KEYS = ("id", "number", "created_at", "merged_at", "closed_at", "merged", "user", "additions",
-                 "deletions", "base", "head")
-PUSH_DRIFT_KEYS = ("push_id", "size", "distinct_size", "commits", "ref", "head")
-
-
 def drift(raw: DataFrame, unit: Column) -> DataFrame:
     """Schema drift between file units, as long rows ``(unit, metric, value)``.
 
@@ -316,21 +388,16 @@ def drift(raw: DataFrame, unit: Column) -> DataFrame:
     and any action that occurs has rows; a unit without pull requests or pushes has no
     percentages of them.
     """
-    obj = lambda p: F.coalesce(F.json_object_keys(F.get_json_object("value", p)), F.array().cast("array<string>"))
-    head = F.from_json("value", "type string, actor struct<login: string>")
-    t = raw.select(unit.alias("unit"), "value", head.alias("h"), F.try_parse_json("value").isNotNull().alias("ok")).select(
-        "unit", "value", "ok", F.col("h.type").alias("type"), F.col("h.actor.login").alias("login"))
-    is_pr, is_push = F.col("type") == "PullRequestEvent", F.col("type") == "PushEvent"
-    t = t.withColumn("pr_keys", F.when(is_pr, obj("$.payload.pull_request"))).withColumn("push_keys", F.when(is_push, obj("$.payload")))
-    t = t.withColumn("language", F.when(is_pr, F.get_json_object("value", "$.payload.pull_request.base.repo.language")))
-    t = t.withColumn("action", F.when(is_pr, F.get_json_object("value", "$.payload.action")))
-    # One pass: per (unit, type, action) counts, then the few groups become rows.
-    cells = t.groupBy("unit", "type", "action").agg(
+    kind = _text_at("type")
+    is_pr, is_push = kind == "PullRequestEvent", kind == "PushEvent"
+    # One parse and one pass: per (unit, type, action) counts, then the few groups become rows.
+    t = raw.select(unit.alias("unit"), "value", F.try_parse_json("value").alias("j"))
+    cells = t.groupBy("unit", kind.alias("type"), F.when(is_pr, _text_at("payload.action")).alias("action")).agg(
         F.count(F.lit(1)).alias("lines"), F.sum(F.octet_length("value")).alias("bytes"),
-        F.count_if(F.col("ok")).alias("events"), F.count_if(F.col("login").endswith("[bot]")).alias("bots"),
-        F.count("language").alias("language"),
-        *[F.count_if(F.array_contains("pr_keys", k)).alias(f"pr_{k}") for k in PR_DRIFT_KEYS],
-        *[F.count_if(F.array_contains("push_keys", k)).alias(f"push_{k}") for k in PUSH_DRIFT_KEYS])
+        F.count("j").alias("events"), F.count_if(_text_at("actor.login").endswith("[bot]")).alias("bots"),
+        F.count(F.when(is_pr, _text_at("payload.pull_request.base.repo.language"))).alias("language"),
+        *[F.count_if(is_pr & _present(f"payload.pull_request.{k}")).alias(f"pr_{k}") for k in PR_DRIFT_KEYS],
+        *[F.count_if(is_push & _present(f"payload.{k}")).alias(f"push_{k}") for k in PUSH_DRIFT_KEYS])
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("double")
     of = lambda kind: F.coalesce(F.sum(F.when(F.col("type") == kind, F.col("events"))), F.lit(0))
     n_pr, n_push = of("PullRequestEvent"), of("PushEvent")

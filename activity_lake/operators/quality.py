@@ -9,6 +9,8 @@ The report is bounded by the number of checks, so collecting it is safe.
 
 from __future__ import annotations
 
+import datetime as _dt
+import json
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -51,6 +53,43 @@ def _rows(agg: DataFrame, rows: Sequence[list[Column]]) -> DataFrame:
     return agg.select(F.explode(F.array(*structs)).alias("_r")).select("_r.*")
 
 
+# -------------------------------------------------------------------- H3
+def day_pairs(lo, hi) -> list[tuple]:
+    """All pairs (earlier, later) of the days ``lo`` .. ``hi``."""
+    d0, d1 = (d if isinstance(d, _dt.date) else _dt.date.fromisoformat(d) for d in (lo, hi))
+    days = [d0 + _dt.timedelta(days=i) for i in range((d1 - d0).days + 1)]
+    return [(a, b) for i, a in enumerate(days) for b in days[i + 1:]]
+
+
+def day_overlap(events: DataFrame, pairs: Sequence[tuple]) -> DataFrame:
+    """H3: ids that both days of each given pair hold, pairs without any included.
+
+    One aggregate by id keeps a bitmap of the listed days (64 a number, so its buffer is fixed-width
+    and combined map-side); an id seen on one day ends there, another one is counted
+    for the given pairs that its bitmap holds. The pairs are a parameter, not data."""
+    spark = events.sparkSession
+    pairs = [tuple(d if isinstance(d, _dt.date) else _dt.date.fromisoformat(d) for d in p) for p in pairs]
+    if not pairs:
+        return spark.createDataFrame([], "day_a date, day_b date, shared_ids long")
+    days = sorted({d for p in pairs for d in p})
+    place = {d: i for i, d in enumerate(days)}
+    at = (F.array_position(F.array(*[F.lit(d) for d in days]), F.col("event_date")) - 1).cast("int")
+    own = events.where(F.col("event_id").isNotNull() & F.col("event_date").isin(days)).select("event_id", at.alias("at"))
+    words = range(len(days) // 64 + 1)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at") % 64)
+    ids = own.groupBy("event_id").agg(*[F.bit_or(F.when(F.expr(f"at div 64 = {w}"), bit).otherwise(F.lit(0).cast("long"))).alias(f"w{w}") for w in words])
+    many = sum((F.bit_count(f"w{w}") for w in words), F.lit(0)) > 1
+    # One struct a pair: word and bit of both days, and the pair's number.
+    listed = F.from_json(F.lit(json.dumps([[place[a] // 64, place[a] % 64, place[b] // 64, place[b] % 64, k]
+                                           for k, (a, b) in enumerate(dict.fromkeys(pairs))])), "array<array<int>>")
+    on = lambda w, b: F.call_function("shiftright", F.element_at("words", w + 1), b).bitwiseAND(F.lit(1)) == 1
+    shared = (ids.where(many).select(F.array(*[f"w{w}" for w in words]).alias("words"))
+              .select(F.explode(F.filter(listed, lambda p: on(p[0], p[1]) & on(p[2], p[3]))).alias("p"))
+              .groupBy(F.col("p")[4].alias("k")).agg(F.count(F.lit(1)).alias("n")))
+    numbered = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(dict.fromkeys(pairs))], "k int, day_a date, day_b date")
+    return numbered.join(shared, "k", "left").select("day_a", "day_b", F.coalesce("n", F.lit(0)).cast("long").alias("shared_ids"))
+
+
 # -------------------------------------------------------------------- J1
 def key_counts(events: DataFrame) -> DataFrame:
     """One row ``n, pairs, ids``: rows, distinct ``(event_id, event_date)`` and distinct

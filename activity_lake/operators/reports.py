@@ -26,18 +26,51 @@ from ..functions.timefn import hours_2dp_from_minutes, mean_2dp, month_start, pc
 
 
 # ------------------------------------------------------------------ exports
-def _distinct(col: str, approx: bool) -> F.Column:
-    """Exact distinct count (the contract) or, opt-in, a HyperLogLog++ sketch
-    (2% relative error, fixed-size buffer, no Expand)."""
-    return F.approx_count_distinct(col, 0.02) if approx else F.countDistinct(col)
+#: Sketches have 2**SKETCH_LG registers: a relative standard error of 1.04 / 2**(SKETCH_LG / 2).
+SKETCH_LG = 14
 
 
-def monthly_activity(fact: DataFrame, approx: bool = False) -> DataFrame:
+def _sketch(column: str) -> F.Column:
+    return F.hll_sketch_agg(column, F.lit(SKETCH_LG)).alias(f"{column}_sketch")
+
+
+def _estimate(column: str) -> F.Column:
+    """Distinct values from the union of stored sketches."""
+    return F.hll_sketch_estimate(F.hll_union_agg(f"{column}_sketch", F.lit(False)))
+
+
+def daily_sketches(fact: DataFrame) -> DataFrame:
+    """D11 as a mergeable layer: ``date, actor_class, events`` and a sketch of fixed size of the
+    repos and of the actors. A day is sketched once; any longer span is a union of days, so a month
+    needs neither its events nor a DISTINCT over them."""
+    return fact.groupBy("date", "actor_class").agg(F.count(F.lit(1)).alias("events"), _sketch("repo"), _sketch("actor"))
+
+
+def monthly_activity_estimate(daily: DataFrame) -> DataFrame:
+    """D11 from ``daily_sketches``: exact events, estimated distinct repos and actors."""
+    return (daily.groupBy(month_start(F.col("date")).alias("month"), "actor_class")
+            .agg(F.sum("events").alias("events"), _estimate("repo").alias("repos"), _estimate("actor").alias("actors")))
+
+
+def retention_sketches(contrib: DataFrame) -> DataFrame:
+    """D16 as a mergeable layer: one row a month and cohort month with sketches of the humans' actors and
+    repos. A new month adds its own rows and touches no older ones."""
+    return contrib.where(F.col("actor_class") == HUMAN).groupBy("month", "cohort_month", "months_of_life").agg(
+        _sketch("actor"), _sketch("repo"))
+
+
+def retention_estimate(sketches: DataFrame) -> DataFrame:
+    """D16 from ``retention_sketches``."""
+    return (sketches.groupBy("cohort_month", "months_of_life")
+            .agg(_estimate("actor").alias("actors"), _estimate("repo").alias("repos")))
+
+
+def monthly_activity(fact: DataFrame) -> DataFrame:
     """Month x class -> events, distinct repos, distinct actors."""
     return (fact.groupBy(month_start(F.col("date")).alias("month"), "actor_class")
             .agg(F.count(F.lit(1)).alias("events"),
-                 _distinct("repo", approx).alias("repos"),
-                 _distinct("actor", approx).alias("actors")))
+                 F.countDistinct("repo").alias("repos"),
+                 F.countDistinct("actor").alias("actors")))
 
 
 def monthly_language(fact: DataFrame, min_events: int = 50) -> DataFrame:
@@ -78,12 +111,12 @@ def censoring_matrix(lifecycle: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("prs")))
 
 
-def retention_curve(contrib: DataFrame, approx: bool = False) -> DataFrame:
+def retention_curve(contrib: DataFrame) -> DataFrame:
     """Cohort month x month of life -> distinct actors / repos (non-bots)."""
     return (contrib.where(~F.col("is_bot"))
             .groupBy("cohort_month", "months_of_life")
-            .agg(_distinct("actor", approx).alias("actors"),
-                 _distinct("repo", approx).alias("repos")))
+            .agg(F.countDistinct("actor").alias("actors"),
+                 F.countDistinct("repo").alias("repos")))
 
 
 def repo_balance(contrib: DataFrame, min_active: int = 5) -> DataFrame:

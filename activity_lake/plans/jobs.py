@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import bronze as B
 from ..operators import reports as R
 from ..operators import silver as S
-from ..schemas import RETAINED_TYPES
+from ..schemas import BRONZE, EVENTS, PR_EVENTS, RETAINED_TYPES
 from ..session import configure
 from ..sources import raw as RAW
 from ..sources import sinks as SK
@@ -43,7 +43,7 @@ def silver_job(spark: SparkSession, bronze_path: str, silver_root: str,
     """Two tables, partition-pruned input; a shuffle each for the dedup and one for the
     rebalance of the write."""
     configure(spark)
-    bronze = S.stage(SK.read_layer(spark, bronze_path), lo, hi)
+    bronze = S.stage(SK.read_layer(spark, bronze_path, BRONZE), lo, hi)
     ev = _verified(SK.write_partitioned(S.to_events(bronze), f"{silver_root}/events", rebalance=True))
     pr = _verified(SK.write_partitioned(S.to_pr_events(bronze), f"{silver_root}/pr_events", rebalance=True))
     return {"events": ev, "pr_events": pr}
@@ -51,8 +51,8 @@ def silver_job(spark: SparkSession, bronze_path: str, silver_root: str,
 
 def gold_lake(spark: SparkSession, silver_root: str, **params) -> Lake:
     """A :class:`Lake` whose silver comes from the written layer."""
-    return Lake(spark, None, events=SK.read_layer(spark, f"{silver_root}/events"),
-                pr_events=SK.read_layer(spark, f"{silver_root}/pr_events"), **params)
+    return Lake(spark, None, events=SK.read_layer(spark, f"{silver_root}/events", EVENTS),
+                pr_events=SK.read_layer(spark, f"{silver_root}/pr_events", PR_EVENTS), **params)
 
 
 def gold_job(spark: SparkSession, silver_root: str, gold_root: str, **params) -> dict:
@@ -83,6 +83,3 @@ def export_job(spark: SparkSession, gold_root: str, export_root: str):
         "calendar_export": R.calendar_export(g["dim_date"]),
     }
     return SK.export_all(spark, export_root, named)
-
-
-

@@ -19,8 +19,8 @@ from ..sources import sinks as SK
 from . import adapters as A
 
 
-# Layers already written in this application: (app, base, inputs, layer) -> path.
-_LAYERS: dict[tuple, str] = {}
+# Layers already written in this application: (app, base, inputs, layer) -> path and schema.
+_LAYERS: dict[tuple, tuple] = {}
 
 
 def _input_stamp(spark: SparkSession, sf_dir: str | None) -> tuple:
@@ -94,14 +94,15 @@ class Lake:
         base = shared_dir(self.spark, "")
         key = (self.spark.sparkContext.applicationId, base, _input_stamp(self.spark, self.sf_dir), name)
         path = _LAYERS.get(key)
-        if path is None or not SK.has_layer(self.spark, path):
-            path = shared_dir(self.spark, f"lake-{uuid.uuid4().hex[:12]}/{name}")
+        if path is None or not SK.has_layer(self.spark, path[0]):
+            table = build()
+            path = shared_dir(self.spark, f"lake-{uuid.uuid4().hex[:12]}/{name}"), table.schema
             if by_day:
-                SK.write_partitioned(build(), path, rebalance=True)
+                SK.write_partitioned(table, path[0], rebalance=True)
             else:
-                build().write.mode("overwrite").option("compression", "zstd").parquet(path)
+                table.write.mode("overwrite").option("compression", "zstd").parquet(path[0])
             _LAYERS[key] = path
-        self._stored[name] = SK.read_layer(self.spark, path)
+        self._stored[name] = SK.read_layer(self.spark, *path)
         return self._stored[name]
 
     def raw_files(self) -> str:
@@ -110,8 +111,8 @@ class Lake:
         if key not in _LAYERS:
             path = shared_dir(self.spark, f"lake-{uuid.uuid4().hex[:12]}/raw")
             RAW.write_raw(self.event_raw(), path)
-            _LAYERS[key] = path
-        return _LAYERS[key]
+            _LAYERS[key] = path, None
+        return _LAYERS[key][0]
 
     def profile_raw(self) -> DataFrame:
         """The mixed profiling feed, stored once as a table of raw lines."""

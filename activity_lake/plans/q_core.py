@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import bronze as B
 from ..operators import silver as S
-from ..operators.quality import key_counts
+from ..operators.quality import day_overlap, day_pairs, key_counts
 from ..schemas import ENVELOPE, PR_TYPES, RETAINED_TYPES
 from . import adapters as A
 from .oracle import q
@@ -169,6 +169,19 @@ def id_day_collisions(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("shared_ids")))
 
 
+@register("id_day_overlap", q("E", f"""
+    SELECT a.d AS day_a, b.d AS day_b, coalesce(n, 0) AS shared_ids
+    FROM days a JOIN days b ON a.d < b.d
+    LEFT JOIN (SELECT x.event_date AS da, y.event_date AS db, count(DISTINCT x.event_id) AS n
+               FROM e_events x JOIN e_events y ON x.event_id = y.event_id AND x.event_date < y.event_date GROUP BY 1, 2) s
+      ON s.da = a.d AND s.db = b.d""", extra=[
+    f"days AS (SELECT CAST(unnest(generate_series(DATE '{A.EVENT_WINDOW[0]}', DATE '{A.EVENT_WINDOW[1]}', INTERVAL 1 DAY)) AS DATE) AS d)"]),
+    ops="H3")
+def id_day_overlap(spark, sf_dir):
+    """Ids that each pair of days of the window shares, pairs that share none included."""
+    return day_overlap(Lake(spark, sf_dir).stream_events(), day_pairs(*A.EVENT_WINDOW))
+
+
 @register("bronze_parity", q("P", """
     SELECT count(*) AS rows, count(*) AS equal_rows FROM p_rows"""), ops="B1")
 def bronze_parity(spark, sf_dir):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import bronze as B
 from ..operators import reports as R
+from ..schemas import EVENTS, PR_EVENTS
 from ..session import configure, shared_dir
 from ..sources import raw as RAW
 from ..sources import sinks as SK
@@ -155,19 +156,37 @@ for _name, _source in _EXPORT_CTE.items():
     _export_values(_name, "date, year, month, source_format, is_known_gap, has_data" if _name == "calendar_export" else "*", _source)
 
 
+def _waves(spark, feed, base: str, waves) -> None:
+    """The raw files arrive wave by wave; the incremental job runs after each."""
+    for wave in waves:
+        RAW.write_raw(feed.where(wave), f"{base}/raw", mode="append")
+        INC.run_incremental(spark, f"{base}/raw", f"{base}/bronze", f"{base}/silver", f"{base}/_ckpt")
+
+
 @register("stream_equals_batch", q("E", "SELECT * FROM e_events"), ops="L1")
 def stream_equals_batch(spark, sf_dir):
-    """Files arrive in two waves (hours 0-11, then 12-23, so every day gets
+    """Files arrive in three waves (hours 8-15, 16-23, then 0-7, so every day gets
     late hours); the incremental job runs after each wave. The silver it
     leaves must equal the one-shot batch silver."""
     configure(spark)
     base = _scratch(spark, "incremental")
-    feed = Lake(spark, sf_dir).event_raw()
-    raw_path = f"{base}/raw"
-    for wave in (F.col("file_hour") < 12, F.col("file_hour") >= 12):
-        RAW.write_raw(feed.where(wave), raw_path, mode="append")
-        INC.run_incremental(spark, raw_path, f"{base}/bronze", f"{base}/silver", f"{base}/_ckpt")
-    return for_output(SK.read_layer(spark, f"{base}/silver/events"))
+    hour = F.col("file_hour")
+    _waves(spark, Lake(spark, sf_dir).event_raw(), base, (hour.between(8, 15), hour >= 16, hour < 8))
+    return for_output(SK.read_layer(spark, f"{base}/silver/events", EVENTS))
+
+
+@register("stream_equals_batch_pr", q("P", """
+    SELECT DISTINCT * REPLACE (CAST(date_trunc('month', event_date) AS DATE) AS event_date) FROM p_all"""), ops="L1")
+def stream_equals_batch_pr(spark, sf_dir):
+    """The second silver table through the incremental path: pull-request events of both
+    payload formats. The feed comes as three files a month (its day of the path is the
+    month's first), in three waves, each with a third of every month."""
+    configure(spark)
+    base = _scratch(spark, "incremental-pr")
+    feed = A.pr_feed(spark, sf_dir).select("value", F.concat(F.substring("file_date", 1, 8), F.lit("01")).alias("file_date"),
+                                           F.expr("cast(file_hour div 8 as int)").alias("file_hour"))
+    _waves(spark, feed, base, [F.col("file_hour") == k for k in (1, 2, 0)])
+    return for_output(SK.read_layer(spark, f"{base}/silver/pr_events", PR_EVENTS))
 
 
 @register("stream_dedup", q("E", "SELECT * FROM e_events"), ops="L2")
@@ -180,6 +199,4 @@ def stream_dedup(spark, sf_dir):
     for wave in (F.col("file_hour") >= 12, F.col("file_hour") < 12):
         RAW.write_raw(feed.where(wave), f"{base}/raw", mode="append")
         INC.stream_dedup(spark, f"{base}/raw", f"{base}/out", f"{base}/_ckpt")
-    out = SK.read_layer(spark, f"{base}/out")
-    return for_output(out.select("event_id", "event_type", "created_ts", "actor", "repo", "repo_owner",
-                                 "event_date", "is_bot", "actor_class"))
+    return for_output(SK.read_layer(spark, f"{base}/out", EVENTS).drop("batch"))

@@ -77,13 +77,16 @@ EVENTS = T.StructType([
     T.StructField("actor_class", S),
 ])
 
-PR_EVENTS_COLUMNS = (
-    "event_id", "event_type", "created_ts", "actor", "repo", "event_date",
-    "pr_id", "pr_number", "action", "pr_created_ts", "pr_merged_ts",
-    "pr_closed_ts", "pr_merged", "repo_language", "pr_author", "pr_author_type",
-    "lines_added", "lines_deleted", "review_state", "review_submitted_ts",
-    "payload_format", "is_merge", "is_bot", "actor_class",
-)
+_TS, _L, _I, _B = T.TimestampType(), T.LongType(), T.IntegerType(), T.BooleanType()
+PR_EVENTS = T.StructType([T.StructField(n, t) for n, t in (
+    ("event_id", _L), ("event_type", S), ("created_ts", _TS), ("actor", S), ("repo", S), ("event_date", T.DateType()),
+    ("pr_id", _L), ("pr_number", _I), ("action", S), ("repo_language", S), ("pr_author", S), ("pr_author_type", S),
+    ("lines_added", _I), ("lines_deleted", _I), ("review_state", S), ("pr_created_ts", _TS), ("pr_merged_ts", _TS),
+    ("pr_closed_ts", _TS), ("review_submitted_ts", _TS), ("pr_merged", _B), ("payload_format", S), ("is_merge", _B),
+    ("is_bot", _B), ("actor_class", S))])
+
+# The key index of the in-stream dedup: ids only, by day and micro-batch.
+KEYS = T.StructType([T.StructField("event_id", _L), T.StructField("event_date", T.DateType()), T.StructField("batch", _I)])
 
 RUN_LOG = T.StructType([
     T.StructField("layer", S),

@@ -76,11 +76,29 @@ def hour_states(spark: SparkSession, path: str, lo: str, hi: str) -> DataFrame:
             .withColumn("state", F.coalesce("state", F.lit("absent"))))
 
 
-def file_checksums(spark: SparkSession, path: str) -> DataFrame:
-    """Optional and apart from the listing: SHA-256 of each file, which needs its content
-    as one value (2 GB at most)."""
+#: Largest file whose content fits one value of a row.
+CHECKSUM_MAX_BYTES = (1 << 31) - (1 << 20)
+
+
+def file_checksums(spark: SparkSession, path: str, max_bytes: int = CHECKSUM_MAX_BYTES) -> DataFrame:
+    """``path, bytes, sha256`` of each file, apart from the listing since it reads the
+    content, one file a row. A file above ``max_bytes`` isn't read (the length filter reaches
+    the scan) and has a NULL checksum, so it never stops the others."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", F.sha2(F.col("content"), 256).alias("sha256"))
+    small = files.where(F.col("length") <= max_bytes).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    large = files.where(F.col("length") > max_bytes).select("path", F.col("length").alias("bytes"), F.lit(None).cast("string").alias("sha256"))
+    return small.unionByName(large)
+
+
+def file_volume(spark: SparkSession, path: str) -> DataFrame:
+    """K1 by source file: ``path, file_date, file_hour, lines, text_bytes, compressed_bytes, ratio``
+    (text bytes without line ends for a compressed byte). Files without lines are listed too."""
+    p = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")     # as the listing spells it
+    text = (spark.read.option("recursiveFileLookup", "true").text(path).groupBy(p.alias("path"))
+            .agg(F.count(F.lit(1)).alias("lines"), F.sum(F.octet_length("value")).alias("text_bytes")))
+    files = file_inventory(spark, path).select("path", "file_date", "file_hour", F.col("bytes").alias("compressed_bytes"))
+    out = files.join(text, "path", "left").fillna(0, ["lines", "text_bytes"])
+    return out.withColumn("ratio", F.when(F.col("compressed_bytes") > 0, F.round(F.col("text_bytes") / F.col("compressed_bytes"), 4)))
 
 
 def unrecognised(raw: DataFrame) -> DataFrame:

@@ -46,7 +46,7 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str = "event_date
     m = obs.get
     written, days = m.get("rows", 0), list(m.get("days") or [])
     # Read back only the partitions this write touched.
-    back = read_layer(df.sparkSession, path).where(F.col(partition_col).isin(days)).count() if days else 0
+    back = (read_layer(df.sparkSession, path, df.schema).where(F.col(partition_col).isin(days)).count()) if days else 0
     return {"written": written, "read_back": back, "days": len(days), "seconds": round(secs, 3)}
 
 
@@ -59,14 +59,24 @@ def read_layer(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return r.parquet(path)
 
 
+def read_days(spark: SparkSession, path: str, days: Iterable, schema) -> DataFrame:
+    """The rows of some days of a layer: only these days' folders are listed and read, however
+    long the layer's history is. Days without a folder give no rows."""
+    name = lambda d: "__HIVE_DEFAULT_PARTITION__" if d is None else str(d)
+    folders = [f for f in (f"{path.rstrip('/')}/event_date={name(d)}" for d in days) if has_layer(spark, f)]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+
 def has_layer(spark: SparkSession, path: str) -> bool:
     """Whether anything was written at ``path`` (through Hadoop's file system API)."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def per_day_counts(spark: SparkSession, path: str, days: Iterable | None = None) -> DataFrame:
-    df = read_layer(spark, path)
+def per_day_counts(spark: SparkSession, path: str, days: Iterable | None = None, schema=None) -> DataFrame:
+    df = read_layer(spark, path, schema)
     if days is not None:
         df = df.where(F.col("event_date").isin(list(days)))
     return df.groupBy("event_date").agg(F.count(F.lit(1)).alias("rows"))
