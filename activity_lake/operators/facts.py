@@ -99,7 +99,7 @@ def contributor_month(events: DataFrame) -> DataFrame:
                     F.bool_or("is_bot").alias("is_bot"),
                     F.count(F.lit(1)).alias("events"),
                     # A month has at most 31 days: a bitmap counts them without a second DISTINCT.
-                    F.bit_or(F.call_function("shiftleft", F.lit(1), F.dayofmonth("event_date"))).alias("_days"),
+                    F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.dayofmonth("event_date"))).alias("_days"),
                     F.countDistinct("event_type").alias("distinct_types")))
     w = Window.partitionBy("repo", "actor")
     return (monthly.select("month", "repo", "actor", "actor_class", "is_bot", "events",

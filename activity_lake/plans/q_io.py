@@ -176,17 +176,21 @@ def stream_equals_batch(spark, sf_dir):
 
 
 @register("stream_equals_batch_pr", q("P", """
-    SELECT DISTINCT * REPLACE (CAST(date_trunc('month', event_date) AS DATE) AS event_date) FROM p_all"""), ops="L1")
+    SELECT DISTINCT * REPLACE (DATE '1995-01-01' + CAST(date_diff('day', DATE '1970-01-01', event_date) % 31 AS INTEGER) AS event_date,
+        strftime(created_ts, '%H:%M:%S') AS created_ts, strftime(review_submitted_ts, '%H:%M:%S') AS review_submitted_ts)
+    FROM p_all"""), ops="L1")
 def stream_equals_batch_pr(spark, sf_dir):
     """The second silver table through the incremental path: pull-request events of both
     payload formats. The feed comes as three files a month (its day of the path is the
     month's first), in three waves, each with a third of every month."""
     configure(spark)
     base = _scratch(spark, "incremental-pr")
-    feed = A.pr_feed(spark, sf_dir).select("value", F.concat(F.substring("file_date", 1, 8), F.lit("01")).alias("file_date"),
+    folded = F.expr("date_add(DATE'1995-01-01', cast(unix_date(to_date(file_date)) % 31 as int))")
+    feed = A.pr_feed(spark, sf_dir).select("value", folded.cast("string").alias("file_date"),
                                            F.expr("cast(file_hour div 8 as int)").alias("file_hour"))
     _waves(spark, feed, base, [F.col("file_hour") == k for k in (1, 2, 0)])
-    return for_output(SK.read_layer(spark, f"{base}/silver/pr_events", PR_EVENTS))
+    out = for_output(SK.read_layer(spark, f"{base}/silver/pr_events", PR_EVENTS))
+    return out.withColumns({c: F.date_format(c, "HH:mm:ss") for c in ("created_ts", "review_submitted_ts")})
 
 
 @register("stream_dedup", q("E", "SELECT * FROM e_events"), ops="L2")

@@ -8,6 +8,9 @@ file, which is the natural unit of parallelism for this feed.
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,20 +50,29 @@ def write_raw(feed: DataFrame, path: str, mode: str = "overwrite") -> None:
      .partitionBy("file_date", "file_hour").text(path))
 
 
-def file_listing(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """``path, length, modified`` of every file below ``path`` (compressed or not); the
-    content column is never selected, so no file is read."""
+def _listed(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    return r.load(path).select("path", F.col("length"), F.col("modificationTime").alias("modified"))
+    return (r.option("pathGlobFilter", glob) if glob else r).load(path)
+
+
+def file_listing(spark: SparkSession, path: str, glob: str | None = None, empty: bool = False) -> DataFrame:
+    """``path, length, modified`` of every file below ``path`` (compressed or not); the
+    content column is never selected, so no file is read. Scans pass over files of no length;
+    with ``empty`` they are taken from the driver's own listing (their names alone)."""
+    files = _listed(spark, path, glob)
+    out = files.select("path", F.col("length"), F.col("modificationTime").alias("modified"))
+    if not empty:
+        return out
+    names = [(unquote(re.sub("^file:/+", "file:/", n)),) for n in files.inputFiles()]
+    none = spark.createDataFrame(names, "path string").join(out, "path", "left_anti")
+    return out.unionByName(none.select("path", F.lit(0).cast("long").alias("length"), F.lit(None).cast("timestamp").alias("modified")))
 
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     """One row per source file: day, hour (NULL for an unrecognised name), bytes,
-    modification time, state ok or empty."""
+    modification time (NULL for an empty file), state ok or empty."""
     p = F.col("path")
-    return file_listing(spark, path).select(
+    return file_listing(spark, path, empty=True).select(
         path_date(p).cast("date").alias("file_date"), path_hour(p).alias("file_hour"),
         F.col("length").alias("bytes"), "modified",
         F.when(F.col("length") > 0, F.lit("ok")).otherwise(F.lit("empty")).alias("state"), p)
@@ -84,10 +96,11 @@ def file_checksums(spark: SparkSession, path: str, max_bytes: int = CHECKSUM_MAX
     """``path, bytes, sha256`` of each file, apart from the listing since it reads the
     content, one file a row. A file above ``max_bytes`` isn't read (the length filter reaches
     the scan) and has a NULL checksum, so it never stops the others."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    small = files.where(F.col("length") <= max_bytes).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
-    large = files.where(F.col("length") > max_bytes).select("path", F.col("length").alias("bytes"), F.lit(None).cast("string").alias("sha256"))
-    return small.unionByName(large)
+    some = F.col("length").between(1, max_bytes)
+    read = _listed(spark, path).where(some).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    rest = file_listing(spark, path, empty=True).where(~some).select(
+        "path", F.col("length").alias("bytes"), F.when(F.col("length") == 0, F.sha2(F.lit(b""), 256)).alias("sha256"))
+    return read.unionByName(rest)
 
 
 def file_volume(spark: SparkSession, path: str) -> DataFrame:
