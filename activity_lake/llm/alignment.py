@@ -11,7 +11,9 @@ at most SMALL ends are the recursion's base: all their ends are bisected at once
 
 Every pair of overlapping tokens is a link. Its count, the corpus-wide links of its (A id, B
 id), is summed by Spark: a chunk of texts sends each distinct pair once, with its number
-of links, and gets the pair's count and rank back once. No group is larger than a chunk.
+of links, and gets the pair's count and rank back once. Between the two steps a text is its
+links alone, two or four bytes and two bits each, from which its tokens and groups follow. No group
+is larger than a chunk.
 
 Defined cases: a text that is null or empty, isn't UTF-8, or whose tokens of either side don't
 join to space + text has no tokens, groups or links (zeros, '' for groups); special tokens
@@ -182,23 +184,22 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, first: np.ndarray, last:
 
 
 class Aligned:
-    """Tokens, groups and links of a list of texts; text i owns a[i]:a[i + 1] of all tokens of
-    A, b[i]:b[i + 1] of B, groups group[i]:group[i + 1] and links link[i]:link[i + 1]."""
+    """Tokens and links of a list of texts; text i owns a[i]:a[i + 1] of all tokens of A,
+    b[i]:b[i + 1] of B and links link[i]:link[i + 1]."""
 
     def __init__(self, pair: Pair, texts: list[tuple[np.ndarray, np.ndarray]]):
-        border = lambda sizes: np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
         ids = [np.concatenate([t[k] for t in texts]) if texts else np.zeros(0, np.int64) for k in (0, 1)]
         self.a_ids, self.b_ids = ids
-        self.a, self.b = (border([len(t[k]) for t in texts]) for k in (0, 1))
+        self.a, self.b = (_border([len(t[k]) for t in texts]) for k in (0, 1))
         ends_a, ends_b = np.cumsum(pair.a.size[ids[0]]), np.cumsum(pair.b.size[ids[1]])
         some = np.flatnonzero(np.diff(self.a) > 0)
         inner = shared_cuts(ends_a, ends_b, self.a[some], self.a[some + 1] - 1)
-        # Groups end at the inner cuts and at the last tokens of texts.
-        self.group_a = np.sort(np.concatenate((inner, self.a[some + 1] - 1)))
-        self.group_b = np.searchsorted(ends_b, ends_a[self.group_a])
-        self.group = np.searchsorted(self.group_a, self.a)
-        # Each stretch between neighbouring ends of either side is one link.
-        stops = _distinct(ends_a, ends_b)
+        # Groups end at the inner cuts and at the last tokens of texts. Between two cuts no end is
+        # shared, so each stretch between neighbouring ends of either side is one link.
+        cuts = np.sort(np.concatenate((inner, self.a[some + 1] - 1)))
+        apart = np.ones(len(ends_a), bool)
+        apart[cuts] = False
+        stops = np.sort(np.concatenate((ends_a[apart], ends_b)), kind="stable")
         self.link_a, self.link_b = np.searchsorted(ends_a, stops), np.searchsorted(ends_b, stops)
         self.link = np.searchsorted(self.link_a, self.a)
 
@@ -206,25 +207,43 @@ class Aligned:
         """(A id, B id) of every link as one number."""
         return self.a_ids[self.link_a] << 32 | self.b_ids[self.link_b]
 
-    def spelt(self) -> list[bytes]:
-        """Groups of each text: `a1,a2|b1;a3|b2,b3`."""
-        n_a, n_b = len(self.a_ids), len(self.b_ids)
-        # Order by group, then side; a token's group is the first that ends at or after it.
-        group = np.concatenate((np.searchsorted(self.group_a, np.arange(n_a)), np.searchsorted(self.group_b, np.arange(n_b))))
-        order = np.argsort(2 * group + (np.arange(n_a + n_b) >= n_a), kind="stable")
-        mark = np.full(n_a + n_b, ord(","), np.uint8)
-        mark[self.group_a], mark[n_a + self.group_b] = ord("|"), ord(";")
-        ids = np.concatenate((self.a_ids, self.b_ids))[order]
-        # Decimals right-aligned in a table row, the mark in its last cell.
-        every = np.arange(int(ids.max()) + 1 if len(ids) else 1)
-        width = len(str(every[-1]))
-        table = np.stack([every // 10**k % 10 for k in range(width - 1, -1, -1)] + [every], axis=1).astype(np.uint8) + ord("0")
-        size = (np.searchsorted(10 ** np.arange(1, width + 1), every, side="right") + 1)[ids]
-        cells = table[ids]
-        cells[:, -1] = mark[order]
-        text = cells[np.arange(width, -1, -1) <= size[:, None]].tobytes()
-        stop = np.concatenate(([0], np.cumsum(size + 1)))[self.a + self.b].tolist()
-        return [text[x:max(x, y - 1)] for x, y in zip(stop[:-1], stop[1:])]
+    def steps(self) -> np.ndarray:
+        """Whether each link is the first of its A token (1) and of its B token (2)."""
+        new = lambda x: np.diff(x, prepend=-1) > 0
+        return (new(self.link_a) + 2 * new(self.link_b)).astype(np.uint8)
+
+
+def _border(sizes) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+
+
+def spelt(keys: np.ndarray, steps: np.ndarray, link: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """(groups of each text as `a1,a2|b1;a3|b2,b3`, their numbers) from the links of all texts; text i
+    owns links link[i]:link[i + 1]."""
+    a_ids, b_ids = (keys >> 32)[steps & 1 > 0], (keys & 0xFFFFFFFF)[steps & 2 > 0]
+    link_a, link_b = np.cumsum(steps & 1) - 1, np.cumsum(steps >> 1) - 1
+    # A group starts at a link that is the first of both its tokens.
+    starts = np.flatnonzero(steps == 3)
+    last = np.append(starts, len(steps))[1:] - 1
+    group_a, group_b = link_a[last], link_b[last]
+    n_a, n_b = len(a_ids), len(b_ids)
+    # Order by group, then side; a token's group is the first that ends at or after it.
+    group = np.concatenate((np.searchsorted(group_a, np.arange(n_a)), np.searchsorted(group_b, np.arange(n_b))))
+    order = np.argsort(2 * group + (np.arange(n_a + n_b) >= n_a), kind="stable")
+    mark = np.full(n_a + n_b, ord(","), np.uint8)
+    mark[group_a], mark[n_a + group_b] = ord("|"), ord(";")
+    ids = np.concatenate((a_ids, b_ids))[order]
+    # Decimals right-aligned in a table row, the mark in its last cell.
+    every = np.arange(int(ids.max()) + 1 if len(ids) else 1)
+    width = len(str(every[-1]))
+    table = np.stack([every // 10**k % 10 for k in range(width - 1, -1, -1)] + [every], axis=1).astype(np.uint8) + ord("0")
+    size = (np.searchsorted(10 ** np.arange(1, width + 1), every, side="right") + 1)[ids]
+    cells = table[ids]
+    cells[:, -1] = mark[order]
+    text = cells[np.arange(width, -1, -1) <= size[:, None]].tobytes()
+    tokens = _border((steps & 1).astype(np.int64) + (steps >> 1))[link]
+    stop = _border(size + 1)[tokens].tolist()
+    return [text[x:max(x, y - 1)] for x, y in zip(stop[:-1], stop[1:])], np.diff(np.searchsorted(starts, link))
 
 
 def _decoded(column: pa.Array) -> list[str]:
@@ -238,34 +257,34 @@ def _decoded(column: pa.Array) -> list[str]:
     return out
 
 
-_DOC = "chunk string, id {kind}, n_a long, n_b long, n_groups long, groups binary, links binary, keys binary, counts binary"
+_DOC = "chunk string, id {kind}, wide boolean, links binary, steps binary, keys binary, counts binary"
 
 
 def aligned_chunks(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of chunks. A text's row: id, numbers of tokens and groups, groups as text, links (places
-    of its links' pairs among the chunk's distinct pairs, uint32). A chunk's own row (keys not
-    null): its distinct pairs and how many links have each, int64."""
+    """Rows of chunks. A text's row: id, links (places of its links' pairs among the chunk's distinct
+    pairs, uint32 if wide, else uint16), steps (two bits a link). A chunk's own row (keys not null):
+    its distinct pairs and how many links have each, int64."""
     src = docs.select(F.col(id_col).alias("id"), text_bytes(docs, text_col).alias("text"))
     kind = src.schema["id"].dataType.simpleString()
-    names = ["chunk", "id", "n_a", "n_b", "n_groups", "groups", "links", "keys", "counts"]
+    names = ["chunk", "id", "wide", "links", "steps", "keys", "counts"]
 
     def run(batches):
         pair, part, number = tokenizers_of(path_a, path_b), TaskContext.get().partitionId(), 0
         for batch in batches:
             for at, _, offs in X.blocks(batch.column("text"), CHUNK_BYTES):
                 n = len(offs) - 1
-                texts = pair.encode(_decoded(batch.column("text").slice(at, n)))
-                all_ = Aligned(pair, texts)
+                all_ = Aligned(pair, pair.encode(_decoded(batch.column("text").slice(at, n))))
                 keys, place = X.factorize(all_.keys())
-                count, place = np.bincount(place, minlength=len(keys)), place.astype("<u4")
+                count, wide = np.bincount(place, minlength=len(keys)), len(keys) > 1 << 16
+                place, steps = place.astype("<u4" if wide else "<u2"), all_.steps()
                 chunk = f"{part}-{number}"
                 number += 1
-                long = lambda x: pa.array([*x.tolist(), None], pa.int64())
+                own = list(zip(all_.link[:-1].tolist(), all_.link[1:].tolist()))
+                bits = [np.packbits(np.stack((steps[x:y] & 1, steps[x:y] >> 1), axis=1)).tobytes() for x, y in own]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([chunk] * (n + 1)), pa.concat_arrays([batch.column("id").slice(at, n), pa.nulls(1, batch.column("id").type)]),
-                     long(np.diff(all_.a)), long(np.diff(all_.b)), long(np.diff(all_.group)),
-                     pa.array([*all_.spelt(), None], pa.binary()),
-                     pa.array([*(place[x:y].tobytes() for x, y in zip(all_.link[:-1], all_.link[1:])), None], pa.binary()),
+                     pa.array([wide] * (n + 1)), pa.array([*(place[x:y].tobytes() for x, y in own), None], pa.binary()),
+                     pa.array([*bits, None], pa.binary()),
                      pa.array([None] * n + [keys.astype("<i8").tobytes()], pa.binary()),
                      pa.array([None] * n + [count.astype("<i8").tobytes()], pa.binary())], names=names)
 
@@ -304,20 +323,22 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     kind = chunks.schema["id"].dataType.simpleString()
     pairs = stored(_unrolled(chunks), "pairs")
     counts = stored(pair_counts(pairs), "pair-counts")
-    answers = pairs.join(counts, "key").select("chunk", "place", "links", "best")
-    texts = chunks.where(F.col("keys").isNull()).withColumn("id", F.col("id").cast("string")).select(
-        "chunk", "id", "n_a", "n_b", "n_groups", "groups", "links")
+    answers = pairs.join(counts, "key").select("chunk", "place", "key", "links", "best")
+    texts = chunks.where(F.col("keys").isNull()).select("chunk", F.col("id").cast("string").alias("id"), "wide", "links", "steps")
 
     def finish(rows: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        links, best = np.zeros(len(got), np.int64), np.zeros(len(got), np.int64)
-        links[got["place"]], best[got["place"]] = got["links"], got["best"]
-        own = [np.frombuffer(x, "<u4") for x in rows["links"]]
-        return pd.DataFrame({"id": rows["id"], "n_a": rows["n_a"], "n_b": rows["n_b"], "n_groups": rows["n_groups"],
-                             "n_links": [len(x) for x in own], "n_best": [int(best[x].sum()) for x in own],
-                             "count_sum": [int(links[x].sum()) for x in own], "groups": [g.decode() for g in rows["groups"]]})
+        keys, links, best = (np.zeros(len(got), np.int64) for _ in range(3))
+        keys[got["place"]], links[got["place"]], best[got["place"]] = got["key"], got["links"], got["best"]
+        own = [np.frombuffer(x, "<u4" if w else "<u2") for x, w in zip(rows["links"], rows["wide"])]
+        bits = [np.unpackbits(np.frombuffer(x, np.uint8))[:2 * len(p)].reshape(-1, 2) for x, p in zip(rows["steps"], own)]
+        place, steps = np.concatenate(own), np.concatenate(bits)
+        link = _border([len(p) for p in own])
+        groups, n_groups = spelt(keys[place], steps[:, 0] + 2 * steps[:, 1], link)
+        total = lambda x: np.diff(_border(x)[link])
+        return pd.DataFrame({"id": rows["id"], "n_a": total(steps[:, 0]), "n_b": total(steps[:, 1]), "n_groups": n_groups,
+                             "n_links": np.diff(link), "n_best": total(best[place]), "count_sum": total(links[place]),
+                             "groups": [g.decode() for g in groups]})
 
     out = texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
         finish, "id string, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string")
     return out.withColumn("id", F.col("id").cast(kind))
-
-
