@@ -42,9 +42,9 @@ from . import _text as X
 from ._spark import stored, text_bytes
 
 ORDER = 2
-LEVEL_BASE = 1.2
-BITS_PER_KEY = 24
-PROBES = 17
+LEVEL_BASE = 1.25
+BITS_PER_KEY = 20
+PROBES = 14
 #: Share of absent keys that the filter holds by chance: all probes hit set bits.
 FALSE_HITS = (1 - np.exp(-PROBES / BITS_PER_KEY)) ** PROBES
 MU = 20.0
@@ -95,7 +95,7 @@ def level(count: np.ndarray) -> np.ndarray:
 
 
 #: Least count of each level, and the mean count that a level stands for.
-_FLOORS = np.unique(np.ceil(LEVEL_BASE ** np.arange(230)).astype(np.float64))
+_FLOORS = np.unique(np.ceil(LEVEL_BASE ** np.arange(190)).astype(np.float64))
 _MEANS = np.concatenate(([0.0], (_FLOORS + np.concatenate((_FLOORS[1:] - 1, [_FLOORS[-1]]))) / 2))
 
 
@@ -290,16 +290,26 @@ def _release(shard) -> None:
     shard.__dict__.pop("_value", None)
 
 
+def _sorted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values in ascending order, place of each value among them): in hash order the
+    probes walk the filter segment by segment, so that a segment stays in the cache."""
+    distinct, code = X.factorize(values)
+    order = np.argsort(distinct)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return distinct[order], place[code]
+
+
 def _score_chunk(tok: np.ndarray, border: np.ndarray, m: Model) -> tuple[np.ndarray, ...]:
     """(n_tokens, n_known, base, score) of each text of a chunk."""
-    distinct, code = X.factorize(tok)
+    distinct, code = _sorted(tok)
     seg_of = lambda h: (h >> np.uint64(64 - m.seg_bits)).astype(np.int64)
     exact = np.zeros(len(distinct), np.int64)
     est = {1: np.zeros(len(distinct))}
     keys = {1: distinct}
     segs, back = {1: seg_of(distinct)}, {}
     for n in range(2, m.order + 1):
-        g, back[n] = X.factorize(grams(tok, border, n))
+        g, back[n] = _sorted(grams(tok, border, n))
         segs[n], keys[n], est[n] = seg_of(g), short(g, m.seg_bits), np.zeros(len(g))
     for shard in m.shards:
         part = _use(shard)

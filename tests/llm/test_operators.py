@@ -190,27 +190,29 @@ def test_lm_filter_has_no_misses_and_few_false_hits():
 
 @pytest.mark.parametrize("seen", [1, 5, 60])
 def test_lm_probabilities_of_a_context_sum_to_one(seen):
-    """A context that occurs `seen` times among 100,000 words, with production parameters."""
+    """Contexts that occur `seen` times among 100,000 words, with production parameters."""
     rng = np.random.default_rng(seen)
     vocab = np.array([lm_scoring.digest(b"w%d" % i) for i in range(100_000)], np.uint64)
-    end = len(vocab)
+    end, contexts = len(vocab), 16
     words_ = np.append(vocab, lm_scoring.END)
-    # One text: every word but word 0 once or more, then word 0 with its successors.
-    body = rng.permutation(np.concatenate((np.arange(1, end), rng.integers(1, end, 100_000))))
-    text = np.concatenate((body, np.stack((np.zeros(seen, np.int64), rng.integers(1, 40, seen)), axis=1).reshape(-1), [end]))
+    # One text: every word but the contexts once or more, then each context with its successors.
+    body = rng.permutation(np.concatenate((np.arange(contexts, end), rng.integers(contexts, end, 100_000))))
+    pairs = np.stack((np.repeat(np.arange(contexts), seen), rng.integers(contexts, 60, seen * contexts)), axis=1)
+    text = np.concatenate((body, pairs.reshape(-1), [end]))
     tok, border = words_[text], np.array([0, len(text)])
     tables = {}
     for n in (1, 2):
         keys, counts = np.unique(lm_scoring.grams(tok, border, n), return_counts=True)
         tables[n] = (keys, lm_scoring.level(counts), lm_scoring.filter_bits(keys, lm_scoring.level(counts)))
     m = lm_scoring.Model(2, 0, len(text), len(tables[1][0]), float(lm_scoring._MEANS[tables[1][1]].sum()), [])
-    # All texts "word 0, any word": the second token's probabilities are those of the context.
-    ask = np.stack((np.zeros(len(words_), np.int64), np.arange(len(words_))), axis=1).reshape(-1)
-    rows = np.arange(len(words_) + 1) * 2
     means = lambda n, keys: lm_scoring._MEANS[lm_scoring.probe_levels(
         keys, np.zeros(len(keys), np.int64), np.array([0]), np.array([len(tables[n][2]) * 8]), tables[n][2])]
-    p = lm_scoring.probabilities(rows, ask, {1: means(1, words_), 2: means(2, lm_scoring.grams(words_[ask], rows, 2))}, m)
-    assert 0.9 < p[1::2].sum() < 1.1
+    uni, rows, sums = means(1, words_), np.arange(len(words_) + 1) * 2, []
+    for v in range(contexts):
+        # All texts "context, any word": the second token's probabilities are those of the context.
+        ask = np.stack((np.full(len(words_), v), np.arange(len(words_))), axis=1).reshape(-1)
+        sums.append(lm_scoring.probabilities(rows, ask, {1: uni, 2: means(2, lm_scoring.grams(words_[ask], rows, 2))}, m)[1::2].sum())
+    assert 0.9 < np.mean(sums) < 1.1 and 0.6 < min(sums) and max(sums) < 1.5
 
 
 def test_lm_empty_and_without_training_rows(empty, edge):
