@@ -3,8 +3,8 @@
 Tokens are lower-cased (A-Z) words and one end token a text. N-grams of the training
 rows are counted over the whole corpus (partial counts in each task, then by segment of
 the hash space). A count c has the level 1 + floor(log_b c); the filter holds the n-gram
-with each level up to its own, so membership probes at level 1, 2, ... until the first
-miss give the quantised count. The probability of a word is Dirichlet-smoothed:
+with each level up to its own, so membership probes at levels 1, 2, 4, ... until a miss, and
+then between the last hit and the miss, give the quantised count. The probability of a word is Dirichlet-smoothed:
 
     P(w | v) = (min(c(vw), c(v)) + MU * P(w)) / (c(v) + MU + e),  P(w) = (c(w) + 1) / (N + V + 1)
 
@@ -72,7 +72,7 @@ def tokens(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     border = w.first + np.arange(len(offs))
     code, at = w.codes()
     data = w.folded.tobytes()
-    own = np.array([digest(data[a:b]) for a, b in zip(w.starts[at].tolist(), w.ends[at].tolist())], np.uint64)
+    own = np.frombuffer(b"".join(blake2b(data[a:b], digest_size=8).digest() for a, b in zip(w.starts[at].tolist(), w.ends[at].tolist())), "<u8")
     return np.insert(own[code] if len(code) else own, w.first[1:], END), border
 
 
@@ -123,25 +123,46 @@ def filter_bits(keys: np.ndarray, levels: np.ndarray) -> np.ndarray:
     return np.packbits(out, bitorder="little")
 
 
-def probe_levels(keys: np.ndarray, seg: np.ndarray, first: np.ndarray, bits: np.ndarray, data: np.ndarray) -> np.ndarray:
-    """Level of each key by probes at 1, 2, ... until the first miss. Segment s has
-    bits[s] bits from byte first[s] of data."""
-    out = np.zeros(len(keys), np.int64)
-    alive = np.flatnonzero(bits[seg] > 0)
-    lev = 1
-    while len(alive):
-        entries, s = entry(keys[alive], lev), seg[alive]
-        for p in range(PROBES):
-            at = place(entries, bits[s], p)
-            hit = (data[first[s] + (at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
-            alive, entries, s = alive[hit], entries[hit], s[hit]
-        out[alive] = lev
-        lev += 1
-        if lev >= len(_MEANS):
-            break
+def _held(keys: np.ndarray, lev: np.ndarray, seg: np.ndarray, first: np.ndarray, bits: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Whether the filter holds each key with its level. A key leaves at its first miss."""
+    entries, size, base = entry(keys, lev), bits[seg].astype(np.uint64), first[seg]
+    # Places are those of `place`: its sum is taken modulo 2**32, so 32 bits of it are enough.
+    x, step = (entries >> np.uint64(32)).astype(np.uint32), entries.astype(np.uint32) | np.uint32(1)
+    alive, ok = np.arange(len(keys)), np.ones(len(keys), bool)
+    for _ in range(PROBES):
+        at = (x.astype(np.uint64) * size) >> np.uint64(32)
+        ok &= (data[base + (at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        x = x + step
+        if np.count_nonzero(ok) < 0.8 * len(ok):
+            alive, x, step, size, base = alive[ok], x[ok], step[ok], size[ok], base[ok]
+            ok = np.ones(len(alive), bool)
+    out = np.zeros(len(keys), bool)
+    out[alive[ok]] = True
     return out
 
 
+def probe_levels(keys: np.ndarray, seg: np.ndarray, first: np.ndarray, bits: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Level of each key by membership probes: levels 1, 2, 4, ... until a miss, then bisection
+    between the last hit and the miss (a key is held with every level up to its own).
+    Segment s has bits[s] bits from byte first[s] of data."""
+    low, high = np.zeros(len(keys), np.int64), np.full(len(keys), len(_MEANS), np.int64)
+    todo = np.flatnonzero(bits[seg] > 0)
+    ask = 1
+    while len(todo) and ask < len(_MEANS):
+        hit = _held(keys[todo], np.full(len(todo), ask), seg[todo], first, bits, data)
+        high[todo[~hit]] = ask
+        todo = todo[hit]
+        low[todo] = ask
+        ask *= 2
+    todo = np.flatnonzero((low > 0) & (high - low > 1))
+    while len(todo):
+        mid = (low[todo] + high[todo]) // 2
+        hit = _held(keys[todo], mid, seg[todo], first, bits, data)
+        low[todo[hit]], high[todo[~hit]] = mid[hit], mid[~hit]
+        todo = todo[high[todo] - low[todo] > 1]
+    return low
+
+
 def _pack(keys: np.ndarray, order: int, seg_bits: int) -> bytes:
     """Full hashes of single words; the 40 bits below the segment of longer n-grams."""
     if order == 1:

@@ -188,6 +188,16 @@ def test_lm_filter_has_no_misses_and_few_false_hits():
     assert 0.3 < hits.mean() / lm_scoring.FALSE_HITS < 3
 
 
+def test_lm_levels_of_any_height_are_found():
+    keys = X.mix(np.arange(1, 3001, dtype=np.uint64))
+    lev = np.arange(3000, dtype=np.int64) % (len(lm_scoring._MEANS) - 1) + 1     # the highest level too
+    parts = [lm_scoring.filter_bits(keys[i::2], lev[i::2]) for i in range(2)]    # two segments of unequal size
+    size = np.array([len(p) for p in parts])
+    found = lm_scoring.probe_levels(keys, np.arange(3000) % 2, np.cumsum(size) - size, size * 8, np.concatenate(parts))
+    assert (found >= lev).all() and (found != lev).mean() < 0.005
+    assert not lm_scoring.probe_levels(keys[:5], np.zeros(5, np.int64), np.array([0]), np.array([0]), parts[0]).any()   # an empty segment
+
+
 @pytest.mark.parametrize("seen", [1, 5, 60])
 def test_lm_probabilities_of_a_context_sum_to_one(seen):
     """Contexts that occur `seen` times among 100,000 words, with production parameters."""
