@@ -13,9 +13,9 @@ agree with about the probability of the Jaccard similarity.
 4. Pairs are screened by the joint likelihood of their registers, then confirmed on
    full shingle sets; confirmed links make components.
 5. Buckets that still hold several components are compared again, across components
-   only, in tiles (so that no task holds a whole bucket); what passes the screen is
-   confirmed on full sets there, and a tile hands on the links that join components, not
-   the pairs it compared. No cap on a bucket.
+   only, in tiles (so that no task holds a whole bucket): first by registers, to name the
+   members with a likely partner, then with the texts of these alone. A tile hands on the
+   links that join components, not the pairs it compared. No cap on a bucket.
 
 Defined cases: null, empty and blank texts have an empty set and link with nothing;
 texts of fewer words than a shingle have their whole sequence as one shingle; repeated
@@ -41,8 +41,11 @@ BANDS, ROWS = 40, 5
 #: threshold: four to five standard errors of the estimate from 200 registers.
 MARGIN = 0.12
 TILE = 1024
-#: Most nodes (one 64-bit number each) that are broadcast to filter texts at the scan.
-BROADCAST_NODES = 2_000_000
+#: Parts of a key that may be hot: the other side of its join is repeated so often.
+SALTS = 8
+#: The filter of wanted texts: 2**14 segments of 2**13 bits (16 MB) at any size of the corpus, and
+#: places of a text's bits in its segment.
+SEGMENT_BITS, PLACE_BITS, PLACES = 14, 13, 3
 
 _RNG = np.random.default_rng(20240607)
 _MUL = (_RNG.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1))[:, None]
@@ -164,17 +167,43 @@ def _screen(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a binary, b binary")
 
 
+def _salted(rows: DataFrame, names: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """rows joined with names (one row a key) on the key: the rows of a hot key are dealt to
+    SALTS parts by a hash of their columns (the same on a retry), and a name is repeated for each."""
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
+    many = names.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", salt).join(many, [key, "_salt"], how).drop("_salt")
+
+
+def _wanted(texts: DataFrame, need: DataFrame) -> DataFrame:
+    """texts without most of those whose node isn't in need, dropped where they are read by a
+    Bloom filter of fixed size: it lets more texts through the fuller it is, but none is lost."""
+    def places(node) -> list:
+        h = F.xxhash64(node)
+        return [F.shiftrightunsigned(h, PLACE_BITS * k).bitwiseAND(F.lit((1 << PLACE_BITS) - 1)) for k in range(PLACES)]
+
+    segment = F.shiftrightunsigned(F.xxhash64("node"), 64 - SEGMENT_BITS)
+    one = F.explode(F.array(*places("node")))
+    bits = need.select(segment.alias("_seg"), one.alias("at")).groupBy("_seg", F.shiftright("at", 6).alias("w")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.expr("cast(at & 63 as int)"))).alias("b"))
+    words = bits.groupBy("_seg").agg(F.map_from_entries(F.collect_list(F.struct(F.col("w").cast("int").alias("w"), "b"))).alias("_m"))
+    many = (1 << PLACE_BITS) // 64
+    words = words.select("_seg", F.transform(F.sequence(F.lit(0), F.lit(many - 1)), lambda w: F.coalesce(
+        F.try_element_at("_m", w), F.lit(0).cast("long"))).alias("_bits"))
+    found = texts.withColumn("_seg", segment).join(F.broadcast(words), "_seg")
+    for at in places("node"):
+        word = F.get("_bits", F.shiftright(at, 6).cast("int"))
+        found = found.where(F.call_function("shiftright", word, at.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1)
+    return found.drop("_seg", "_bits")
+
+
 def _texts(docs: DataFrame, text_col: str, need: DataFrame) -> DataFrame:
-    """node, text of the nodes in `need`, one row each."""
+    """node, text of the nodes in `need`, one row each. Copies of a text are cut to one a task
+    before they are shuffled."""
     texts = docs.select(F.unhex(F.md5(F.coalesce(text_bytes(docs, text_col), F.lit(b"")))).alias("node"),
                         text_bytes(docs, text_col).alias("text"))
-    need = need.select("node").distinct()
-    if need.count() <= BROADCAST_NODES:
-        # Drops the texts that no pair needs where they are read; a hash collision only
-        # lets a text through to the join below. Beyond the bound all texts are shuffled.
-        few = need.select(F.xxhash64("node").alias("_k")).distinct()
-        texts = texts.join(F.broadcast(few), F.xxhash64("node") == F.col("_k"), "left_semi")
-    return texts.join(need, "node", "left_semi").dropDuplicates(["node"])
+    need = stored(need.select("node").distinct(), "need")
+    return _wanted(texts, need).dropDuplicates(["node"]).join(need, "node", "left_semi")
 
 
 class TextSet:
@@ -250,11 +279,11 @@ def components(edges: DataFrame) -> DataFrame:
         # Large star: neighbours larger than v link to the smallest neighbour of v (v included).
         both = edges.union(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
         low = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("m", "v").alias("m"))
-        big = both.where(F.col("u") > F.col("v")).join(low, "v").where(F.col("u") != F.col("m")).select(
+        big = _salted(both.where(F.col("u") > F.col("v")), low, "v").where(F.col("u") != F.col("m")).select(
             F.col("u").alias("v"), F.col("m").alias("u")).distinct()
         # Small star: neighbours smaller than v, and v itself, link to the smallest of them.
         low = big.groupBy("v").agg(F.min("u").alias("m"))
-        small = big.join(low, "v").where(F.col("u") != F.col("m")).select(F.col("u").alias("v"), F.col("m").alias("u"))
+        small = _salted(big, low, "v").where(F.col("u") != F.col("m")).select(F.col("u").alias("v"), F.col("m").alias("u"))
         edges = stored(small.union(low.select("v", F.col("m").alias("u"))).distinct(), "cc")
         state = _state(edges)
         if state == before:
@@ -264,63 +293,90 @@ def components(edges: DataFrame) -> DataFrame:
     return labels.union(edges.select(F.col("u").alias("node"), F.col("u").alias("label")).distinct())
 
 
+def _tiled(members: DataFrame, least: int = 2) -> DataFrame:
+    """members (key, node, label and more) of buckets with several components and at least that
+    many nodes, dealt to groups (key, i, j). The members outside the bucket's largest component
+    ask (tile i of them), all members are asked (tile j of them), so the pairs within the
+    largest component never meet and its members are copied once a tile of the others."""
+    sizes = members.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(
+        F.sum("c").alias("n"), F.max(F.struct("c", "label")).alias("top"))
+    sizes = sizes.where((F.col("top.c") < F.col("n")) & (F.col("n") >= least)).select(
+        "key", F.col("top.label").alias("top"), F.ceil((F.col("n") - F.col("top.c")) / TILE).cast("int").alias("rows"),
+        F.ceil(F.col("n") / TILE).cast("int").alias("cols"))
+    dealt = stored(members.join(sizes, "key").withColumn("rest", F.col("label") != F.col("top")), "residual")
+    tile = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asks = dealt.where("rest").withColumn("asks", F.lit(True)).withColumn("i", tile("rows")).withColumn("j", every("cols"))
+    asked = dealt.withColumn("asks", F.lit(False)).withColumn("i", every("rows")).withColumn("j", tile("cols"))
+    return asks.unionByName(asked).drop("top", "rows", "cols")
+
+
+def _candidates(pdf: pd.DataFrame, root: np.ndarray, percent: int):
+    """(place of a member that asks, places of members of other components that may be
+    alike, best first) of a group. root holds each member's component, and may change meanwhile."""
+    regs = np.frombuffer(b"".join(pdf["regs"]), np.uint16).reshape(len(pdf), BANDS * ROWS)
+    size, rest, band = pdf["n_shingles"].to_numpy().astype(float), pdf["rest"].to_numpy(bool), int(pdf["band"].iloc[0])
+    rank = pd.factorize(pdf["node"], sort=True)[0]
+    asked = np.flatnonzero(~pdf["asks"].to_numpy(bool))
+    for at in np.flatnonzero(pdf["asks"].to_numpy(bool)):
+        # Two members that both ask meet twice: the smaller node's question counts.
+        to = asked[(root[asked] != root[at]) & (~rest[asked] | (rank[asked] > rank[at]))
+                   & (100 * np.minimum(size[asked], size[at]) >= percent * np.maximum(size[asked], size[at]))]
+        if not len(to):
+            continue
+        same = regs[to] == regs[at]
+        # The first band that a pair shares is the bucket where it is tried.
+        here = same.reshape(len(to), BANDS, ROWS).all(axis=2).argmax(axis=1) == band
+        to, same = to[here], same[here]
+        if not len(to):
+            continue
+        here = likely(np.broadcast_to(regs[at], (len(to), regs.shape[1])), regs[to], np.full(len(to), size[at]), size[to],
+                      percent / 100 - MARGIN)
+        if here.any():
+            yield at, to[here][np.argsort(-same[here].sum(axis=1), kind="stable")]
+
+
 def _across(members: DataFrame, nodes: DataFrame, docs: DataFrame, text_col: str, width: int, percent: int) -> DataFrame:
     """Links between different components that share a bucket.
 
-    A bucket's members are dealt to tiles, and each pair of tiles is one group. There,
-    pairs of different components are screened by their registers, in the first band that
-    they share, and confirmed on full sets, best candidates first; components that a
-    confirmed link has joined need no further link, so a group gives fewer rows than it
-    has members."""
-    sized = members.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    Members meet in tiles twice. First with their registers alone: a group names the members
+    that have a likely partner in another component. Then these members meet with their texts:
+    likely pairs are confirmed on full sets, best first; components that a confirmed link has
+    joined need no further link, so a group gives fewer rows than it has members."""
+    sketch = nodes.select("node", "n_shingles", "regs")
+
+    def name(pdf: pd.DataFrame) -> pd.DataFrame:
+        root, some = pd.factorize(pdf["label"])[0], np.zeros(len(pdf), bool)
+        for at, to in _candidates(pdf, root, percent):
+            some[at] = some[to] = True
+        return pdf.loc[some, ["key", "band", "node", "label"]]
+
+    columns = "key long, band int, node binary, label binary"
     # In a bucket of two nodes their only pair has been tried already.
-    sized = sized.where((F.col("lo") != F.col("hi")) & (F.col("n") > 2)).select(
-        "key", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
-    rows = stored(members.join(sized, "key"), "residual")
-    texts = _texts(docs, text_col, rows)
-    full = texts.join(nodes.select("node", "n_shingles", "regs"), "node")
-    rows = rows.join(full, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    rows = rows.select("key", "band", "node", "label", "n_shingles", "regs", "text", "own",
-                       F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    least = percent / 100 - MARGIN
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j, band = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0]), int(pdf["band"].iloc[0])
-        regs = np.frombuffer(b"".join(pdf["regs"]), np.uint16).reshape(len(pdf), BANDS * ROWS)
-        size = pdf["n_shingles"].to_numpy().astype(float)
+    first = _tiled(members, 3).join(sketch, "node").groupBy("key", "i", "j").applyInPandas(name, columns)
+    likely_ones = stored(first.distinct(), "likely")
+    texts = _texts(docs, text_col, likely_ones)
+
+    def link(pdf: pd.DataFrame) -> pd.DataFrame:
         root = pd.factorize(pdf["label"])[0]      # component of each member; joined ones are renamed
-        own, node, text = pdf["own"].to_numpy(), pdf["node"].to_numpy(), pdf["text"].to_numpy()
-        sets: dict[int, TextSet] = {}
+        node, text = pdf["node"].to_numpy(), pdf["text"].to_numpy()
+        sets: dict[bytes, TextSet] = {}
 
         def shingle_set(at: int) -> TextSet:
-            if at not in sets:
-                sets[at] = TextSet(text[at], width)
-            return sets[at]
+            if node[at] not in sets:
+                sets[node[at]] = TextSet(text[at], width)
+            return sets[node[at]]
 
         links = []
-        for at in np.flatnonzero(own == i):
-            ok = (own == j) & (root != root[at]) & (100 * np.minimum(size, size[at]) >= percent * np.maximum(size, size[at]))
-            if i == j:
-                ok[:at + 1] = False
-            to = np.flatnonzero(ok)
-            if not len(to):
-                continue
-            same = regs[to] == regs[at]
-            shared = same.reshape(len(to), BANDS, ROWS).all(axis=2)
-            here = shared.argmax(axis=1) == band
-            to, same = to[here], same[here]
-            if not len(to):
-                continue
-            here = likely(np.broadcast_to(regs[at], (len(to), regs.shape[1])), regs[to], np.full(len(to), size[at]), size[to], least)
-            to = to[here][np.argsort(-same[here].sum(axis=1), kind="stable")]
+        for at, to in _candidates(pdf, root, percent):
             for other in to:
                 if root[other] != root[at] and _linked(shingle_set(at), shingle_set(other), percent):
                     links.append((node[at], node[other]))
                     root[root == root[other]] = root[at]
         return pd.DataFrame({"a": [x[0] for x in links], "b": [x[1] for x in links]})
 
-    return rows.groupBy("key", "i", "j").applyInPandas(run, "a binary, b binary")
+    rows = _tiled(likely_ones).join(texts.join(sketch, "node"), "node")
+    return rows.groupBy("key", "i", "j").applyInPandas(link, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -343,12 +399,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = stored(_across(named, nodes, docs, text_col, width, percent), "links")
     if not more.isEmpty():
         label = stored(components(links.union(more)), "labels")
-    rows = table.select("id", "node", "n_shingles").join(label, "node", "left").withColumn(
-        "label", F.coalesce("label", "node"))
-    # Empty sets link with nothing: each such row is its own component.
-    names = rows.where(F.col("n_shingles") > 0).groupBy("label").agg(F.min("id").alias("component"))
-    some = rows.where(F.col("n_shingles") > 0).join(names, "label").select("id", "node", "n_shingles", "component", "label")
-    return some.union(rows.where(F.col("n_shingles") == 0).select("id", "node", "n_shingles", F.col("id").alias("component"), "label"))
+    rows = _salted(table.select("id", "node", "n_shingles"), label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    # Empty sets link with nothing: each such row is its own component, like a row without copies.
+    names = rows.where(F.col("n_shingles") > 0).groupBy("label").agg(F.min("id").alias("least"), F.count("*").alias("n")).where(
+        F.col("n") > 1).select("label", "least", F.lit(True).alias("many"))
+    some = _salted(rows, names, "label", "left")
+    own = F.col("many").isNull() | (F.col("n_shingles") == 0)
+    return some.select("id", "node", "n_shingles", F.when(own, F.col("id")).otherwise(F.col("least")).alias("component"), "label")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,

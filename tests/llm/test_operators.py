@@ -1,5 +1,6 @@
 """Each operator against a brute-force version, on real rows and on awkward ones."""
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -414,6 +415,61 @@ def test_near_duplicates(request, width, percent, monkeypatch):
         assert Counter((r["id"], r["n_shingles"], r["component"]) for r in got) == brute_components(rows, width, percent)
 
 
+def test_near_duplicates_of_drifting_families(spark, monkeypatch):
+    """Texts that drift away from a base share buckets across several components."""
+    monkeypatch.setattr(near_dedup, "TILE", 3)
+    rng = random.Random(8)
+    rows = []
+    for family in range(3):
+        base = [f"w{rng.randint(0, 10**6)}" for _ in range(150)]
+        for member in range(25):
+            own, at = list(base), rng.randint(0, 149)
+            for k in range(rng.choice((0, 2, 4, 6, 9, 12))):
+                own[(at + k) % 150] = f"x{family}-{member}-{k}"
+            rows.append((len(rows), " ".join(own)))
+    rows += [(1000 + i, rows[i][1]) for i in range(0, 75, 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = near_dedup.near_duplicates(df, width=3, percent=85).collect()
+    expect = brute_components(rows, 3, 85)
+    assert Counter((r["id"], r["n_shingles"], r["component"]) for r in got) == expect
+    assert 3 < len({c for _, _, c in expect}) < 75
+
+
+@pytest.mark.parametrize("tile", [1, 2, 7, 100])
+def test_tiles_bring_each_pair_across_components_together_once(spark, monkeypatch, tile):
+    monkeypatch.setattr(near_dedup, "TILE", tile)
+    rng = random.Random(tile)
+    rows = [(key, bytes([key, node]), bytes([rng.choice((1, 1, 1, 2, 3)) if key else 1])) for key in range(3) for node in range(30)]
+    df = spark.createDataFrame(rows, "key long, node binary, label binary")
+    groups: dict = {}
+    for r in near_dedup._tiled(df).collect():
+        groups.setdefault((r["key"], r["i"], r["j"]), []).append(r)
+    met = Counter()
+    for members in groups.values():
+        for a in (m for m in members if m["asks"]):
+            for b in (m for m in members if not m["asks"]):
+                if a["label"] != b["label"] and (not b["rest"] or bytes(b["node"]) > bytes(a["node"])):
+                    met[frozenset((bytes(a["node"]), bytes(b["node"])))] += 1
+    assert met == Counter(frozenset((a[1], b[1])) for a, b in itertools.combinations(rows, 2) if a[0] == b[0] and a[2] != b[2])
+
+
+def test_wanted_texts_lose_none(spark):
+    texts = spark.range(20000).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("node"), F.col("id").cast("string").alias("text"))
+    need = texts.where("cast(text as long) % 10 = 3").select("node")
+    got = {int(r["text"]) for r in near_dedup._wanted(texts, need).select("text").collect()}
+    assert set(range(3, 20000, 10)) <= got and len(got) < 2100
+    assert near_dedup._wanted(texts, need.limit(0)).count() == 0
+
+
+def test_salted_join_is_a_join(spark):
+    rows = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
+    names = spark.createDataFrame([(0, "a"), (1, "b")], "k long, name string")
+    for how in ("inner", "left"):
+        got = near_dedup._salted(rows, names, "k", how)
+        assert Counter(map(tuple, got.select("k", "id", "name").collect())) == Counter(
+            map(tuple, rows.join(names, "k", how).select("k", "id", "name").collect()))
+
+
 def test_keep_one(edge, empty, docs001):
     for df in (edge, docs001):
         kept = near_dedup.keep_one(df)
