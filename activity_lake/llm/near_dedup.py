@@ -311,6 +311,12 @@ def _tiled(members: DataFrame, least: int = 2) -> DataFrame:
     return asks.unionByName(asked).drop("top", "rows", "cols")
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """rows dealt by group to as many tasks as the session names for a shuffle: a tile's work grows with
+    its pairs, so tasks aren't joined by their bytes."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key", "i", "j")
+
+
 def _candidates(pdf: pd.DataFrame, root: np.ndarray, percent: int):
     """(place of a member that asks, places of members of other components that may be
     alike, best first) of a group. root holds each member's component, and may change meanwhile."""
@@ -353,7 +359,7 @@ def _across(members: DataFrame, nodes: DataFrame, docs: DataFrame, text_col: str
 
     columns = "key long, band int, node binary, label binary"
     # In a bucket of two nodes their only pair has been tried already.
-    first = _tiled(members, 3).join(sketch, "node").groupBy("key", "i", "j").applyInPandas(name, columns)
+    first = _spread(_tiled(members, 3).join(sketch, "node")).groupBy("key", "i", "j").applyInPandas(name, columns)
     likely_ones = stored(first.distinct(), "likely")
     texts = _texts(docs, text_col, likely_ones)
 
@@ -375,7 +381,7 @@ def _across(members: DataFrame, nodes: DataFrame, docs: DataFrame, text_col: str
                     root[root == root[other]] = root[at]
         return pd.DataFrame({"a": [x[0] for x in links], "b": [x[1] for x in links]})
 
-    rows = _tiled(likely_ones).join(texts.join(sketch, "node"), "node")
+    rows = _spread(_tiled(likely_ones).join(texts.join(sketch, "node"), "node"))
     return rows.groupBy("key", "i", "j").applyInPandas(link, "a binary, b binary")
 
 
