@@ -43,8 +43,8 @@ MARGIN = 0.12
 TILE = 1024
 #: Parts of a key that may be hot: the other side of its join is repeated so often.
 SALTS = 8
-#: The filter of wanted texts: 2**14 segments of 2**13 bits (16 MB) at any size of the corpus, and
-#: places of a text's bits in its segment.
+#: The filter of wanted texts: at most 2**14 segments of 2**13 bits (128 words of 64 bits, each with its
+#: number: 32 MB) at any size of the corpus, and places of a text's bits in its segment.
 SEGMENT_BITS, PLACE_BITS, PLACES = 14, 13, 3
 
 _RNG = np.random.default_rng(20240607)
@@ -186,13 +186,11 @@ def _wanted(texts: DataFrame, need: DataFrame) -> DataFrame:
     one = F.explode(F.array(*places("node")))
     bits = need.select(segment.alias("_seg"), one.alias("at")).groupBy("_seg", F.shiftright("at", 6).alias("w")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.expr("cast(at & 63 as int)"))).alias("b"))
-    words = bits.groupBy("_seg").agg(F.map_from_entries(F.collect_list(F.struct(F.col("w").cast("int").alias("w"), "b"))).alias("_m"))
-    many = (1 << PLACE_BITS) // 64
-    words = words.select("_seg", F.transform(F.sequence(F.lit(0), F.lit(many - 1)), lambda w: F.coalesce(
-        F.try_element_at("_m", w), F.lit(0).cast("long"))).alias("_bits"))
+    # Words without a bit are left out, so few nodes make a small filter.
+    words = bits.groupBy("_seg").agg(F.map_from_entries(F.collect_list(F.struct(F.col("w").cast("int").alias("w"), "b"))).alias("_bits"))
     found = texts.withColumn("_seg", segment).join(F.broadcast(words), "_seg")
     for at in places("node"):
-        word = F.get("_bits", F.shiftright(at, 6).cast("int"))
+        word = F.coalesce(F.try_element_at("_bits", F.shiftright(at, 6).cast("int")), F.lit(0).cast("long"))
         found = found.where(F.call_function("shiftright", word, at.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1)
     return found.drop("_seg", "_bits")
 
@@ -279,11 +277,11 @@ def components(edges: DataFrame) -> DataFrame:
         # Large star: neighbours larger than v link to the smallest neighbour of v (v included).
         both = edges.union(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
         low = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("m", "v").alias("m"))
-        big = _salted(both.where(F.col("u") > F.col("v")), low, "v").where(F.col("u") != F.col("m")).select(
+        big = both.where(F.col("u") > F.col("v")).join(low, "v").where(F.col("u") != F.col("m")).select(
             F.col("u").alias("v"), F.col("m").alias("u")).distinct()
         # Small star: neighbours smaller than v, and v itself, link to the smallest of them.
         low = big.groupBy("v").agg(F.min("u").alias("m"))
-        small = _salted(big, low, "v").where(F.col("u") != F.col("m")).select(F.col("u").alias("v"), F.col("m").alias("u"))
+        small = big.join(low, "v").where(F.col("u") != F.col("m")).select(F.col("u").alias("v"), F.col("m").alias("u"))
         edges = stored(small.union(low.select("v", F.col("m").alias("u"))).distinct(), "cc")
         state = _state(edges)
         if state == before:
