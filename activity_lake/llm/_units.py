@@ -19,8 +19,8 @@ from . import _text as X
 
 #: Distinct units and their bytes that a worker keeps; beyond them it starts afresh (results
 #: don't change).
-CACHE_UNITS = 1_000_000
-CACHE_BYTES = 64 << 20
+CACHE_UNITS = 250_000
+CACHE_BYTES = 16 << 20
 
 _SPACE, _LETTER, _DIGIT, _OTHER, _HARD = range(5)
 _CLASS = np.full(256, _HARD, np.uint8)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _text as X
-from ._spark import stored, text_bytes
+from ._spark import release, stored, text_bytes, tidy
 
 #: SetSketch parameters: base of the spacing, rate, largest register value.
 SPACING, RATE, TOP = 1.001, 20.0, 65535
@@ -41,6 +41,8 @@ BANDS, ROWS = 40, 5
 #: threshold: four to five standard errors of the estimate from 200 registers.
 MARGIN = 0.12
 TILE = 1024
+#: A group with so many bytes of text gives its worker's free memory back.
+RELEASE_BYTES = 4 << 20
 #: Parts of a key that may be hot: the other side of its join is repeated so often.
 SALTS = 8
 #: The filter of wanted texts: at most 2**14 segments of 2**13 bits (128 words of 64 bits, each with its
@@ -141,7 +143,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
                      pa.array([r.tobytes() for r in regs], pa.binary()), bands],
                     names=["id", "node", "n_shingles", "regs", "bands"])
 
-    return src.mapInArrow(run, "id long, node binary, n_shingles long, regs binary, bands array<long>")
+    return src.mapInArrow(tidy(run), "id long, node binary, n_shingles long, regs binary, bands array<long>")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -164,7 +166,7 @@ def _screen(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                                    percent / 100 - MARGIN))
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
-    return both.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a binary, b binary")
+    return both.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(tidy(run), "a binary, b binary")
 
 
 def _salted(rows: DataFrame, names: DataFrame, key: str, how: str = "inner") -> DataFrame:
@@ -251,14 +253,15 @@ def _confirm(pairs: DataFrame, docs: DataFrame, text_col: str, width: int, perce
         last, last_set = None, None
         for batch in batches:
             keep = []
-            for ta, tb in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist()):
+            for ta, tb in zip(batch.column("ta"), batch.column("tb")):     # one pair's texts at a time
+                ta, tb = ta.as_py(), tb.as_py()
                 if ta != last:
                     last, last_set = ta, TextSet(ta, width)
                 keep.append(_linked(last_set, TextSet(tb, width), percent))
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
+    return both.select("a", "b", "ta", "tb").mapInArrow(tidy(run), "a binary, b binary")
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -377,6 +380,8 @@ def _across(members: DataFrame, nodes: DataFrame, docs: DataFrame, text_col: str
                 if root[other] != root[at] and _linked(shingle_set(at), shingle_set(other), percent):
                     links.append((node[at], node[other]))
                     root[root == root[other]] = root[at]
+        if sum(map(len, text)) > RELEASE_BYTES:
+            release()
         return pd.DataFrame({"a": [x[0] for x in links], "b": [x[1] for x in links]})
 
     rows = _spread(_tiled(likely_ones).join(texts.join(sketch, "node"), "node"))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _text as X
-from ._spark import stored, text_bytes
+from ._spark import stored, text_bytes, tidy
 from ._units import UnitEncoder
 from .bpe import byte_symbols
 
@@ -79,7 +79,7 @@ def tokenized(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                     names=["id", "part", "before", "n", "ids"])
                 total += int(border[-1])
 
-    return src.mapInArrow(run, f"id {kind}, part long, before long, n long, ids binary")
+    return src.mapInArrow(tidy(run), f"id {kind}, part long, before long, n long, ids binary")
 
 
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _text as X
-from ._spark import text_bytes
+from ._spark import text_bytes, tidy
 
 #: The sample on which costs and selectivities are estimated (expected rows, drawn by hash), and
 #: most bytes of a text in it; only the order of rules depends on the sample.
@@ -194,10 +194,10 @@ def keep(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", rules:
     def run(batches):
         for batch in batches:
             texts = X.binary(batch.column(place).cast(pa.large_string()))
-            ok = [first_failure(Text(x), ordered) is None for x in texts.to_pylist()]
+            ok = [first_failure(Text(x.as_py()), ordered) is None for x in texts]
             yield batch.filter(pa.array(ok, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def judge(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", rules: tuple[Rule, ...] = RULES,
@@ -212,8 +212,8 @@ def judge(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", rules
         for batch in batches:
             out: dict[str, list] = {n: [] for n in names}
             failed = []
-            for data in X.binary(batch.column("text")).to_pylist():
-                t = Text(data)
+            for data in X.binary(batch.column("text")):
+                t = Text(data.as_py())
                 failed.append(first_failure(t, ordered))
                 for n in names:
                     out[n].append(getattr(t, n))
@@ -221,7 +221,7 @@ def judge(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", rules
                 [batch.column("id"), *(pa.array(out[n], pa.int64()) for n in names), pa.array(failed, pa.string()),
                  pa.array([f is None for f in failed], pa.bool_())], names=["id", *names, "failed_rule", "kept"])
 
-    return src.mapInArrow(run, f"id {kind}, " + ", ".join(f"{n} long" for n in names) + ", failed_rule string, kept boolean")
+    return src.mapInArrow(tidy(run), f"id {kind}, " + ", ".join(f"{n} long" for n in names) + ", failed_rule string, kept boolean")
 
 
 ORACLE_SQL = r"""
