@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -729,3 +730,17 @@ def test_words_of_blocks():
             for word, h in zip(WORD.findall(t), w.hashes[w.first[i]:w.first[i + 1]]):
                 lone = np.frombuffer(word, np.uint8)
                 assert X.hash_spans(X.LOWER[lone], np.array([0]), np.array([len(lone)]))[0] == h
+
+
+def test_a_tidy_function_gives_the_same_batches(spark):
+    from activity_lake.llm._spark import tidy
+
+    def run(batches):
+        for batch in batches:
+            yield batch.slice(0, batch.num_rows - batch.num_rows % 2)
+
+    one = pa.RecordBatch.from_pydict({"x": [1, 2, 3]})
+    for batches in ([], [one], [one, one.slice(1), one.slice(3)]):
+        assert list(tidy(run)(iter(batches))) == list(run(batches))
+    df = spark.range(1000).repartition(4)
+    assert sorted(r[0] for r in df.mapInArrow(tidy(lambda bs: bs), "id long").collect()) == list(range(1000))
