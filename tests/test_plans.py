@@ -113,3 +113,19 @@ def test_profiles_parse_each_line_once(spark):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert len(re.findall(r"try_parse_json|parse_json\(", plan)) <= 1, (op.__name__, plan)
         assert "get_json_object" not in plan, op.__name__
+
+
+def test_dedup_keeps_the_survivor_as_one_value(spark, tmp_path):
+    """One struct in the buffer: the dedup's shuffle holds the key, the struct and its flag."""
+    bronze = _bronze_layer(spark, tmp_path)
+    for df in (S.to_events(bronze), S.to_pr_events(bronze)):
+        assert [len(i.split(",")) for i in _exchange_inputs(df)] == [4]
+
+
+def test_dedup_takes_one_whole_row_for_a_key_and_drops_rows_without_one(spark):
+    rows = [(1, "2024-01-01", "a", 1), (1, "2024-01-01", "b", None), (1, "2024-01-02", None, 2), (1, None, "c", 3), (None, "2024-01-01", "d", 4)]
+    df = spark.createDataFrame(rows, "event_id long, event_date string, actor string, n int")
+    got = [tuple(r) for r in S.dedup_events(df).collect()]
+    assert sorted(r[:2] for r in got if r[1]) == [(1, "2024-01-01"), (1, "2024-01-02")]
+    assert len(got) == 3 and set(got) <= set(rows)
+    assert S.dedup_events(df.select("event_id", "event_date")).count() == 3
