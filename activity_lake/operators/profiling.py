@@ -418,13 +418,19 @@ def drift(raw: DataFrame, unit: Column) -> DataFrame:
 
 # -------------------------------------------------------------------- K11
 def examples(raw: DataFrame) -> DataFrame:
-    """One real line per event type: the earliest (``created_at``, then id)."""
+    """One real line per event type: the earliest (``created_at``, then id).
+
+    A minimum of texts alone would be a sort-based aggregate, which sorts and spills every line.
+    The set beside it (always empty) makes it an object hash aggregate, which holds one line
+    for each type in a task; with more than 128 types in a task it goes on by sorting."""
     t = _typed(raw)
     et = F.expr("try_variant_get(j, '$.type', 'string')")
     created = F.expr("try_variant_get(j, '$.created_at', 'string')")
     eid = F.expr("try_variant_get(j, '$.id', 'bigint')")
     best = F.min(F.when(F.col("j").isNotNull(), F.struct(
         created.alias("created_at"), eid.alias("id"), F.col("value").alias("json"))))
-    return (t.groupBy(et.alias("type")).agg(best.alias("b")).where(F.col("b").isNotNull())
+    empty = F.collect_set(F.lit(None).cast("boolean"))
+    return (t.groupBy(et.alias("type")).agg(best.alias("b"), empty.alias("e"))
+            .where(F.col("b").isNotNull() & (F.size("e") == 0))
             .select("type", F.col("b.id").alias("id"), F.col("b.created_at").alias("created_at"),
                     F.col("b.json").alias("json")))

@@ -129,3 +129,13 @@ def test_dedup_takes_one_whole_row_for_a_key_and_drops_rows_without_one(spark):
     assert sorted(r[:2] for r in got if r[1]) == [(1, "2024-01-01"), (1, "2024-01-02")]
     assert len(got) == 3 and set(got) <= set(rows)
     assert S.dedup_events(df.select("event_id", "event_date")).count() == 3
+
+
+def test_examples_hold_one_line_a_type_instead_of_sorting_the_lines(spark):
+    from activity_lake.operators import profiling as PF
+    lines = [('{"type":"A","created_at":"2024-01-02","id":"1"}',), ('{"type":"A","created_at":"2024-01-01","id":"3"}',),
+             ('{"type":"A","created_at":"2024-01-01","id":"2"}',), ('{"created_at":"2024-01-01","id":"9"}',), ("{broken",)]
+    ex = PF.examples(spark.createDataFrame(lines * 3, "value string").selectExpr("value", "'2024-01-01' AS file_date"))
+    plan = _formatted(ex)
+    assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan
+    assert {(r["type"], r["id"], r["json"]) for r in ex.collect()} == {("A", 2, lines[2][0]), (None, 9, lines[3][0])}
