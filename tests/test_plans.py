@@ -139,3 +139,12 @@ def test_examples_hold_one_line_a_type_instead_of_sorting_the_lines(spark):
     plan = _formatted(ex)
     assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan
     assert {(r["type"], r["id"], r["json"]) for r in ex.collect()} == {("A", 2, lines[2][0]), (None, 9, lines[3][0])}
+
+
+def test_bot_flag_and_class_follow_the_dedup(spark, tmp_path):
+    """They are functions of the actor: neither sorted nor shuffled with the survivor."""
+    bronze = _bronze_layer(spark, tmp_path)
+    for df in (S.to_events(bronze), S.to_pr_events(bronze)):
+        kept = re.findall(r"first\(struct\([^\n]*", df._jdf.queryExecution().executedPlan().toString())
+        assert kept and all("actor_class" not in k and "is_bot" not in k for k in kept)
+        assert {"is_bot", "actor_class"} <= set(df.columns)
