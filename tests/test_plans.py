@@ -148,3 +148,24 @@ def test_bot_flag_and_class_follow_the_dedup(spark, tmp_path):
         kept = re.findall(r"first\(struct\([^\n]*", df._jdf.queryExecution().executedPlan().toString())
         assert kept and all("actor_class" not in k and "is_bot" not in k for k in kept)
         assert {"is_bot", "actor_class"} <= set(df.columns)
+
+
+def test_events_are_counted_by_hash_before_text_is_compared(spark):
+    """No aggregate that sorts (its buffer holds text) lies below the first shuffle of the events."""
+    from activity_lake.operators import dims, facts
+    rows = [(i, f"t{i % 3}", f"a{i % 4}", f"o/r{i % 5}", "2025-01-0%d" % (i % 9 + 1), i % 4 == 0, "human") for i in range(60)]
+    ev = spark.createDataFrame(rows + [(60, "t0", "a1", "o/r1", "2025-01-02", None, "zebra"), (61, None, None, None, "2025-01-02", None, "ci_bot")],
+                               "event_id long, event_type string, actor string, repo string, event_date string, is_bot boolean, actor_class string")
+    ev = ev.withColumn("event_date", ev.event_date.cast("date"))
+    actors, months = dims.dim_actor(ev), facts.contributor_month(ev)
+    for df in (actors, months):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        first = plan[plan.rindex("Exchange hashpartitioning"):]
+        assert "HashAggregate" in first and "SortAggregate" not in first, first
+    a = {r["actor"]: r for r in actors.collect()}
+    assert (a["a1"]["actor_class"], a["a1"]["total_events"], a["a1"]["distinct_repos"]) == ("zebra", 16, 5)
+    assert (a[None]["total_events"], a[None]["distinct_repos"]) == (1, 0)
+    own = [r for r in rows if r[2] == "a1" and r[3] == "o/r1"]
+    m = {(r["actor"], r["repo"]): r for r in months.collect()}[("a1", "o/r1")]
+    assert (m["events"], m["distinct_types"], m["actor_class"]) == (len(own) + 1, len({r[1] for r in own} | {"t0"}), "zebra")
+    assert m["active_days"] == len({r[4] for r in own} | {"2025-01-02"}) and m["is_first_month"]
