@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import json
 import re
-from collections import Counter
 from collections.abc import Sequence
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -116,24 +116,44 @@ _JSON_TYPES = {type(None): "null", bool: "bool", int: "int", float: "float", str
 _CONTAINERS = (dict, list)
 
 
-def _walk(node, path: str, depth: int | None, out: list[tuple[str, str]]) -> None:
-    """Appends (path, type) of everything below a parsed JSON value: all keys and all
-    array elements; depth bounds the levels only if it is given. Walks with a list of open
-    containers, so nesting is bounded by memory alone."""
-    todo = [(node, path, depth)] if isinstance(node, _CONTAINERS) else []
+def _walk(node, tree: list, depth: int | None = None) -> int:
+    """Counts everything below a parsed JSON value (all keys and all array elements) into a tree
+    of paths, whose nodes are [count by value type, child by key (None: array element)], and returns
+    how many new pairs of path and type it holds. depth bounds the levels only if it is given.
+    Walks with a list of open containers, so nesting is bounded by memory alone."""
+    new = 0
+    todo = [(node, tree, depth)] if isinstance(node, _CONTAINERS) else []
     while todo:
-        node, path, left = todo.pop()
+        node, (_, below), left = todo.pop()
         if left == 0:
             continue
-        below = None if left is None else left - 1
-        if isinstance(node, dict):
-            children = [(f"{path}.{key}", child) for key, child in node.items()]
-        else:
-            children = [(path + "[]", child) for child in node]
-        for at, child in children:
-            out.append((at, _JSON_TYPES[type(child)]))
-            if isinstance(child, _CONTAINERS):
-                todo.append((child, at, below))
+        left = None if left is None else left - 1
+        for key, child in node.items() if isinstance(node, dict) else zip(repeat(None), node):
+            at = below.get(key)
+            if at is None:
+                at = below[key] = [{}, {}]
+            kind = type(child)
+            if kind in at[0]:
+                at[0][kind] += 1
+            else:
+                at[0][kind] = 1
+                new += 1
+            if kind in _CONTAINERS:
+                todo.append((child, at, left))
+    return new
+
+
+def _tree_rows(kind: str | None, path: str, tree: list):
+    """(event type, path, value type, count) of a tree's nodes."""
+    todo = [(path, tree)]
+    while todo:
+        path, (_, below) = todo.pop()
+        for key, child in below.items():
+            at = path + "[]" if key is None else f"{path}.{key}"
+            for t, n in child[0].items():
+                yield kind, at, _JSON_TYPES[t], n
+            if child[1]:
+                todo.append((at, child))
 
 
 _TOKEN = re.compile(r'[ \t\r\n]*(?:([\[\]{},:])|("(?:[^"\\\x00-\x1f]|\\.)*")|([^ \t\r\n\[\]{},:"]+))')
@@ -207,16 +227,17 @@ def observed_paths(raw: DataFrame, types: Sequence[str] | None = None,
     wanted = None if types is None else frozenset(types)
 
     def run(batches):
-        held: Counter = Counter()
+        trees: dict = {}
+        held = 0
 
         def flush():
-            rows = list(held.items())
-            held.clear()
+            rows = [row for kind, tree in trees.items() for row in _tree_rows(kind, root, tree)]
+            trees.clear()
             return pa.RecordBatch.from_pydict({
-                "event_type": pa.array([k[0] for k, _ in rows], pa.string()),
-                "path": pa.array([k[1] for k, _ in rows], pa.string()),
-                "value_type": pa.array([k[2] for k, _ in rows], pa.string()),
-                "n": pa.array([n for _, n in rows], pa.int64())})
+                "event_type": pa.array([r[0] for r in rows], pa.string()),
+                "path": pa.array([r[1] for r in rows], pa.string()),
+                "value_type": pa.array([r[2] for r in rows], pa.string()),
+                "n": pa.array([r[3] for r in rows], pa.int64())})
 
         for batch in batches:
             for line in batch.column(0).to_pylist():
@@ -231,11 +252,13 @@ def observed_paths(raw: DataFrame, types: Sequence[str] | None = None,
                     kind = None
                 if wanted is not None and kind not in wanted:
                     continue
-                found: list[tuple[str, str]] = []
-                _walk(event.get(root), root, max_depth, found)
-                held.update((kind, p, t) for p, t in found)
-            if len(held) > _PATHS_HELD:
+                tree = trees.get(kind)
+                if tree is None:
+                    tree = trees[kind] = [{}, {}]
+                held += _walk(event.get(root), tree, max_depth)
+            if held > _PATHS_HELD:
                 yield flush()
+                held = 0
         yield flush()
 
     parts = raw.select("value").mapInArrow(run, "event_type string, path string, value_type string, n long")
