@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Sequence
+from functools import reduce
 from itertools import repeat
 
 import pyarrow as pa
@@ -413,14 +414,19 @@ def drift(raw: DataFrame, unit: Column) -> DataFrame:
     """
     kind = _text_at("type")
     is_pr, is_push = kind == "PullRequestEvent", kind == "PushEvent"
-    # One parse and one pass: per (unit, type, action) counts, then the few groups become rows.
+    # One parse and one pass: a line gives one bit for each thing it may hold, equal lines of a
+    # (unit, type, action) are counted together, then the few groups become rows.
+    flags = {"bots": _text_at("actor.login").endswith("[bot]"),
+             "language": is_pr & _text_at("payload.pull_request.base.repo.language").isNotNull(),
+             **{f"pr_{k}": is_pr & _present(f"payload.pull_request.{k}") for k in PR_DRIFT_KEYS},
+             **{f"push_{k}": is_push & _present(f"payload.{k}") for k in PUSH_DRIFT_KEYS}}
+    bits = reduce(Column.bitwiseOR, [F.when(c, F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(flags.values())])
     t = raw.select(unit.alias("unit"), "value", F.try_parse_json("value").alias("j"))
-    cells = t.groupBy("unit", kind.alias("type"), F.when(is_pr, _text_at("payload.action")).alias("action")).agg(
-        F.count(F.lit(1)).alias("lines"), F.sum(F.octet_length("value")).alias("bytes"),
-        F.count("j").alias("events"), F.count_if(_text_at("actor.login").endswith("[bot]")).alias("bots"),
-        F.count(F.when(is_pr, _text_at("payload.pull_request.base.repo.language"))).alias("language"),
-        *[F.count_if(is_pr & _present(f"payload.pull_request.{k}")).alias(f"pr_{k}") for k in PR_DRIFT_KEYS],
-        *[F.count_if(is_push & _present(f"payload.{k}")).alias(f"push_{k}") for k in PUSH_DRIFT_KEYS])
+    lines = t.select("unit", kind.alias("type"), F.when(is_pr, _text_at("payload.action")).alias("action"),
+                     F.col("j").isNotNull().alias("ok"), bits.alias("bits"), F.octet_length("value").alias("bytes"))
+    cells = (lines.groupBy("unit", "type", "action", "ok", "bits").agg(F.count(F.lit(1)).alias("lines"), F.sum("bytes").alias("bytes"))
+             .select("unit", "type", "action", "lines", "bytes", F.when(F.col("ok"), F.col("lines")).otherwise(F.lit(0)).alias("events"),
+                     *[F.when(F.col("bits").bitwiseAND(1 << i) != 0, F.col("lines")).otherwise(F.lit(0)).alias(n) for i, n in enumerate(flags)]))
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("double")
     of = lambda kind: F.coalesce(F.sum(F.when(F.col("type") == kind, F.col("events"))), F.lit(0))
     n_pr, n_push = of("PullRequestEvent"), of("PushEvent")
@@ -432,11 +438,14 @@ def drift(raw: DataFrame, unit: Column) -> DataFrame:
               **{f"pr_key_pct:{k}": share(f"pr_{k}", n_pr) for k in PR_DRIFT_KEYS},
               **{f"push_key_pct:{k}": share(f"push_{k}", n_push) for k in PUSH_DRIFT_KEYS}}
     names = list(values)
-    wide = cells.groupBy("unit").agg(*[v.alias(f"m{i}") for i, v in enumerate(values.values())])
+    # A unit's cells are summed under a NULL key, and an action's under the action as well.
+    keyed = cells.withColumn("key", F.explode(F.when(F.col("action").isNull(), F.array(F.lit(None).cast("string")))
+                                              .otherwise(F.array(F.lit(None), "action"))))
+    wide = keyed.groupBy("unit", "key").agg(*[v.alias(f"m{i}") for i, v in enumerate(values.values())])
     rows = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(f"m{i}").alias("value")) for i, n in enumerate(names)])
-    fixed = wide.select("unit", F.inline(rows)).where(F.col("value").isNotNull())
-    actions = cells.where(F.col("action").isNotNull()).groupBy("unit", "action").agg(F.sum("events").cast("double").alias("value"))
-    return fixed.unionByName(actions.select("unit", F.concat(F.lit("action:"), "action").alias("metric"), "value"))
+    action = F.struct(F.concat(F.lit("action:"), "key").alias("metric"), F.col(f"m{names.index('events')}").alias("value"))
+    return (wide.select("unit", F.inline(F.when(F.col("key").isNull(), rows).otherwise(F.array(action))))
+            .where(F.col("value").isNotNull()))
 
 
 # -------------------------------------------------------------------- K11
