@@ -370,9 +370,12 @@ def bot_signals(raw: DataFrame, user_type_paths: Sequence[str] = USER_TYPE_PATHS
 def top_bots(raw: DataFrame, k: int = 20) -> DataFrame:
     """The k most active ``[bot]`` logins with their percentage of all events."""
     login = F.get_json_object("value", "$.actor.login")
-    by = raw.groupBy(login.alias("login")).agg(F.count_if(F.try_parse_json("value").isNotNull()).alias("events"))
-    total = by.agg(F.sum("events").alias("total")).withColumn("_one", F.lit(1))      # one row
-    bots = by.where(F.col("login").endswith("[bot]")).orderBy(F.desc("events"), "login").limit(k)
+    # Both uses of the counts need the same columns and filter no key, so that they share one scan and shuffle.
+    by = (raw.select(login.alias("login"), F.try_parse_json("value").isNotNull().alias("ok")).groupBy("login")
+          .agg(F.count_if("ok").alias("events"), F.bool_or(F.col("login").endswith("[bot]")).alias("bot")))
+    total = (by.agg(F.sum("events").alias("total"), F.count_if("bot").alias("bots")).where(F.col("bots") > 0)
+             .select("total", F.lit(1).alias("_one")))       # one row
+    bots = by.where("bot").orderBy(F.desc("events"), "login").limit(k)
     return bots.withColumn("_one", F.lit(1)).join(total, "_one").select("login", "events", _pct2(F.col("events"), F.col("total")).alias("pct"))
 
 
