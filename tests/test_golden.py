@@ -1,5 +1,6 @@
 """Golden hand-made cases (FIXTURES.md section 2)."""
 import datetime as dt
+import json
 
 from pyspark.sql import functions as F
 
@@ -37,6 +38,32 @@ def test_malformed_and_blank_lines(spark):
     assert S.to_pr_events(br).count() == 1
 
 
+def test_payload_from_the_envelope_parse(spark):
+    """The stored payload gives the silver rows that parsing the text gives, on odd lines too."""
+    day = "2025-08-13"
+    odd = pr_doc(5, full=False)
+    odd["payload"] = "not an object"
+    texts = pr_doc(6)
+    texts["payload"]["pull_request"].update({"id": "12", "number": 3.5, "merged": "true", "user": 4, "additions": {"a": 1}})
+    bad_actor = pr_doc(8)
+    bad_actor["actor"] = "alice"
+    none = pr_doc(9)
+    del none["payload"]
+    raw = raw_df(spark, [(pr_doc(1), day), (pr_doc(1), day), (pr_doc(2, action="closed", merged=True), day),
+                         (pr_doc(3, etype="PullRequestReviewEvent", review={"state": "approved", "submitted_at": "nope"}), day),
+                         (pr_doc(4, etype="PushEvent"), day), (odd, day), (texts, day), (bad_actor, day), (none, day),
+                         ("[1]", day), ("", day), (None, day), (json.dumps(pr_doc(7))[:-3], day)])
+    for types in (None, ["PullRequestEvent"]):
+        text = B.retain_payload(B.to_bronze(raw), types)
+        both = B.retain_payload(B.to_bronze(raw, payload=True), types)
+        assert sorted(map(str, text.collect())) == sorted(map(str, both.drop("pr").collect()))
+        want = sorted(map(str, S.to_pr_events(text).collect()))
+        assert len(want) == (7 if types is None else 6)
+        assert sorted(map(str, S.to_pr_events(both).collect())) == want
+        older = B.with_payload(both.withColumn("pr", F.when(F.col("id") == "1", F.col("pr"))))
+        assert sorted(map(str, S.to_pr_events(older).collect())) == want
+
+
 def test_null_actor_and_repo(spark):
     doc = pr_doc(1)
     doc["actor"] = {}

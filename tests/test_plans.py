@@ -4,6 +4,7 @@ import re
 from pyspark.sql import functions as F
 
 from activity_lake.operators import bronze as B
+from activity_lake.operators import facts
 from activity_lake.operators import silver as S
 from activity_lake.plans.pipeline import Lake
 from activity_lake.sources import sinks as SK
@@ -37,6 +38,23 @@ def test_no_json_crosses_the_dedup_exchange(spark, tmp_path):
         assert all("event_json" not in i for i in ins)
 
 
+def test_silver_neither_parses_nor_reads_the_text_again(spark, tmp_path):
+    lines = [(pr_doc(i, review={"state": "approved", "submitted_at": "2025-08-13T11:00:00Z"}), "2025-08-13") for i in range(5)]
+    path = str(tmp_path / "bronze")
+    SK.write_partitioned(B.retain_payload(B.to_bronze(raw_df(spark, lines), payload=True)), path)
+    out = S.to_pr_events(SK.read_layer(spark, path))
+    plan = _formatted(out)
+    assert "from_json" not in plan and "event_json" not in plan
+    assert {r.review_state for r in out.collect()} == {"approved"}
+
+
+def test_lifecycle_sorts_on_the_number_first(spark):
+    lines = [(pr_doc(i, pr_id=i), "2025-08-13") for i in range(5)]
+    plan = _formatted(facts.pr_lifecycle(S.to_pr_events(B.to_bronze(raw_df(spark, lines))), "2025-12-31"))
+    sorts = re.findall(r"Sort\nInput[^\n]*\nArguments: \[(\w+)#", plan)
+    assert sorts.count("pr_id") >= 2 and "repo" not in sorts
+
+
 def test_dedup_shuffles_on_the_composite_key(spark, tmp_path):
     bronze = _bronze_layer(spark, tmp_path)
     plan = _formatted(S.to_events(bronze))
