@@ -55,6 +55,13 @@ def test_lifecycle_sorts_on_the_number_first(spark):
     assert sorts.count("pr_id") >= 2 and "repo" not in sorts
 
 
+def test_contributor_month_sorts_once(spark):
+    plan = _formatted(facts.contributor_month(S.to_events(B.to_bronze(raw_df(spark, [(pr_doc(1), "2025-08-13")])))))
+    after = plan[:plan.index("REPARTITION_BY_COL")]
+    tree = after[:after.index("\n\n")].split("Exchange")[0]
+    assert tree.count("Window") == 1 and len(re.findall(r"\bSort \(", tree)) == 1
+
+
 def test_dedup_shuffles_on_the_composite_key(spark, tmp_path):
     bronze = _bronze_layer(spark, tmp_path)
     plan = _formatted(S.to_events(bronze))
