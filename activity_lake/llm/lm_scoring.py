@@ -16,8 +16,8 @@ serves the add-one base score.
 Filter and table are cut into shards by hash range of at most SHARD_BYTES; each is one
 broadcast, and a worker scores a chunk of texts against one shard after the other, so its
 memory holds one shard and one chunk however large the corpus is. A model beyond
-max_model_bytes isn't broadcast: chunks send their distinct n-grams to the segments
-instead, and the counts come back to the chunk. Nothing is pruned: every n-gram of the
+max_model_bytes isn't broadcast: chunks send their distinct n-grams to groups of segments of
+about GROUP_BYTES instead, a group answers all chunks at once, and the levels come back to the chunk. Nothing is pruned: every n-gram of the
 corpus is in the filter.
 
 Defined cases: a null or empty text is its end token alone; a null id counts as the empty
@@ -53,6 +53,9 @@ CHUNK_BYTES = 4 << 20
 #: Text whose n-grams make one segment of the hash space: a group of the counting shuffle.
 SEGMENT_BYTES = 2 << 20
 MAX_MODEL_BYTES = 512 << 20
+#: Part of a model that isn't broadcast that answers as one: so few groups that a chunk asks each for
+#: thousands of n-grams, not for dozens.
+GROUP_BYTES = 16 << 20
 #: Partial counts are handed on when a task holds so many n-grams.
 FLUSH = 3_000_000
 
@@ -233,6 +236,12 @@ def count_ngrams(texts: DataFrame, seg_bits: int, order: int = ORDER) -> DataFra
     return texts.select("text").mapInArrow(run, "n int, seg int, keys binary, counts binary")
 
 
+def _tasks(df: DataFrame) -> int:
+    """Partitions for groups that cost far more than their bytes: a given number isn't coalesced by
+    bytes, which would leave a few tasks most of the work."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def build_segments(partial: DataFrame) -> DataFrame:
     """n, seg, distinct, total, estimated (sum of quantised counts), bits, and for single
     words the exact keys and counts."""
@@ -248,7 +257,7 @@ def build_segments(partial: DataFrame) -> DataFrame:
                              "keys": [keys.tobytes() if n == 1 else None],
                              "counts": [counts.tobytes() if n == 1 else None]})
 
-    return partial.groupBy("n", "seg").applyInPandas(
+    return partial.repartition(_tasks(partial), "n", "seg").groupBy("n", "seg").applyInPandas(
         run, "n int, seg int, distinct long, total long, estimated double, bits binary, keys binary, counts binary")
 
 
@@ -263,6 +272,7 @@ class Model:
     estimated: float
     shards: list
     table: DataFrame | None = None
+    group_bits: int = 0
 
 
 def _payload(rows: list, lo: int, hi: int, order: int) -> dict:
@@ -290,7 +300,7 @@ def train(texts: DataFrame, order: int = ORDER, shard_bytes: int = SHARD_BYTES,
     sizes = {r[0]: r[1] for r in table.groupBy("seg").agg(F.sum(weight)).collect()}  # one row a segment
     totals = (order, seg_bits, int(sums[0] or 0), int(sums[1] or 0), float(sums[2] or 0))
     if sum(sizes.values()) > max_model_bytes:
-        return Model(*totals, [], table)
+        return Model(*totals, [], table, int(np.clip(np.ceil(np.log2(max(sum(sizes.values()), 1) / GROUP_BYTES)), 0, seg_bits)))
     shards, lo, held = [], 0, 0
     for seg in range((1 << seg_bits) + 1):
         if seg == 1 << seg_bits or (held and held + sizes.get(seg, 0) > shard_bytes):
@@ -398,11 +408,31 @@ def _chunks(batches):
 _OUT = "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
+def answer_group(n: int, asked: list, segments: list, m: Model) -> list[tuple]:
+    """(levels, exact counts if n is 1) of the n-grams of each ask, from the segments of one group.
+    All asks are answered in one pass, an n-gram that many ask for once."""
+    keys, back = _sorted(np.concatenate([np.frombuffer(a, np.uint64) for a in asked]))
+    seg = (keys >> np.uint64(64 - m.seg_bits)).astype(np.int64)
+    lo, hi = int(seg[0]), int(seg[-1]) + 1
+    part = _payload([r for r in segments if lo <= r["seg"] < hi], lo, hi, m.order)
+    lev = probe_levels(keys if n == 1 else short(keys, m.seg_bits), seg - lo, *part[n]).astype(np.uint8)[back]
+    cut = np.cumsum([0] + [len(a) // 8 for a in asked])
+    if n > 1:
+        return [(lev[a:b].tobytes(), None) for a, b in zip(cut[:-1], cut[1:])]
+    exact = np.zeros(len(keys), np.int64)
+    if len(part["keys"]):
+        at = np.minimum(np.searchsorted(part["keys"], keys), len(part["keys"]) - 1)
+        exact = np.where(part["keys"][at] == keys, part["counts"][at], 0)
+    exact = exact[back]
+    return [(lev[a:b].tobytes(), exact[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:])]
+
+
 def _routed(src: DataFrame, m: Model, kind: str) -> DataFrame:
     """Scores without a broadcast. A chunk's rows and the distinct n-grams that it asks for
-    are stored; a segment answers all chunks that ask for its n-grams; the answers meet
-    the chunk's rows again. A group is one segment or one chunk."""
-    order, seg_bits = m.order, m.seg_bits
+    are stored; a group of segments answers all chunks that ask for its n-grams; the answers
+    meet the chunk's rows again. The n-grams go and their levels come back in ascending order,
+    so the answers don't name them."""
+    order, seg_bits, wide = m.order, m.seg_bits, m.seg_bits - m.group_bits
     totals = Model(order, seg_bits, m.total, m.distinct, m.estimated, [])
 
     def split(batches):
@@ -412,40 +442,31 @@ def _routed(src: DataFrame, m: Model, kind: str) -> DataFrame:
             n, none = len(rows), lambda k, t: pa.nulls(k, t)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([chunk] * n), rows.column("id"), rows.column("text"), rows.column("held_out"), none(n, pa.int32()),
-                 none(n, pa.int32()), none(n, pa.binary())], names=["chunk", "id", "text", "held_out", "n", "seg", "keys"])
+                 none(n, pa.int32()), none(n, pa.binary())], names=["chunk", "id", "text", "held_out", "n", "part", "keys"])
             for size in range(1, order + 1):
                 keys = np.unique(grams(tok, border, size))
-                some, cut = _runs((keys >> np.uint64(64 - seg_bits)).astype(np.int64))
+                some, cut = _runs((keys >> np.uint64(64 - seg_bits) >> np.uint64(wide)).astype(np.int64))
                 k = len(some)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([chunk] * k), none(k, rows.column("id").type), none(k, rows.column("text").type), none(k, pa.bool_()),
                      pa.array(np.full(k, size, np.int32)), pa.array(some.astype(np.int32)),
                      pa.array([keys[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())],
-                    names=["chunk", "id", "text", "held_out", "n", "seg", "keys"])
+                    names=["chunk", "id", "text", "held_out", "n", "part", "keys"])
 
     src = src.withColumn("id", F.col("id").cast("string"))  # pandas has no integers beside nulls
-    parts = stored(src.mapInArrow(split, "chunk string, id string, text binary, held_out boolean, n int, seg int, keys binary"), "asked")
-
-    def answer(asked: pd.DataFrame, segment: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for ask in asked.itertuples(index=False):
-            keys = np.frombuffer(ask.keys, np.uint64)
-            lev, exact = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
-            if len(segment):
-                own = segment.iloc[0]
-                data = np.frombuffer(own["bits"], np.uint8)
-                lev = probe_levels(keys if ask.n == 1 else short(keys, seg_bits), np.zeros(len(keys), np.int64),
-                                   np.array([0]), np.array([len(data) * 8]), data)
-                if ask.n == 1:
-                    known, counts = np.frombuffer(own["keys"], np.uint64), np.frombuffer(own["counts"], np.int64)
-                    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                    exact = np.where(known[at] == keys, counts[at], 0)
-            out.append((ask.chunk, ask.n, ask.keys, lev.astype(np.uint8).tobytes(), exact.tobytes() if ask.n == 1 else None))
-        return pd.DataFrame(out, columns=["chunk", "n", "keys", "levels", "exact"])
-
-    asked = parts.where(F.col("n").isNotNull()).select("chunk", "n", "seg", "keys")
-    answers = asked.groupBy("n", "seg").cogroup(m.table.select("n", "seg", "bits", "keys", "counts").groupBy("n", "seg")).applyInPandas(
-        answer, "chunk string, n int, keys binary, levels binary, exact binary")
+    parts = stored(src.mapInArrow(split, "chunk string, id string, text binary, held_out boolean, n int, part int, keys binary"), "asked")
+
+    def answer(asked: pd.DataFrame, segments: pd.DataFrame) -> pd.DataFrame:
+        out = pd.DataFrame({"chunk": asked["chunk"], "n": asked["n"], "part": asked["part"], "levels": None, "exact": None})
+        if len(asked):
+            got = answer_group(int(asked["n"].iloc[0]), list(asked["keys"]), segments.to_dict("records"), totals)
+            out["levels"], out["exact"] = [g[0] for g in got], [g[1] for g in got]
+        return out
+
+    asked = parts.where(F.col("n").isNotNull()).select("chunk", "n", "part", "keys").repartition(_tasks(src), "n", "part")
+    segments = m.table.select("n", F.expr(f"shiftright(seg, {wide})").alias("part"), "seg", "bits", "keys", "counts")
+    answers = asked.groupBy("n", "part").cogroup(segments.groupBy("n", "part")).applyInPandas(
+        answer, "chunk string, n int, part int, levels binary, exact binary")
 
     def finish(rows: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
         data = b"".join(rows["text"])
@@ -453,20 +474,18 @@ def _routed(src: DataFrame, m: Model, kind: str) -> DataFrame:
         tok, border = tokens(np.frombuffer(data, np.uint8), offs)
         est, exact, code = {}, None, None
         for n in range(1, order + 1):
-            own = got[got["n"] == n]
-            keys = np.frombuffer(b"".join(own["keys"]), np.uint64)
-            by = np.argsort(keys)
-            means = _MEANS[np.frombuffer(b"".join(own["levels"]), np.uint8)][by]
-            at = np.searchsorted(keys[by], grams(tok, border, n))
+            own = got[got["n"] == n].sort_values("part")
+            means = _MEANS[np.frombuffer(b"".join(own["levels"]), np.uint8)]
+            at = _sorted(grams(tok, border, n))[1]
             if n == 1:
-                code, est[1], exact = at, means, np.frombuffer(b"".join(own["exact"]), np.int64)[by]
+                code, est[1], exact = at, means, np.frombuffer(b"".join(own["exact"]), np.int64)
             else:
                 est[n] = means[at]
         count, known, base, score = _finish(border, code, exact, est, totals)
         return pd.DataFrame({"id": rows["id"], "held_out": rows["held_out"], "n_tokens": count, "n_known": known,
                              "train_tokens": totals.total, "base_score": base, "score": score})
 
-    texts = parts.where(F.col("n").isNull()).select("chunk", "id", F.coalesce("text", F.lit(b"")).alias("text"), "held_out")
+    texts = parts.where(F.col("n").isNull()).select("chunk", "id", F.coalesce("text", F.lit(b"")).alias("text"), "held_out").repartition(_tasks(src), "chunk")
     out = texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(finish, f"id string, {_OUT}")
     return out.withColumn("id", F.col("id").cast(kind))
 
