@@ -4,7 +4,9 @@ import re
 from activity_lake.operators import bronze as B
 from activity_lake.operators import silver as S
 from activity_lake.plans import pipeline as P
+from activity_lake.sources import raw as RAW
 from activity_lake.sources import sinks as SK
+from activity_lake.streaming import incremental as INC
 from conftest import SF001, pr_doc, raw_df
 
 
@@ -78,3 +80,18 @@ def test_a_written_table_leaves_no_shuffle_files(spark, tmp_path):
     assert not _shuffle_files(spark) - before
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
     assert df.count() == df.count() == len(df.collect()) == len(df.collect()) == 1000       # its shuffles can be made again
+
+
+def test_a_stream_leaves_no_shuffle_files_and_deduplicates_by_keys(spark, tmp_path, monkeypatch):
+    base, keys, store = str(tmp_path), [], SK.stored
+    monkeypatch.setattr(INC, "stored", lambda df: (keys.append(_shuffled(df)), store(df))[1])
+    lines = [(pr_doc(i % 40, action="opened"), "2025-08-13") for i in range(100)]
+    before = _shuffle_files(spark)
+    for wave in (lines[:30], lines[30:]):
+        RAW.write_raw(raw_df(spark, wave), f"{base}/raw", mode="append")
+        INC.run_incremental(spark, f"{base}/raw", f"{base}/bronze", f"{base}/silver", f"{base}/_ckpt")
+    assert not _shuffle_files(spark) - before
+    assert len(keys) == 4 and all(len(s) == 1 and "actor" not in s[0] for s in keys)
+    for table in ("events", "pr_events"):
+        rows = SK.read_layer(spark, f"{base}/silver/{table}").collect()
+        assert sorted(r["event_id"] for r in rows) == list(range(40))
